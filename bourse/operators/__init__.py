@@ -13,7 +13,7 @@ from bourse.operators.keys import (KeyViolation, assert_key, distinct_keys,
 from bourse.operators.nulls import fill_const, normalize_nan
 from bourse.operators.projection import (drop_col_at, drop_cols, rename_positional,
                                          select_cols, with_key, with_row_index)
-from bourse.operators.series import (SeriesPass, drop_last, ffill, latest,
+from bourse.operators.series import (SeriesPass, drop_last, ffill, ffill_pct_change, latest,
                                      next_value, pct_change, sort_desc, zscore)
 
 __all__ = [
@@ -25,5 +25,5 @@ __all__ = [
     "key_violations", "union_all", "fill_const", "normalize_nan", "drop_col_at",
     "drop_cols", "rename_positional", "select_cols", "with_key",
     "with_row_index", "SeriesPass", "drop_last", "ffill", "latest",
-    "next_value", "pct_change", "sort_desc", "zscore",
+    "next_value", "pct_change", "ffill_pct_change", "sort_desc", "zscore",
 ]

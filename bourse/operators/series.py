@@ -55,6 +55,8 @@ class SeriesPass:
     ``ffill``: columns to forward fill (replaced in place).
     ``lag`` / ``lead``: columns whose previous / next value is exposed as
     ``_prev_<c>`` / ``_next_<c>``.
+    ``prev_filled``: also expose ``_prevff_<c>``, the previous row's filled
+    value, for every ffill column (ffill and lag fused into one pass).
     Also exposed: ``_first`` (first row of the key) and ``_last``.
     """
 
@@ -64,6 +66,7 @@ class SeriesPass:
     lag: list = field(default_factory=list)
     lead: list = field(default_factory=list)
     segment: object = DEFAULT_SEGMENT
+    prev_filled: bool = False
 
     def apply(self, df: DataFrame) -> DataFrame:
         keys, order = _list(self.keys), _list(self.order)
@@ -86,8 +89,7 @@ class SeriesPass:
 
         ws = Window.partitionBy(*keys).orderBy(seg)
         before = ws.rowsBetween(Window.unboundedPreceding, -1)
-        carry_cols = [F.col(k).alias(f"_ck{i}") for i, k in enumerate(keys)]
-        carry_cols.append(F.col(seg).alias("_cseg"))
+        carry_cols = [F.col(k) for k in keys] + [F.col(seg)]
         for c in self.ffill:
             carry_cols.append(F.last(f"_tailnn_{c}", ignorenulls=True).over(before)
                               .alias(f"_inff_{c}"))
@@ -99,25 +101,32 @@ class SeriesPass:
         carry_cols.append(F.lead("_one").over(ws).isNull().alias("_seglast"))
         carry = summary.select(*carry_cols)
 
-        cond = [d[k].eqNullSafe(carry[f"_ck{i}"]) for i, k in enumerate(keys)]
-        cond.append(d[seg].eqNullSafe(carry["_cseg"]))
-        j = d.join(carry, cond, "inner")
+        # A plain equi-join on (keys, segment): it shares the hash partitioning
+        # of the window below, so the big side is exchanged once.  Rows with a
+        # NULL key or order value find no carry (left join keeps them).
+        carry = carry.toDF(*keys, seg, *carry.columns[len(keys) + 1:])
+        j = d.join(carry, keys + [seg], "left")
 
         w = Window.partitionBy(*keys, seg).orderBy(*ocols)
         upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
         first_in_seg = F.lag(F.lit(1)).over(w).isNull()
         last_in_seg = F.lead(F.lit(1)).over(w).isNull()
         out = {}
         for c in self.ffill:
             out[c] = F.coalesce(F.last(c, ignorenulls=True).over(upto), F.col(f"_inff_{c}"))
+            if self.prev_filled:
+                # the filled value of the previous row = last non-null before it
+                out[f"_prevff_{c}"] = F.coalesce(F.last(c, ignorenulls=True).over(before),
+                                                 F.col(f"_inff_{c}"))
         for c in self.lag:
             out[f"_prev_{c}"] = F.when(first_in_seg, F.col(f"_inlag_{c}")) \
                                  .otherwise(F.lag(c).over(w))
         for c in self.lead:
             out[f"_next_{c}"] = F.when(last_in_seg, F.col(f"_inlead_{c}")) \
                                  .otherwise(F.lead(c).over(w))
-        out["_first"] = first_in_seg & F.col("_segfirst")
-        out["_last"] = last_in_seg & F.col("_seglast")
+        out["_first"] = first_in_seg & F.coalesce(F.col("_segfirst"), F.lit(True))
+        out["_last"] = last_in_seg & F.coalesce(F.col("_seglast"), F.lit(True))
         return self._project(j, df.columns, out)
 
     def _unsegmented(self, df, keys, ocols):
@@ -126,6 +135,9 @@ class SeriesPass:
         out = {}
         for c in self.ffill:
             out[c] = F.last(c, ignorenulls=True).over(upto)
+            if self.prev_filled:
+                out[f"_prevff_{c}"] = F.last(c, ignorenulls=True).over(
+                    w.rowsBetween(Window.unboundedPreceding, -1))
         for c in self.lag:
             out[f"_prev_{c}"] = F.lag(c).over(w)
         for c in self.lead:
@@ -163,6 +175,26 @@ def pct_change(df: DataFrame, key, order, col: str, out: str, fill=None,
     return r.withColumn(out, change).drop(f"_prev_{col}", "_first", "_last")
 
 
+def ffill_pct_change(df: DataFrame, key, order, col: str, out: str, fill=None,
+                     segment=DEFAULT_SEGMENT) -> DataFrame:
+    """NUL-1 -> FLT-1 -> WIN-1 fused into one pass: forward fill ``col`` per key,
+    drop rows still missing (a key's leading gap), then the change to the
+    previous remaining row (``fill`` on each key's first remaining row).
+
+    After a per-key forward fill only a leading run can be NULL, so the
+    previous remaining row's value is the last non-null value before the
+    current row: no second shuffle is needed.
+    """
+    p = SeriesPass(keys=_list(key), order=_list(order), ffill=[col],
+                   prev_filled=True, segment=segment).apply(df)
+    p = p.filter(F.col(col).isNotNull())
+    prev = F.col(f"_prevff_{col}")
+    change = F.try_divide(F.col(col) - prev, prev)
+    if fill is not None:
+        change = F.when(prev.isNull(), F.lit(fill)).otherwise(change)
+    return p.withColumn(out, change).drop(f"_prevff_{col}", "_first", "_last")
+
+
 def next_value(df: DataFrame, key, order, col: str, out: str,
                segment=DEFAULT_SEGMENT) -> DataFrame:
     """WIN-2: the next row's value per key (tomorrow's close as today's label)."""

@@ -34,7 +34,8 @@ from bourse.session import scratch_path
 from bourse.sinks.tables import (append_rows, market_groups, partition_view,
                                  publish, read_table, refresh_table,
                                  replace_result, write_csv,
-                                 write_market_partitioned, write_partitioned)
+                                 write_market_partitioned, write_partitioned,
+                                 write_per_value_files)
 from bourse.sources.files import (scan_csv, scan_csv_positional,
                                   scan_json_records, scan_symbol_files,
                                   scan_table)
@@ -75,7 +76,7 @@ def src_csv_positional(spark, d):
 
 def src_symbol_files(spark, d):
     base = scratch_path(spark, "src_symbol_files")
-    A.bars(spark, d).write.partitionBy("symbol").option("header", True).csv(base)
+    write_per_value_files(A.bars(spark, d), base, "symbol", ["date"])
     raw = scan_symbol_files(spark, base, ["date", "open", "high", "low", "close", "volume"],
                             r"symbol=([^/]+)/", "symbol")
     return _typed(raw, BAR_TYPES).select(*BAR_TYPES)

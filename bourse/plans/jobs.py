@@ -19,13 +19,14 @@ from bourse.operators.joins import bounded_broadcast, enrich_bars, enrich_listin
 from bourse.operators.keys import (KeyViolation, distinct_keys, keep_first,
                                    union_all)
 from bourse.operators.projection import drop_col_at, drop_cols, rename_positional
-from bourse.operators.series import ffill, pct_change, sort_desc
+from bourse.operators.series import ffill, ffill_pct_change, sort_desc
 from bourse.plans import adapters as A
 from bourse.schemas import ddl
 from bourse.session import scratch_path
 from bourse.sinks.tables import (publish, read_table, refresh_table,
                                  replace_result, write_csv,
-                                 write_market_partitioned, write_partitioned)
+                                 write_market_partitioned, write_partitioned,
+                                 write_per_value_files)
 from bourse.sources.files import (scan_csv, scan_csv_positional,
                                   scan_json_records, scan_symbol_files)
 
@@ -85,8 +86,8 @@ def krx_stock_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "krx_stock_legacy")
     b = A.bars(spark, sf_dir)
     landed = b.withColumn("change", F.try_divide(F.col("close") - F.col("open"), F.col("open")))
-    (landed.select("symbol", "date", "open", "high", "low", "close", "volume", "change")
-           .write.partitionBy("symbol").option("header", True).csv(f"{base}/landed"))
+    write_per_value_files(landed.select("symbol", "date", "open", "high", "low", "close",
+                                        "volume", "change"), f"{base}/landed", "symbol", ["date"])
     names = ["date", "open", "high", "low", "close", "volume", "change"]
     raw = scan_symbol_files(spark, f"{base}/landed", names, r"symbol=([^/]+)/", "symbol")
     raw = drop_nan(drop_cols(raw, ["change"]))
@@ -218,12 +219,11 @@ def snp_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snp_stock_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship plan without the write: first row per (code, date) ->
     forward fill per code -> drop still-missing -> % change (0 on each code's
-    first row)."""
+    first row).  Two shuffles: the keep-first aggregate (map-side combined)
+    and one (code, month) exchange shared by the fill and the change."""
     p = scan_history(A.prices(spark, sf_dir), "date", HISTORY_START)
     p = keep_first(p, ["code", "date"], ["rid"])
-    p = ffill(p, "code", "date", ["close"])
-    p = drop_nan(p, ["close"])
-    p = pct_change(p, "code", "date", "close", "change", fill=0.0)
+    p = ffill_pct_change(p, "code", "date", "close", "change", fill=0.0)
     return p.select("date", "code", "close", "change")
 
 

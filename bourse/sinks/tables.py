@@ -40,11 +40,26 @@ def write_csv(df: DataFrame, path: str, header: bool = True, encoding: str | Non
         out = df.withColumnRenamed(first, "\ufeff" + first)
     w = out.write.mode(mode).option("header", header)
     if encoding:
+        from bourse.sources.files import allow_charset
+        allow_charset(df.sparkSession, encoding)
         w = w.option("encoding", encoding)
     w.csv(path)
     return path
 
 
+def write_per_value_files(df: DataFrame, path: str, key: str, order=(),
+                          header: bool = True) -> str:
+    """Land one CSV file set per key value (``key=<value>/part-*.csv``), the
+    shape an extractor that writes a file per symbol leaves behind.  Rows are
+    range-partitioned on (key, order) first: about one file per value, and a
+    hot value is still split over several tasks."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = [key] + list(order)
+    (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+       .write.partitionBy(key).option("header", header).csv(path))
+    return path
+
+
 def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """SNK-3: add rows to a dataset; Spark's commit protocol replaces the
     reference's unsynchronised appends to one file."""

@@ -22,9 +22,21 @@ PANDAS_NA_TOKENS = [
 ]
 
 
+# Charsets Spark's CSV source accepts without the JDK charset table.
+_STANDARD_CHARSETS = {"utf-8", "utf8", "us-ascii", "iso-8859-1", "utf-16", "utf-16be",
+                      "utf-16le", "utf-32"}
+
+
+def allow_charset(spark: SparkSession, encoding: str | None) -> None:
+    """Legacy charsets such as cp949 need ``spark.sql.legacy.javaCharsets``."""
+    if encoding and encoding.lower() not in _STANDARD_CHARSETS:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+
+
 def _reader(spark: SparkSession, schema, header: bool, encoding: str | None):
     r = spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
     if encoding:
+        allow_charset(spark, encoding)
         r = r.option("encoding", encoding)
     return r
 
