@@ -59,6 +59,8 @@ def with_row_index(df: DataFrame, order: list, name: str = "index",
                 .withColumn("_pid", pid)
                 .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid, 33)))
     if checkpoint:
+        from bourse.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
         tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(

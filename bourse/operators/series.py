@@ -23,17 +23,23 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_SEGMENT = "month"
+DEFAULT_SEGMENT = "auto"
+# Width of a segment for a numeric order column under "auto".
+NUMERIC_SEGMENT_WIDTH = 1024
 
 
 def _list(x):
     return [x] if isinstance(x, str) else list(x)
 
 
-def segment_of(c: Column, segment) -> Column:
-    """A monotone slice number of the order column."""
+def segment_of(c: Column, segment, dtype: str | None = None) -> Column:
+    """A monotone slice number of the order column.  ``"auto"`` is a month
+    for dates and timestamps, ``NUMERIC_SEGMENT_WIDTH`` for numbers."""
     if isinstance(segment, Column):
         return segment
+    if segment == "auto":
+        is_time = dtype is None or dtype.startswith(("date", "timestamp"))
+        segment = "month" if is_time else NUMERIC_SEGMENT_WIDTH
     if isinstance(segment, int):
         return F.floor(c / F.lit(segment))
     d = F.to_date(c)
@@ -74,7 +80,7 @@ class SeriesPass:
         if self.segment is None:
             return self._unsegmented(df, keys, ocols)
         seg = "_seg"
-        d = df.withColumn(seg, segment_of(ocols[0], self.segment))
+        d = df.withColumn(seg, segment_of(ocols[0], self.segment, dict(df.dtypes).get(order[0])))
         ordering = F.struct(*ocols)
 
         aggs = [F.lit(1).alias("_one")]

@@ -85,12 +85,13 @@ def scan_json_records(df: DataFrame, col: str, schema: T.StructType,
     ``error_key`` (a failed API reply) go to the second frame with the
     message.  Returns (records, errors)."""
     full = T.StructType(list(schema.fields) + [T.StructField(error_key, T.StringType())])
-    parsed = df.withColumn("_rec", F.from_json(F.col(col), full, {"mode": "PERMISSIVE"}))
+    parsed = df.withColumn("_rec", F.from_json(F.col(col), full, {"mode": "PERMISSIVE"})) \
+               .withColumn("_ok", F.get_json_object(F.col(col), "$").isNotNull())
     err = F.col(f"_rec.`{error_key}`")
     keep = [c for c in df.columns if c != col]
-    good = parsed.filter(err.isNull() & F.col("_rec").isNotNull()).select(
+    good = parsed.filter(err.isNull() & F.col("_ok")).select(
         *keep, *[F.col(f"_rec.`{f.name}`").alias(f.name) for f in schema.fields])
-    bad = parsed.filter(err.isNotNull() | F.col("_rec").isNull()).select(
+    bad = parsed.filter(err.isNotNull() | ~F.col("_ok")).select(
         *keep, F.coalesce(err, F.lit("unparsable record")).alias("error_message"))
     return good, bad
 
