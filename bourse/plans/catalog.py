@@ -31,6 +31,8 @@ from bourse.plans import adapters as A
 from bourse.plans.adapters import with_sql
 from bourse.plans.jobs import BARS_TABLE, JOBS
 from bourse.session import scratch_path
+from bourse.streaming.landing import (IncrementalFill, landing_stream, read_batches,
+                                      write_batches)
 from bourse.sinks.tables import (append_rows, market_groups, partition_view,
                                  publish, read_table, refresh_table,
                                  replace_result, write_csv,
@@ -354,6 +356,26 @@ def scl_direction(spark, d):
         pct_diff("regularMarketOpen", "previousClose", None).alias("diff"))
 
 
+# --- streaming -----------------------------------------------------------------
+
+def stm_incremental_ffill(spark, d):
+    """Prices land in two daily drops; a file-source stream (availableNow)
+    forward-fills each drop per code, carrying the last value across drops
+    in a per-code state table.  Equal to the batch fill over all rows."""
+    base = scratch_path(spark, "stm_ffill")
+    p = A.prices(spark, d).select("date", "code", "close", "rid")
+    early = F.coalesce(F.col("date") < F.lit("1996-01-01").cast("date"), F.lit(False))
+    names = ["date", "code", "close", "rid"]
+    stream = landing_stream(spark, f"{base}/landing/*/*.csv", names).select(
+        F.to_date("date").alias("date"), "code", F.col("close").cast("double").alias("close"),
+        F.col("rid").cast("bigint").alias("rid"))
+    fill = IncrementalFill(f"{base}/state", "code", ["date", "rid"], ["close"])
+    for i, drop in enumerate([p.filter(early), p.filter(~early)]):
+        write_csv(drop, f"{base}/landing/drop{i}")
+        write_batches(stream, f"{base}/out", f"{base}/checkpoint", fill)
+    return read_batches(spark, f"{base}/out").select(*names)
+
+
 # --- forecast ----------------------------------------------------------------
 
 def fct_features(spark, d):
@@ -435,6 +457,7 @@ QUERIES = {
     "scl_dates": scl_dates,
     "scl_pct_diff": scl_pct_diff,
     "scl_direction": scl_direction,
+    "stm_incremental_ffill": stm_incremental_ffill,
     "fct_features": fct_features,
     "fct_linear": fct_linear,
     "fct_report": fct_report,
@@ -545,6 +568,10 @@ ORACLE = {
             PARTITION BY code ORDER BY date, rid
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS close, rid
         FROM prices""", "prices"),
+    "stm_incremental_ffill": with_sql("""SELECT date, code, last_value(close IGNORE NULLS) OVER (
+            PARTITION BY code ORDER BY date, rid
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS close, rid
+        FROM prices""", "prices"),
     "nul_const": with_sql("SELECT date, code, coalesce(close, 0.0) AS close, rid FROM prices",
                           "prices"),
     "nul_const_all": with_sql("SELECT date, code, coalesce(close, -1.0) AS close, "

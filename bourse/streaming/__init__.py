@@ -1,0 +1,6 @@
+"""Incremental (Structured Streaming) loads of landed files."""
+
+from bourse.streaming.landing import (IncrementalFill, landing_stream, read_batches,
+                                      write_batches)
+
+__all__ = ["IncrementalFill", "landing_stream", "read_batches", "write_batches"]
