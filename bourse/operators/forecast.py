@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 from bourse.functions.scalar import direction, pct_diff
 from bourse.operators.filters import drop_nan
 from bourse.operators.projection import with_row_index
-from bourse.operators.series import (DEFAULT_SEGMENT, SeriesPass,
-                                     next_value, zscore)
+from bourse.operators.series import DEFAULT_SEGMENT, SeriesPass
 
 FEATURES = ["open", "close", "high", "low", "volume_z", "daily_return"]
 
@@ -29,17 +28,26 @@ def feature_frame(bars: DataFrame, key: str = "symbol", order: str = "date",
                   segment=DEFAULT_SEGMENT) -> DataFrame:
     """FCT-1: daily return, drop incomplete rows, standardise volume (after the
     drop), label = next close.  Output: key, date, open, close, high, low,
-    volume_z, daily_return, label (NULL on each key's last row)."""
-    base = bars.select(key, order, "open", "close", "high", "low", "volume")
-    p = SeriesPass(keys=[key], order=[order], lag=["close"], segment=segment).apply(base)
+    volume_z, daily_return, label (NULL on each key's last row).
+
+    Both passes share one (key, month) partitioning: the bars are exchanged
+    once; the second pass (lead + volume mean/stddev) only moves its small
+    per-segment summary.
+    """
+    base = bars.select(key, order, "open", "close", "high", "low",
+                       F.col("volume").cast("double").alias("volume"))
+    p = SeriesPass(keys=[key], order=[order], lag=["close"], segment=segment,
+                   keep_segment=True).apply(base)
     prev = F.col("_prev_close")
     r = p.withColumn("daily_return", F.try_divide(F.col("close") - prev, prev)) \
          .drop("_prev_close", "_first", "_last")
     r = drop_nan(r)
-    z = zscore(r.withColumn("volume", F.col("volume").cast("double")), key, "volume", "volume_z")
-    f = next_value(z, key, order, "close", "label", segment=segment)
-    return f.select(key, order, "open", "close", "high", "low", "volume_z",
-                    "daily_return", "label")
+    f = SeriesPass(keys=[key], order=[order], lead=["close"], stats=["volume"],
+                   segment=segment, keep_segment=True).apply(r)
+    mu, sd = F.col("_mean_volume"), F.col("_sd_volume")
+    volume_z = F.when(sd == 0, F.lit(0.0)).otherwise(F.try_divide(F.col("volume") - mu, sd))
+    return f.select(key, order, "open", "close", "high", "low", volume_z.alias("volume_z"),
+                    "daily_return", F.col("_next_close").alias("label"))
 
 
 def mse(df: DataFrame, key, y: str, yhat: str, out: str = "mse") -> DataFrame:

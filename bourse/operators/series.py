@@ -63,7 +63,14 @@ class SeriesPass:
     ``_prev_<c>`` / ``_next_<c>``.
     ``prev_filled``: also expose ``_prevff_<c>``, the previous row's filled
     value, for every ffill column (ffill and lag fused into one pass).
+    ``stats``: columns whose whole-key mean and population stddev are exposed
+    as ``_mean_<c>`` / ``_sd_<c>`` (per-segment count, mean and M2 merged
+    across segments, so no extra join on the key alone).
     Also exposed: ``_first`` (first row of the key) and ``_last``.
+
+    If the input already has a ``_seg`` column (the output of an earlier pass
+    run with ``keep_segment=True``), it is reused: the data is then already
+    hash-partitioned on (key, _seg) and the pass adds no exchange of the rows.
     """
 
     keys: list
@@ -73,6 +80,8 @@ class SeriesPass:
     lead: list = field(default_factory=list)
     segment: object = DEFAULT_SEGMENT
     prev_filled: bool = False
+    stats: list = field(default_factory=list)
+    keep_segment: bool = False
 
     def apply(self, df: DataFrame) -> DataFrame:
         keys, order = _list(self.keys), _list(self.order)
@@ -80,7 +89,11 @@ class SeriesPass:
         if self.segment is None:
             return self._unsegmented(df, keys, ocols)
         seg = "_seg"
-        d = df.withColumn(seg, segment_of(ocols[0], self.segment, dict(df.dtypes).get(order[0])))
+        if seg in df.columns:
+            d = df
+        else:
+            d = df.withColumn(seg, segment_of(ocols[0], self.segment,
+                                              dict(df.dtypes).get(order[0])))
         ordering = F.struct(*ocols)
 
         aggs = [F.lit(1).alias("_one")]
@@ -91,7 +104,12 @@ class SeriesPass:
             aggs.append(F.max_by(F.col(c), ordering).alias(f"_tail_{c}"))
         for c in self.lead:
             aggs.append(F.min_by(F.col(c), ordering).alias(f"_head_{c}"))
+        for c in self.stats:
+            aggs += [F.count(c).alias(f"_n_{c}"), F.avg(c).alias(f"_mu_{c}"),
+                     (F.var_pop(c) * F.count(c)).alias(f"_m2_{c}")]
         summary = d.groupBy(*keys, seg).agg(*aggs)
+        if self.stats:
+            summary = self._key_stats(summary, keys)
 
         ws = Window.partitionBy(*keys).orderBy(seg)
         before = ws.rowsBetween(Window.unboundedPreceding, -1)
@@ -103,6 +121,8 @@ class SeriesPass:
             carry_cols.append(F.lag(f"_tail_{c}").over(ws).alias(f"_inlag_{c}"))
         for c in self.lead:
             carry_cols.append(F.lead(f"_head_{c}").over(ws).alias(f"_inlead_{c}"))
+        for c in self.stats:
+            carry_cols += [F.col(f"_mean_{c}"), F.col(f"_sd_{c}")]
         carry_cols.append(F.lag("_one").over(ws).isNull().alias("_segfirst"))
         carry_cols.append(F.lead("_one").over(ws).isNull().alias("_seglast"))
         carry = summary.select(*carry_cols)
@@ -131,9 +151,33 @@ class SeriesPass:
         for c in self.lead:
             out[f"_next_{c}"] = F.when(last_in_seg, F.col(f"_inlead_{c}")) \
                                  .otherwise(F.lead(c).over(w))
+        for c in self.stats:
+            out[f"_mean_{c}"] = F.col(f"_mean_{c}")
+            out[f"_sd_{c}"] = F.col(f"_sd_{c}")
         out["_first"] = first_in_seg & F.coalesce(F.col("_segfirst"), F.lit(True))
         out["_last"] = last_in_seg & F.coalesce(F.col("_seglast"), F.lit(True))
-        return self._project(j, df.columns, out)
+        base = list(df.columns) + ([seg] if self.keep_segment and seg not in df.columns else [])
+        return self._project(j, base, out)
+
+    @staticmethod
+    def _key_stats(summary: DataFrame, keys) -> DataFrame:
+        """Whole-key mean and population stddev from per-segment (n, mean, M2),
+        merged with the parallel-variance formula over the key's segments."""
+        wk = Window.partitionBy(*keys)
+        cols = [c[len("_n_"):] for c in summary.columns if c.startswith("_n_")]
+        step = summary
+        for c in cols:
+            n, mu = F.col(f"_n_{c}"), F.col(f"_mu_{c}")
+            total = F.sum(n).over(wk)
+            step = step.withColumn(f"_mean_{c}", F.try_divide(
+                F.sum(F.coalesce(n * mu, F.lit(0.0))).over(wk), total))
+        for c in cols:
+            n, mu, m2 = F.col(f"_n_{c}"), F.col(f"_mu_{c}"), F.col(f"_m2_{c}")
+            spread = F.coalesce(m2, F.lit(0.0)) + F.coalesce(
+                n * F.pow(mu - F.col(f"_mean_{c}"), 2), F.lit(0.0))
+            step = step.withColumn(f"_sd_{c}", F.sqrt(F.try_divide(
+                F.sum(spread).over(wk), F.sum(n).over(wk))))
+        return step
 
     def _unsegmented(self, df, keys, ocols):
         w = Window.partitionBy(*keys).orderBy(*ocols)
@@ -148,6 +192,10 @@ class SeriesPass:
             out[f"_prev_{c}"] = F.lag(c).over(w)
         for c in self.lead:
             out[f"_next_{c}"] = F.lead(c).over(w)
+        whole = Window.partitionBy(*keys)
+        for c in self.stats:
+            out[f"_mean_{c}"] = F.avg(c).over(whole)
+            out[f"_sd_{c}"] = F.stddev_pop(c).over(whole)
         out["_first"] = F.lag(F.lit(1)).over(w).isNull()
         out["_last"] = F.lead(F.lit(1)).over(w).isNull()
         return self._project(df, df.columns, out)
