@@ -53,9 +53,8 @@ def write_per_value_files(df: DataFrame, path: str, key: str, order=(),
     shape an extractor that writes a file per symbol leaves behind.  Rows are
     range-partitioned on (key, order) first: about one file per value, and a
     hot value is still split over several tasks."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [key] + list(order)
-    (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
        .write.partitionBy(key).option("header", header).csv(path))
     return path
 
@@ -131,9 +130,9 @@ def refresh_table(df: DataFrame, base: str, *, key=None, required=(), types=None
     if partition_by:
         parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
         order = [order] if isinstance(order, str) else list(order or [])
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         sort_cols = parts + order
-        (typed.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+        # no fixed count: AQE may merge adjacent small ranges into fewer files
+        (typed.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
               .write.mode("errorifexists").partitionBy(*parts).parquet(path))
     else:
         typed.write.mode("errorifexists").parquet(path)
