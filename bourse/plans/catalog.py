@@ -8,7 +8,7 @@ folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,14 +26,15 @@ from bourse.operators.keys import (distinct_keys, distinct_rows, keep_first,
 from bourse.operators.nulls import fill_const
 from bourse.operators.projection import (drop_col_at, drop_cols,
                                          rename_positional, with_row_index)
-from bourse.operators.series import ffill, latest, next_value, pct_change, zscore
+from bourse.operators.series import (drop_last, ffill, latest, next_value, pct_change,
+                                     zscore)
 from bourse.plans import adapters as A
 from bourse.plans.adapters import with_sql
 from bourse.plans.jobs import BARS_TABLE, JOBS
 from bourse.session import scratch_path
 from bourse.streaming.landing import (IncrementalFill, landing_stream, read_batches,
                                       write_batches)
-from bourse.sinks.tables import (append_rows, market_groups, partition_view,
+from bourse.sinks.tables import (append_rows, partition_view,
                                  publish, read_table, refresh_table,
                                  replace_result, write_csv,
                                  write_market_partitioned, write_partitioned,
@@ -292,7 +293,7 @@ def agg_mse(spark, d):
     """In-sample error of the per-symbol linear fit (its training objective)."""
     feats = feature_frame(A.bars(spark, d))
     fit = forecast_linear(feats).select("symbol", "slope", "intercept")
-    pred = feats.filter(F.col("label").isNotNull()).join(fit, "symbol").withColumn(
+    pred = drop_last(feats, "label").join(fit, "symbol").withColumn(
         "fitted", F.col("intercept") + F.col("slope") * F.col("close"))
     m = mse(pred, "symbol", "label", "fitted")
     return m.select("symbol", F.round("mse", 6).alias("mse"))
@@ -655,7 +656,7 @@ ORACLE = {
                row_number() OVER (PARTITION BY upper(substring(c_mktsegment, 1, 4))
                    || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') ORDER BY c_custkey) AS rn
         FROM customer) WHERE rn = 1""",
-    "pip_nas_stock": r"""SELECT symbol, date, close, volume FROM (
+    "pip_nas_stock": r"""SELECT symbol, date, close, volume, 'NASDAQ' AS exchange FROM (
         SELECT user_id AS symbol, CAST(ts AS DATE) AS date, value AS close,
                CAST(regexp_extract(props, '"k":\s*(-?\d+)', 1) AS DOUBLE) AS volume,
                row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id) AS rn

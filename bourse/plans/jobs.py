@@ -9,22 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bourse.functions.scalar import (conform, pct_diff, text_too_long,
-                                     to_numeric, zfill)
-from bourse.operators.filters import (delete_like, drop_nan, filter_in,
-                                      lookback, quarantine, scan_history)
+from bourse.functions.scalar import (conform, json_field, pct_diff,
+                                     text_too_long, zfill)
+from bourse.operators.filters import (drop_nan, filter_in, lookback, quarantine,
+                                      scan_history)
 from bourse.operators.forecast import (feature_frame, forecast_linear,
                                        forecast_report)
 from bourse.operators.joins import bounded_broadcast, enrich_bars, enrich_listing
 from bourse.operators.keys import (KeyViolation, distinct_keys, keep_first,
                                    union_all)
-from bourse.operators.projection import drop_col_at, drop_cols, rename_positional
+from bourse.operators.projection import (drop_col_at, drop_cols, rename_positional,
+                                         with_key)
 from bourse.operators.series import ffill, ffill_pct_change, sort_desc
 from bourse.plans import adapters as A
 from bourse.schemas import ddl
 from bourse.session import scratch_path
-from bourse.sinks.tables import (publish, read_table, refresh_table,
-                                 replace_result, write_csv,
+from bourse.sinks.tables import (publish, read_table, refresh_table, write_csv,
                                  write_market_partitioned, write_partitioned,
                                  write_per_value_files)
 from bourse.sources.files import (scan_csv, scan_csv_positional,
@@ -128,10 +128,11 @@ def nas_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = A.table(spark, sf_dir, "events")
     rows = e.select(F.col("user_id").alias("symbol"), F.col("ts").cast("date").alias("date"),
                     F.col("value").alias("close"),
-                    F.get_json_object("props", "$.k").cast("double").alias("volume"),
+                    json_field("props", "k").cast("double").alias("volume"),
                     F.col("event_id").alias("rid"))
     rows = scan_history(rows, "date", "2003-01-01")
     first = keep_first(rows, ["symbol", "date"], ["rid"]).drop("rid")
+    first = with_key(first, "exchange", "NASDAQ")      # PRJ-5: the feed's key
     refresh_table(first, f"{base}/table", key=["date", "symbol"])
     return read_table(spark, f"{base}/table")
 
