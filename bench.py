@@ -43,8 +43,11 @@ def main() -> None:
         rows[name] = df.count()
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir).replace("sf", "")
+    rate = {k: round(rows[k] / times[k]) if times[k] else None for k in times}
     print(json.dumps({"metric": "pip_total_wall", "value": total, "unit": "sec",
-                      "queries": times, "rows": rows, "sf": sf, "cpus": cpus}))
+                      "queries": times, "rows": rows, "rows_per_sec": rate,
+                      "total_rows_per_sec": round(sum(rows.values()) / total) if total else None,
+                      "sf": sf, "cpus": cpus}))
     spark.stop()
 
 

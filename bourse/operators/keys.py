@@ -63,17 +63,30 @@ class KeyViolation(ValueError):
 
 def assert_key(df: DataFrame, keys=None, required=()) -> None:
     """AGG-4 as a gate: raise when the key is not unique and not null, or a
-    required column holds NULL.  Only a bounded sample reaches the driver."""
-    if keys:
-        sample = key_violations(df, keys).limit(5).collect()
-        if sample:
-            raise KeyViolation(f"key {list(_list(keys))} violated, e.g. {sample}")
+    required column holds NULL.  One aggregate over the key answers both;
+    only a bounded sample of violations reaches the driver."""
+    keys = _list(keys) if keys else []
     required = _list(required) if required else []
-    if required:
+    if not keys and not required:
+        return
+    if not keys:
         row = required_violations(df, required).collect()[0].asDict()
         bad = {k: v for k, v in row.items() if v}
         if bad:
             raise KeyViolation(f"NULL in required columns: {bad}")
+        return
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    nulls = [F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"_null_{c}")
+             for c in required]
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *nulls)
+    req_bad = reduce(lambda a, b: a | b, [F.col(f"_null_{c}") > 0 for c in required],
+                     F.lit(False))
+    sample = per_key.filter((F.col("n_rows") > 1) | null_key | req_bad).limit(5).collect()
+    if sample:
+        dup = [r for r in sample if r["n_rows"] > 1 or any(r[k] is None for k in keys)]
+        if dup:
+            raise KeyViolation(f"key {keys} violated, e.g. {dup}")
+        raise KeyViolation(f"NULL in required columns {required}, e.g. {sample}")
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:
