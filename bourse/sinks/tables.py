@@ -53,8 +53,11 @@ def write_per_value_files(df: DataFrame, path: str, key: str, order=(),
     shape an extractor that writes a file per symbol leaves behind.  Rows are
     range-partitioned on (key, order) first: about one file per value, and a
     hot value is still split over several tasks."""
+    # A fixed task count: one folder per value means many small files, and
+    # AQE's byte-based coalescing would hand them all to one serial writer.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [key] + list(order)
-    (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
        .write.partitionBy(key).option("header", header).csv(path))
     return path
 
