@@ -15,6 +15,6 @@ Layout:
     streaming/   incremental ingestion of a landing folder
 """
 
-from bourse.session import get_session, scratch_path
+from bourse.session import get_session, scale_conf, scratch_path
 
-__all__ = ["get_session", "scratch_path"]
+__all__ = ["get_session", "scale_conf", "scratch_path"]

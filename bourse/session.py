@@ -48,6 +48,29 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Partition sizing for a run over ``input_bytes`` of Parquet on ``cores``
+    executor cores.
+
+    Scans split files at ``target_partition_bytes`` (compressed), so a task
+    holds a few hundred MB decoded.  Shuffles start with enough reducers for
+    the same size per reducer (at least 3 waves of the cores) and let AQE
+    coalesce small ones; skewed reducers over 4x the median (and 1 GB) are
+    split.  Example: 100 TB (1e14 bytes) on 4,000 cores -> about 372,500 scan
+    splits and initial reducers, coalesced by AQE after each stage.
+    """
+    reducers = max(3 * cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(reducers),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(reducers),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
     sc = spark.sparkContext
