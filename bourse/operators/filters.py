@@ -35,16 +35,22 @@ def delete_like(df: DataFrame, col: str, pattern: str) -> DataFrame:
     return delete_where(df, F.col(col).like(pattern))
 
 
-def filter_in(df: DataFrame, col: str, values, value_col: str | None = None) -> DataFrame:
+def filter_in(df: DataFrame, col: str, values, value_col: str | None = None,
+              keep=()) -> DataFrame:
     """FLT-5: restrict ``col`` to a set.
 
     ``values`` may be a Python list (an ``IN`` list, pushed to Parquet) or a
     DataFrame holding the keys (a left-semi join; broadcast only when the
-    caller has bounded it, e.g. a top-k list).
+    caller has bounded it, e.g. a top-k list).  ``keep`` names label columns
+    of that DataFrame to carry along (the KRX code + name pairs): then it is
+    an inner join on the key.
     """
     if isinstance(values, DataFrame):
-        right = values.select(F.col(value_col or col).alias("_in_key"))
-        return df.join(right, df[col] == right["_in_key"], "left_semi")
+        keep = [keep] if isinstance(keep, str) else list(keep)
+        right = values.select(F.col(value_col or col).alias("_in_key"), *keep)
+        how = "inner" if keep else "left_semi"
+        out = df.join(right, df[col] == right["_in_key"], how)
+        return out.drop("_in_key") if keep else out
     return df.filter(F.col(col).isin(list(values)))
 
 

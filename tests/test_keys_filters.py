@@ -80,6 +80,9 @@ def test_filter_in_list_and_frame(spark):
     assert filter_in(df, "s", [1, 3]).count() == 2
     keys = spark.createDataFrame([(2,), (4,), (40,)], "s int")
     assert sorted(r.s for r in filter_in(df, "s", F.broadcast(keys)).collect()) == [2, 4]
+    labels = spark.createDataFrame([(2, "two"), (5, "five")], "code int, name string")
+    got = filter_in(df, "s", labels, value_col="code", keep=["name"]).collect()
+    assert sorted((r.s, r.name) for r in got) == [(2, "two"), (5, "five")]
 
 
 def test_lookback(spark):

@@ -66,6 +66,16 @@ def test_json_records_split_errors(spark):
         [(2, "limit"), (3, "unparsable record")]
 
 
+def test_json_lines_files(spark, tmp_base):
+    spark.createDataFrame([('{"Symbol": "A", "Price": "2.5"}',)], "value string") \
+        .write.text(tmp_base)
+    schema = T.StructType([T.StructField("Symbol", T.StringType()),
+                           T.StructField("Price", T.StringType())])
+    from bourse.sources import scan_json_files
+    assert [(r.Symbol, r.Price) for r in scan_json_files(spark, tmp_base, schema).collect()] == \
+        [("A", "2.5")]
+
+
 def test_refresh_is_all_or_nothing(spark, tmp_base):
     good = spark.createDataFrame([("a", "1"), ("b", "2")], "k string, v string")
     refresh_table(good, tmp_base, key=["k"], types={"v": "int"})
