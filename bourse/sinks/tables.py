@@ -217,10 +217,11 @@ def market_groups(df: DataFrame, col: str, mapping: dict, out: str = "market_gro
 
 
 def write_market_partitioned(df: DataFrame, base: str, col: str, mapping: dict, *,
-                             key=None, order=None, out: str = "market_group"):
+                             key=None, required=(), order=None, out: str = "market_group"):
     """SNK-7: grouped list partition; returns (version path, rejects)."""
     routed, rejects = market_groups(df, col, mapping, out)
-    path = refresh_table(routed, base, key=key, partition_by=[out], order=order)
+    path = refresh_table(routed, base, key=key, required=required, partition_by=[out],
+                         order=order)
     return path, rejects
 
 

@@ -54,20 +54,33 @@ def na_to_null(df: DataFrame, tokens=PANDAS_NA_TOKENS, keep=()) -> DataFrame:
     return df.select(*cols)
 
 
+def file_order(df: DataFrame) -> DataFrame:
+    """Add ``_order``: a row's place in the landed files (file, split start,
+    position within the split).  "Keep the first row" in a file means the
+    smallest ``_order``; it must be taken on the scan, before any projection."""
+    return df.withColumn("_order", F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("pos")))
+
+
 def scan_csv(spark: SparkSession, path, names, *, encoding: str | None = None,
-             na_values=PANDAS_NA_TOKENS, keep_text=()) -> DataFrame:
+             na_values=PANDAS_NA_TOKENS, keep_text=(), with_order: bool = False) -> DataFrame:
     """SRC-1: CSV whose first line holds the names; columns bound by position
     to ``names`` as strings.  A UTF-8 byte-order mark is dropped by Spark."""
     df = _reader(spark, strings(names), True, encoding).csv(path)
+    if with_order:
+        df = file_order(df)
     return na_to_null(df, na_values, keep_text) if na_values else df
 
 
 def scan_csv_positional(spark: SparkSession, path, names, *, skip_first_line: bool = False,
-                        encoding: str | None = None) -> DataFrame:
+                        encoding: str | None = None, with_order: bool = False) -> DataFrame:
     """SRC-2: header-less CSV bound by position (``COPY ... CSV``); with
     ``skip_first_line`` the first line of each file is skipped (``COPY FROM
     stdin`` after a header)."""
-    return _reader(spark, strings(names), skip_first_line, encoding).csv(path)
+    df = _reader(spark, strings(names), skip_first_line, encoding).csv(path)
+    return file_order(df) if with_order else df
 
 
 def scan_symbol_files(spark: SparkSession, path, names, pattern: str,
