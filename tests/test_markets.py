@@ -140,3 +140,21 @@ def test_materials(spark, tmp_base):
     out = M.materials(spark, {"gold_price": gold}, f"{tmp_base}/mat")
     rows = sorted(str(r.date) for r in out["gold_price"].collect())
     assert rows == ["2024-01-02"]          # missing USD_PM dropped, 1990 out of 20 years
+
+
+def test_daily_krx_chain(spark, tmp_base):
+    from bourse.plans.daily import run_krx_day
+    landed = {
+        "krx_list": land(spark, f"{tmp_base}/l", KRX_LIST_HEADER, [
+            _krx_row("5930", "Samsung", "KOSPI"), _krx_row("91990", "Celltrion", "KOSDAQ")]),
+        "krx_co_info": land(spark, f"{tmp_base}/i", list(M.KRX_CO_INFO_TYPES), [
+            ["5930", "Samsung", "KOSPI", "Tech", "Chips", "1975-06-11", "12", "Lee", "x", "Seoul"]]),
+        "krx_stock": land(spark, f"{tmp_base}/s", M.KRX_STOCK_LANDED, [
+            [f"2024-01-{d:02d}", 10 + d, 11 + d, 9 + d, 10 + d + d % 3, 100 * d, 0.0, code]
+            for d in range(2, 20) for code in ("5930", "91990")]),
+    }
+    out = run_krx_day(spark, landed, f"{tmp_base}/day", start="2020-01-01")
+    assert out["krx_stock"].count() == 36
+    assert out["list_by_market"].count() == 2 and out["list_rejects"].count() == 0
+    assert {r.market_group for r in out["stock_by_market"].collect()} == {"kospi", "kosdaq"}
+    assert sorted(r.symbol for r in out["forecast"].collect()) == ["Celltrion", "Samsung"]
