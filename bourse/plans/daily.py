@@ -36,3 +36,33 @@ def run_krx_day(spark: SparkSession, landed: dict[str, str], base: str,
             "list_by_market": by_market, "list_rejects": list_rejects,
             "stock_by_market": stock_by_market, "stock_rejects": stock_rejects,
             "stock_by_code": by_code, "forecast": report}
+
+
+def run_nas_day(spark: SparkSession, landed: dict[str, str], base: str,
+                start: str = "2003-01-01", forecast_symbols=None) -> dict[str, DataFrame]:
+    """NASDAQ: listing and bars, bars by symbol, next-close report."""
+    base = base.rstrip("/")
+    listing = M.nas_list(spark, landed["nas_list"], f"{base}/raw/nas_list")
+    stock = M.nas_stock(spark, landed["nas_stock"], f"{base}/raw/nas_stock", start=start)
+    by_symbol = M.stock_by_symbol(spark, stock, "Symbol",
+                                  f"{base}/analytics/nas_partition_of_stock_by_symbol")
+    report = M.next_close_report(spark, stock, "Symbol", f"{base}/analytics/ml_nas",
+                                 symbols=forecast_symbols)
+    return {"nas_list": listing, "nas_stock": stock, "stock_by_symbol": by_symbol,
+            "forecast": report}
+
+
+def run_snp_day(spark: SparkSession, landed: dict[str, str], base: str,
+                start: str = "2023-01-01", forecast_symbols=None) -> dict[str, DataFrame]:
+    """S&P 500: listing and bars (with Change), bars by symbol with dates
+    narrowed to DATE, next-close report."""
+    base = base.rstrip("/")
+    listing = M.snp_list(spark, landed["snp_list"], f"{base}/raw/snp_stock_list")
+    stock = M.snp_stock(spark, landed["snp_stock"], f"{base}/raw/snp_stock", start=start)
+    by_symbol = M.stock_by_symbol(spark, stock, "Symbol",
+                                  f"{base}/analytics/snp_partition_of_stock_by_symbol",
+                                  narrow=M.SNP_BY_SYMBOL)
+    report = M.next_close_report(spark, stock, "Symbol", f"{base}/analytics/ml_snp",
+                                 symbols=forecast_symbols)
+    return {"snp_stock_list": listing, "snp_stock": stock, "stock_by_symbol": by_symbol,
+            "forecast": report}

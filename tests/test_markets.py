@@ -158,3 +158,19 @@ def test_daily_krx_chain(spark, tmp_base):
     assert out["list_by_market"].count() == 2 and out["list_rejects"].count() == 0
     assert {r.market_group for r in out["stock_by_market"].collect()} == {"kospi", "kosdaq"}
     assert sorted(r.symbol for r in out["forecast"].collect()) == ["Celltrion", "Samsung"]
+
+
+def test_daily_snp_chain(spark, tmp_base):
+    from bourse.plans.daily import run_snp_day
+    landed = {
+        "snp_list": land(spark, f"{tmp_base}/l", list(M.SNP_LIST_TYPES), [
+            ["MMM", "3M", "Industrials", "Industrial Conglomerates"]]),
+        "snp_stock": land(spark, f"{tmp_base}/s", M.SNP_STOCK_LANDED, [
+            [f"2024-01-{d:02d}", 10 + d, 11 + d, 9 + d, 10 + d * 1.5, 100 + d, "MMM"]
+            for d in range(2, 25)]),
+    }
+    out = run_snp_day(spark, landed, f"{tmp_base}/day")
+    assert out["snp_stock"].count() == 23
+    assert out["stock_by_symbol"].schema["date"].dataType.typeName() == "date"
+    rep = out["forecast"].collect()
+    assert len(rep) == 1 and rep[0].direction == "up"
