@@ -56,9 +56,18 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
                        for f in schema.fields])
 
 
-def limit_text(c, n: int) -> Column:
-    """SCL-5 (truncate): what an explicit ``::VARCHAR(n)`` does."""
-    return F.substring(_col(c), 1, n)
+def limit_text(c, n: int, on_overflow: str = "truncate") -> Column:
+    """SCL-5: text limited to ``n`` characters.  ``"truncate"`` is what an
+    explicit ``::VARCHAR(n)`` does; ``"fail"`` is what loading an over-long
+    value into a ``VARCHAR(n)`` column does: the job fails, raised from inside
+    the projection (no separate check pass)."""
+    col = _col(c)
+    if on_overflow == "truncate":
+        return F.substring(col, 1, n)
+    if on_overflow == "fail":
+        return F.when(F.length(col) > n, F.raise_error(
+            F.concat(F.lit(f"value too long for {n} characters: "), col))).otherwise(col)
+    raise ValueError(f"on_overflow must be 'truncate' or 'fail', not {on_overflow!r}")
 
 
 def text_too_long(c, n: int) -> Column:

@@ -9,15 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bourse.functions.scalar import (conform, json_field, pct_diff,
-                                     text_too_long, zfill)
+from bourse.functions.scalar import conform, json_field, limit_text, pct_diff, zfill
 from bourse.operators.filters import (drop_nan, filter_in, lookback, quarantine,
                                       scan_history)
 from bourse.operators.forecast import (feature_frame, forecast_linear,
                                        forecast_report)
 from bourse.operators.joins import bounded_broadcast, enrich_bars, enrich_listing
-from bourse.operators.keys import (KeyViolation, distinct_keys, keep_first,
-                                   union_all)
+from bourse.operators.keys import distinct_keys, keep_first, union_all
 from bourse.operators.projection import (drop_col_at, drop_cols, rename_positional,
                                          with_key)
 from bourse.operators.series import ffill, ffill_pct_change, sort_desc
@@ -261,9 +259,7 @@ def list_by_market(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "list_by_market")
     j = conform(enrich_listing(A.listing(spark, sf_dir), A.info(spark, sf_dir)),
                 LIST_BY_MARKET)
-    too_long = j.filter(text_too_long("name", 40)).limit(1).collect()
-    if too_long:
-        raise KeyViolation(f"value too long for 40 characters: {too_long}")
+    j = j.withColumn("name", limit_text("name", 40, "fail"))
     write_market_partitioned(j, f"{base}/table", "market", A.SEGMENT_GROUPS,
                              key=["code", "market"], order=["code"])
     return read_table(spark, f"{base}/table")

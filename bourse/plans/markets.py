@@ -14,15 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bourse.functions.scalar import (conform, limit_text, pct_diff, text_too_long,
-                                     to_numeric, zfill)
+from bourse.functions.scalar import conform, limit_text, pct_diff, to_numeric, zfill
 from bourse.operators.filters import (delete_like, delete_where, drop_all_nan,
                                       drop_nan, filter_in, lookback, quarantine,
                                       scan_history)
 from bourse.operators.forecast import feature_frame, forecast_linear, forecast_report
 from bourse.operators.joins import bounded_broadcast, enrich_bars, enrich_listing
-from bourse.operators.keys import (KeyViolation, distinct_keys, distinct_rows,
-                                   keep_first, union_all)
+from bourse.operators.keys import distinct_keys, distinct_rows, keep_first, union_all
 from bourse.operators.projection import drop_col_at, drop_cols, rename_positional
 from bourse.operators.series import ffill, pct_change, sort_desc
 from bourse.schemas import (KRX_CO_INFO_TYPES, KRX_LIST_TYPES, KRX_MARKET_GROUPS,
@@ -106,10 +104,8 @@ def krx_list_by_market(spark: SparkSession, listing: DataFrame, info: DataFrame,
     j = enrich_listing(listing, extra, key="Code")
     j = conform(j.toDF(*[c.lower() for c in j.columns]), KRX_LIST_BY_MARKET)
     limits = {"name": 40, "market": 40, **{k: n for k, n in KRX_INFO_EXTRA.items() if n}}
-    long = j.filter(F.greatest(*[text_too_long(c, n) for c, n in limits.items()])) \
-            .limit(1).collect()
-    if long:
-        raise KeyViolation(f"value too long for its column: {long}")
+    j = j.select(*[limit_text(c, limits[c], "fail").alias(c) if c in limits else c
+                   for c in j.columns])
     _, rejects = write_market_partitioned(j, base, "market", KRX_MARKET_GROUPS,
                                           key=["code", "market"], required=["name"],
                                           order=["code"])

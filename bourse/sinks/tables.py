@@ -130,23 +130,22 @@ def refresh_table(df: DataFrame, base: str, *, key=None, required=(), types=None
     typed = cast_columns(df, types) if types else df
     version = f"v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     path = f"{base.rstrip('/')}/{version}"
-    if partition_by:
-        parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-        order = [order] if isinstance(order, str) else list(order or [])
-        sort_cols = parts + order
-        # no fixed count: AQE may merge adjacent small ranges into fewer files
-        (typed.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
-              .write.mode("errorifexists").partitionBy(*parts).parquet(path))
-    else:
-        typed.write.mode("errorifexists").parquet(path)
-    schema = typed.schema
-    if audit and (key or required):
-        written = spark.read.schema(schema).parquet(path)
-        try:
-            assert_key(written, key, required)
-        except Exception:
-            _delete(spark, path)
-            raise
+    try:
+        if partition_by:
+            parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+            order = [order] if isinstance(order, str) else list(order or [])
+            sort_cols = parts + order
+            # no fixed count: AQE may merge adjacent small ranges into fewer files
+            (typed.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
+                  .write.mode("errorifexists").partitionBy(*parts).parquet(path))
+        else:
+            typed.write.mode("errorifexists").parquet(path)
+        schema = typed.schema
+        if audit and (key or required):
+            assert_key(spark.read.schema(schema).parquet(path), key, required)
+    except Exception:
+        _delete(spark, path)      # never marked, so never read; remove the debris
+        raise
     _write_text(spark, f"{path}/{MARKER}", schema.json())
     for old in _versions(spark, base)[:-keep]:
         _delete(spark, f"{base.rstrip('/')}/{old}")

@@ -54,6 +54,14 @@ def test_limit_text_and_dates(spark):
     assert str(r.pd) == "2024-01-05" and r.fd == "2024-01-05"
 
 
+def test_limit_text_fail_mode(spark):
+    ok = spark.createDataFrame([("abc",)], "s string")
+    assert ok.select(limit_text("s", 5, "fail")).first()[0] == "abc"
+    bad = spark.createDataFrame([("abcdefg",)], "s string")
+    with pytest.raises(Exception, match="too long"):
+        bad.select(limit_text("s", 5, "fail")).collect()
+
+
 def test_json_field(spark):
     df = spark.createDataFrame([('{"k": 3}',), ('{"Error Message": "bad"}',)], "j string")
     rows = df.select(json_field("j", "k").alias("k"),

@@ -87,6 +87,9 @@ def test_refresh_is_all_or_nothing(spark, tmp_base):
         refresh_table(bad_type, tmp_base, key=["k"], types={"v": "int"})
     kept = read_table(spark, tmp_base)
     assert sorted((r.k, r.v) for r in kept.collect()) == [("a", 1), ("b", 2)]
+    from bourse.sinks.tables import _fs
+    fs, p = _fs(spark, tmp_base)
+    assert len(fs.listStatus(p)) == 1          # failed versions left nothing behind
     newer = spark.createDataFrame([("z", "9")], "k string, v string")
     refresh_table(newer, tmp_base, key=["k"], types={"v": "int"})
     assert [r.k for r in read_table(spark, tmp_base).collect()] == ["z"]
