@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bourse.functions.scalar import (conform, direction, format_date, limit_text,
+from bourse.functions.scalar import (conform, direction, format_date, json_field, limit_text,
                                      parse_date, parse_timestamp, pct_diff,
                                      text_too_long, to_numeric, zfill)
 from bourse.operators.filters import (delete_like, drop_all_nan, drop_nan,
@@ -30,7 +30,8 @@ from bourse.operators.series import (drop_last, ffill, latest, next_value, pct_c
                                      zscore)
 from bourse.plans import adapters as A
 from bourse.plans.adapters import with_sql
-from bourse.plans.jobs import BARS_TABLE, JOBS
+from bourse.plans import markets as M
+from bourse.plans.jobs import BARS_TABLE, JOBS, nas_listing_source, overview_records
 from bourse.session import scratch_path
 from bourse.streaming.landing import (IncrementalFill, landing_stream, read_batches,
                                       write_batches)
@@ -39,6 +40,7 @@ from bourse.sinks.tables import (append_rows, partition_view,
                                  replace_result, write_csv,
                                  write_market_partitioned, write_partitioned,
                                  write_per_value_files)
+from bourse.schemas import OVERVIEW_FIELDS
 from bourse.sources.files import (scan_csv, scan_csv_positional,
                                   scan_json_records, scan_symbol_files,
                                   scan_table)
@@ -357,6 +359,57 @@ def scl_direction(spark, d):
         pct_diff("regularMarketOpen", "previousClose", None).alias("diff"))
 
 
+# --- market-shaped entry points (plans.markets) on landed test tables -------------
+
+def _land_bars(spark, d, base, code_col, extra=()):
+    b = A.bars(spark, d)
+    cols = [F.col("date").cast("string").alias("Date"), F.col("open").alias("Open"),
+            F.col("high").alias("High"), F.col("low").alias("Low"),
+            F.col("close").alias("Close"), F.col("volume").alias("Volume"), *extra,
+            F.col("symbol").cast("string").alias(code_col)]
+    write_csv(b.select(*cols), f"{base}/landed")
+    return f"{base}/landed"
+
+
+def mkt_snp_stock(spark, d):
+    base = scratch_path(spark, "mkt_snp_stock")
+    return M.snp_stock(spark, _land_bars(spark, d, base, "Symbol"), f"{base}/table")
+
+
+def mkt_krx_stock(spark, d):
+    base = scratch_path(spark, "mkt_krx_stock")
+    change = F.try_divide(F.col("close") - F.col("open"), F.col("open")).alias("Change")
+    landed = _land_bars(spark, d, base, "Code", extra=[change])
+    return M.krx_stock(spark, landed, f"{base}/table")
+
+
+def mkt_nas_list(spark, d):
+    base = scratch_path(spark, "mkt_nas_list")
+    # landed in source order: part files follow the sort, so file order = rid order
+    src = nas_listing_source(spark, d).orderBy("rid").drop("rid")
+    write_csv(src, f"{base}/landed")
+    return M.nas_list(spark, f"{base}/landed", f"{base}/table")
+
+
+def mkt_nas_stock(spark, d):
+    base = scratch_path(spark, "mkt_nas_stock")
+    e = A.table(spark, d, "events").orderBy("event_id")
+    v = F.col("value")
+    landed = e.select(F.col("ts").cast("date").cast("string").alias("Date"),
+                      v.alias("Open"), v.alias("High"), v.alias("Low"), v.alias("Close"),
+                      v.alias("Adj_Close"), json_field("props", "k").alias("Volume"),
+                      F.col("user_id").cast("string").alias("Symbol"))
+    write_csv(landed, f"{base}/landed")
+    return M.nas_stock(spark, f"{base}/landed", f"{base}/table")
+
+
+def mkt_co_overview(spark, d):
+    base = scratch_path(spark, "mkt_co_overview")
+    table, _errors = M.company_overview(spark, overview_records(spark, d), base)
+    return table.withColumn("MarketCapitalization",
+                            F.col("MarketCapitalization").cast("double"))
+
+
 # --- streaming -----------------------------------------------------------------
 
 def stm_incremental_ffill(spark, d):
@@ -459,6 +512,11 @@ QUERIES = {
     "scl_pct_diff": scl_pct_diff,
     "scl_direction": scl_direction,
     "stm_incremental_ffill": stm_incremental_ffill,
+    "mkt_snp_stock": mkt_snp_stock,
+    "mkt_krx_stock": mkt_krx_stock,
+    "mkt_nas_list": mkt_nas_list,
+    "mkt_nas_stock": mkt_nas_stock,
+    "mkt_co_overview": mkt_co_overview,
     "fct_features": fct_features,
     "fct_linear": fct_linear,
     "fct_report": fct_report,
@@ -690,4 +748,34 @@ ORACLE = {
                                    "prices", "listing", more=FIRST_PRICE_SQL),
     "pip_bars_by_symbol": with_sql(f"SELECT {BAR_INT_COLS} FROM bars", "bars"),
     "pip_forecast": with_sql(REPORT_SQL, "bars", more=FEATURES_SQL + ",\n" + LINEAR_SQL),
+    # market-shaped entry points
+    "mkt_snp_stock": with_sql("""SELECT CAST(date AS TIMESTAMP) AS "Date", open AS "Open",
+            high AS "High", low AS "Low", close AS "Close", CAST(volume AS DOUBLE) AS "Volume",
+            CAST(symbol AS VARCHAR) AS "Symbol",
+            CASE WHEN row_number() OVER w = 1 THEN 0.0
+                 ELSE (close - lag(close) OVER w) / nullif(lag(close) OVER w, 0) END AS "Change"
+        FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY date)""", "bars"),
+    "mkt_krx_stock": with_sql(f"""SELECT CAST(date AS TIMESTAMP) AS "Date",
+            CAST(trunc(open) AS BIGINT) AS "Open", CAST(trunc(high) AS BIGINT) AS "High",
+            CAST(trunc(low) AS BIGINT) AS "Low", CAST(trunc(close) AS BIGINT) AS "Close",
+            volume AS "Volume", {A._zfill_sql('symbol')} AS "Code" FROM bars""", "bars"),
+    "mkt_nas_list": None,
+    "mkt_nas_stock": r"""SELECT date AS "Date", value AS "Open", value AS "High",
+            value AS "Low", value AS "Close", value AS "Adj_Close",
+            CAST(regexp_extract(props, '"k":\s*(-?\d+)', 1) AS DOUBLE) AS "Volume",
+            CAST(user_id AS VARCHAR) AS "Symbol" FROM (
+        SELECT *, CAST(ts AS DATE) AS date, row_number() OVER (
+            PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id) AS rn FROM events)
+        WHERE rn = 1 AND date >= DATE '2003-01-01'""",
+    "mkt_co_overview": None,
 }
+ORACLE["mkt_nas_list"] = ORACLE["pip_nas_list"]
+ORACLE["mkt_co_overview"] = (
+    "SELECT " + ", ".join(
+        {"Symbol": f'{A._zfill_sql("c_custkey")} AS "Symbol"',
+         "AssetType": "'Common Stock' AS \"AssetType\"",
+         "Name": 'c_name AS "Name"', "Exchange": 'c_mktsegment AS "Exchange"',
+         "Sector": 'n_name AS "Sector"',
+         "MarketCapitalization": 'c_acctbal AS "MarketCapitalization"'}.get(
+            f, f'CAST(NULL AS VARCHAR) AS "{f}"') for f in OVERVIEW_FIELDS)
+    + " FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0")
