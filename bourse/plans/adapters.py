@@ -114,22 +114,22 @@ ADAPTERS = {"prices": prices, "bars": bars, "listing": listing, "info": info,
 
 # --- DuckDB twins -----------------------------------------------------------
 
-def _zfill_sql(x: str, n: int = CODE_WIDTH) -> str:
+def zfill_sql(x: str, n: int = CODE_WIDTH) -> str:
     s = f"CAST({x} AS VARCHAR)"
     return f"CASE WHEN length({s}) < {n} THEN lpad({s}, {n}, '0') ELSE {s} END"
 
 
 SQL = {
-    "prices": f"""SELECT CAST(o_orderdate AS DATE) AS date, {_zfill_sql('o_custkey')} AS code,
+    "prices": f"""SELECT CAST(o_orderdate AS DATE) AS date, {zfill_sql('o_custkey')} AS code,
         CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS close,
         o_orderkey AS rid FROM orders""",
     "bars": """SELECT user_id AS symbol, CAST(ts AS DATE) AS date,
         arg_min(value, event_id) AS open, max(value) AS high, min(value) AS low,
         arg_max(value, event_id) AS close, count(*) AS volume
         FROM events GROUP BY user_id, CAST(ts AS DATE)""",
-    "listing": f"""SELECT {_zfill_sql('c_custkey')} AS code, c_name AS name,
+    "listing": f"""SELECT {zfill_sql('c_custkey')} AS code, c_name AS name,
         c_mktsegment AS market, c_acctbal AS marcap FROM customer""",
-    "info": f"""SELECT {_zfill_sql('c_custkey')} AS code, n_name AS sector, r_name AS region
+    "info": f"""SELECT {zfill_sql('c_custkey')} AS code, n_name AS sector, r_name AS region
         FROM customer JOIN nation ON c_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey WHERE c_acctbal >= 0""",
     "snapshot": """SELECT p_partkey AS symbol,

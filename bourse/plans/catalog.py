@@ -571,6 +571,25 @@ BAR_INT_COLS = "symbol, date, open, high, low, close, CAST(volume AS INTEGER) AS
 SNAP_CHANGE = ('round(("regularMarketOpen" - "previousClose") / nullif("previousClose", 0) '
                '* 100, 4)')
 
+NAS_LIST_SQL = """SELECT "Symbol", "Name", "Industry", "IndustryCode" FROM (
+        SELECT upper(substring(c_mktsegment, 1, 4)) || lpad(CAST(c_nationkey AS VARCHAR), 2, '0')
+                   AS "Symbol",
+               c_name AS "Name", c_mktsegment AS "Industry",
+               CAST(c_nationkey AS VARCHAR) AS "IndustryCode",
+               row_number() OVER (PARTITION BY upper(substring(c_mktsegment, 1, 4))
+                   || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') ORDER BY c_custkey) AS rn
+        FROM customer) WHERE rn = 1"""
+# 45 overview columns; the replies carry six of them, the rest are NULL
+OVERVIEW_SQL = (
+    "SELECT " + ", ".join(
+        {"Symbol": f'{A.zfill_sql("c_custkey")} AS "Symbol"',
+         "AssetType": "'Common Stock' AS \"AssetType\"",
+         "Name": 'c_name AS "Name"', "Exchange": 'c_mktsegment AS "Exchange"',
+         "Sector": 'n_name AS "Sector"',
+         "MarketCapitalization": 'c_acctbal AS "MarketCapitalization"'}.get(
+            f, f'CAST(NULL AS VARCHAR) AS "{f}"') for f in OVERVIEW_FIELDS)
+    + " FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0")
+
 ORACLE = {
     "src_csv_roundtrip": with_sql("SELECT code, name, market, marcap FROM listing", "listing"),
     "src_csv_positional": with_sql("SELECT material, date, value FROM commodity", "commodity"),
@@ -706,20 +725,13 @@ ORACLE = {
    b AS (SELECT * FROM first_price WHERE date IS NOT NULL AND code IS NOT NULL
             AND date >= DATE '1992-01-01' AND code IN (SELECT code FROM listing))"""),
     "pip_krx_stock_legacy": with_sql(f"SELECT {BAR_COLS} FROM bars", "bars"),
-    "pip_nas_list": """SELECT "Symbol", "Name", "Industry", "IndustryCode" FROM (
-        SELECT upper(substring(c_mktsegment, 1, 4)) || lpad(CAST(c_nationkey AS VARCHAR), 2, '0')
-                   AS "Symbol",
-               c_name AS "Name", c_mktsegment AS "Industry",
-               CAST(c_nationkey AS VARCHAR) AS "IndustryCode",
-               row_number() OVER (PARTITION BY upper(substring(c_mktsegment, 1, 4))
-                   || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') ORDER BY c_custkey) AS rn
-        FROM customer) WHERE rn = 1""",
+    "pip_nas_list": NAS_LIST_SQL,
     "pip_nas_stock": r"""SELECT symbol, date, close, volume, 'NASDAQ' AS exchange FROM (
         SELECT user_id AS symbol, CAST(ts AS DATE) AS date, value AS close,
                CAST(regexp_extract(props, '"k":\s*(-?\d+)', 1) AS DOUBLE) AS volume,
                row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id) AS rn
         FROM events WHERE CAST(ts AS DATE) >= DATE '2003-01-01') WHERE rn = 1""",
-    "pip_co_overview": f"""SELECT {A._zfill_sql('c_custkey')} AS "Symbol",
+    "pip_co_overview": f"""SELECT {A.zfill_sql('c_custkey')} AS "Symbol",
             'Common Stock' AS "AssetType", c_name AS "Name", c_mktsegment AS "Exchange",
             n_name AS "Sector", c_acctbal AS "MarketCapitalization"
         FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0""",
@@ -758,8 +770,8 @@ ORACLE = {
     "mkt_krx_stock": with_sql(f"""SELECT CAST(date AS TIMESTAMP) AS "Date",
             CAST(trunc(open) AS BIGINT) AS "Open", CAST(trunc(high) AS BIGINT) AS "High",
             CAST(trunc(low) AS BIGINT) AS "Low", CAST(trunc(close) AS BIGINT) AS "Close",
-            volume AS "Volume", {A._zfill_sql('symbol')} AS "Code" FROM bars""", "bars"),
-    "mkt_nas_list": None,
+            volume AS "Volume", {A.zfill_sql('symbol')} AS "Code" FROM bars""", "bars"),
+    "mkt_nas_list": NAS_LIST_SQL,
     "mkt_nas_stock": r"""SELECT date AS "Date", value AS "Open", value AS "High",
             value AS "Low", value AS "Close", value AS "Adj_Close",
             CAST(regexp_extract(props, '"k":\s*(-?\d+)', 1) AS DOUBLE) AS "Volume",
@@ -767,15 +779,5 @@ ORACLE = {
         SELECT *, CAST(ts AS DATE) AS date, row_number() OVER (
             PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id) AS rn FROM events)
         WHERE rn = 1 AND date >= DATE '2003-01-01'""",
-    "mkt_co_overview": None,
+    "mkt_co_overview": OVERVIEW_SQL,
 }
-ORACLE["mkt_nas_list"] = ORACLE["pip_nas_list"]
-ORACLE["mkt_co_overview"] = (
-    "SELECT " + ", ".join(
-        {"Symbol": f'{A._zfill_sql("c_custkey")} AS "Symbol"',
-         "AssetType": "'Common Stock' AS \"AssetType\"",
-         "Name": 'c_name AS "Name"', "Exchange": 'c_mktsegment AS "Exchange"',
-         "Sector": 'n_name AS "Sector"',
-         "MarketCapitalization": 'c_acctbal AS "MarketCapitalization"'}.get(
-            f, f'CAST(NULL AS VARCHAR) AS "{f}"') for f in OVERVIEW_FIELDS)
-    + " FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0")
