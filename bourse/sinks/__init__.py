@@ -2,11 +2,11 @@
 
 from bourse.sinks.tables import (append_rows, bucket_of, market_groups,
                                  partition_view, publish, read_table,
-                                 refresh_table, replace_result, write_csv,
-                                 write_market_partitioned, write_partitioned,
-                                 write_per_value_files)
+                                 refresh_table, register_view, replace_result,
+                                 write_csv, write_market_partitioned,
+                                 write_partitioned, write_per_value_files)
 
 __all__ = ["append_rows", "bucket_of", "market_groups", "partition_view",
-           "publish", "read_table", "refresh_table", "replace_result",
-           "write_csv", "write_market_partitioned", "write_partitioned",
-           "write_per_value_files"]
+           "publish", "read_table", "refresh_table", "register_view",
+           "replace_result", "write_csv", "write_market_partitioned",
+           "write_partitioned", "write_per_value_files"]

@@ -163,6 +163,16 @@ def read_table(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def register_view(spark: SparkSession, name: str, base: str) -> DataFrame:
+    """Expose the newest audited version of a table under ``name`` (a session
+    view with the recorded schema), so scans by name (SRC-6) see it.  The
+    durable pointer stays the ``_AUDITED`` marker: re-register after a
+    refresh to move the name to the new version."""
+    df = read_table(spark, base)
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def publish(df: DataFrame, uri: str) -> str:
     """SNK-4: replace a published dataset; readers see the old one until the
     new version is complete."""

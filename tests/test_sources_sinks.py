@@ -136,6 +136,21 @@ def test_market_groups_cover_input(spark, tmp_base):
     assert groups == {"kospi", "kosdaq", "konex"} and rej.count() == 1
 
 
+def test_table_by_name_follows_refresh(spark, tmp_base):
+    from bourse.sinks import register_view
+    refresh_table(spark.createDataFrame([("a", 1.0, "x")], "k string, v double, w string"),
+                  tmp_base, key=["k"])
+    register_view(spark, "bourse_test_t", tmp_base)
+    first = scan_table(spark, "bourse_test_t", ["k", "v"])
+    assert [tuple(r) for r in first.collect()] == [("a", 1.0)]
+    assert "ReadSchema: struct<k:string,v:double>" in \
+        first._jdf.queryExecution().executedPlan().toString()
+    refresh_table(spark.createDataFrame([("b", 2.0, "y")], "k string, v double, w string"),
+                  tmp_base, key=["k"])
+    register_view(spark, "bourse_test_t", tmp_base)
+    assert [r.k for r in scan_table(spark, "bourse_test_t", ["k"]).collect()] == ["b"]
+
+
 def test_scan_table_prunes_columns(spark):
     df = scan_table(spark, "/root/testdata/sf0.001/orders.parquet", ["o_orderkey", "o_totalprice"])
     plan = df._jdf.queryExecution().executedPlan().toString()
