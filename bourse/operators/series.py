@@ -33,8 +33,12 @@ def _list(x):
 
 
 def segment_of(c: Column, segment, dtype: str | None = None) -> Column:
-    """A monotone slice number of the order column.  ``"auto"`` is a month
-    for dates and timestamps, ``NUMERIC_SEGMENT_WIDTH`` for numbers."""
+    """A monotone slice number of the order column: ``"year"``, ``"month"``,
+    ``"week"``, ``"day"``, ``"hour"``, an int width for numbers, or a Column.
+    ``"auto"`` is a month for dates and timestamps (daily bars: about 21 rows
+    per symbol and segment) and ``NUMERIC_SEGMENT_WIDTH`` for numbers.  For
+    intraday data pass ``"day"`` or ``"hour"`` so a busy symbol's segment
+    stays small."""
     if isinstance(segment, Column):
         return segment
     if segment == "auto":
@@ -43,6 +47,8 @@ def segment_of(c: Column, segment, dtype: str | None = None) -> Column:
     if isinstance(segment, int):
         return F.floor(c / F.lit(segment))
     d = F.to_date(c)
+    if segment == "hour":   # time-zone free: day number * 24 + hour of day
+        return F.datediff(d, F.lit("1970-01-01").cast("date")) * 24 + F.hour(c)
     if segment == "year":
         return F.year(d)
     if segment == "month":

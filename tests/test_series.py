@@ -155,6 +155,16 @@ def test_first_last_flags(spark):
     assert len(firsts) == df.select("k").distinct().count()
 
 
+def test_time_segments_agree(spark):
+    rows = [("A", f"2024-01-{d:02d} {h:02d}:15:00", None if (d + h) % 3 else float(d * 100 + h))
+            for d in (1, 2, 15, 31) for h in (0, 9, 23)]
+    df = spark.createDataFrame(rows, "k string, t string, v double") \
+        .selectExpr("k", "cast(t as timestamp_ntz) t", "v")
+    want = _rows(ffill(df, "k", "t", ["v"], segment=None), ["k", "t", "v"])
+    for seg in ("hour", "day", "week", "month", "year"):
+        assert _rows(ffill(df, "k", "t", ["v"], segment=seg), ["k", "t", "v"]) == want, seg
+
+
 def test_sort_desc_missing_last(spark):
     df = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, None), (4, 3.0)],
                                "id int, v double")
