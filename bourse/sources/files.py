@@ -84,12 +84,21 @@ def scan_csv_positional(spark: SparkSession, path, names, *, skip_first_line: bo
 
 
 def scan_symbol_files(spark: SparkSession, path, names, pattern: str,
-                      key: str = "symbol", header: bool = True) -> DataFrame:
-    """SRC-3: a file set with one file (or folder) per symbol, the symbol
-    encoded in the path; ``pattern`` has one group capturing it."""
+                      key: str = "symbol", header: bool = True,
+                      unescape: bool = True) -> DataFrame:
+    """SRC-3 (+ PRJ-5 for file sets): a file set with one file (or folder) per
+    symbol, the symbol encoded in the path; ``pattern`` has one group
+    capturing it.  Folder names escape characters such as ``/`` and ``=`` as
+    ``%XX``; ``unescape`` turns them back (a literal ``+`` stays ``+``)."""
     df = (spark.read.schema(strings(names)).option("header", header)
                .option("recursiveFileLookup", True).csv(path))
-    return df.withColumn(key, F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
+    raw = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    if unescape:
+        # the metadata path is a URI (first decode gives the folder name), and
+        # the folder name escapes special characters (second decode)
+        for _ in range(2):
+            raw = F.url_decode(F.regexp_replace(raw, r"\+", "%2B"))
+    return df.withColumn(key, raw)
 
 
 def scan_json_records(df: DataFrame, col: str, schema: T.StructType,

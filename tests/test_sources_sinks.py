@@ -46,12 +46,13 @@ def test_positional_bom_and_cp949(spark, tmp_base):
 
 
 def test_symbol_file_set(spark, tmp_base):
-    df = spark.createDataFrame([("005930", "2024-01-02", "1.0"), ("000660", "2024-01-02", "2.0")],
+    df = spark.createDataFrame([("005930", "2024-01-02", "1.0"), ("000660", "2024-01-02", "2.0"),
+                                ("BRK/A", "2024-01-02", "3.0"), ("A+B=C", "2024-01-02", "4.0")],
                                "symbol string, date string, close string")
     write_per_value_files(df, tmp_base, "symbol", ["date"])
     back = scan_symbol_files(spark, tmp_base, ["date", "close"], r"symbol=([^/]+)/")
     assert sorted((r.symbol, r.close) for r in back.collect()) == \
-        [("000660", "2.0"), ("005930", "1.0")]
+        [("000660", "2.0"), ("005930", "1.0"), ("A+B=C", "4.0"), ("BRK/A", "3.0")]
 
 
 def test_json_records_split_errors(spark):
