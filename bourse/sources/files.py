@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bourse.operators.filters import scan_history  # noqa: F401  (SRC-7)
+from bourse.operators.nulls import normalize_nan
 from bourse.schemas import strings
 
 # The text tokens pandas' CSV reader treats as missing by
@@ -123,11 +124,15 @@ def scan_json_files(spark: SparkSession, path, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).json(path)
 
 
-def scan_table(spark: SparkSession, path_or_name: str, cols=None, fmt: str = "parquet") -> DataFrame:
+def scan_table(spark: SparkSession, path_or_name: str, cols=None, fmt: str = "parquet",
+               nan_as_null: bool = True) -> DataFrame:
     """SRC-6: a table (catalog name or Parquet path) restricted to ``cols``;
-    Catalyst prunes the read schema to them."""
+    Catalyst prunes the read schema to them.  NaN in floating columns becomes
+    NULL (pandas treats both as missing; Spark's ``ignorenulls`` and sorts
+    do not)."""
     if "/" in path_or_name or ":" in path_or_name:
         df = spark.read.format(fmt).load(path_or_name)
     else:
         df = spark.table(path_or_name)
-    return df.select(*cols) if cols else df
+    df = df.select(*cols) if cols else df
+    return normalize_nan(df) if nan_as_null else df

@@ -152,6 +152,13 @@ def test_table_by_name_follows_refresh(spark, tmp_base):
     assert [r.k for r in scan_table(spark, "bourse_test_t", ["k"]).collect()] == ["b"]
 
 
+def test_scan_table_turns_nan_into_null(spark, tmp_base):
+    spark.createDataFrame([(1, float("nan")), (2, 3.0)], "k int, v double") \
+        .write.parquet(tmp_base)
+    got = sorted((r.k, r.v) for r in scan_table(spark, tmp_base).collect())
+    assert got == [(1, None), (2, 3.0)]
+
+
 def test_scan_table_prunes_columns(spark):
     df = scan_table(spark, "/root/testdata/sf0.001/orders.parquet", ["o_orderkey", "o_totalprice"])
     plan = df._jdf.queryExecution().executedPlan().toString()
