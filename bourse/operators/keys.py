@@ -32,11 +32,12 @@ def keep_first(df: DataFrame, keys, order) -> DataFrame:
     row id).  ``dropDuplicates(keys)`` would keep an arbitrary survivor."""
     keys, order = _list(keys), _list(order)
     others = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[F.col(o) for o in order])
-    agg = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*[F.col(c) for c in others]), ordering).alias("_first"))
-    return agg.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in others]) \
-              .select(*df.columns)
+    ordering = F.struct(*[F.col(f"`{o}`") for o in order])
+    agg = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
+        F.min_by(F.struct(*[F.col(f"`{c}`") for c in others]), ordering).alias("_first"))
+    return agg.select(*[F.col(f"`{k}`") for k in keys],
+                      *[F.col("_first").getField(c).alias(c) for c in others]) \
+              .select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def key_violations(df: DataFrame, keys) -> DataFrame:

@@ -267,9 +267,9 @@ def latest(df: DataFrame, key, order, cols=None) -> DataFrame:
     keys, order = _list(key), _list(order)
     cols = [c for c in (cols or df.columns) if c not in keys]
     agg = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(c) for c in cols]),
-                 F.struct(*[F.col(o) for o in order])).alias("_l"))
-    return agg.select(*keys, *[F.col(f"_l.{c}").alias(c) for c in cols])
+        F.max_by(F.struct(*[F.col(f"`{c}`") for c in cols]),
+                 F.struct(*[F.col(f"`{o}`") for o in order])).alias("_l"))
+    return agg.select(*keys, *[F.col("_l").getField(c).alias(c) for c in cols])
 
 
 def drop_last(df: DataFrame, label: str) -> DataFrame:

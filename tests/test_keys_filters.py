@@ -20,6 +20,12 @@ def test_keep_first_takes_smallest_order(spark):
     assert out == {("A", 1): "a", ("A", 2): "b", ("B", 1): "z"}
 
 
+def test_keep_first_with_awkward_column_names(spark):
+    df = spark.createDataFrame([("A", 2, 1.0), ("A", 1, 2.0)], "`k.x` string, rid int, `USD (PM)` double")
+    out = keep_first(df, ["k.x"], ["rid"]).collect()
+    assert [tuple(r) for r in out] == [("A", 1, 2.0)]
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3)), min_size=1, max_size=40))
 def test_keep_first_output_keys_are_unique(spark, pairs):
