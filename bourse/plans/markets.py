@@ -38,7 +38,8 @@ PRICES = ["Open", "High", "Low", "Close", "Volume"]
 KRX_STOCK_LANDED = ["Date", "Open", "High", "Low", "Close", "Volume", "Change", "Code"]
 NAS_STOCK_LANDED = ["Date", "Open", "High", "Low", "Close", "Adj_Close", "Volume", "Symbol"]
 SNP_STOCK_LANDED = ["Date", "Open", "High", "Low", "Close", "Volume", "Symbol"]
-# Info columns added to the KRX listing by market, with their text limits.
+# Info columns added to the KRX listing by market, with their
+# text limits (characters; None = timestamp).
 KRX_INFO_EXTRA = {"sector": 40, "industry": 300, "listingdate": None, "settlemonth": 40,
                   "representative": 300, "homepage": 300, "region": 40}
 
