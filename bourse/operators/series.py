@@ -12,6 +12,11 @@ combined) and carried along the segments of each symbol with a small window
 join and the main window share one hash partitioning, so the big side is
 shuffled once, and AQE broadcasts the summary when it turns out small.
 
+A pass can also carry whole-key statistics (count, mean and M2 per segment,
+merged across segments), and with ``keep_segment`` its output keeps the
+segment column so the next pass reuses the same partitioning: the forecast
+features (change, lead, standard score) cost one exchange of the rows.
+
 ``segment=None`` gives the textbook unsegmented window (used by tests to
 cross-check the segmented plan).
 """
