@@ -218,8 +218,10 @@ def snp_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snp_stock_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship plan without the write: first row per (code, date) ->
     forward fill per code -> drop still-missing -> % change (0 on each code's
-    first row).  Two shuffles: the keep-first aggregate (map-side combined)
-    and one (code, month) exchange shared by the fill and the change."""
+    first row).  The rows are exchanged twice: by the keep-first aggregate
+    (map-side combined) and once by (code, month) for the fused fill and
+    change; the per-(code, month) carry summary is a small partial aggregate
+    that AQE broadcasts back."""
     p = scan_history(A.prices(spark, sf_dir), "date", HISTORY_START)
     p = keep_first(p, ["code", "date"], ["rid"])
     p = ffill_pct_change(p, "code", "date", "close", "change", fill=0.0)
