@@ -52,3 +52,12 @@ def test_d12_rejects_are_returned_with_a_reason(spark):
     assert bad.count() > 0
     assert bad.filter(F.col("_reason").isNull()).count() == 0
     assert good.count() + bad.count() == s.count()
+
+
+def test_d8_listing_job_does_not_touch_the_bars_table(spark):
+    from bourse.plans.jobs import snp_list, snp_stock
+    listing = snp_list(spark, SF)
+    bars = snp_stock(spark, SF)
+    assert listing.columns == ["Symbol", "Name", "Sector", "Industry"]
+    assert bars.columns == ["date", "code", "close", "change"]
+    assert not set(listing.inputFiles()) & set(bars.inputFiles())
