@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bourse.functions.scalar import (conform, direction, format_date, json_field, limit_text,
-                                     parse_date, parse_timestamp, pct_diff,
-                                     text_too_long, to_numeric, zfill)
+from bourse.functions.scalar import (cast_columns, conform, direction, format_date,
+                                     json_field, limit_text, parse_date,
+                                     parse_timestamp, pct_diff, text_too_long,
+                                     to_numeric, zfill)
 from bourse.operators.filters import (delete_like, drop_all_nan, drop_nan,
                                       filter_in, lookback, quarantine,
                                       scan_history)
@@ -50,11 +51,6 @@ BAR_TYPES = {"symbol": "bigint", "date": "date", "open": "double", "high": "doub
              "low": "double", "close": "double", "volume": "bigint"}
 
 
-def _typed(df: DataFrame, types: dict) -> DataFrame:
-    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c)
-                       for c in df.columns])
-
-
 def _desc_missing_last(c: str):
     col = F.col(c)
     return F.when(~F.isnan(col), col).desc_nulls_last()
@@ -66,7 +62,7 @@ def src_csv_roundtrip(spark, d):
     base = scratch_path(spark, "src_csv")
     write_csv(A.listing(spark, d), base)
     raw = scan_csv(spark, base, LISTING_COLS, keep_text=["code"])
-    return _typed(raw, {"marcap": "double"})
+    return cast_columns(raw, {"marcap": "double"})
 
 
 def src_csv_positional(spark, d):
@@ -84,7 +80,7 @@ def src_symbol_files(spark, d):
     write_per_value_files(A.bars(spark, d), base, "symbol", ["date"])
     raw = scan_symbol_files(spark, base, ["date", "open", "high", "low", "close", "volume"],
                             r"symbol=([^/]+)/", "symbol")
-    return _typed(raw, BAR_TYPES).select(*BAR_TYPES)
+    return cast_columns(raw, BAR_TYPES).select(*BAR_TYPES)
 
 
 def src_encoded(spark, d):
@@ -96,7 +92,7 @@ def src_encoded(spark, d):
         .withColumn("encoding", F.lit("utf-8-sig"))
     b = scan_csv(spark, f"{base}/cp949", LISTING_COLS, encoding="cp949", keep_text=["code"]) \
         .withColumn("encoding", F.lit("cp949"))
-    return _typed(union_all(a, b), {"marcap": "double"})
+    return cast_columns(union_all(a, b), {"marcap": "double"})
 
 
 def _replies(spark, d):

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bourse.functions.scalar import conform, json_field, limit_text, pct_diff, zfill
+from bourse.functions.scalar import (cast_columns, conform, json_field, limit_text,
+                                     pct_diff, zfill)
 from bourse.operators.filters import (drop_nan, filter_in, lookback, quarantine,
                                       scan_history)
 from bourse.operators.forecast import (feature_frame, forecast_linear,
@@ -31,11 +32,6 @@ from bourse.sources.files import (scan_csv, scan_csv_positional,
 HISTORY_START = "1992-01-01"
 
 
-def _typed(df: DataFrame, types: dict) -> DataFrame:
-    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c)
-                       for c in df.columns])
-
-
 def krx_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PIP-1: landed listing CSV -> drop missing Code/Name -> audited table."""
     base = scratch_path(spark, "krx_list")
@@ -92,7 +88,7 @@ def krx_stock_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     out_cols = ["symbol", "date", "open", "high", "low", "close", "volume"]
     write_csv(raw.select(*out_cols), f"{base}/staged", header=False)
     back = scan_csv_positional(spark, f"{base}/staged", out_cols)
-    return _typed(back, {"symbol": "bigint", "date": "date", "open": "double",
+    return cast_columns(back, {"symbol": "bigint", "date": "date", "open": "double",
                          "high": "double", "low": "double", "close": "double",
                          "volume": "bigint"})
 
