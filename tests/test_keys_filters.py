@@ -21,7 +21,8 @@ def test_keep_first_takes_smallest_order(spark):
 
 
 def test_keep_first_with_awkward_column_names(spark):
-    df = spark.createDataFrame([("A", 2, 1.0), ("A", 1, 2.0)], "`k.x` string, rid int, `USD (PM)` double")
+    df = spark.createDataFrame([("A", 2, 1.0), ("A", 1, 2.0)],
+                               "`k.x` string, rid int, `USD (PM)` double")
     out = keep_first(df, ["k.x"], ["rid"]).collect()
     assert [tuple(r) for r in out] == [("A", 1, 2.0)]
 

@@ -148,7 +148,8 @@ def test_daily_krx_chain(spark, tmp_base):
         "krx_list": land(spark, f"{tmp_base}/l", KRX_LIST_HEADER, [
             _krx_row("5930", "Samsung", "KOSPI"), _krx_row("91990", "Celltrion", "KOSDAQ")]),
         "krx_co_info": land(spark, f"{tmp_base}/i", list(M.KRX_CO_INFO_TYPES), [
-            ["5930", "Samsung", "KOSPI", "Tech", "Chips", "1975-06-11", "12", "Lee", "x", "Seoul"]]),
+            ["5930", "Samsung", "KOSPI", "Tech", "Chips", "1975-06-11", "12", "Lee", "x",
+             "Seoul"]]),
         "krx_stock": land(spark, f"{tmp_base}/s", M.KRX_STOCK_LANDED, [
             [f"2024-01-{d:02d}", 10 + d, 11 + d, 9 + d, 10 + d + d % 3, 100 * d, 0.0, code]
             for d in range(2, 20) for code in ("5930", "91990")]),
