@@ -69,8 +69,10 @@ def info(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("sector"), F.col("r_name").alias("region"))
 
 
-def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+def snapshot(spark: SparkSession, sf_dir: str, with_volume: bool = False) -> DataFrame:
+    """Quotes per part; ``with_volume`` adds a traded volume (size x 100)."""
     p = table(spark, sf_dir, "part")
+    extra = [(F.col("p_size") * 100.0).alias("volume")] if with_volume else []
     return p.select(
         F.col("p_partkey").alias("symbol"),
         F.when(F.col("p_brand") != "Brand#13", F.col("p_name")).alias("shortName"),
@@ -78,7 +80,8 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("p_size") > 2, F.col("p_retailprice") * F.col("p_size")).alias("marketCap"),
         F.when(F.col("p_size") == 50, F.lit(0.0)).otherwise(F.col("p_retailprice"))
          .alias("previousClose"),
-        (F.col("p_retailprice") + (F.col("p_size") - 25) / 10.0).alias("regularMarketOpen"))
+        (F.col("p_retailprice") + (F.col("p_size") - 25) / 10.0).alias("regularMarketOpen"),
+        *extra)
 
 
 def commodity(spark: SparkSession, sf_dir: str) -> DataFrame:

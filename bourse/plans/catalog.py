@@ -399,6 +399,12 @@ def mkt_nas_stock(spark, d):
     return M.nas_stock(spark, f"{base}/landed", f"{base}/table")
 
 
+def mkt_snapshot(spark, d):
+    base = scratch_path(spark, "mkt_snapshot")
+    table, _rejects = M.market_snapshot(spark, A.snapshot(spark, d, with_volume=True), base)
+    return table
+
+
 def mkt_co_overview(spark, d):
     base = scratch_path(spark, "mkt_co_overview")
     table, _errors = M.company_overview(spark, overview_records(spark, d), base)
@@ -513,6 +519,7 @@ QUERIES = {
     "mkt_nas_list": mkt_nas_list,
     "mkt_nas_stock": mkt_nas_stock,
     "mkt_co_overview": mkt_co_overview,
+    "mkt_snapshot": mkt_snapshot,
     "fct_features": fct_features,
     "fct_linear": fct_linear,
     "fct_report": fct_report,
@@ -776,4 +783,12 @@ ORACLE = {
             PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id) AS rn FROM events)
         WHERE rn = 1 AND date >= DATE '2003-01-01'""",
     "mkt_co_overview": OVERVIEW_SQL,
+    "mkt_snapshot": with_sql(f"""SELECT CAST(s.symbol AS VARCHAR) AS symbol,
+            s."shortName" AS name, s.sector, s."marketCap" AS marcap,
+            CAST(v.volume AS DOUBLE) AS volume, s."previousClose" AS previous_close,
+            s."regularMarketOpen" AS regular_market_open, {SNAP_CHANGE} AS changesratio
+        FROM snapshot s JOIN v ON s.symbol = v.symbol
+        WHERE s."shortName" IS NOT NULL AND s."previousClose" <> 0""", "snapshot",
+                             more="v AS (SELECT p_partkey AS symbol, p_size * 100.0 AS volume "
+                                  "FROM part)"),
 }
