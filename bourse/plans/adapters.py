@@ -111,6 +111,54 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(header)
 
 
+# The KRX market each listing segment is landed under; the
+# household segment gets a market code outside the market-group mapping.
+SEGMENT_KRX_MARKET = {"BUILDING": "KOSPI", "FURNITURE": "KOSDAQ",
+                      "AUTOMOBILE": "KOSDAQ GLOBAL", "MACHINERY": "KONEX",
+                      "HOUSEHOLD": "KSM"}
+
+
+def _krx_market(col: str):
+    expr = None
+    for seg, market in SEGMENT_KRX_MARKET.items():
+        expr = (F.when(F.col(col) == seg, F.lit(market)) if expr is None
+                else expr.when(F.col(col) == seg, F.lit(market)))
+    return expr
+
+
+def krx_listing_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KRX listing rows (17 text columns, file order) from customer."""
+    c = table(spark, sf_dir, "customer")
+    code = F.col("c_custkey").cast("string")
+    none = F.lit(None).cast("string")
+    return c.select(code.alias("Code"),
+                    F.concat(F.lit("KR"), zfill(code, CODE_WIDTH)).alias("ISU_CD"),
+                    F.col("c_name").alias("Name"), _krx_market("c_mktsegment").alias("Market"),
+                    none.alias("Dept"), F.col("c_nationkey").cast("string").alias("Close"),
+                    none.alias("ChangeCode"), none.alias("Changes"), none.alias("ChangesRatio"),
+                    none.alias("Open"), none.alias("High"), none.alias("Low"),
+                    none.alias("Volume"), none.alias("Amount"),
+                    (F.col("c_custkey") * 1000).cast("string").alias("Marcap"),
+                    none.alias("Stocks"), F.lit("STK").alias("MarketId"))
+
+
+def krx_info_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KRX company info rows (10 text columns) for companies not in debt."""
+    c = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0)
+    n = F.broadcast(table(spark, sf_dir, "nation"))   # 25 rows at every scale
+    r = F.broadcast(table(spark, sf_dir, "region"))   # 5 rows at every scale
+    j = c.join(n, c["c_nationkey"] == n["n_nationkey"]) \
+         .join(r, F.col("n_regionkey") == r["r_regionkey"])
+    none = F.lit(None).cast("string")
+    return j.select(F.col("c_custkey").cast("string").alias("Code"),
+                    F.col("c_name").alias("Name"), _krx_market("c_mktsegment").alias("Market"),
+                    F.col("n_name").alias("Sector"), F.col("r_name").alias("Industry"),
+                    F.date_add(F.lit("1990-01-01").cast("date"), F.col("c_custkey").cast("int"))
+                     .cast("string").alias("ListingDate"),
+                    F.lit("12").alias("SettleMonth"), none.alias("Representative"),
+                    none.alias("HomePage"), F.col("r_name").alias("Region"))
+
+
 ADAPTERS = {"prices": prices, "bars": bars, "listing": listing, "info": info,
             "snapshot": snapshot, "commodity": commodity, "dirty": dirty}
 

@@ -41,7 +41,7 @@ from bourse.sinks.tables import (append_rows, partition_view,
                                  replace_result, write_csv,
                                  write_market_partitioned, write_partitioned,
                                  write_per_value_files)
-from bourse.schemas import OVERVIEW_FIELDS
+from bourse.schemas import KRX_MARKET_GROUPS, OVERVIEW_FIELDS
 from bourse.sources.files import (scan_csv, scan_csv_positional,
                                   scan_json_records, scan_symbol_files,
                                   scan_table)
@@ -405,6 +405,16 @@ def mkt_snapshot(spark, d):
     return table
 
 
+def mkt_krx_list_by_market(spark, d):
+    base = scratch_path(spark, "mkt_krx_list_by_market")
+    write_csv(A.krx_listing_file(spark, d), f"{base}/landed/list")
+    write_csv(A.krx_info_file(spark, d), f"{base}/landed/info")
+    listing = M.krx_list(spark, f"{base}/landed/list", f"{base}/krx_list")
+    info = M.krx_co_info(spark, f"{base}/landed/info", f"{base}/krx_co_info")
+    table, _rejects = M.krx_list_by_market(spark, listing, info, f"{base}/table")
+    return table
+
+
 def mkt_co_overview(spark, d):
     base = scratch_path(spark, "mkt_co_overview")
     table, _errors = M.company_overview(spark, overview_records(spark, d), base)
@@ -520,6 +530,7 @@ QUERIES = {
     "mkt_nas_stock": mkt_nas_stock,
     "mkt_co_overview": mkt_co_overview,
     "mkt_snapshot": mkt_snapshot,
+    "mkt_krx_list_by_market": mkt_krx_list_by_market,
     "fct_features": fct_features,
     "fct_linear": fct_linear,
     "fct_report": fct_report,
@@ -593,6 +604,31 @@ OVERVIEW_SQL = (
             f, f'CAST(NULL AS VARCHAR) AS "{f}"') for f in OVERVIEW_FIELDS)
     + " FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0")
 
+KRX_MARKET_SQL = ("CASE c_mktsegment " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in A.SEGMENT_KRX_MARKET.items()) + " END")
+KRX_GROUP_SQL = ("CASE l.market " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in KRX_MARKET_GROUPS.items()) + " END")
+KRX_LIST_BY_MARKET_SQL = f"""WITH l AS (
+    SELECT {A.zfill_sql('c_custkey')} AS code, 'KR' || {A.zfill_sql('c_custkey')} AS isu_cd,
+           c_name AS name, {KRX_MARKET_SQL} AS market, CAST(NULL AS VARCHAR) AS dept,
+           CAST(c_nationkey AS INTEGER) AS close, CAST(NULL AS INTEGER) AS changecode,
+           CAST(NULL AS INTEGER) AS changes, CAST(NULL AS DOUBLE) AS changesratio,
+           CAST(NULL AS INTEGER) AS open, CAST(NULL AS INTEGER) AS high,
+           CAST(NULL AS INTEGER) AS low, CAST(NULL AS INTEGER) AS volume,
+           CAST(NULL AS BIGINT) AS amount, CAST(c_custkey * 1000 AS BIGINT) AS marcap,
+           CAST(NULL AS BIGINT) AS stocks, 'STK' AS marketid FROM customer),
+  i AS (
+    SELECT {A.zfill_sql('c_custkey')} AS code, n_name AS sector, r_name AS industry,
+           CAST(DATE '1990-01-01' + CAST(c_custkey AS INTEGER) AS TIMESTAMP) AS listingdate,
+           '12' AS settlemonth, CAST(NULL AS VARCHAR) AS representative,
+           CAST(NULL AS VARCHAR) AS homepage, r_name AS region
+    FROM customer JOIN nation ON c_nationkey = n_nationkey
+    JOIN region ON n_regionkey = r_regionkey WHERE c_acctbal >= 0)
+SELECT * FROM (
+    SELECT l.*, i.sector, i.industry, i.listingdate, i.settlemonth, i.representative,
+           i.homepage, i.region, {KRX_GROUP_SQL} AS market_group
+    FROM l LEFT JOIN i ON l.code = i.code) WHERE market_group IS NOT NULL"""
+
 ORACLE = {
     "src_csv_roundtrip": with_sql("SELECT code, name, market, marcap FROM listing", "listing"),
     "src_csv_positional": with_sql("SELECT material, date, value FROM commodity", "commodity"),
@@ -783,6 +819,7 @@ ORACLE = {
             PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id) AS rn FROM events)
         WHERE rn = 1 AND date >= DATE '2003-01-01'""",
     "mkt_co_overview": OVERVIEW_SQL,
+    "mkt_krx_list_by_market": KRX_LIST_BY_MARKET_SQL,
     "mkt_snapshot": with_sql(f"""SELECT CAST(s.symbol AS VARCHAR) AS symbol,
             s."shortName" AS name, s.sector, s."marketCap" AS marcap,
             CAST(v.volume AS DOUBLE) AS volume, s."previousClose" AS previous_close,
