@@ -415,6 +415,17 @@ def mkt_krx_list_by_market(spark, d):
     return table
 
 
+def mkt_krx_stock_by_market(spark, d):
+    base = scratch_path(spark, "mkt_krx_stock_by_market")
+    write_csv(A.krx_listing_file(spark, d), f"{base}/landed/list")
+    listing = M.krx_list(spark, f"{base}/landed/list", f"{base}/krx_list")
+    change = F.try_divide(F.col("close") - F.col("open"), F.col("open")).alias("Change")
+    stock = M.krx_stock(spark, _land_bars(spark, d, base, "Code", extra=[change]),
+                        f"{base}/krx_stock", listing=listing)
+    table, _rejects = M.krx_stock_by_market(spark, stock, listing, f"{base}/table")
+    return table
+
+
 def mkt_co_overview(spark, d):
     base = scratch_path(spark, "mkt_co_overview")
     table, _errors = M.company_overview(spark, overview_records(spark, d), base)
@@ -531,6 +542,7 @@ QUERIES = {
     "mkt_co_overview": mkt_co_overview,
     "mkt_snapshot": mkt_snapshot,
     "mkt_krx_list_by_market": mkt_krx_list_by_market,
+    "mkt_krx_stock_by_market": mkt_krx_stock_by_market,
     "fct_features": fct_features,
     "fct_linear": fct_linear,
     "fct_report": fct_report,
@@ -629,6 +641,15 @@ SELECT * FROM (
            i.homepage, i.region, {KRX_GROUP_SQL} AS market_group
     FROM l LEFT JOIN i ON l.code = i.code) WHERE market_group IS NOT NULL"""
 
+KRX_STOCK_BY_MARKET_SQL = f"""SELECT * FROM (
+    SELECT CAST(b.date AS TIMESTAMP) AS date, CAST(trunc(b.open) AS BIGINT) AS open,
+           CAST(trunc(b.high) AS BIGINT) AS high, CAST(trunc(b.low) AS BIGINT) AS low,
+           CAST(trunc(b.close) AS BIGINT) AS close, b.volume AS volume,
+           {A.zfill_sql('b.symbol')} AS code, l.c_name AS name, l.market AS market,
+           CAST(l.c_custkey * 1000 AS BIGINT) AS marcap, {KRX_GROUP_SQL} AS market_group
+    FROM bars b JOIN (SELECT *, {KRX_MARKET_SQL} AS market FROM customer) l
+      ON b.symbol = l.c_custkey) WHERE market_group IS NOT NULL"""
+
 ORACLE = {
     "src_csv_roundtrip": with_sql("SELECT code, name, market, marcap FROM listing", "listing"),
     "src_csv_positional": with_sql("SELECT material, date, value FROM commodity", "commodity"),
@@ -820,6 +841,7 @@ ORACLE = {
         WHERE rn = 1 AND date >= DATE '2003-01-01'""",
     "mkt_co_overview": OVERVIEW_SQL,
     "mkt_krx_list_by_market": KRX_LIST_BY_MARKET_SQL,
+    "mkt_krx_stock_by_market": with_sql(KRX_STOCK_BY_MARKET_SQL, "bars"),
     "mkt_snapshot": with_sql(f"""SELECT CAST(s.symbol AS VARCHAR) AS symbol,
             s."shortName" AS name, s.sector, s."marketCap" AS marcap,
             CAST(v.volume AS DOUBLE) AS volume, s."previousClose" AS previous_close,
