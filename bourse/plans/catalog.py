@@ -426,6 +426,19 @@ def mkt_krx_stock_by_market(spark, d):
     return table
 
 
+def mkt_krx_forecast(spark, d):
+    base = scratch_path(spark, "mkt_krx_forecast")
+    write_csv(A.krx_listing_file(spark, d), f"{base}/landed/list")
+    listing = M.krx_list(spark, f"{base}/landed/list", f"{base}/krx_list")
+    change = F.try_divide(F.col("close") - F.col("open"), F.col("open")).alias("Change")
+    stock = M.krx_stock(spark, _land_bars(spark, d, base, "Code", extra=[change]),
+                        f"{base}/krx_stock", listing=listing)
+    rep = M.next_close_report(spark, stock, "Code", f"{base}/report",
+                              symbols=listing.select("Code", "Name"), label="Name")
+    return rep.select("index", "symbol", F.round("tomorrow_close", 6).alias("tomorrow_close"),
+                      "direction", F.round("diff", 6).alias("diff"))
+
+
 def mkt_co_overview(spark, d):
     base = scratch_path(spark, "mkt_co_overview")
     table, _errors = M.company_overview(spark, overview_records(spark, d), base)
@@ -543,6 +556,7 @@ QUERIES = {
     "mkt_snapshot": mkt_snapshot,
     "mkt_krx_list_by_market": mkt_krx_list_by_market,
     "mkt_krx_stock_by_market": mkt_krx_stock_by_market,
+    "mkt_krx_forecast": mkt_krx_forecast,
     "fct_features": fct_features,
     "fct_linear": fct_linear,
     "fct_report": fct_report,
@@ -650,6 +664,14 @@ KRX_STOCK_BY_MARKET_SQL = f"""SELECT * FROM (
     FROM bars b JOIN (SELECT *, {KRX_MARKET_SQL} AS market FROM customer) l
       ON b.symbol = l.c_custkey) WHERE market_group IS NOT NULL"""
 
+# KRX bars as loaded (prices truncated to integers), labelled by company name
+KRX_NAMED_BARS_SQL = f"""krx_bars AS ({A.SQL['bars']}),
+   bars AS (SELECT c.c_name AS symbol, b.date,
+                   CAST(trunc(b.open) AS DOUBLE) AS open, CAST(trunc(b.high) AS DOUBLE) AS high,
+                   CAST(trunc(b.low) AS DOUBLE) AS low, CAST(trunc(b.close) AS DOUBLE) AS close,
+                   CAST(b.volume AS DOUBLE) AS volume
+            FROM krx_bars b JOIN customer c ON b.symbol = c.c_custkey)"""
+
 ORACLE = {
     "src_csv_roundtrip": with_sql("SELECT code, name, market, marcap FROM listing", "listing"),
     "src_csv_positional": with_sql("SELECT material, date, value FROM commodity", "commodity"),
@@ -842,6 +864,8 @@ ORACLE = {
     "mkt_co_overview": OVERVIEW_SQL,
     "mkt_krx_list_by_market": KRX_LIST_BY_MARKET_SQL,
     "mkt_krx_stock_by_market": with_sql(KRX_STOCK_BY_MARKET_SQL, "bars"),
+    "mkt_krx_forecast": with_sql(REPORT_SQL, more=KRX_NAMED_BARS_SQL + ",\n"
+                                 + FEATURES_SQL + ",\n" + LINEAR_SQL),
     "mkt_snapshot": with_sql(f"""SELECT CAST(s.symbol AS VARCHAR) AS symbol,
             s."shortName" AS name, s.sector, s."marketCap" AS marcap,
             CAST(v.volume AS DOUBLE) AS volume, s."previousClose" AS previous_close,
