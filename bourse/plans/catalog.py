@@ -439,6 +439,23 @@ def mkt_krx_forecast(spark, d):
                       "direction", F.round("diff", 6).alias("diff"))
 
 
+def mkt_snp_list(spark, d):
+    base = scratch_path(spark, "mkt_snp_list")
+    src = enrich_listing(A.listing(spark, d), A.info(spark, d)).select(
+        F.col("code").alias("Symbol"), F.col("name").alias("Name"),
+        F.col("sector").alias("Sector"), F.col("market").alias("Industry"))
+    write_csv(src, f"{base}/landed")
+    return M.snp_list(spark, f"{base}/landed", f"{base}/table")
+
+
+def mkt_snp_stock_by_symbol(spark, d):
+    base = scratch_path(spark, "mkt_snp_stock_by_symbol")
+    stock = M.snp_stock(spark, _land_bars(spark, d, base, "Symbol"), f"{base}/snp_stock")
+    by_symbol = M.stock_by_symbol(spark, stock, "Symbol", f"{base}/table",
+                                  narrow=M.SNP_BY_SYMBOL)
+    return by_symbol.drop("bucket")
+
+
 def mkt_co_overview(spark, d):
     base = scratch_path(spark, "mkt_co_overview")
     table, _errors = M.company_overview(spark, overview_records(spark, d), base)
@@ -557,6 +574,8 @@ QUERIES = {
     "mkt_krx_list_by_market": mkt_krx_list_by_market,
     "mkt_krx_stock_by_market": mkt_krx_stock_by_market,
     "mkt_krx_forecast": mkt_krx_forecast,
+    "mkt_snp_list": mkt_snp_list,
+    "mkt_snp_stock_by_symbol": mkt_snp_stock_by_symbol,
     "fct_features": fct_features,
     "fct_linear": fct_linear,
     "fct_report": fct_report,
@@ -672,6 +691,12 @@ KRX_NAMED_BARS_SQL = f"""krx_bars AS ({A.SQL['bars']}),
                    CAST(b.volume AS DOUBLE) AS volume
             FROM krx_bars b JOIN customer c ON b.symbol = c.c_custkey)"""
 
+SNP_LIST_SQL = with_sql("""SELECT l.code AS "Symbol", l.name AS "Name",
+            i.sector AS "Sector", l.market AS "Industry"
+        FROM listing l LEFT JOIN info i ON l.code = i.code
+        WHERE l.code IS NOT NULL AND l.name IS NOT NULL AND i.sector IS NOT NULL
+          AND l.market IS NOT NULL""", "listing", "info")
+
 ORACLE = {
     "src_csv_roundtrip": with_sql("SELECT code, name, market, marcap FROM listing", "listing"),
     "src_csv_positional": with_sql("SELECT material, date, value FROM commodity", "commodity"),
@@ -821,11 +846,7 @@ ORACLE = {
             sector, "marketCap" AS marcap, "previousClose" AS previous_close,
             "regularMarketOpen" AS regular_market_open, {SNAP_CHANGE} AS changesratio
         FROM snapshot WHERE "shortName" IS NOT NULL AND "previousClose" <> 0""", "snapshot"),
-    "pip_snp_list": with_sql("""SELECT l.code AS "Symbol", l.name AS "Name",
-            i.sector AS "Sector", l.market AS "Industry"
-        FROM listing l LEFT JOIN info i ON l.code = i.code
-        WHERE l.code IS NOT NULL AND l.name IS NOT NULL AND i.sector IS NOT NULL
-          AND l.market IS NOT NULL""", "listing", "info"),
+    "pip_snp_list": SNP_LIST_SQL,
     "pip_snp_stock": FLAGSHIP_SQL,
     "pip_materials": with_sql("""SELECT material, date, value FROM commodity
         WHERE value IS NOT NULL AND date <= (SELECT max(date) FROM commodity)
@@ -864,6 +885,12 @@ ORACLE = {
     "mkt_co_overview": OVERVIEW_SQL,
     "mkt_krx_list_by_market": KRX_LIST_BY_MARKET_SQL,
     "mkt_krx_stock_by_market": with_sql(KRX_STOCK_BY_MARKET_SQL, "bars"),
+    "mkt_snp_list": SNP_LIST_SQL,
+    "mkt_snp_stock_by_symbol": with_sql("""SELECT date, open, high, low, close,
+            CAST(volume AS DOUBLE) AS volume, CAST(symbol AS VARCHAR) AS symbol,
+            CASE WHEN row_number() OVER w = 1 THEN 0.0
+                 ELSE (close - lag(close) OVER w) / nullif(lag(close) OVER w, 0) END AS change
+        FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY date)""", "bars"),
     "mkt_krx_forecast": with_sql(REPORT_SQL, more=KRX_NAMED_BARS_SQL + ",\n"
                                  + FEATURES_SQL + ",\n" + LINEAR_SQL),
     "mkt_snapshot": with_sql(f"""SELECT CAST(s.symbol AS VARCHAR) AS symbol,
