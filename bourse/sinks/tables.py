@@ -135,8 +135,12 @@ def refresh_table(df: DataFrame, base: str, *, key=None, required=(), types=None
             parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
             order = [order] if isinstance(order, str) else list(order or [])
             sort_cols = parts + order
-            # no fixed count: AQE may merge adjacent small ranges into fewer files
-            (typed.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
+            # A fixed writer count (the session's shuffle partitions, sized by
+            # scale_conf): ranges keep each partition value contiguous, so the
+            # files number at most writers + partition values, and the writers
+            # run in parallel even when AQE would merge small ranges into one.
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            (typed.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
                   .write.mode("errorifexists").partitionBy(*parts).parquet(path))
         else:
             typed.write.mode("errorifexists").parquet(path)
