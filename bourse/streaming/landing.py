@@ -18,6 +18,7 @@ a late row is filled from within its own batch only, and a full refresh
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +62,9 @@ def write_batches(df: DataFrame, out: str, checkpoint: str, fn=None) -> None:
     def sink(batch: DataFrame, batch_id: int) -> None:
         result = fn(batch, batch_id) if fn else batch
         result.write.mode("overwrite").parquet(_batch_path(out, batch_id))
+        release = getattr(fn, "release", None)
+        if release:
+            release()
 
     q = (df.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
            .trigger(availableNow=True).start())
@@ -95,7 +99,9 @@ class IncrementalFill:
                 if c not in seed.columns:
                     seed = seed.withColumn(c, F.lit(None).cast(dict(batch.dtypes)[c]))
             data = data.unionByName(seed.withColumn("_seed", F.lit(True)))
-        filled = self._fill(data)
+        # used twice (output and new state): kept for the batch, lineage intact
+        filled = self._fill(data).persist(StorageLevel.MEMORY_AND_DISK)
+        self._held = filled
         out = filled.filter(~F.col("_seed")).drop("_seed")
         new_state = filled.groupBy(self.key).agg(
             *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(),
@@ -107,6 +113,12 @@ class IncrementalFill:
             _delete(spark, _batch_path(self.state, old))
         return out
 
+    def release(self) -> None:
+        """Drop the batch's cached rows once its output is written."""
+        held, self._held = getattr(self, "_held", None), None
+        if held is not None:
+            held.unpersist()
+
     def _fill(self, data: DataFrame) -> DataFrame:
         # a seed row sorts before any batch row with the same order value
         tmp = data.withColumn("_seedrank", F.when(F.col("_seed"), 0).otherwise(1))
