@@ -1,6 +1,7 @@
 """Column expressions (SCL-*): built-in Spark functions only, no Python UDF."""
 
 from bourse.functions.scalar import (
+    INF_PATTERN,
     NUMBER_PATTERN,
     add_years,
     cast_columns,
@@ -20,7 +21,7 @@ from bourse.functions.scalar import (
 )
 
 __all__ = [
-    "NUMBER_PATTERN", "add_years", "cast_columns", "conform", "direction",
+    "INF_PATTERN", "NUMBER_PATTERN", "add_years", "cast_columns", "conform", "direction",
     "format_date", "json_field", "has_json_key", "limit_text", "nan_to_null",
     "parse_date", "parse_timestamp", "pct_diff", "text_too_long", "to_numeric",
     "zfill",

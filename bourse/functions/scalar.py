@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 # (optional sign, digits with an optional point or a leading point, optional
 # exponent, surrounding blanks).  Spark's own cast also takes '12d' and '5f'.
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# Fixed value: the infinity spellings pandas' numeric parse accepts.
+INF_PATTERN = r"^[+-]?(?i)(inf|infinity)$"
 
 
 def _col(c) -> Column:
@@ -30,9 +32,16 @@ def zfill(c, n: int) -> Column:
 
 
 def to_numeric(c) -> Column:
-    """SCL-2: coercing parse to double; anything unparsable becomes NULL."""
+    """SCL-2: coercing parse to double, as pandas' ``to_numeric(errors='coerce')``:
+    anything unparsable becomes NULL, a number too large for a double too,
+    and ``inf`` / ``infinity`` (any case, signed, no blanks) is infinite."""
     s = _col(c).cast("string")
-    return F.when(s.rlike(NUMBER_PATTERN), F.trim(s).try_cast("double"))
+    num = F.trim(s).try_cast("double")
+    inf = F.lit(float("inf"))
+    finite = F.when(s.rlike(NUMBER_PATTERN) & (F.abs(num) != inf), num)
+    infinite = F.when(s.rlike(INF_PATTERN),
+                      F.when(s.startswith("-"), -inf).otherwise(inf))
+    return F.coalesce(finite, infinite)
 
 
 def nan_to_null(c) -> Column:

@@ -589,7 +589,11 @@ QUERIES["pip_forecast"] = _pip_forecast
 
 NUM_RE = r"'^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$'"
 TO_NUMERIC_SQL = (f"CASE WHEN regexp_matches(close_text, {NUM_RE}) "
-                  f"THEN CAST(trim(close_text) AS DOUBLE) END")
+                  "AND NOT isinf(TRY_CAST(trim(close_text) AS DOUBLE)) "
+                  "THEN CAST(trim(close_text) AS DOUBLE) "
+                  "WHEN regexp_matches(close_text, '(?i)^[+-]?(inf|infinity)$') "
+                  "THEN CASE WHEN starts_with(close_text, '-') THEN -'inf'::DOUBLE "
+                  "ELSE 'inf'::DOUBLE END END")
 GROUP_SQL = ("CASE market WHEN 'BUILDING' THEN 'building' WHEN 'FURNITURE' THEN 'furniture' "
              "WHEN 'AUTOMOBILE' THEN 'vehicles' WHEN 'MACHINERY' THEN 'vehicles' END")
 BUSIEST_SQL = "SELECT symbol FROM bars GROUP BY symbol ORDER BY count(*) DESC, symbol LIMIT {k}"

@@ -27,6 +27,16 @@ def test_to_numeric_matches_fixture_and_pandas(spark):
         assert got[i] == exp, NUMBER_TEXT[i]
 
 
+def test_to_numeric_special_values_match_pandas(spark):
+    vals = ["inf", "-inf", "+inf", "INF", "infinity", "-Infinity", " inf ", "1e400", "+5",
+            "1.5e-3", "nan"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(vals)], "i int, t string")
+    got = {r.i: r.v for r in df.select("i", to_numeric("t").alias("v")).collect()}
+    for i, v in enumerate(pd.to_numeric(pd.Series(vals, dtype=object), errors="coerce")):
+        exp = None if math.isnan(v) else float(v)
+        assert got[i] == exp, vals[i]
+
+
 def test_zfill(spark):
     df = spark.createDataFrame([("5930",), ("1234567",), (None,), ("005930",)], "c string")
     assert [r.z for r in df.select(zfill("c", 6).alias("z")).collect()] == \
