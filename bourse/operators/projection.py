@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bourse.session import ensure_checkpoint_dir, shuffle_partitions
+
 
 def select_cols(df: DataFrame, *cols) -> DataFrame:
     """PRJ-1: plain projection; Catalyst prunes the Parquet read schema."""
@@ -51,7 +53,7 @@ def with_row_index(df: DataFrame, order: list, name: str = "index",
     total order (end it with a unique column).
     """
     spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = shuffle_partitions(spark)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     pid = F.spark_partition_id().cast("long")
     tagged = (df.repartitionByRange(n, *order)
@@ -59,7 +61,6 @@ def with_row_index(df: DataFrame, order: list, name: str = "index",
                 .withColumn("_pid", pid)
                 .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid, 33)))
     if checkpoint:
-        from bourse.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(spark)
         tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

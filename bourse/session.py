@@ -71,6 +71,15 @@ def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 <
     }
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The session's shuffle partition count, or the default parallelism when
+    the setting is not a number (some deployments use ``auto``)."""
+    try:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        return spark.sparkContext.defaultParallelism
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
     sc = spark.sparkContext

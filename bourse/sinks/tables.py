@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from bourse.functions.scalar import cast_columns
 from bourse.operators.keys import assert_key
 from bourse.operators.projection import with_row_index
+from bourse.session import shuffle_partitions
 
 MARKER = "_AUDITED"
 BUCKET = "bucket"
@@ -55,7 +56,7 @@ def write_per_value_files(df: DataFrame, path: str, key: str, order=(),
     hot value is still split over several tasks."""
     # A fixed task count: one folder per value means many small files, and
     # AQE's byte-based coalescing would hand them all to one serial writer.
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = shuffle_partitions(df.sparkSession)
     cols = [key] + list(order)
     (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
        .write.partitionBy(key).option("header", header).csv(path))
@@ -139,7 +140,7 @@ def refresh_table(df: DataFrame, base: str, *, key=None, required=(), types=None
             # scale_conf): ranges keep each partition value contiguous, so the
             # files number at most writers + partition values, and the writers
             # run in parallel even when AQE would merge small ranges into one.
-            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            n = shuffle_partitions(spark)
             (typed.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
                   .write.mode("errorifexists").partitionBy(*parts).parquet(path))
         else:
