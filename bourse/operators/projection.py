@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bourse.session import ensure_checkpoint_dir, shuffle_partitions
+from bourse.session import ensure_checkpoint_dir
 
 
 def select_cols(df: DataFrame, *cols) -> DataFrame:
@@ -53,10 +53,11 @@ def with_row_index(df: DataFrame, order: list, name: str = "index",
     total order (end it with a unique column).
     """
     spark = df.sparkSession
-    n = shuffle_partitions(spark)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     pid = F.spark_partition_id().cast("long")
-    tagged = (df.repartitionByRange(n, *order)
+    # no fixed count: AQE sizes the ranges (a small result is not spread over
+    # a large cluster's reducer count); partition ids follow range order
+    tagged = (df.repartitionByRange(*order)
                 .sortWithinPartitions(*order)
                 .withColumn("_pid", pid)
                 .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid, 33)))

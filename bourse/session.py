@@ -21,6 +21,9 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # AQE may merge shuffle output down to partitions of this size; small
+    # enough that a few MB of landing data still gets parallel writers.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # cp949 landed files need the JDK charset table (SRC-4).
     "spark.sql.legacy.javaCharsets": "true",
@@ -65,21 +68,14 @@ def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 <
         "spark.sql.shuffle.partitions": str(reducers),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(reducers),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        # on a shared cluster size reducers by bytes, not by idle cores
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
     }
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    """The session's shuffle partition count, or the default parallelism when
-    the setting is not a number (some deployments use ``auto``)."""
-    try:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except (TypeError, ValueError):
-        return spark.sparkContext.defaultParallelism
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
     sc = spark.sparkContext

@@ -22,7 +22,6 @@ from pyspark.sql import types as T
 from bourse.functions.scalar import cast_columns
 from bourse.operators.keys import assert_key
 from bourse.operators.projection import with_row_index
-from bourse.session import shuffle_partitions
 
 MARKER = "_AUDITED"
 BUCKET = "bucket"
@@ -54,11 +53,10 @@ def write_per_value_files(df: DataFrame, path: str, key: str, order=(),
     shape an extractor that writes a file per symbol leaves behind.  Rows are
     range-partitioned on (key, order) first: about one file per value, and a
     hot value is still split over several tasks."""
-    # A fixed task count: one folder per value means many small files, and
-    # AQE's byte-based coalescing would hand them all to one serial writer.
-    n = shuffle_partitions(df.sparkSession)
+    # Writers sized by AQE from the bytes, as for tables (see session defaults
+    # for the small-partition floor that keeps small landings parallel).
     cols = [key] + list(order)
-    (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
        .write.partitionBy(key).option("header", header).csv(path))
     return path
 
@@ -136,12 +134,11 @@ def refresh_table(df: DataFrame, base: str, *, key=None, required=(), types=None
             parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
             order = [order] if isinstance(order, str) else list(order or [])
             sort_cols = parts + order
-            # A fixed writer count (the session's shuffle partitions, sized by
-            # scale_conf): ranges keep each partition value contiguous, so the
-            # files number at most writers + partition values, and the writers
-            # run in parallel even when AQE would merge small ranges into one.
-            n = shuffle_partitions(spark)
-            (typed.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+            # No fixed writer count: AQE sizes the ranges by bytes, so a small
+            # table is not spread over a large cluster's reducer count.  Ranges
+            # keep each partition value contiguous: files number at most
+            # writers + partition values.
+            (typed.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
                   .write.mode("errorifexists").partitionBy(*parts).parquet(path))
         else:
             typed.write.mode("errorifexists").parquet(path)
