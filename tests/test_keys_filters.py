@@ -123,3 +123,17 @@ def test_row_index_is_consecutive_across_partitions(spark):
     rows = out.orderBy("index").collect()
     assert [r["index"] for r in rows] == list(range(1, 2501))
     assert [r.v for r in rows] == sorted((r.v for r in rows), reverse=True)
+
+
+def test_dropna_variants_match_pandas(spark):
+    import pandas as pd
+    rows = [(1, 1.0, "a"), (2, float("nan"), "b"), (3, None, None), (4, 2.0, None),
+            (5, float("nan"), None)]
+    df = spark.createDataFrame(rows, "id int, v double, s string")
+    pdf = pd.DataFrame(rows, columns=["id", "v", "s"])
+    cases = [(drop_nan(df, ["v"]), pdf.dropna(subset=["v"])),
+             (drop_nan(df), pdf.dropna()),
+             (drop_all_nan(df.select("v", "s")), pdf[["v", "s"]].dropna(how="all"))]
+    for got, want in cases:
+        assert got.count() == len(want)
+    assert sorted(r.id for r in drop_nan(df, ["v"]).collect()) == list(pdf.dropna(subset=["v"]).id)
