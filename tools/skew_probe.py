@@ -1,5 +1,7 @@
 """Hot-key probe: a third of all price rows moved onto one code, then the
-per-code forward fill run with and without month segments.  Task sizes come
+per-code forward fill run with and without month segments; and a third of
+the rows made copies of one (code, date), then keep-first run as a
+map-side-combined aggregate and as a row_number window.  Task sizes come
 from Spark's event log (written to a fresh scratch folder, no UI).
 
     python tools/skew_probe.py [sf_dir]
@@ -19,8 +21,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from bourse.operators.keys import keep_first  # noqa: E402
 from bourse.operators.series import ffill  # noqa: E402
 from bourse.plans import adapters as A  # noqa: E402
 from bourse.session import get_session  # noqa: E402
@@ -73,10 +77,24 @@ def main() -> None:
         ffill(base, "code", ["date", "rid"], ["close"], segment=seg) \
             .write.format("noop").mode("overwrite").save()
         results[job_id] = (label, time.perf_counter() - t0)
+    # a group of copies: every third order becomes a copy of one (code, date)
+    copies = p.withColumn("code", F.when(F.col("rid") % 3 == 0, F.lit("000001"))
+                          .otherwise(F.col("code"))) \
+              .withColumn("date", F.when(F.col("rid") % 3 == 0, F.lit("1995-01-02").cast("date"))
+                          .otherwise(F.col("date")))
+    w = Window.partitionBy("code", "date").orderBy("rid")
+    for job_id, (label, fn) in enumerate([
+            ("keep-first (min_by)", lambda: keep_first(copies, ["code", "date"], ["rid"])),
+            ("keep-first (row_number)", lambda: copies.withColumn(
+                "rn", F.row_number().over(w)).filter("rn = 1").drop("rn"))], start=3):
+        spark.sparkContext.setJobDescription(str(job_id))
+        t0 = time.perf_counter()
+        fn().write.format("noop").mode("overwrite").save()
+        results[job_id] = (label, time.perf_counter() - t0)
     spark.sparkContext.setJobDescription(None)
     spark.stop()
     recs = task_records(log_dir)
-    print(f"rows on the hot code: {n_hot}")
+    print(f"rows on the hot code (and, below, copies of one (code, date)): {n_hot}")
     for job_id, (label, secs) in results.items():
         r = recs.get(job_id, [0])
         print(f"{label:20s} max shuffle records per task {max(r):7d}  "
