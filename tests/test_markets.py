@@ -175,3 +175,19 @@ def test_daily_snp_chain(spark, tmp_base):
     assert out["stock_by_symbol"].schema["date"].dataType.typeName() == "date"
     rep = out["forecast"].collect()
     assert len(rep) == 1 and rep[0].direction == "up"
+
+
+def test_daily_nas_chain(spark, tmp_base):
+    from bourse.plans.daily import run_nas_day
+    landed = {
+        "nas_list": land(spark, f"{tmp_base}/l", list(M.NAS_LIST_TYPES), [
+            ["AAPL", "Apple", "Tech", "1"], ["AAPL", "Apple dup", "Tech", "1"]]),
+        "nas_stock": land(spark, f"{tmp_base}/s", M.NAS_STOCK_LANDED, [
+            [f"2024-02-{d:02d}", 10 + d, 11 + d, 9 + d, 10 + d * 0.5, 10 + d * 0.5, 100 + d,
+             "AAPL"] for d in range(1, 20)]),
+    }
+    out = run_nas_day(spark, landed, f"{tmp_base}/day")
+    assert [r.Name for r in out["nas_list"].collect()] == ["Apple"]
+    assert out["nas_stock"].count() == 19 and out["stock_by_symbol"].count() == 19
+    rep = out["forecast"].collect()
+    assert len(rep) == 1 and rep[0].symbol == "AAPL" and rep[0].direction == "up"
