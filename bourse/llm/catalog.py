@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from bourse.llm import simhash
+from bourse.llm import line_dedup, simhash
 
 QUERIES = {
+    "op6_line_chunks": line_dedup.op6_line_chunks,
     "op9_simhash_golay": simhash.op9_simhash_golay,
 }
 

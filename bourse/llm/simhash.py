@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bourse.llm.common import NULL_ID, id_key, stored, table
+from bourse.llm.common import id_key, stored, table
 
 SEED = 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))      # (first bit, bits)
@@ -291,14 +291,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = MAX_BITS,
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each component: that of its smallest doc_id.
-    Of several rows with that id one stays (any, they are in one component);
-    of a component without ids, one row too."""
+    An id, or none, stands for one document: of several rows with it one stays."""
     found = near_duplicates(docs, shingle, max_bits)
-    # the id that stays, and the fingerprint it must have if its id is repeated
     stay = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy(id_key().alias("_id")).agg(F.min("fp").alias("_fp")).select("_id"))
-    keyed = docs.withColumn("_id", id_key())
-    return keyed.join(stay, "_id", "left_semi").dropDuplicates(["_id"]).drop("_id")
+            .select(id_key().alias("_id")).distinct())
+    rows = docs.select(id_key().alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(stay, "_id", "left_semi").dropDuplicates(["_id"]).select("row.*")
 
 
 # --- query ---------------------------------------------------------------------
