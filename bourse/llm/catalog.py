@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from bourse.llm import line_dedup, simhash
+from bourse.llm import decontaminate, line_dedup, simhash
 
 QUERIES = {
     "op6_line_chunks": line_dedup.op6_line_chunks,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
     "op9_simhash_golay": simhash.op9_simhash_golay,
 }
 
