@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from bourse.llm import decontaminate, line_dedup, simhash
+from bourse.llm import decontaminate, line_dedup, packing, simhash
 
 QUERIES = {
     "op6_line_chunks": line_dedup.op6_line_chunks,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op9_simhash_golay": simhash.op9_simhash_golay,
+    "op10_bm25_packing": packing.op10_bm25_packing,
 }
 
 ORACLE: dict[str, str] = {}
