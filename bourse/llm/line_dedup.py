@@ -14,8 +14,8 @@ runs to the first boundary that is at least ``MIN_LINES`` away, or to
 
 Repeats.  Chunks are counted by hash over all documents.  The copy in the
 document with the smallest id stays.  For all others the first copy's text
-is brought along, with up to ``MARGIN`` lines on either side; the chunk is
-removed only if its bytes equal those of the first copy, and the removal
+is brought along, in blocks of ``BLOCK_LINES`` lines with at least ``MARGIN``
+more on either side; the chunk is removed only if its bytes equal those of the first copy, and the removal
 extends over neighbouring lines as long as they are equal byte by byte too.
 A removed run has at least ``min_words`` words, so that headers, footers and
 chance repeats of short sentences stay.  A chunk that repeats within one
@@ -49,7 +49,9 @@ from bourse.llm.common import id_key, stored, table
 WINDOW = 2
 MIN_LINES = 2
 MAX_LINES = 3
-MARGIN = 12
+MARGIN = 3
+#: Lines of a first copy that travel together.
+BLOCK_LINES = 16
 #: Share of the rolling hash's range that opens a chunk.
 OPENS = 0.75
 MIN_CHUNK_WORDS = 8
@@ -176,34 +178,45 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     repeated = stored(chunks.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
                       .where(F.col("n") > 1).select("h", "first"), "repeated-chunks")
 
-    # the first copy's lines around each repeated chunk; one exchange of the
-    # documents serves this join and the last one
+    # the first copies' lines, in blocks, with the repeated chunks they hold
     wanted = repeated.groupBy(F.col("first").alias("_id")).agg(F.collect_list("h").alias("_wanted"))
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(0, b.num_rows, 64):
                 part = b.slice(k, 64)
-                h, near, there = [], [], []
-                for text, wants in zip(part.column("row").field("text").to_pylist(), part.column("_wanted").to_pylist()):
+                cols: list[list] = [[] for _ in range(5)]
+                for i, text, wants in zip(part.column("_id").to_pylist(), part.column("row").field("text").to_pylist(),
+                                          part.column("_wanted").to_pylist()):
                     if not wants:
                         continue
                     _, keys, _, chunks_here = _parsed(text or "")
-                    todo = set(wants)
-                    for at, size, x in chunks_here:
+                    todo, own = set(wants), {}
+                    for at, _, x in chunks_here:
                         if x in todo:
                             todo.discard(x)
-                            lo = max(0, at - MARGIN)
-                            h.append(x)
-                            near.append(b"\n".join(keys[lo:at + size + MARGIN]))
-                            there.append(at - lo)
-                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(near, pa.binary()), pa.array(there, pa.int32())],
-                                                 names=["h", "around", "there"])
-
-    originals = rows.join(wanted, "_id", "left").mapInArrow(around, "h long, around binary, there int")
-    copies = chunks.join(repeated, "h").where(F.col("id") != F.col("first")).select("h", "id")
-    found = (copies.join(originals, "h").groupBy(F.col("id").alias("_id"))
-             .agg(F.collect_list(F.struct("h", "around", "there")).alias("_found")))
+                            own.setdefault(at // BLOCK_LINES, []).append((x, at))
+                    doc = xxhash.xxh64_intdigest((text or "").encode("utf-8", "surrogatepass")) - (1 << 63)
+                    for block, found_here in own.items():
+                        lo = max(0, block * BLOCK_LINES - MARGIN)
+                        near = keys[lo:(block + 1) * BLOCK_LINES + MAX_LINES + MARGIN]
+                        for col, x in zip(cols, (i, doc, block, b"\n".join(near),
+                                                 [{"h": h, "at": at - lo} for h, at in found_here])):
+                            col.append(x)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.binary(),
+                                                           pa.list_(pa.struct([("h", pa.int64()), ("at", pa.int32())]))))],
+                    names=["id", "doc", "block", "near", "own"])
+
+    place = ["id", "doc", "block"]
+    blocks = stored(rows.join(wanted, "_id", "left").mapInArrow(
+        around, "id long, doc long, block int, near binary, own array<struct<h: long, at: int>>"), "first-copies")
+    copies = (chunks.withColumnRenamed("id", "copy").join(repeated, "h").where(F.col("copy") != F.col("first"))
+              .select("h", "copy"))
+    hits = (copies.join(blocks.select(*place, F.inline("own")), "h")
+            .groupBy("copy", *place).agg(F.collect_list(F.struct("h", "at")).alias("own")))
+    found = (hits.join(blocks.select(*place, "near"), place).groupBy(F.col("copy").alias("_id"))
+             .agg(F.collect_list(F.struct("near", "own")).alias("_found")))
 
     names = [*docs.columns, *added]
     text_at = names.index("text")
@@ -217,7 +230,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 for text, hits in zip(fields[text_at].to_pylist(), part.column("_found").to_pylist()):
                     near: dict[int, list] = {}
                     for x in hits or ():
-                        near.setdefault(x["h"], []).append((x["around"].split(b"\n"), x["there"]))
+                        around_it = x["near"].split(b"\n")
+                        for c in x["own"]:
+                            near.setdefault(c["h"], []).append((around_it, c["at"]))
                     new, *n = clean_text(text, near, min_words) if text else (text, 0, 0)
                     texts.append(new)
                     for to, x in zip(counts, n):
