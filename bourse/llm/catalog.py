@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from bourse.llm import decontaminate, line_dedup, packing, simhash
+from bourse.llm import decontaminate, hilbert, line_dedup, packing, simhash, toxicity, zstd_quality
 
 QUERIES = {
+    "op3_zstd_quality": zstd_quality.op3_zstd_quality,
+    "op4_cnn_toxicity": toxicity.op4_cnn_toxicity,
     "op6_line_chunks": line_dedup.op6_line_chunks,
     "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op8_hilbert_shards": hilbert.op8_hilbert_shards,
     "op9_simhash_golay": simhash.op9_simhash_golay,
     "op10_bm25_packing": packing.op10_bm25_packing,
 }

@@ -85,27 +85,26 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str], prefix: int = 0) -> tuple[np.ndarray, ...]:
     """Hashes of all lower-cased words (runs of ASCII letters, digits and any
     other-than-ASCII characters) of many texts, in order, and the index of
-    each word's text.  One pass of array operations; no loop over words."""
-    words, owners = [], []
+    each word's text; with ``prefix``, also hashes of the words' first bytes,
+    as many.  One pass of array operations; no loop over words."""
+    parts = [[np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.uint64)]]
     at = 0
     while at < len(texts):
         end, size = at, 0
         while end < len(texts) and (end == at or size + len(texts[end]) <= _BLOCK):
             size += len(texts[end])
             end += 1
-        w, o = _block_hashes(texts[at:end])
-        words.append(w)
-        owners.append(o + at)
+        w, o, p = _block_hashes(texts[at:end], prefix)
+        for to, x in zip(parts, (w, o + at, p)):
+            to.append(x)
         at = end
-    if not words:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    return np.concatenate(words), np.concatenate(owners)
+    return tuple(map(np.concatenate, parts[:3 if prefix else 2]))
 
 
-def _block_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def _block_hashes(texts: list[str], prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     raw = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
     ends = np.cumsum([len(r) + 1 for r in raw])
     data = np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8)
@@ -113,8 +112,8 @@ def _block_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0)))
     start, stop = edge[0::2], edge[1::2]
     if not len(start):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    h = np.zeros(len(start), dtype=np.uint64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64)
+    first = h = np.zeros(len(start), dtype=np.uint64)
     length = stop - start
     # one step for each letter position; only words that are long enough take part
     todo = np.arange(len(start))
@@ -122,6 +121,8 @@ def _block_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if k:
             todo = todo[length[todo] > k]
         h[todo] = (h[todo] ^ (data[start[todo] + k].astype(np.uint64) + np.uint64(1))) * _P
+        if k == prefix - 1:
+            first = h.copy()
     for i in np.flatnonzero(length > _STEPS):      # what is left of a very long word, in one go
         chunk = data[start[i] + _STEPS:stop[i]].astype(np.uint64) + np.uint64(1)
         x = h[i:i + 1]
@@ -129,4 +130,4 @@ def _block_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             part = chunk[a:a + len(_POW)]
             x = x * _POW[len(part) - 1] * _P + (part * _POW[:len(part)][::-1]).sum(dtype=np.uint64)
         h[i] = x[0]
-    return mix(h), np.searchsorted(ends, start, side="right")
+    return mix(h), np.searchsorted(ends, start, side="right"), mix(first)
