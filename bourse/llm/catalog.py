@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from bourse.llm import decontaminate, hilbert, line_dedup, packing, simhash, toxicity, zstd_quality
+from bourse.llm import decontaminate, hilbert, line_dedup, packing, simhash, toxicity, vptree, zstd_quality
 
 QUERIES = {
+    "op2_vptree": vptree.op2_vptree,
     "op3_zstd_quality": zstd_quality.op3_zstd_quality,
     "op4_cnn_toxicity": toxicity.op4_cnn_toxicity,
     "op6_line_chunks": line_dedup.op6_line_chunks,

@@ -114,13 +114,15 @@ def cut_runs(df: DataFrame, order: list[str], shards: int = SHARDS) -> DataFrame
 
 
 def hilbert_shards(docs: DataFrame, shards: int = SHARDS, dimensions: tuple[str, ...] = DIMENSIONS,
-                   bits: int = BITS, order: tuple[str, ...] = ("text_crc32", "doc_id"),
+                   bits: int = BITS, order: tuple[str, ...] = ("doc_id",),
                    keep: list[Column] | None = None) -> DataFrame:
-    """``docs`` with shard, slot and hilbert (its place on the curve).  ``keep``
+    """``docs`` with shard, slot and hilbert (its place on the curve), in place
+    of columns so called.  ``keep``
     are the columns to carry (all of ``docs`` by default); ``order`` names those
     of them that decide within a cell."""
     axes = [f"_axis{i}" for i in range(len(dimensions))]
-    keep = keep or [F.col(f"`{c}`") for c in docs.columns]
+    taken = {"shard", "slot", "hilbert", "_tie", "_row", *axes}
+    keep = keep or [F.col(f"`{c}`") for c in docs.columns if c not in taken]
     placed = docs.select(*keep, *[b.alias(a) for a, b in zip(axes, bins(docs, dimensions, bits))])
     placed = curve_place(placed, axes, bits, "hilbert")
     return cut_runs(placed, ["hilbert", *order], shards)
@@ -129,7 +131,7 @@ def hilbert_shards(docs: DataFrame, shards: int = SHARDS, dimensions: tuple[str,
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, dimensions: tuple[str, ...] = DIMENSIONS) -> None:
     """Write ``docs`` as Parquet, a folder for each shard, sorted by slot: files
     whose statistics a filter on any dimension can use."""
-    done = hilbert_shards(docs, shards, dimensions, order=("doc_id",))
+    done = hilbert_shards(docs, shards, dimensions)
     (done.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
          .write.partitionBy("shard").parquet(path))
 
@@ -140,6 +142,6 @@ def op8_hilbert_shards(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     done = hilbert_shards(docs, keep=[
-        F.col("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32")])
+        F.col("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32")], order=("text_crc32", "doc_id"))
     return done.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                        F.lit(None).cast("int").alias("grown_shard"), "hilbert")
