@@ -161,12 +161,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, factor: float = FA
     queries = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "vec")
     shards = max(1, -(-classes.count() // shard_rows))
     blocks = max(1, -(-queries.count() // block_rows))
-    sample = (classes.select("vec", F.col("ids")[0].alias("id")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
-              .select("vec").collect())
-    by_size: dict[int, list] = {}
-    for r in sample:
-        by_size.setdefault(len(r["vec"]), []).append(r["vec"])
-    samples = spark.sparkContext.broadcast({n: np.array(v) for n, v in by_size.items()})
+    # a bounded sample gives each query its first candidates, and so a limit to prune by
+    taken = (classes.select("vec", "ids").orderBy(F.xxhash64(F.col("ids")[0]), F.col("ids")[0]).limit(SAMPLE_ROWS).collect())
+    by_size: dict[int, tuple[list, list]] = {}
+    for r in taken:
+        own = by_size.setdefault(len(r["vec"]), ([], []))
+        own[0].append(r["vec"])
+        own[1].append(r["ids"])
+    sample = spark.sparkContext.broadcast({n: (np.array(x), ids) for n, (x, ids) in by_size.items()})
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple[int, int, float]] = []
@@ -175,12 +177,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, factor: float = FA
             ids = left.column("ids").to_pylist()
             names = np.array([i[0] for i in ids])
             query_ids = right.column("query_id").to_pylist()
-            tau = limits(samples.value.get(x.shape[1]), q, k)
+            own, first = sample.value.get(x.shape[1], (np.empty((0, x.shape[1])), []))
+            rows, tau = start(own, q, k)
             found = Search(Tree(x), q, tau, k + 1, factor, names)
             order = found.tree.order
-            for query, own in zip(query_ids, found.found):
-                hits = ((d, i) for d, _, row in own for i in ids[order[row]] if i != query)
-                out.extend((query, i, d) for d, i in sorted(hits)[:k])
+            for i, (query, hits) in enumerate(zip(query_ids, found.found)):
+                near = {(d, n) for d, _, row in hits for n in ids[order[row]] if n != query}
+                for row in rows[i]:
+                    d = float(np.sqrt(((q[i] - own[row]) ** 2).sum()))
+                    near.update((d, n) for n in first[row] if n != query)
+                out.extend((query, n, d) for d, n in sorted(near)[:k])
         cols = list(zip(*out)) or [()] * 3
         return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())],
                         names=["query_id", "vec_id", "score"])
@@ -188,27 +194,29 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, factor: float = FA
     size = F.size("vec").alias("dims")
     data = classes.select(size, F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(shards)).alias("shard"),
                           F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec", "ids")
-    asked = queries.select(size, F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long").alias("shard"),
+    asked = queries.select(size, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
                            F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"), "vec", "query_id")
     key = ["dims", "shard", "block"]
     found = (data.groupBy(*key).cogroup(asked.groupBy(*key))
              .applyInArrow(search, "query_id long, vec_id long, score double"))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))     # shards repeat the sample
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
-def limits(sample: np.ndarray | None, q: np.ndarray, k: int) -> np.ndarray:
-    """An upper limit of each query's distance to its (k + 1)-th nearest class,
-    itself included: the one within the sample (and itself, if not in it)."""
-    if sample is None or len(sample) < k + 1:
-        return np.full(len(q), np.inf)
-    out = []
+def start(sample: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each query the k + 1 nearest rows of the sample (the query itself may
+    be among them), and the largest of their distances: no class beyond it can
+    be needed.  A sample with fewer rows sets no limit."""
+    n = min(k + 1, len(sample))
+    rows, limit = [np.empty((0, n), dtype=np.int64)], [np.empty(0)]
     for at in range(0, len(q), 256):
         part = q[at:at + 256]
         square = (part ** 2).sum(axis=1)[:, None] + (sample ** 2).sum(axis=1)[None] - 2 * part @ sample.T
-        out.append(np.partition(square, k, axis=1)[:, k])
-    return np.sqrt(np.maximum(np.concatenate(out), 0) + 1e-6)
+        rows.append(np.argsort(square, axis=1, kind="stable")[:, :n])
+        limit.append(np.take_along_axis(square, rows[-1][:, -1:], axis=1)[:, 0] if n > k else np.full(len(part), np.inf))
+    return np.concatenate(rows), np.sqrt(np.maximum(np.concatenate(limit), 0) + 1e-6)
 
 
 # --- query ---------------------------------------------------------------------
