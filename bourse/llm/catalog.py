@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from bourse.llm import decontaminate, hilbert, line_dedup, packing, simhash, toxicity, vptree, zstd_quality
+from bourse.llm import decontaminate, hilbert, license_scan, line_dedup, packing, pii, simhash, toxicity, vptree, zstd_quality
 
 QUERIES = {
+    "op1_pii_boosting": pii.op1_pii_boosting,
     "op2_vptree": vptree.op2_vptree,
     "op3_zstd_quality": zstd_quality.op3_zstd_quality,
     "op4_cnn_toxicity": toxicity.op4_cnn_toxicity,
+    "op5_license_index": license_scan.op5_license_index,
     "op6_line_chunks": line_dedup.op6_line_chunks,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_hilbert_shards": hilbert.op8_hilbert_shards,
