@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from bourse.llm import decontaminate, hilbert, license_scan, line_dedup, packing, pii, simhash, toxicity, vptree, zstd_quality
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_hilbert_shards": hilbert.op8_hilbert_shards,
     "op9_simhash_golay": simhash.op9_simhash_golay,
     "op10_bm25_packing": packing.op10_bm25_packing,
+    "pipeline": corpus_pipeline.pipeline,
 }
 
 ORACLE: dict[str, str] = {}
