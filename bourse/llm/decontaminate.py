@@ -1,10 +1,11 @@
 """Benchmark leaks: rare n-gram seeds join passages to test items, and a
 Smith-Waterman alignment of words scores the copy, edited or not.
 
-1. Words are lower-cased runs of letters and digits; an item's seeds are its
-   rarer half of n-grams (``SEED_WORDS`` words), by the number of documents
-   that hold them, counted over the whole corpus.  Ranks are relative to the
-   item: a passage that a third of all documents contain still has its seeds.
+1. Words are lower-cased runs of letters and digits; an item's seeds are the
+   rarer ``RARE_SHARE`` of its n-grams (``SEED_WORDS`` words) that occur at all,
+   by the number of documents that hold them, counted over the whole corpus.
+   Ranks are relative to the item: a passage that a third of all documents
+   contain still has its seeds.
 2. Seeds found in a document vote for (item, diagonal): where the passage
    would begin.  Votes that lie within ``BAND`` words of one another make one
    passage; it needs ``MIN_SEEDS`` of them (or all seeds the item has).
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from bourse.llm.common import id_key, mix, stored, table, word_hashes
 
 SEED_WORDS = 3
-RARE_SHARE = 0.5
+RARE_SHARE = 0.75
 MIN_SEEDS = 2
 BAND = 12
 MIN_SCORE = 0.5
@@ -118,8 +119,9 @@ def seeds_of(items: list[np.ndarray], counts: dict[int, int], rare_share: float
     for i, words in enumerate(items):
         g = grams(words, _gram_size(words))
         n = np.array([counts.get(x, 0) for x in g.view(np.int64).tolist()])
-        limit = np.sort(n)[int(np.ceil(len(n) * rare_share)) - 1]
-        rare = np.flatnonzero(n <= limit)
+        known = np.sort(n[n > 0])
+        limit = known[int(np.ceil(len(known) * rare_share)) - 1] if len(known) else 0
+        rare = np.flatnonzero((n > 0) & (n <= limit))
         hashes.append(g[rare])
         owner.append(np.full(len(rare), i))
         place.append(rare)
