@@ -27,6 +27,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has a column called that."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def id_key(col: str = "doc_id") -> Column:
     """A never-null long for an id, so that joins keep rows without one."""
     return F.coalesce(F.col(col).cast("long"), F.lit(NULL_ID))

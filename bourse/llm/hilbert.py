@@ -56,8 +56,8 @@ def bins(df: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, bits: int = BI
     out = []
     for i, d in enumerate(dimensions):
         value = as_number(df, d)
-        # a value that fills several bins takes the last of them once
-        found = [F.when(value > F.lit(e), 1).otherwise(0) for e in sorted(set(edges[i] or []))]
+        # a value that fills several bins takes the first of them, the next value the one after
+        found = [F.when(value > F.lit(e), 1).otherwise(0) for e in edges[i] or []]
         out.append(reduce(add, found, F.lit(0)).cast("int"))
     return out
 

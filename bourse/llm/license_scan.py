@@ -29,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bourse.llm.common import table
+from bourse.llm.common import free_name, table
 
 ANCHORS = 8
 TOLERANCE = 2
@@ -208,14 +208,16 @@ def scan(docs: DataFrame, index: list[tuple]) -> DataFrame:
         return F.struct(F.size(w).cast("long").alias("n_words"), base(w).alias("base"), scores.alias("scores"))
 
     found = let(F.struct(words(F.col("text")).alias("words")), file)
-    labels = F.array_compact(F.array(*[F.when(F.col("_file.scores")[k] > 0, F.lit(t[0])) for k, t in enumerate(index)]))
+    own = free_name(docs, "file")
+    got = F.col(own)
+    labels = F.array_compact(F.array(*[F.when(got["scores"][k] > 0, F.lit(t[0])) for k, t in enumerate(index)]))
     # one generated row for each row: a file is scanned here and nowhere again
-    return (docs.select(*kept, F.explode(F.array(found)).alias("_file"))
-            .select(*kept, F.col("_file.n_words").alias("n_words"), F.col("_file.base.n").alias("n_base"),
-                    F.col("_file.base.first").alias("first_word"), F.col("_file.base.last").alias("last_word"),
-                    F.array_sort(F.array_distinct(F.col("_file.base.labels"))).alias("base_labels"),
-                    F.array_sort(F.array_distinct(F.concat(F.col("_file.base.labels"), labels))).alias("all_labels"),
-                    F.array_max("_file.scores").alias("score")))
+    return (docs.select(*kept, F.explode(F.array(found)).alias(own))
+            .select(*kept, got["n_words"].alias("n_words"), got["base"]["n"].alias("n_base"),
+                    got["base"]["first"].alias("first_word"), got["base"]["last"].alias("last_word"),
+                    F.array_sort(F.array_distinct(got["base"]["labels"])).alias("base_labels"),
+                    F.array_sort(F.array_distinct(F.concat(got["base"]["labels"], labels))).alias("all_labels"),
+                    F.array_max(got["scores"]).alias("score")))
 
 
 # --- query ---------------------------------------------------------------------

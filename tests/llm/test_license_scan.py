@@ -1,0 +1,74 @@
+import pytest
+
+from bourse.llm import license_scan as ls
+
+TEXTS = [
+    None, "", "nothing of the kind", "MIT License mit license. MIT-License", "the apache\nlicense and THE General Public LICENSE",
+    "Released under the MIT License.", "Intro words first. Licensed under CC BY-NC 4.0. More.",
+    "This work is licensed under the GNU General Public License, version 3.",
+    "a licence that is not; public license general", "submit license", "mit_license mitlicense mit licenses",
+    "éa mit license é𝄞 apache license", "All rights reserved.", "word " * 30_000 + "mit license",
+    "Permission is hereby granted, free of any charge, to any person obtaining copies of this software and its associated "
+    "documentation files, to deal in the Software without restriction",
+    "permission granted free charge person obtaining copy software associated documentation deal",
+    "license " * 2000,
+]
+
+
+def brute(t):
+    w = ls.words_of(t or "")
+    found = []
+    for phrase, label in ls.PHRASES.items():
+        p = phrase.split()
+        found += [(i, label) for i in range(len(w) - len(p) + 1) if w[i:i + len(p)] == p]
+    return (len(w), len(found), min((i for i, _ in found), default=None), max((i for i, _ in found), default=None),
+            sorted({x for _, x in found}))
+
+
+@pytest.fixture(scope="module")
+def scanned(spark):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    return {r["doc_id"]: r for r in ls.scan(df, ls.postings(ls.idf(df))).collect()}
+
+
+def test_base_places(scanned):
+    for i, t in enumerate(TEXTS):
+        r = scanned[i]
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == brute(t), t
+        assert set(r["base_labels"]) <= set(r["all_labels"]) and 0 <= r["score"] <= 1
+
+
+def test_template_labels(scanned):
+    labels = {i: set(scanned[i]["all_labels"]) - set(scanned[i]["base_labels"]) for i in scanned}
+    assert labels[6] == {"cc-by-nc-4.0"} and labels[7] == {"gpl-3.0"} and labels[12] == {"all-rights-reserved"}
+    assert scanned[14]["all_labels"] == ["mit"]           # an edited copy of the grant
+    assert scanned[15]["all_labels"] == []                # its words without the mandatory phrase
+    assert all(not labels[i] for i in (0, 1, 2, 8, 9, 10, 16))
+
+
+def test_query_against_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = ls.op5_license_index(spark, sf).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        n, k, first, last, labels = brute(texts[r["doc_id"]])
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == (n, k, first, last, ",".join(labels))
+        notice = {"apache-2.0": "Licensed under the Apache License, Version 2.0", "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
+                  "gpl-3.0": "under the GNU General Public License, version 3"}
+        for label, text in notice.items():
+            if text.lower() in texts[r["doc_id"]].lower():
+                assert label in r["labels"].split(",")
+
+
+def test_weights_count_documents(spark, docs):
+    w = ls.idf(docs(["license license", "license public", None, "x"]))
+    assert w["license"] < w["public"] < w["mozilla"]
+
+
+def test_odd_tables(spark, docs):
+    df = docs([(1, "mit license"), (1, "mit license"), (None, None)], extra=("score", "w", "file"))
+    index = ls.postings(ls.idf(df))
+    out = ls.scan(df, index).collect()
+    assert len(out) == 3 and sorted(r["n_base"] for r in out) == [0, 1, 1]
+    assert ls.scan(df.limit(0), ls.postings(ls.idf(df.limit(0)))).count() == 0
