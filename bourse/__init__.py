@@ -12,7 +12,6 @@ Layout:
     sources/     landed CSV / JSON / Parquet scans
     sinks/       CSV, append, publish, audited refresh and partitioned tables
     plans/       adapters from the test tables, composed jobs, query catalog
-    streaming/   incremental ingestion of a landing folder
 """
 
 from bourse.session import get_session, scale_conf, scratch_path

@@ -6,7 +6,7 @@ from bourse.operators.filters import (delete_like, delete_where, drop_all_nan,
 from bourse.operators.forecast import (feature_frame, forecast_linear,
                                        forecast_report, forecast_ridge, mse,
                                        per_key_apply)
-from bourse.operators.joins import bounded_broadcast, enrich_bars, enrich_listing
+from bourse.operators.joins import enrich_bars, enrich_listing
 from bourse.operators.keys import (KeyViolation, assert_key, distinct_keys,
                                    distinct_rows, keep_first, key_violations,
                                    union_all)
@@ -20,7 +20,7 @@ __all__ = [
     "delete_like", "delete_where", "drop_all_nan", "drop_nan", "filter_in",
     "lookback", "quarantine", "scan_history", "feature_frame", "forecast_linear",
     "forecast_report", "forecast_ridge", "mse", "per_key_apply",
-    "bounded_broadcast", "enrich_bars", "enrich_listing", "KeyViolation",
+    "enrich_bars", "enrich_listing", "KeyViolation",
     "assert_key", "distinct_keys", "distinct_rows", "keep_first",
     "key_violations", "union_all", "fill_const", "normalize_nan", "drop_col_at",
     "drop_cols", "rename_positional", "select_cols", "with_key",

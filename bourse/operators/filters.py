@@ -40,8 +40,8 @@ def filter_in(df: DataFrame, col: str, values, value_col: str | None = None,
     """FLT-5: restrict ``col`` to a set.
 
     ``values`` may be a Python list (an ``IN`` list, pushed to Parquet) or a
-    DataFrame holding the keys (a left-semi join; broadcast only when the
-    caller has bounded it, e.g. a top-k list).  ``keep`` names label columns
+    DataFrame holding the keys (a left-semi join; repeated keys do no
+    harm).  ``keep`` names label columns
     of that DataFrame to carry along (the KRX code + name pairs): then it is
     an inner join on the key.
     """
@@ -55,11 +55,14 @@ def filter_in(df: DataFrame, col: str, values, value_col: str | None = None,
 
 
 def scan_history(df: DataFrame, col: str, start, end=None) -> DataFrame:
-    """SRC-7: rows with start <= col <= end (end open when None); pushed to the scan."""
+    """SRC-7: rows with start <= col <= end (end open when None); pushed to the
+    scan.  The end is a day: of a timestamp column the whole day is kept."""
     c = F.col(col)
     cond = c >= F.lit(start).cast("date") if start is not None else F.lit(True)
     if end is not None:
-        cond = cond & (c <= F.lit(end).cast("date"))
+        last = F.lit(end).cast("date")
+        whole_day = dict(df.dtypes)[col].startswith("timestamp")
+        cond = cond & (c < F.date_add(last, 1) if whole_day else c <= last)
     return df.filter(cond)
 
 

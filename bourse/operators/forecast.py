@@ -3,16 +3,13 @@
 The reference fits a small network per symbol, one symbol after another.
 Here every symbol is fitted at once: a linear or ridge model whose
 sufficient statistics (sums of products) are hash aggregates per symbol, so
-a symbol's rows never have to sit together in one task.  Only the tiny
-per-symbol solve runs in Python, vectorised over a batch of symbols.
+a symbol's rows never have to sit together in one task.
 """
 
 from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +18,7 @@ from bourse.operators.filters import drop_nan
 from bourse.operators.projection import with_row_index
 from bourse.operators.series import DEFAULT_SEGMENT, SeriesPass
 
+# The model's inputs, in order.
 FEATURES = ["open", "close", "high", "low", "volume_z", "daily_return"]
 
 
@@ -82,29 +80,28 @@ def _gram_aggregates(cols, label):
     return aggs
 
 
-def _solve_batch(pdf: pd.DataFrame, k: int, lam: float) -> np.ndarray:
-    """Ridge solve for a batch of keys; the intercept is not penalised."""
-    n = len(pdf)
-    a = np.zeros((n, k, k))
-    for i, j in combinations_with_replacement(range(k), 2):
-        v = pdf[f"_g{i}_{j}"].to_numpy(dtype=float)
-        a[:, i, j] = v
-        a[:, j, i] = v
-    b = np.stack([pdf[f"_b{i}"].to_numpy(dtype=float) for i in range(k)], axis=1)
-    penalty = np.eye(k) * lam
-    penalty[0, 0] = 0.0
-    a = a + penalty
-    last = np.stack([np.ones(n)] + [pdf[f"_x_{c}"].to_numpy(dtype=float)
-                                     for c in pdf.attrs["cols"]], axis=1)
-    out = np.full(n, np.nan)
-    ok = ~(np.isnan(a).any(axis=(1, 2)) | np.isnan(b).any(axis=1) | np.isnan(last).any(axis=1))
-    for idx in np.flatnonzero(ok):
-        try:
-            beta = np.linalg.solve(a[idx], b[idx])
-        except np.linalg.LinAlgError:
-            beta, *_ = np.linalg.lstsq(a[idx], b[idx], rcond=None)
-        out[idx] = float(last[idx] @ beta)
-    return out
+def ridge_steps(k: int, lam: float) -> list[dict[str, str]]:
+    """The solve of (G + lam * I') beta = b for one row per key, as stages of
+    named arithmetic expressions (the same text is Spark SQL and ANSI SQL).
+    G = L D L' by Cholesky without roots; the intercept is not penalised."""
+    def g(i, j):
+        i, j = min(i, j), max(i, j)
+        return f"(_g{i}_{j} + {lam!r})" if i == j and i else f"_g{i}_{j}"
+
+    def minus(first, terms):
+        return " - ".join([first, *terms])
+
+    stages = []
+    for j in range(k):
+        stages.append({f"_d{j}": minus(g(j, j), [f"_l{j}_{m} * _l{j}_{m} * _d{m}" for m in range(j)])})
+        if j + 1 < k:
+            stages.append({f"_l{i}_{j}": f"({minus(g(i, j), [f'_l{i}_{m} * _l{j}_{m} * _d{m}' for m in range(j)])}) / NULLIF(_d{j}, 0)"
+                           for i in range(j + 1, k)})
+    for i in range(k):
+        stages.append({f"_y{i}": minus(f"_b{i}", [f"_l{i}_{m} * _y{m}" for m in range(i)])})
+    for i in reversed(range(k)):
+        stages.append({f"_beta{i}": minus(f"_y{i} / NULLIF(_d{i}, 0)", [f"_l{m}_{i} * _beta{m}" for m in range(i + 1, k)])})
+    return stages
 
 
 def per_key_apply(stats: DataFrame, fn, schema: str) -> DataFrame:
@@ -120,37 +117,33 @@ def per_key_apply(stats: DataFrame, fn, schema: str) -> DataFrame:
 def forecast_ridge(features: DataFrame, key: str = "symbol", order: str = "date",
                    cols=FEATURES, label: str = "label", lam: float = 1.0) -> DataFrame:
     """FCT-2 (ridge): label ~ all six features per key, L2 penalty ``lam``;
-    tomorrow = fitted model applied to the key's latest feature row."""
+    tomorrow = fitted model applied to the key's latest feature row.  Sums of
+    products per key, then the solve in column arithmetic: no Python."""
     cols = list(cols)
     k = len(cols) + 1
-    stats = features.groupBy(key).agg(
+    fit = features.groupBy(key).agg(
         *_gram_aggregates(cols, label),
         F.count(label).alias("n_train"),
-        F.max_by(F.struct(*[F.col(c).alias(f"_x_{c}") for c in cols]), order).alias("_x"),
+        *[F.max_by(c, order).alias(f"_x{i + 1}") for i, c in enumerate(cols)],
         F.max_by("close", order).alias("today_close"))
-    stats = stats.select("*", "_x.*").drop("_x")
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf.attrs["cols"] = cols
-        pred = _solve_batch(pdf, k, lam) if len(pdf) else np.array([])
-        return pd.DataFrame({
-            key: pdf[key], "n_train": pdf["n_train"], "today_close": pdf["today_close"],
-            "tomorrow_close": np.where(pdf["n_train"].to_numpy() > 0, pred, np.nan),
-        })
-
-    key_type = dict(features.dtypes)[key]
-    out = per_key_apply(stats, fit, f"{key} {key_type}, n_train long, "
-                                    f"today_close double, tomorrow_close double")
-    return out.withColumn("tomorrow_close", F.when(~F.isnan("tomorrow_close"),
-                                                   F.col("tomorrow_close")))
+    for stage in ridge_steps(k, lam):
+        fit = fit.select("*", *[F.expr(e).alias(name) for name, e in stage.items()])
+    tomorrow = " + ".join(["_beta0", *[f"_beta{i} * _x{i}" for i in range(1, k)]])
+    return fit.select(key, "n_train", "today_close", F.expr(tomorrow).alias("tomorrow_close"))
 
 
-def forecast_report(fc: DataFrame, key: str = "symbol") -> DataFrame:
+def forecast_report(fc: DataFrame, key: str = "symbol", labels: DataFrame | None = None) -> DataFrame:
     """FCT-3: key, tomorrow_close, up/down, diff in percent, 1-based index.
     Keys whose fit failed (no forecast) are left out, as the reference skips
-    a symbol whose training raised."""
+    a symbol whose training raised.  ``labels`` (key, name) names each key in
+    the report: fitting is by key, so keys that share a name stay apart."""
     ok = fc.filter(F.col("tomorrow_close").isNotNull())
     rep = ok.select(key, "tomorrow_close",
                     direction("tomorrow_close", "today_close").alias("direction"),
                     pct_diff("tomorrow_close", "today_close", None).alias("diff"))
-    return with_row_index(rep, [key], "index")
+    if labels is None:
+        return with_row_index(rep, [key], "index")
+    name = next(c for c in labels.columns if c != key)
+    named = rep.join(labels.withColumnRenamed(name, "_label"), key)
+    named = with_row_index(named, ["_label", key], "index")
+    return named.select(F.col("_label").alias(key), "tomorrow_close", "direction", "diff", "index")

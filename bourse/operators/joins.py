@@ -1,48 +1,19 @@
-"""Joins (JOI-*) and the size-checked broadcast.
+"""Joins (JOI-*).
 
-A side is broadcast only after its size is measured against a bound; past the
-bound the join stays a shuffle join, where AQE can still switch to a
-broadcast on the real shuffle statistics or split a skewed key.
+No side is broadcast by a hint: AQE knows the real size of a side once it is
+shuffled, switches to a broadcast below its byte threshold and splits a
+skewed key otherwise.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Broadcast bound in bytes of the estimated in-memory size.
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-# Estimated bytes per value by type; text is taken as 32 bytes.
-_WIDTH = {T.StringType: 32, T.BinaryType: 32, T.IntegerType: 4, T.DateType: 4,
-          T.ShortType: 2, T.ByteType: 1, T.BooleanType: 1}
-
-
-def _row_bytes(schema: T.StructType) -> int:
-    return 16 + sum(_WIDTH.get(type(f.dataType), 8) for f in schema.fields)
-
-
-def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES):
-    """Return ``(df_or_broadcast_df, broadcast_used)``.
-
-    The size check is a row count of the (small, dimension-like) side times a
-    per-row width from its schema; ``count`` on Parquet reads no column data.
-    """
-    n = df.count()
-    if n * _row_bytes(df.schema) <= max_bytes:
-        return F.broadcast(df), True
-    return df, False
 
 
 def enrich_bars(bars: DataFrame, listing: DataFrame, key: str = "code",
-                cols=("name", "market", "marcap"),
-                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                cols=("name", "market", "marcap")) -> DataFrame:
     """JOI-1: bars of currently listed codes, with listing attributes."""
-    right = listing.select(key, *cols)
-    right, _ = bounded_broadcast(right, max_broadcast_bytes)
-    return bars.join(right, key, "inner")
+    return bars.join(listing.select(key, *cols), key, "inner")
 
 
 def enrich_listing(listing: DataFrame, info: DataFrame, key: str = "code",

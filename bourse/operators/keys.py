@@ -1,8 +1,10 @@
 """Distinct, keep-first, key audit (AGG-1..4) and union (SET-1).
 
-All of these are hash aggregates, so Spark combines map-side before the
-shuffle: a key holding a third of the rows reaches the reducer as one partial
-row per input task, never as a third of the data in one task.
+All of these are aggregates that Spark combines map-side before the shuffle:
+a key holding a third of the rows reaches the reducer as one partial row per
+input task, never as a third of the data in one task.  They are hash
+aggregates, but for a keep-first that carries text or goes by several order
+columns: Spark sorts for that one.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bourse.operators.series import ordering_of, plain_order
+
 
 def _list(x):
     return [x] if isinstance(x, str) else list(x)
@@ -32,7 +36,11 @@ def keep_first(df: DataFrame, keys, order) -> DataFrame:
     row id).  ``dropDuplicates(keys)`` would keep an arbitrary survivor."""
     keys, order = _list(keys), _list(order)
     others = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[F.col(f"`{o}`") for o in order])
+    ordering = ordering_of(df, order, others)
+    if plain_order(df, order, others):
+        firsts = [F.min_by(F.col(f"`{c}`"), ordering).alias(c) for c in others]
+        return df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*firsts) \
+                 .select(*[F.col(f"`{c}`") for c in df.columns])
     agg = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
         F.min_by(F.struct(*[F.col(f"`{c}`") for c in others]), ordering).alias("_first"))
     return agg.select(*[F.col(f"`{k}`") for k in keys],

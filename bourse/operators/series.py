@@ -6,15 +6,22 @@ third of the data in one task.  Here the window runs per (symbol, segment),
 where the segment is a coarse slice of the order column (a month of daily
 bars by default).  What crosses a segment border -- the last non-null value
 for a forward fill, the previous row for a lag, the next row for a lead --
-comes from a per-(symbol, segment) summary built by a hash aggregate (map-side
-combined) and carried along the segments of each symbol with a small window
-(one row per segment).  That summary is joined back on (symbol, segment); the
-join and the main window share one hash partitioning, so the big side is
-shuffled once, and AQE broadcasts the summary when it turns out small.
+comes from a per-(symbol, segment) summary, carried along the segments of
+each symbol with a small window (one row per segment) and joined back.
+
+The rows are read once and dealt out once, by (symbol, segment): the summary,
+the join and the main window all use that one exchange.  A missing symbol or
+order value is a value like any other there (the symbol goes in a struct, the
+slice gets a number), so both sides of the join keep the same exchange and
+such rows get what the plain window would give them.  NaN counts as missing.
+
+``segment="range"`` is for rows that no slice bounds (several rows a day and
+symbol, intraday data): segments are then ranges of (symbol, order) of about
+equal size, found by sampling and written down, so any symbol is split.
 
 A pass can also carry whole-key statistics (count, mean and M2 per segment,
 merged across segments), and with ``keep_segment`` its output keeps the
-segment column so the next pass reuses the same partitioning: the forecast
+segment columns so the next pass reuses the same partitioning: the forecast
 features (change, lead, standard score) cost one exchange of the rows.
 
 ``segment=None`` gives the textbook unsegmented window (used by tests to
@@ -28,22 +35,60 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bourse.session import ensure_checkpoint_dir
+
 DEFAULT_SEGMENT = "auto"
 # Width of a segment for a numeric order column under "auto".
 NUMERIC_SEGMENT_WIDTH = 1024
 
 
+# The columns that hold a row's place in a pass: its key and its segment.
+KEY, SEGMENT = "_key", "_seg"
+NO_SEGMENT = -(2 ** 62)
+
+# Types whose values fit a hash aggregate's buffer, and the smallest value of
+# those that an order column may have.
+_LOWEST = {"tinyint": -2 ** 7, "smallint": -2 ** 15, "int": -2 ** 31, "bigint": -2 ** 63,
+           "float": float("-inf"), "double": float("-inf"), "date": "0001-01-01",
+           "timestamp": "0001-01-01 00:00:00", "timestamp_ntz": "0001-01-01 00:00:00"}
+_FIXED_WIDTH = {*_LOWEST, "boolean"}
+
+
 def _list(x):
     return [x] if isinstance(x, str) else list(x)
 
 
+def plain_order(df: DataFrame, order, cols) -> bool:
+    """Whether ``min_by`` / ``max_by`` of ``cols`` can be a hash aggregate:
+    one order column, fixed-width values."""
+    types = dict(df.dtypes)
+    order = _list(order)
+    return len(order) == 1 and types.get(order[0]) in _LOWEST and all(types[c] in _FIXED_WIDTH for c in cols)
+
+
+def ordering_of(df: DataFrame, order, cols) -> Column:
+    """What ``min_by`` / ``max_by`` of ``cols`` should go by: the order column
+    itself where that gives a hash aggregate (a missing one is the smallest),
+    else a struct."""
+    order = _list(order)
+    if plain_order(df, order, cols):
+        kind = dict(df.dtypes)[order[0]]
+        return F.coalesce(F.col(f"`{order[0]}`"), F.lit(_LOWEST[kind]).cast(kind))
+    return F.struct(*[F.col(f"`{o}`") for o in order])
+
+
+def nan_missing(df: DataFrame, cols) -> DataFrame:
+    """NaN in the floating ones of ``cols`` as NULL (pandas treats both as missing)."""
+    types = dict(df.dtypes)
+    odd = [c for c in cols if types.get(c) in ("double", "float")]
+    return df.withColumns({c: F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in odd}) if odd else df
+
+
 def segment_of(c: Column, segment, dtype: str | None = None) -> Column:
     """A monotone slice number of the order column: ``"year"``, ``"month"``,
     ``"week"``, ``"day"``, ``"hour"``, an int width for numbers, or a Column.
     ``"auto"`` is a month for dates and timestamps (daily bars: about 21 rows
-    per symbol and segment) and ``NUMERIC_SEGMENT_WIDTH`` for numbers.  For
-    intraday data pass ``"day"`` or ``"hour"`` so a busy symbol's segment
-    stays small."""
+    per symbol and segment) and ``NUMERIC_SEGMENT_WIDTH`` for numbers."""
     if isinstance(segment, Column):
         return segment
     if segment == "auto":
@@ -79,9 +124,10 @@ class SeriesPass:
     across segments, so no extra join on the key alone).
     Also exposed: ``_first`` (first row of the key) and ``_last``.
 
-    If the input already has a ``_seg`` column (the output of an earlier pass
-    run with ``keep_segment=True``), it is reused: the data is then already
-    hash-partitioned on (key, _seg) and the pass adds no exchange of the rows.
+    If the input already has the columns ``_key`` and ``_seg`` (the output of
+    an earlier pass run with ``keep_segment=True``), they are reused: the data
+    is then already hash-partitioned on them and the pass adds no exchange of
+    the rows.
     """
 
     keys: list
@@ -96,35 +142,31 @@ class SeriesPass:
 
     def apply(self, df: DataFrame) -> DataFrame:
         keys, order = _list(self.keys), _list(self.order)
+        df = nan_missing(df, {*self.ffill, *self.lag, *self.lead, *self.stats})
         ocols = [F.col(o) for o in order]
         if self.segment is None:
             return self._unsegmented(df, keys, ocols)
-        seg = "_seg"
-        if seg in df.columns:
-            d = df
-        else:
-            d = df.withColumn(seg, segment_of(ocols[0], self.segment,
-                                              dict(df.dtypes).get(order[0])))
-        ordering = F.struct(*ocols)
+        d = df if SEGMENT in df.columns else self._dealt(df, keys, order)
+        place = [KEY, SEGMENT]
 
         aggs = [F.lit(1).alias("_one")]
         for c in self.ffill:
-            aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordering))
+            aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordering_of(d, order, [c])))
                         .alias(f"_tailnn_{c}"))
         for c in self.lag:
-            aggs.append(F.max_by(F.col(c), ordering).alias(f"_tail_{c}"))
+            aggs.append(F.max_by(F.col(c), ordering_of(d, order, [c])).alias(f"_tail_{c}"))
         for c in self.lead:
-            aggs.append(F.min_by(F.col(c), ordering).alias(f"_head_{c}"))
+            aggs.append(F.min_by(F.col(c), ordering_of(d, order, [c])).alias(f"_head_{c}"))
         for c in self.stats:
             aggs += [F.count(c).alias(f"_n_{c}"), F.avg(c).alias(f"_mu_{c}"),
                      (F.var_pop(c) * F.count(c)).alias(f"_m2_{c}")]
-        summary = d.groupBy(*keys, seg).agg(*aggs)
+        summary = d.groupBy(*place).agg(*aggs)
         if self.stats:
-            summary = self._key_stats(summary, keys)
+            summary = self._key_stats(summary, [KEY])
 
-        ws = Window.partitionBy(*keys).orderBy(seg)
+        ws = Window.partitionBy(KEY).orderBy(SEGMENT)
         before = ws.rowsBetween(Window.unboundedPreceding, -1)
-        carry_cols = [F.col(k) for k in keys] + [F.col(seg)]
+        carry_cols = [F.col(c) for c in place]
         for c in self.ffill:
             carry_cols.append(F.last(f"_tailnn_{c}", ignorenulls=True).over(before)
                               .alias(f"_inff_{c}"))
@@ -138,13 +180,9 @@ class SeriesPass:
         carry_cols.append(F.lead("_one").over(ws).isNull().alias("_seglast"))
         carry = summary.select(*carry_cols)
 
-        # A plain equi-join on (keys, segment): it shares the hash partitioning
-        # of the window below, so the big side is exchanged once.  Rows with a
-        # NULL key or order value find no carry (left join keeps them).
-        carry = carry.toDF(*keys, seg, *carry.columns[len(keys) + 1:])
-        j = d.join(carry, keys + [seg], "left")
+        j = d.join(carry, place, "left")
 
-        w = Window.partitionBy(*keys, seg).orderBy(*ocols)
+        w = Window.partitionBy(*place).orderBy(*ocols)
         upto = w.rowsBetween(Window.unboundedPreceding, 0)
         before = w.rowsBetween(Window.unboundedPreceding, -1)
         first_in_seg = F.lag(F.lit(1)).over(w).isNull()
@@ -167,9 +205,21 @@ class SeriesPass:
             out[f"_sd_{c}"] = F.col(f"_sd_{c}")
         out["_first"] = first_in_seg & F.coalesce(F.col("_segfirst"), F.lit(True))
         out["_last"] = last_in_seg & F.coalesce(F.col("_seglast"), F.lit(True))
-        base = list(df.columns) + ([seg] if self.keep_segment and seg not in df.columns else [])
+        base = [c for c in df.columns if c not in place] + (place if self.keep_segment else [])
         return self._project(j, base, out)
 
+    def _dealt(self, df: DataFrame, keys, order) -> DataFrame:
+        """The rows dealt out by (key, segment), with both as never-null columns."""
+        keyed = df.withColumn(KEY, F.struct(*[F.col(k) for k in keys]))
+        if isinstance(self.segment, str) and self.segment == "range":
+            ensure_checkpoint_dir(df.sparkSession)
+            # written down: bounds come from a sample, and a lost task must not draw another
+            return (keyed.repartitionByRange(KEY, *order)
+                    .withColumn(SEGMENT, F.spark_partition_id().cast("long")).checkpoint())
+        number = segment_of(F.col(order[0]), self.segment, dict(df.dtypes).get(order[0]))
+        return (keyed.withColumn(SEGMENT, F.coalesce(number.cast("long"), F.lit(NO_SEGMENT)))
+                .repartition(KEY, SEGMENT))
+
     @staticmethod
     def _key_stats(summary: DataFrame, keys) -> DataFrame:
         """Whole-key mean and population stddev from per-segment (n, mean, M2),
@@ -289,6 +339,7 @@ def zscore(df: DataFrame, key, col: str, out: str) -> DataFrame:
     broadcasts the per-key table when small and splits a skewed key otherwise.
     """
     keys = _list(key)
+    df = nan_missing(df, [col])
     stats = df.groupBy(*keys).agg(F.avg(col).alias("_mu"),
                                   F.stddev_pop(col).alias("_sd"))
     stats = stats.select(*[F.col(k).alias(f"_zk{i}") for i, k in enumerate(keys)],

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bourse.functions.scalar import zfill
+from bourse.sources.files import scan_table
 
 CODE_WIDTH = 6
 
@@ -23,7 +24,7 @@ SEGMENT_GROUPS = {"BUILDING": "building", "FURNITURE": "furniture",
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return scan_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,10 +160,6 @@ def krx_info_file(spark: SparkSession, sf_dir: str) -> DataFrame:
                     none.alias("HomePage"), F.col("r_name").alias("Region"))
 
 
-ADAPTERS = {"prices": prices, "bars": bars, "listing": listing, "info": info,
-            "snapshot": snapshot, "commodity": commodity, "dirty": dirty}
-
-
 # --- DuckDB twins -----------------------------------------------------------
 
 def zfill_sql(x: str, n: int = CODE_WIDTH) -> str:

@@ -19,8 +19,9 @@ from bourse.functions.scalar import (cast_columns, conform, direction, format_da
 from bourse.operators.filters import (delete_like, drop_all_nan, drop_nan,
                                       filter_in, lookback, quarantine,
                                       scan_history)
-from bourse.operators.forecast import (feature_frame, forecast_linear,
-                                       forecast_report, forecast_ridge, mse)
+from bourse.operators.forecast import (FEATURES, feature_frame, forecast_linear,
+                                       forecast_report, forecast_ridge, mse,
+                                       ridge_steps)
 from bourse.operators.joins import enrich_bars, enrich_listing
 from bourse.operators.keys import (distinct_keys, distinct_rows, keep_first,
                                    key_violations, union_all)
@@ -32,16 +33,16 @@ from bourse.operators.series import (drop_last, ffill, latest, next_value, pct_c
 from bourse.plans import adapters as A
 from bourse.plans.adapters import with_sql
 from bourse.plans import markets as M
-from bourse.plans.jobs import BARS_TABLE, JOBS, nas_listing_source, overview_records
+from bourse.plans.jobs import (BARS_TABLE, JOBS, WITH_REJECTS, nas_listing_source,
+                               overview_records, rejects_of)
 from bourse.session import scratch_path
-from bourse.streaming.landing import (IncrementalFill, landing_stream, read_batches,
-                                      write_batches)
 from bourse.sinks.tables import (append_rows, partition_view,
                                  publish, read_table, refresh_table,
                                  replace_result, write_csv,
                                  write_market_partitioned, write_partitioned,
                                  write_per_value_files)
-from bourse.schemas import KRX_MARKET_GROUPS, OVERVIEW_FIELDS
+from bourse.schemas import (KRX_MARKET_GROUPS, MATERIAL_COLUMNS, MATERIAL_REQUIRED,
+                            OVERVIEW_FIELDS)
 from bourse.sources.files import (scan_csv, scan_csv_positional,
                                   scan_json_records, scan_symbol_files,
                                   scan_table)
@@ -65,6 +66,30 @@ def src_csv_roundtrip(spark, d):
     return cast_columns(raw, {"marcap": "double"})
 
 
+def _odd_names(spark, d):
+    """Company names with quotes, commas, line breaks, blanks around them and
+    backslashes, as landed text may hold them."""
+    c = A.table(spark, d, "customer")
+    name, kind = F.col("c_name"), F.col("c_custkey") % 6
+    text = (F.when(kind == 0, F.concat(name, F.lit(', "Inc"')))
+             .when(kind == 1, F.concat(name, F.lit("\nsecond line, \"quoted\"")))
+             .when(kind == 2, F.concat(F.lit("  "), name, F.lit("  ")))
+             .when(kind == 3, F.concat(name, F.lit('\\path\\"x"\\')))
+             .when(kind == 4, F.concat(F.lit('"'), name)).otherwise(name))
+    return c.select(F.col("c_custkey").cast("string").alias("code"), text.alias("name"),
+                    F.col("c_mktsegment").alias("market"))
+
+
+def src_csv_dialect(spark, d):
+    base = scratch_path(spark, "src_csv_dialect")
+    odd, names = _odd_names(spark, d), ["code", "name", "market"]
+    write_csv(odd, f"{base}/header")
+    write_csv(odd, f"{base}/plain", header=False)
+    a = scan_csv(spark, f"{base}/header", names, multiline=True)
+    b = scan_csv_positional(spark, f"{base}/plain", names, multiline=True)
+    return union_all(a.withColumn("layout", F.lit("header")), b.withColumn("layout", F.lit("positional")))
+
+
 def src_csv_positional(spark, d):
     base = scratch_path(spark, "src_positional")
     c = A.commodity(spark, d)
@@ -220,8 +245,7 @@ def _busiest_symbols(b: DataFrame, k: int = 10) -> DataFrame:
 
 def flt_in_list(spark, d):
     b = A.bars(spark, d)
-    # The list is a top-10 report: ten rows, a proven broadcast bound.
-    return filter_in(b, "symbol", F.broadcast(_busiest_symbols(b)))
+    return filter_in(b, "symbol", _busiest_symbols(b))
 
 
 def flt_lookback(spark, d):
@@ -244,7 +268,8 @@ def flt_quarantine(spark, d):
 
 
 def nul_ffill(spark, d):
-    return ffill(A.prices(spark, d), "code", ["date", "rid"], ["close"])
+    # several rows a day and code: segments by range, so that any code is split
+    return ffill(A.prices(spark, d), "code", ["date", "rid"], ["close"], segment="range")
 
 
 def nul_const(spark, d):
@@ -405,6 +430,63 @@ def mkt_snapshot(spark, d):
     return table
 
 
+def mkt_krx_list(spark, d):
+    base = scratch_path(spark, "mkt_krx_list")
+    write_csv(A.krx_listing_file(spark, d), f"{base}/landed")
+    return M.krx_list(spark, f"{base}/landed", f"{base}/table")
+
+
+def mkt_krx_co_info(spark, d):
+    base = scratch_path(spark, "mkt_krx_co_info")
+    write_csv(A.krx_info_file(spark, d), f"{base}/landed")
+    return M.krx_co_info(spark, f"{base}/landed", f"{base}/table")
+
+
+def mkt_krx_by_code(spark, d):
+    base = scratch_path(spark, "mkt_krx_by_code")
+    change = F.try_divide(F.col("close") - F.col("open"), F.col("open")).alias("Change")
+    stock = M.krx_stock(spark, _land_bars(spark, d, base, "Code", extra=[change]), f"{base}/krx_stock")
+    return M.stock_by_symbol(spark, stock, "Code", f"{base}/table", narrow=M.KRX_BY_CODE).drop("bucket")
+
+
+def mkt_nas_by_symbol(spark, d):
+    base = scratch_path(spark, "mkt_nas_by_symbol")
+    return M.stock_by_symbol(spark, mkt_nas_stock(spark, d), "Symbol", f"{base}/table").drop("bucket")
+
+
+def material_query(material):
+    """PIP-11 for one material in its own columns: the daily price of all
+    events, a little higher in each further column; none on Sundays."""
+    columns = MATERIAL_COLUMNS[material]
+
+    def run(spark, d):
+        base = scratch_path(spark, f"mkt_{material}")
+        daily = A.table(spark, d, "events").groupBy(F.col("ts").cast("date").alias("date")).agg(F.max("value").alias("v"))
+        quote = F.when(F.weekday("date") != 6, F.col("v"))
+        write_csv(daily.select("date", *[(quote + i).alias(c) for i, c in enumerate(columns)]), f"{base}/landed",
+                  header=False, encoding="cp949")
+        return M.materials(spark, {material: f"{base}/landed"}, f"{base}/table")[material]
+    return run
+
+
+def material_sql(material):
+    columns = ", ".join(f'CASE WHEN isodow(date) <> 7 THEN v + {i} END AS "{c}"'
+                        for i, c in enumerate(MATERIAL_COLUMNS[material]))
+    needed = " AND ".join(f'"{c}" IS NOT NULL' for c in MATERIAL_REQUIRED[material])
+    return f"""WITH daily AS (SELECT CAST(ts AS DATE) AS date, max(value) AS v FROM events GROUP BY 1),
+        m AS (SELECT date, {columns} FROM daily)
+    SELECT * FROM m WHERE {needed} AND date >= (SELECT max(date) FROM m) - INTERVAL 20 YEAR"""
+
+
+def mkt_forecast_list(spark, d):
+    base = scratch_path(spark, "mkt_forecast_list")
+    b = A.bars(spark, d)
+    chosen = [r["symbol"] for r in _busiest_symbols(b).collect()]      # ten symbols
+    rep = M.next_close_report(spark, b, "symbol", f"{base}/report", symbols=chosen)
+    return rep.select("index", "symbol", F.round("tomorrow_close", 6).alias("tomorrow_close"),
+                      "direction", F.round("diff", 6).alias("diff"))
+
+
 def mkt_krx_list_by_market(spark, d):
     base = scratch_path(spark, "mkt_krx_list_by_market")
     write_csv(A.krx_listing_file(spark, d), f"{base}/landed/list")
@@ -463,26 +545,6 @@ def mkt_co_overview(spark, d):
                             F.col("MarketCapitalization").cast("double"))
 
 
-# --- streaming -----------------------------------------------------------------
-
-def stm_incremental_ffill(spark, d):
-    """Prices land in two daily drops; a file-source stream (availableNow)
-    forward-fills each drop per code, carrying the last value across drops
-    in a per-code state table.  Equal to the batch fill over all rows."""
-    base = scratch_path(spark, "stm_ffill")
-    p = A.prices(spark, d).select("date", "code", "close", "rid")
-    early = F.coalesce(F.col("date") < F.lit("1996-01-01").cast("date"), F.lit(False))
-    names = ["date", "code", "close", "rid"]
-    stream = landing_stream(spark, f"{base}/landing/*/*.csv", names).select(
-        F.to_date("date").alias("date"), "code", F.col("close").cast("double").alias("close"),
-        F.col("rid").cast("bigint").alias("rid"))
-    fill = IncrementalFill(f"{base}/state", "code", ["date", "rid"], ["close"])
-    for i, drop in enumerate([p.filter(early), p.filter(~early)]):
-        write_csv(drop, f"{base}/landing/drop{i}")
-        write_batches(stream, f"{base}/out", f"{base}/checkpoint", fill)
-    return read_batches(spark, f"{base}/out").select(*names)
-
-
 # --- forecast ----------------------------------------------------------------
 
 def fct_features(spark, d):
@@ -508,7 +570,7 @@ def fct_report(spark, d):
 def fct_ridge(spark, d):
     fc = forecast_ridge(feature_frame(A.bars(spark, d)))
     return fc.select("symbol", "n_train", "today_close",
-                     F.round("tomorrow_close", 6).alias("tomorrow_close"))
+                     F.round("tomorrow_close", 4).alias("tomorrow_close"))
 
 
 def _pip_forecast(spark, d):
@@ -520,6 +582,7 @@ def _pip_forecast(spark, d):
 QUERIES = {
     "src_csv_roundtrip": src_csv_roundtrip,
     "src_csv_positional": src_csv_positional,
+    "src_csv_dialect": src_csv_dialect,
     "src_symbol_files": src_symbol_files,
     "src_encoded": src_encoded,
     "src_json": src_json,
@@ -564,7 +627,6 @@ QUERIES = {
     "scl_dates": scl_dates,
     "scl_pct_diff": scl_pct_diff,
     "scl_direction": scl_direction,
-    "stm_incremental_ffill": stm_incremental_ffill,
     "mkt_snp_stock": mkt_snp_stock,
     "mkt_krx_stock": mkt_krx_stock,
     "mkt_nas_list": mkt_nas_list,
@@ -572,6 +634,13 @@ QUERIES = {
     "mkt_co_overview": mkt_co_overview,
     "mkt_snapshot": mkt_snapshot,
     "mkt_krx_list_by_market": mkt_krx_list_by_market,
+    "mkt_krx_list": mkt_krx_list,
+    "mkt_krx_co_info": mkt_krx_co_info,
+    "mkt_krx_by_code": mkt_krx_by_code,
+    "mkt_nas_by_symbol": mkt_nas_by_symbol,
+    "mkt_forecast_list": mkt_forecast_list,
+    **{f"mkt_{m}": material_query(m) for m in MATERIAL_COLUMNS},
+    **{f"{name}_rejects": rejects_of(job) for name, job in WITH_REJECTS.items()},
     "mkt_krx_stock_by_market": mkt_krx_stock_by_market,
     "mkt_krx_forecast": mkt_krx_forecast,
     "mkt_snp_list": mkt_snp_list,
@@ -657,6 +726,20 @@ KRX_MARKET_SQL = ("CASE c_mktsegment " + " ".join(
     f"WHEN '{k}' THEN '{v}'" for k, v in A.SEGMENT_KRX_MARKET.items()) + " END")
 KRX_GROUP_SQL = ("CASE l.market " + " ".join(
     f"WHEN '{k}' THEN '{v}'" for k, v in KRX_MARKET_GROUPS.items()) + " END")
+KRX_LIST_SQL = f"""SELECT {A.zfill_sql('c_custkey')} AS "Code", 'KR' || {A.zfill_sql('c_custkey')} AS "ISU_CD",
+    c_name AS "Name", {KRX_MARKET_SQL} AS "Market", CAST(NULL AS VARCHAR) AS "Dept",
+    CAST(c_nationkey AS INTEGER) AS "Close", CAST(NULL AS INTEGER) AS "ChangeCode",
+    CAST(NULL AS INTEGER) AS "Changes", CAST(NULL AS DOUBLE) AS "ChangesRatio",
+    CAST(NULL AS INTEGER) AS "Open", CAST(NULL AS INTEGER) AS "High", CAST(NULL AS INTEGER) AS "Low",
+    CAST(NULL AS INTEGER) AS "Volume", CAST(NULL AS BIGINT) AS "Amount",
+    CAST(c_custkey * 1000 AS BIGINT) AS "Marcap", CAST(NULL AS BIGINT) AS "Stocks", 'STK' AS "MarketId"
+    FROM customer"""
+KRX_INFO_SQL = f"""SELECT {A.zfill_sql('c_custkey')} AS "Code", c_name AS "Name", {KRX_MARKET_SQL} AS "Market",
+    n_name AS "Sector", r_name AS "Industry",
+    CAST(DATE '1990-01-01' + CAST(c_custkey AS INTEGER) AS TIMESTAMP) AS "ListingDate", '12' AS "SettleMonth",
+    CAST(NULL AS VARCHAR) AS "Representative", CAST(NULL AS VARCHAR) AS "HomePage", r_name AS "Region"
+    FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    WHERE c_acctbal >= 0"""
 KRX_LIST_BY_MARKET_SQL = f"""WITH l AS (
     SELECT {A.zfill_sql('c_custkey')} AS code, 'KR' || {A.zfill_sql('c_custkey')} AS isu_cd,
            c_name AS name, {KRX_MARKET_SQL} AS market, CAST(NULL AS VARCHAR) AS dept,
@@ -701,8 +784,32 @@ SNP_LIST_SQL = with_sql("""SELECT l.code AS "Symbol", l.name AS "Name",
         WHERE l.code IS NOT NULL AND l.name IS NOT NULL AND i.sector IS NOT NULL
           AND l.market IS NOT NULL""", "listing", "info")
 
+def _ridge_sql(cols, lam):
+    """The same sums and the same solve as ``forecast_ridge``, as nested SELECTs."""
+    terms = ["1.0", *cols]
+    k = len(terms)
+    sums = [f"sum(CASE WHEN label IS NOT NULL THEN {terms[i]} * {terms[j]} END) AS _g{i}_{j}"
+            for i in range(k) for j in range(i, k)]
+    sums += [f"sum(CASE WHEN label IS NOT NULL THEN {terms[i]} * label END) AS _b{i}" for i in range(k)]
+    sums += [f"arg_max({c}, date) AS _x{i + 1}" for i, c in enumerate(cols)]
+    sql = (f"SELECT symbol, {', '.join(sums)}, CAST(count(label) AS BIGINT) AS n_train, "
+           "arg_max(close, date) AS today_close FROM feat GROUP BY symbol")
+    for stage in ridge_steps(k, lam):
+        sql = f"SELECT *, {', '.join(f'{e} AS {n}' for n, e in stage.items())} FROM ({sql})"
+    tomorrow = " + ".join(["_beta0", *[f"_beta{i} * _x{i}" for i in range(1, k)]])
+    return f"SELECT symbol, n_train, today_close, round({tomorrow}, 4) AS tomorrow_close FROM ({sql})"
+
+
 ORACLE = {
     "src_csv_roundtrip": with_sql("SELECT code, name, market, marcap FROM listing", "listing"),
+    "src_csv_dialect": """WITH odd AS (SELECT CAST(c_custkey AS VARCHAR) AS code,
+            CASE c_custkey % 6 WHEN 0 THEN c_name || ', "Inc"'
+                WHEN 1 THEN c_name || chr(10) || 'second line, "quoted"'
+                WHEN 2 THEN '  ' || c_name || '  '
+                WHEN 3 THEN c_name || '\\path\\"x"\\'
+                WHEN 4 THEN '"' || c_name ELSE c_name END AS name,
+            c_mktsegment AS market FROM customer)
+        SELECT *, 'header' AS layout FROM odd UNION ALL SELECT *, 'positional' AS layout FROM odd""",
     "src_csv_positional": with_sql("SELECT material, date, value FROM commodity", "commodity"),
     "src_symbol_files": with_sql(f"SELECT {BAR_COLS} FROM bars", "bars"),
     "src_encoded": with_sql("SELECT *, 'utf-8-sig' AS encoding FROM listing "
@@ -757,10 +864,6 @@ ORACLE = {
             PARTITION BY code ORDER BY date, rid
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS close, rid
         FROM prices""", "prices"),
-    "stm_incremental_ffill": with_sql("""SELECT date, code, last_value(close IGNORE NULLS) OVER (
-            PARTITION BY code ORDER BY date, rid
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS close, rid
-        FROM prices""", "prices"),
     "nul_const": with_sql("SELECT date, code, coalesce(close, 0.0) AS close, rid FROM prices",
                           "prices"),
     "nul_const_all": with_sql("SELECT date, code, coalesce(close, -1.0) AS close, "
@@ -824,6 +927,7 @@ ORACLE = {
        round(intercept, 6) AS intercept, n_train, today_close,
        round(tomorrow_close, 6) AS tomorrow_close FROM fc""", "bars",
                            more=FEATURES_SQL + ",\n" + LINEAR_SQL),
+    "fct_ridge": with_sql(_ridge_sql(FEATURES, 1.0), "bars", more=FEATURES_SQL),
     "fct_report": with_sql(REPORT_SQL, "bars", more=FEATURES_SQL + ",\n" + LINEAR_SQL),
     # pipelines
     "pip_krx_list": with_sql("SELECT code, name, market, marcap FROM listing "
@@ -888,6 +992,37 @@ ORACLE = {
         WHERE rn = 1 AND date >= DATE '2003-01-01'""",
     "mkt_co_overview": OVERVIEW_SQL,
     "mkt_krx_list_by_market": KRX_LIST_BY_MARKET_SQL,
+    "mkt_krx_list": KRX_LIST_SQL,
+    "mkt_krx_co_info": KRX_INFO_SQL,
+    "mkt_krx_by_code": with_sql(f"""SELECT CAST(date AS TIMESTAMP) AS date, CAST(trunc(open) AS INTEGER) AS open,
+            CAST(trunc(high) AS INTEGER) AS high, CAST(trunc(low) AS INTEGER) AS low,
+            CAST(trunc(close) AS INTEGER) AS close, CAST(volume AS INTEGER) AS volume,
+            {A.zfill_sql('symbol')} AS code FROM bars""", "bars"),
+    "mkt_nas_by_symbol": r"""SELECT date, value AS open, value AS high, value AS low, value AS close,
+            value AS adj_close, CAST(regexp_extract(props, '"k":\s*(-?\d+)', 1) AS DOUBLE) AS volume,
+            CAST(user_id AS VARCHAR) AS symbol FROM (
+        SELECT *, CAST(ts AS DATE) AS date, row_number() OVER (
+            PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id) AS rn FROM events)
+        WHERE rn = 1 AND date >= DATE '2003-01-01'""",
+    "mkt_forecast_list": with_sql(REPORT_SQL, more=f"all_bars AS ({A.SQL['bars']}),\n   bars AS (SELECT * FROM "
+                                  f"all_bars WHERE symbol IN ({BUSIEST_SQL.format(k=10).replace('bars', 'all_bars')})),\n"
+                                  + FEATURES_SQL + ",\n" + LINEAR_SQL),
+    **{f"mkt_{m}": material_sql(m) for m in MATERIAL_COLUMNS},
+    "pip_list_by_market_rejects": with_sql(f"""SELECT *, 'no child for market ' || coalesce(market, 'NULL') AS _reason
+        FROM (SELECT l.code, l.name, l.market, l.marcap, i.sector, i.region,
+               {GROUP_SQL.replace('market', 'l.market', 1)} AS market_group
+        FROM listing l LEFT JOIN info i ON l.code = i.code) WHERE market_group IS NULL""", "listing", "info"),
+    "pip_bars_by_market_rejects": with_sql(f"""SELECT *, 'no child for market ' || coalesce(market, 'NULL') AS _reason
+        FROM (SELECT p.date, p.code, p.close, l.name, l.market, l.marcap,
+               {GROUP_SQL.replace('market', 'l.market', 1)} AS market_group
+        FROM first_price p JOIN listing l ON p.code = l.code) WHERE market_group IS NULL""",
+                                           "prices", "listing", more=FIRST_PRICE_SQL),
+    "pip_co_overview_rejects": f"""SELECT {A.zfill_sql('c_custkey')} AS code,
+            'Invalid API call for ' || {A.zfill_sql('c_custkey')} AS error_message
+        FROM customer WHERE c_acctbal < 0""",
+    "pip_snapshot_rejects": with_sql("""SELECT *, CAST(NULL AS DOUBLE) AS change,
+            'previous close is zero' AS _reason FROM snapshot WHERE NOT coalesce("previousClose" <> 0, false)""",
+                                     "snapshot"),
     "mkt_krx_stock_by_market": with_sql(KRX_STOCK_BY_MARKET_SQL, "bars"),
     "mkt_snp_list": SNP_LIST_SQL,
     "mkt_snp_stock_by_symbol": with_sql("""SELECT date, open, high, low, close,

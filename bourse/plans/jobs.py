@@ -15,15 +15,16 @@ from bourse.operators.filters import (drop_nan, filter_in, lookback, quarantine,
                                       scan_history)
 from bourse.operators.forecast import (feature_frame, forecast_linear,
                                        forecast_report)
-from bourse.operators.joins import bounded_broadcast, enrich_bars, enrich_listing
-from bourse.operators.keys import distinct_keys, keep_first, union_all
+from bourse.operators.joins import enrich_bars, enrich_listing
+from bourse.operators.keys import keep_first, union_all
 from bourse.operators.projection import (drop_col_at, drop_cols, rename_positional,
                                          with_key)
 from bourse.operators.series import ffill, ffill_pct_change, sort_desc
 from bourse.plans import adapters as A
 from bourse.schemas import ddl
 from bourse.session import scratch_path
-from bourse.sinks.tables import (publish, read_table, refresh_table, write_csv,
+from bourse.sinks.tables import (publish, read_rejects, read_table, refresh_table,
+                                 store_rejects, write_csv,
                                  write_market_partitioned, write_partitioned,
                                  write_per_value_files)
 from bourse.sources.files import (scan_csv, scan_csv_positional,
@@ -54,29 +55,25 @@ def krx_co_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{base}/table")
 
 
-def _stock_universe(spark, sf_dir):
-    """AGG-1: the codes to load come from the listing (a DataFrame, not a list)."""
-    return distinct_keys(A.listing(spark, sf_dir), "code")
-
-
 def krx_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PIP-3: bars of listed codes since the history start -> first row per
     (code, date) -> drop missing Date/Code -> forward fill per code -> table."""
     base = scratch_path(spark, "krx_stock")
-    universe, _ = bounded_broadcast(_stock_universe(spark, sf_dir))
-    p = filter_in(A.prices(spark, sf_dir), "code", universe)
+    p = filter_in(A.prices(spark, sf_dir), "code", A.listing(spark, sf_dir))
     p = scan_history(p, "date", HISTORY_START)
     p = keep_first(p, ["code", "date"], ["rid"])
     p = drop_nan(p, ["date", "code"])
     p = ffill(p, "code", "date", ["close"])
     p = p.select("date", zfill("code", A.CODE_WIDTH).alias("code"), "close")
-    refresh_table(p, f"{base}/table", key=["date", "code"], partition_by=None)
+    # sorted by code and date, so that later reads can skip files
+    refresh_table(p.repartitionByRange("code", "date").sortWithinPartitions("code", "date"),
+                  f"{base}/table", key=["date", "code"])
     return read_table(spark, f"{base}/table")
 
 
 def krx_stock_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PIP-4: one landed file set per symbol -> drop Change -> drop incomplete
-    rows -> header-less CSV -> read back by position."""
+    rows -> typed bars."""
     base = scratch_path(spark, "krx_stock_legacy")
     b = A.bars(spark, sf_dir)
     landed = b.withColumn("change", F.try_divide(F.col("close") - F.col("open"), F.col("open")))
@@ -85,10 +82,8 @@ def krx_stock_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["date", "open", "high", "low", "close", "volume", "change"]
     raw = scan_symbol_files(spark, f"{base}/landed", names, r"symbol=([^/]+)/", "symbol")
     raw = drop_nan(drop_cols(raw, ["change"]))
-    out_cols = ["symbol", "date", "open", "high", "low", "close", "volume"]
-    write_csv(raw.select(*out_cols), f"{base}/staged", header=False)
-    back = scan_csv_positional(spark, f"{base}/staged", out_cols)
-    return cast_columns(back, {"symbol": "bigint", "date": "date", "open": "double",
+    bars = raw.select("symbol", "date", "open", "high", "low", "close", "volume")
+    return cast_columns(bars, {"symbol": "bigint", "date": "date", "open": "double",
                          "high": "double", "low": "double", "close": "double",
                          "volume": "bigint"})
 
@@ -155,13 +150,13 @@ def overview_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("c_acctbal") >= 0, body).otherwise(err).alias("reply"))
 
 
-def co_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+def co_overview(spark: SparkSession, sf_dir: str, base: str | None = None) -> DataFrame:
     """PIP-7: JSON replies -> parse (errors apart) -> drop Description (4th
     column) -> drop rows without Symbol -> header-less CSV -> typed table."""
-    base = scratch_path(spark, "co_overview")
-    listed = distinct_keys(A.listing(spark, sf_dir), "code")
-    replies = filter_in(overview_records(spark, sf_dir), "code", listed)
-    good, _errors = scan_json_records(replies, "reply", OVERVIEW_SCHEMA)
+    base = base or scratch_path(spark, "co_overview")
+    replies = filter_in(overview_records(spark, sf_dir), "code", A.listing(spark, sf_dir))
+    good, errors = scan_json_records(replies, "reply", OVERVIEW_SCHEMA)
+    store_rejects(errors, f"{base}/table")
     recs = union_all(good.drop("code"))
     recs = drop_nan(drop_col_at(recs, 3), [recs.columns[0]])
     cols = [c for c in OVERVIEW_SCHEMA.fieldNames() if c != "Description"]
@@ -176,14 +171,15 @@ SNAPSHOT_TABLE = ["symbol", "name", "sector", "marcap", "previous_close",
                   "regular_market_open", "changesratio"]
 
 
-def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+def snapshot(spark: SparkSession, sf_dir: str, base: str | None = None) -> DataFrame:
     """PIP-8: snapshot -> % change open vs previous close -> records that
     cannot be computed become key + NULLs -> sort by market cap -> drop rows
     without a name -> CSV -> renamed to the table's columns -> table."""
-    base = scratch_path(spark, "snapshot")
+    base = base or scratch_path(spark, "snapshot")
     s = A.snapshot(spark, sf_dir).withColumn(
         "change", pct_diff("regularMarketOpen", "previousClose", 4))
     good, bad = quarantine(s, {"previous close is zero": F.col("previousClose") != 0})
+    store_rejects(bad, f"{base}/table")
     failed = bad.select("symbol")          # key + NULLs, as a failed fetch
     s = union_all(good, failed)
     s = drop_nan(sort_desc(s, "marketCap", "symbol"), ["shortName"])
@@ -251,10 +247,10 @@ LIST_BY_MARKET = ddl(
     "code string, name string, market string, marcap double, sector string, region string")
 
 
-def list_by_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+def list_by_market(spark: SparkSession, sf_dir: str, base: str | None = None) -> DataFrame:
     """PIP-12: listing LEFT JOIN info -> table types -> names must fit 40
     characters -> key (code, market) -> one child per market group."""
-    base = scratch_path(spark, "list_by_market")
+    base = base or scratch_path(spark, "list_by_market")
     j = conform(enrich_listing(A.listing(spark, sf_dir), A.info(spark, sf_dir)),
                 LIST_BY_MARKET)
     j = j.withColumn("name", limit_text("name", 40, "fail"))
@@ -263,12 +259,13 @@ def list_by_market(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{base}/table")
 
 
-def bars_by_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bars_by_market(spark: SparkSession, sf_dir: str, base: str | None = None) -> DataFrame:
     """PIP-13: bars INNER JOIN listing -> key (date, code, market) -> one child
     per market group."""
-    base = scratch_path(spark, "bars_by_market")
-    p = keep_first(A.prices(spark, sf_dir), ["code", "date"], ["rid"]).drop("rid")
-    j = enrich_bars(p, A.listing(spark, sf_dir))
+    base = base or scratch_path(spark, "bars_by_market")
+    listing = A.listing(spark, sf_dir)
+    p = filter_in(A.prices(spark, sf_dir), "code", listing)     # before the shuffle of keep-first
+    j = enrich_bars(keep_first(p, ["code", "date"], ["rid"]).drop("rid"), listing)
     write_market_partitioned(j, f"{base}/table", "market", A.SEGMENT_GROUPS,
                              key=["date", "code", "market"], order=["code", "date"])
     return read_table(spark, f"{base}/table")
@@ -298,6 +295,15 @@ def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{base}/table")
 
 
+def rejects_of(job):
+    """A query for the rows a job's load refused, with their reasons."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = scratch_path(spark, job.__name__)
+        job(spark, sf_dir, base)
+        return read_rejects(spark, f"{base}/table")
+    return run
+
+
 JOBS = {
     "pip_krx_list": krx_list,
     "pip_krx_co_info": krx_co_info,
@@ -315,3 +321,6 @@ JOBS = {
     "pip_bars_by_symbol": bars_by_symbol,
     "pip_forecast": forecast,
 }
+
+#: Jobs that keep the rows they refuse beside their table.
+WITH_REJECTS = {k: JOBS[k] for k in ("pip_co_overview", "pip_snapshot", "pip_list_by_market", "pip_bars_by_market")}

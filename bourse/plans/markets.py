@@ -19,8 +19,8 @@ from bourse.operators.filters import (delete_like, delete_where, drop_all_nan,
                                       drop_nan, filter_in, lookback, quarantine,
                                       scan_history)
 from bourse.operators.forecast import feature_frame, forecast_linear, forecast_report
-from bourse.operators.joins import bounded_broadcast, enrich_bars, enrich_listing
-from bourse.operators.keys import distinct_keys, distinct_rows, keep_first, union_all
+from bourse.operators.joins import enrich_bars, enrich_listing
+from bourse.operators.keys import distinct_rows, keep_first, union_all
 from bourse.operators.projection import drop_col_at, drop_cols, rename_positional
 from bourse.operators.series import ffill, pct_change, sort_desc
 from bourse.schemas import (KRX_CO_INFO_TYPES, KRX_LIST_TYPES, KRX_MARKET_GROUPS,
@@ -28,7 +28,7 @@ from bourse.schemas import (KRX_CO_INFO_TYPES, KRX_LIST_TYPES, KRX_MARKET_GROUPS
                             NAS_LIST_TYPES, NAS_STOCK_TYPES, OVERVIEW_FIELDS,
                             SNAPSHOT_FILE_FIELDS, SNAPSHOT_TABLE_TYPES, SNP_LIST_TYPES,
                             SNP_STOCK_TYPES, ddl, struct_of)
-from bourse.sinks.tables import (publish, read_table, refresh_table,
+from bourse.sinks.tables import (publish, read_table, refresh_table, store_rejects,
                                  write_market_partitioned, write_partitioned)
 from bourse.sources.files import scan_csv, scan_csv_positional, scan_json_records
 
@@ -83,8 +83,7 @@ def krx_stock(spark: SparkSession, landed: str, base: str, listing: DataFrame |
     bars = raw.select(F.col("Date").cast("timestamp_ntz").alias("Date"),
                       *[F.col(c).cast("double").alias(c) for c in PRICES], "Code")
     if listing is not None:
-        universe, _ = bounded_broadcast(distinct_keys(listing, "Code"))
-        bars = filter_in(bars, "Code", universe)
+        bars = filter_in(bars, "Code", listing)
     bars = ffill(scan_history(bars, "Date", start), "Code", "Date", PRICES)
     refresh_table(bars.select(*KRX_STOCK_TYPES), base, key=["Date", "Code"],
                   types=KRX_STOCK_TYPES)
@@ -104,7 +103,7 @@ def krx_list_by_market(spark: SparkSession, listing: DataFrame, info: DataFrame,
     extra = info.select("Code", *[F.col(k).alias(k) for k in KRX_INFO_EXTRA])
     j = enrich_listing(listing, extra, key="Code")
     j = conform(j.toDF(*[c.lower() for c in j.columns]), KRX_LIST_BY_MARKET)
-    limits = {"name": 40, "market": 40, **{k: n for k, n in KRX_INFO_EXTRA.items() if n}}
+    limits = {"code": 40, "isu_cd": 40, "dept": 40, "marketid": 40, "name": 40, "market": 40, **{k: n for k, n in KRX_INFO_EXTRA.items() if n}}
     j = j.select(*[limit_text(c, limits[c], "fail").alias(c) if c in limits else c
                    for c in j.columns])
     _, rejects = write_market_partitioned(j, base, "market", KRX_MARKET_GROUPS,
@@ -185,7 +184,7 @@ def company_overview(spark: SparkSession, replies: DataFrame, base: str,
     recs = drop_col_at(good.select(*OVERVIEW_REPLY.fieldNames()), 3)
     recs = drop_nan(recs, [recs.columns[0]])
     refresh_table(recs, base, key=["Symbol"])
-    return read_table(spark, base), errors
+    return read_table(spark, base), store_rejects(errors, base)
 
 
 def market_snapshot(spark: SparkSession, quotes: DataFrame, base: str
@@ -203,7 +202,7 @@ def market_snapshot(spark: SparkSession, quotes: DataFrame, base: str
     s = drop_nan(sort_desc(s, "marketCap", "symbol"), ["shortName"])
     table = rename_positional(s.select(*SNAPSHOT_FILE_FIELDS), list(SNAPSHOT_TABLE_TYPES))
     refresh_table(table, base, types=SNAPSHOT_TABLE_TYPES)
-    return read_table(spark, base), bad
+    return read_table(spark, base), store_rejects(bad, base)
 
 
 # --- S&P 500 -----------------------------------------------------------------
@@ -266,20 +265,20 @@ def materials(spark: SparkSession, landed: dict[str, str], base: str, asof=None,
 def next_close_report(spark: SparkSession, stock: DataFrame, key: str, base: str,
                       symbols=None, label: str | None = None) -> DataFrame:
     """PIP-15: per symbol (all of them, or a list / a DataFrame of keys with an
-    optional ``label`` column such as the KRX name): features -> linear fit ->
-    report (index, symbol or label, tomorrow_close, direction, diff) ->
+    optional ``label`` column such as the KRX name): features -> linear fit by
+    key -> report (index, symbol or label, tomorrow_close, direction, diff) ->
     result table replaced."""
     cols = {c.lower(): c for c in stock.columns}
     bars = stock.select(F.col(cols[key.lower()]).alias("symbol"),
                         F.to_date(F.col(cols["date"])).alias("date"),
                         *[F.col(cols[c]).cast("double").alias(c)
                           for c in ["open", "high", "low", "close", "volume"]])
+    labels = None
     if symbols is not None:
         frame = isinstance(symbols, DataFrame)
-        keep = [label] if (label and frame) else []
-        bars = filter_in(bars, "symbol", symbols, value_col=key if frame else None, keep=keep)
-        if keep:
-            bars = bars.withColumn("symbol", F.col(label)).drop(label)
-    rep = forecast_report(forecast_linear(feature_frame(bars)))
+        bars = filter_in(bars, "symbol", symbols, value_col=key if frame else None)
+        if label and frame:
+            labels = symbols.select(F.col(key).alias("symbol"), label)
+    rep = forecast_report(forecast_linear(feature_frame(bars)), labels=labels)
     publish(rep, base)
     return read_table(spark, base)

@@ -99,17 +99,3 @@ def strings(names) -> T.StructType:
 
 def struct_of(types: dict) -> T.StructType:
     return ddl(", ".join(f"{k} {v}" for k, v in types.items()))
-
-
-# Shapes the adapters derive from the driver's test tables.
-PRICES = ddl("date date, code string, close double, rid bigint")
-BARS = ddl(
-    "symbol bigint, date date, open double, high double, low double, "
-    "close double, volume bigint")
-LISTING = ddl("code string, name string, market string, marcap double")
-INFO = ddl("code string, sector string, region string")
-SNAPSHOT = ddl(
-    "symbol bigint, shortName string, sector string, marketCap double, "
-    "previousClose double, regularMarketOpen double")
-COMMODITY = ddl("material string, date date, value double")
-DIRTY = ddl("code string, close_text string, rid bigint")

@@ -30,18 +30,22 @@ _DEFAULT_CONF = {
 }
 
 
-def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def get_session(master: str | None = "local[*]", shuffle_partitions: int | None = None,
                 app_name: str = "bourse", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's defaults.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; set
-    ``shuffle_partitions`` to roughly total input bytes / 128 MB.
+    On a cluster pass ``master=None`` and let spark-submit decide: its number
+    of shuffle partitions stays unless ``shuffle_partitions`` is given (see
+    ``scale_conf``).  A local session without one gets 8.
     """
+    if shuffle_partitions is None and (master or "").startswith("local"):
+        shuffle_partitions = 8
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(_DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -77,7 +81,9 @@ def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 <
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+    """Return the shared checkpoint folder.  Only a local session (tests, a
+    laptop) without one gets a folder of its own; on a cluster executors do
+    not see the driver's disk, so a missing setting is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -85,7 +91,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Tests and single machines only: a cluster names a shared folder.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = os.path.join(tempfile.gettempdir(), "bourse-checkpoints")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -2,11 +2,12 @@
 
 from bourse.sinks.tables import (append_rows, bucket_of, market_groups,
                                  partition_view, publish, read_table,
-                                 refresh_table, register_view, replace_result,
+                                 read_rejects, refresh_table, register_view,
+                                 replace_result, store_rejects,
                                  write_csv, write_market_partitioned,
                                  write_partitioned, write_per_value_files)
 
 __all__ = ["append_rows", "bucket_of", "market_groups", "partition_view",
-           "publish", "read_table", "refresh_table", "register_view",
-           "replace_result", "write_csv", "write_market_partitioned",
+           "publish", "read_rejects", "read_table", "refresh_table", "register_view",
+           "replace_result", "store_rejects", "write_csv", "write_market_partitioned",
            "write_partitioned", "write_per_value_files"]

@@ -6,7 +6,8 @@ folder ``<base>/v=<time>-<id>``, audits what was written (key unique and not
 null, required columns not null), and only then drops an ``_AUDITED`` marker
 carrying the schema.  Readers take the newest marked version, so the old
 table survives a failed run (the reference's rollback) and the switch is one
-small file create, which is atomic on HDFS and on object stores.
+rename of a complete file.  ``keep`` versions stay: frames that still read an
+older one fail once it is removed, so keep as many as are read at a time.
 """
 
 from __future__ import annotations
@@ -35,12 +36,12 @@ def write_csv(df: DataFrame, path: str, header: bool = True, encoding: str | Non
     """SNK-1 / SNK-2: CSV with or without a header line (key column first is the
     caller's ``select``).  ``bom`` starts each file's header with a UTF-8 BOM."""
     out = df
+    from bourse.sources.files import CSV_DIALECT, allow_charset
     if bom and header:
         first = df.columns[0]
         out = df.withColumnRenamed(first, "\ufeff" + first)
-    w = out.write.mode(mode).option("header", header)
+    w = out.write.mode(mode).options(**CSV_DIALECT).option("header", header)
     if encoding:
-        from bourse.sources.files import allow_charset
         allow_charset(df.sparkSession, encoding)
         w = w.option("encoding", encoding)
     w.csv(path)
@@ -55,9 +56,10 @@ def write_per_value_files(df: DataFrame, path: str, key: str, order=(),
     hot value is still split over several tasks."""
     # Writers sized by AQE from the bytes, as for tables (see session defaults
     # for the small-partition floor that keeps small landings parallel).
+    from bourse.sources.files import CSV_DIALECT
     cols = [key] + list(order)
     (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
-       .write.partitionBy(key).option("header", header).csv(path))
+       .write.partitionBy(key).options(**CSV_DIALECT).option("header", header).csv(path))
     return path
 
 
@@ -76,10 +78,14 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write under another name and rename: a reader sees the whole file or none."""
     fs, p = _fs(spark, path)
-    out = fs.create(p, True)
+    _, part = _fs(spark, f"{path}.{uuid.uuid4().hex[:8]}.part")
+    out = fs.create(part, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
+    if not fs.rename(part, p):
+        raise OSError(f"cannot rename to {path}")
 
 
 def _read_text(spark: SparkSession, path: str) -> str:
@@ -157,12 +163,17 @@ def refresh_table(df: DataFrame, base: str, *, key=None, required=(), types=None
 def read_table(spark: SparkSession, base: str) -> DataFrame:
     """Read the newest audited version of a table with its recorded schema
     (partition values such as ``005930`` stay text)."""
+    path, schema = _newest(spark, base)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _newest(spark: SparkSession, base: str) -> tuple[str, T.StructType]:
+    """Folder and recorded schema of the newest audited version."""
     versions = _versions(spark, base)
     if not versions:
         raise FileNotFoundError(f"no audited version under {base}")
     path = f"{base.rstrip('/')}/{versions[-1]}"
-    schema = T.StructType.fromJson(json.loads(_read_text(spark, f"{path}/{MARKER}")))
-    return spark.read.schema(schema).parquet(path)
+    return path, T.StructType.fromJson(json.loads(_read_text(spark, f"{path}/{MARKER}")))
 
 
 def register_view(spark: SparkSession, name: str, base: str) -> DataFrame:
@@ -192,24 +203,28 @@ def write_partitioned(df: DataFrame, base: str, key: str, *, order=None,
     """SNK-6: list partitioning by key.  Default layout: ``bucket =
     pmod(xxhash64(key), buckets)`` folders, so thousands of symbols give a
     bounded number of folders; ``per_value=True`` writes one folder per key
-    value (the reference's one child table per symbol)."""
+    value (the reference's one child table per symbol).  The number of buckets
+    is recorded with the table's schema, for ``partition_view``."""
     order = [order] if isinstance(order, str) else list(order or [])
     if per_value:
         return refresh_table(df, base, key=refresh_key, partition_by=[key], order=order)
-    withb = df.withColumn(BUCKET, bucket_of(F.col(key), buckets).cast("int"))
+    withb = (df.withColumn(BUCKET, bucket_of(F.col(key), buckets).cast("int"))
+             .withMetadata(BUCKET, {"buckets": buckets}))
     return refresh_table(withb, base, key=refresh_key, partition_by=[BUCKET],
                          order=[key] + order)
 
 
-def partition_view(spark: SparkSession, base: str, key: str, value,
-                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def partition_view(spark: SparkSession, base: str, key: str, value) -> DataFrame:
     """SNK-8: one key's rows as its own relation.  The bucket predicate is a
     constant after folding, so the scan shows it under PartitionFilters and
-    reads one folder; the key predicate is pushed into the Parquet reader."""
-    df = read_table(spark, base)
-    key_type = df.schema[key].dataType
+    reads one folder; the key predicate is pushed into the Parquet reader.
+    The number of buckets is the one the table was written with."""
+    path, schema = _newest(spark, base)
+    df = spark.read.schema(schema).parquet(path)
+    key_type = schema[key].dataType
     lit = F.lit(value).cast(key_type)
     if BUCKET in df.columns:
+        buckets = schema[BUCKET].metadata["buckets"]
         df = df.filter(F.col(BUCKET) == bucket_of(lit, buckets).cast("int")).drop(BUCKET)
     return df.filter(F.col(key) == lit)
 
@@ -217,23 +232,39 @@ def partition_view(spark: SparkSession, base: str, key: str, value,
 def market_groups(df: DataFrame, col: str, mapping: dict, out: str = "market_group"):
     """SNK-7 routing: map values to their child (several values may share
     one); values without a child are rejected, as a list partition without a
-    default child rejects them.  Returns (routed, rejects).  The mapping is a
-    handful of literals, compiled into a CASE expression (no join)."""
+    default child rejects them.  Returns (routed, rejects with a ``_reason``).
+    The mapping is a handful of literals, compiled into a CASE expression (no
+    join)."""
     expr = None
     for k, v in mapping.items():
         expr = (F.when(F.col(col) == F.lit(k), F.lit(v)) if expr is None
                 else expr.when(F.col(col) == F.lit(k), F.lit(v)))
     tagged = df.withColumn(out, expr)
-    return tagged.filter(F.col(out).isNotNull()), tagged.filter(F.col(out).isNull())
+    reason = F.concat(F.lit(f"no child for {col} "), F.coalesce(F.col(col).cast("string"), F.lit("NULL")))
+    return (tagged.filter(F.col(out).isNotNull()),
+            tagged.filter(F.col(out).isNull()).withColumn("_reason", reason))
+
+
+def store_rejects(rejects: DataFrame, base: str) -> DataFrame:
+    """Keep the rows a load refused, with their reasons, beside its table
+    (``<base>-rejects``), so that table and rejects together are the input."""
+    publish(rejects, f"{base.rstrip('/')}-rejects")
+    return read_rejects(rejects.sparkSession, base)
+
+
+def read_rejects(spark: SparkSession, base: str) -> DataFrame:
+    """The rejects of the newest load of a table."""
+    return read_table(spark, f"{base.rstrip('/')}-rejects")
 
 
 def write_market_partitioned(df: DataFrame, base: str, col: str, mapping: dict, *,
                              key=None, required=(), order=None, out: str = "market_group"):
-    """SNK-7: grouped list partition; returns (version path, rejects)."""
+    """SNK-7: grouped list partition; returns (version path, rejects as stored
+    by ``store_rejects``)."""
     routed, rejects = market_groups(df, col, mapping, out)
     path = refresh_table(routed, base, key=key, required=required, partition_by=[out],
                          order=order)
-    return path, rejects
+    return path, store_rejects(rejects, base)
 
 
 def replace_result(df: DataFrame, base: str, order, name: str = "index") -> str:

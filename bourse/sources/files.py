@@ -34,22 +34,46 @@ def allow_charset(spark: SparkSession, encoding: str | None) -> None:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
 
 
-def _reader(spark: SparkSession, schema, header: bool, encoding: str | None):
-    r = spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
+# One dialect for every reader and writer (SNK-1/2), that of pandas and of
+# Postgres COPY: quotes inside a quoted field are doubled, a backslash is an
+# ordinary character, blanks around a value belong to it.
+CSV_DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false"}
+RECORD = "_record"
+
+
+def _reader(spark: SparkSession, schema, header: bool, encoding: str | None,
+            multiline: bool = False, rejects: bool = False):
+    """A reader that fails on a row with too many or too few fields, or, with
+    ``rejects``, keeps such a row's text in ``_record``.  All columns are
+    parsed, whatever the query needs, so that no bad row goes unseen."""
+    if rejects:
+        schema = T.StructType([*schema.fields, T.StructField(RECORD, T.StringType())])
+    r = (spark.read.schema(schema).options(**CSV_DIALECT).option("header", header)
+         .option("mode", "PERMISSIVE" if rejects else "FAILFAST")
+         .option("columnNameOfCorruptRecord", RECORD)
+         .option("columnPruning", "false").option("multiLine", multiline))
     if encoding:
         allow_charset(spark, encoding)
         r = r.option("encoding", encoding)
     return r
 
 
+def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """FLT-7 for a scan made with ``rejects=True``: (rows, bad rows).  A bad
+    row has its text in ``_record``, a ``_reason`` and what could be parsed;
+    Spark reads the text only together with a parsed column."""
+    bad = df.filter(F.col(RECORD).isNotNull()).withColumn("_reason", F.lit("wrong number of fields"))
+    return df.filter(F.col(RECORD).isNull()).drop(RECORD), bad
+
+
 def na_to_null(df: DataFrame, tokens=PANDAS_NA_TOKENS, keep=()) -> DataFrame:
     """Map pandas' missing-value tokens to NULL in text columns, except in
     ``keep`` (key columns: the ticker ``NA`` is a real symbol)."""
-    toks = F.array(*[F.lit(t) for t in tokens])
     cols = []
     for c, t in df.dtypes:
         if t == "string" and c not in keep:
-            cols.append(F.when(~F.array_contains(toks, F.col(f"`{c}`")), F.col(f"`{c}`")).alias(c))
+            cols.append(F.when(~F.col(f"`{c}`").isin(list(tokens)), F.col(f"`{c}`")).alias(c))
         else:
             cols.append(F.col(f"`{c}`"))
     return df.select(*cols)
@@ -57,30 +81,41 @@ def na_to_null(df: DataFrame, tokens=PANDAS_NA_TOKENS, keep=()) -> DataFrame:
 
 def file_order(df: DataFrame) -> DataFrame:
     """Add ``_order``: a row's place in the landed files (file, split start,
-    position within the split).  "Keep the first row" in a file means the
-    smallest ``_order``; it must be taken on the scan, before any projection."""
+    position within the split).  Names of one length go by text, shorter ones
+    first, so part-99999 comes before part-100000.  "Keep the first row" in a
+    file means the smallest ``_order``; it must be taken on the scan, before
+    any projection."""
     return df.withColumn("_order", F.struct(
+        F.length("_metadata.file_path").alias("len"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("pos")))
 
 
 def scan_csv(spark: SparkSession, path, names, *, encoding: str | None = None,
-             na_values=PANDAS_NA_TOKENS, keep_text=(), with_order: bool = False) -> DataFrame:
-    """SRC-1: CSV whose first line holds the names; columns bound by position
-    to ``names`` as strings.  A UTF-8 byte-order mark is dropped by Spark."""
-    df = _reader(spark, strings(names), True, encoding).csv(path)
+             na_values=PANDAS_NA_TOKENS, keep_text=(), with_order: bool = False,
+             multiline: bool = False, rejects: bool = False) -> DataFrame:
+    """SRC-1: CSV whose first line holds the names, as strings.  A header that
+    does not hold exactly ``names`` in their order fails the read, as does a
+    row with another number of fields (``rejects``: see ``split_rejects``).
+    ``multiline`` is for text that may hold line breaks (names, addresses,
+    descriptions); such files are not split, so leave it off for bars.  A
+    UTF-8 byte-order mark is dropped by Spark."""
+    df = (_reader(spark, strings(names), True, encoding, multiline, rejects)
+          .option("enforceSchema", "false").csv(path))
     if with_order:
         df = file_order(df)
-    return na_to_null(df, na_values, keep_text) if na_values else df
+    return na_to_null(df, na_values, [*keep_text, RECORD]) if na_values else df
 
 
 def scan_csv_positional(spark: SparkSession, path, names, *, skip_first_line: bool = False,
-                        encoding: str | None = None, with_order: bool = False) -> DataFrame:
+                        encoding: str | None = None, with_order: bool = False,
+                        multiline: bool = False, rejects: bool = False) -> DataFrame:
     """SRC-2: header-less CSV bound by position (``COPY ... CSV``); with
-    ``skip_first_line`` the first line of each file is skipped (``COPY FROM
-    stdin`` after a header)."""
-    df = _reader(spark, strings(names), skip_first_line, encoding).csv(path)
+    ``skip_first_line`` the first line of each file is skipped unread (``COPY
+    FROM stdin`` after a header).  Rows with another number of fields fail the
+    read, as they fail COPY (``rejects``: see ``split_rejects``)."""
+    df = _reader(spark, strings(names), skip_first_line, encoding, multiline, rejects).csv(path)
     return file_order(df) if with_order else df
 
 
@@ -91,8 +126,8 @@ def scan_symbol_files(spark: SparkSession, path, names, pattern: str,
     symbol, the symbol encoded in the path; ``pattern`` has one group
     capturing it.  Folder names escape characters such as ``/`` and ``=`` as
     ``%XX``; ``unescape`` turns them back (a literal ``+`` stays ``+``)."""
-    df = (spark.read.schema(strings(names)).option("header", header)
-               .option("recursiveFileLookup", True).csv(path))
+    df = (_reader(spark, strings(names), header, None)
+          .option("recursiveFileLookup", True).csv(path))
     raw = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
     if unescape:
         # the metadata path is a URI (first decode gives the folder name), and
@@ -106,10 +141,14 @@ def scan_json_records(df: DataFrame, col: str, schema: T.StructType,
                       error_key: str = "Error Message") -> tuple[DataFrame, DataFrame]:
     """SRC-5 + SCL-12: parse one flat JSON object per row; objects carrying
     ``error_key`` (a failed API reply) go to the second frame with the
-    message.  Returns (records, errors)."""
-    full = T.StructType(list(schema.fields) + [T.StructField(error_key, T.StringType())])
-    parsed = df.withColumn("_rec", F.from_json(F.col(col), full, {"mode": "PERMISSIVE"})) \
-               .withColumn("_ok", F.get_json_object(F.col(col), "$").isNotNull())
+    message, as do records that do not parse or do not fit the types.
+    Returns (records, errors)."""
+    full = T.StructType(list(schema.fields) + [T.StructField(error_key, T.StringType()),
+                                               T.StructField(RECORD, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD}
+    parsed = df.withColumn("_rec", F.from_json(F.col(col), full, options)) \
+               .withColumn("_ok", F.get_json_object(F.col(col), "$").isNotNull()
+                           & F.col(f"_rec.{RECORD}").isNull())
     err = F.col(f"_rec.`{error_key}`")
     keep = [c for c in df.columns if c != col]
     good = parsed.filter(err.isNull() & F.col("_ok")).select(

@@ -12,7 +12,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-NO_ORACLE = {"fct_ridge"}
+NO_ORACLE: set[str] = set()
 # the training-data operators have their own tests in tests/llm
 OWN = {k for k in queries() if not re.match(r"op\d+_|pipeline$", k)}
 
@@ -58,9 +58,3 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(ocols)
     assert _canon(rows, cols) == _canon(res.fetchall(), ocols)
-
-
-def test_ridge_rows(spark):
-    df = queries()["fct_ridge"](spark, SF)
-    n_symbols = queries()["win_latest"](spark, SF).count()
-    assert df.count() == n_symbols

@@ -75,3 +75,19 @@ def test_report_and_mse(spark):
     pdf = df.toPandas().dropna(subset=["label"])
     for sym, g in pdf.groupby("symbol"):
         assert np.isclose(m[sym], ((g["label"] - g["yhat"]) ** 2).mean())
+
+
+def test_keys_that_share_a_name_are_fitted_apart(spark):
+    rows = [(code, f"2024-01-{d:02d}", float(v)) for code, values in (("1", [10, 11, 13, 12, 12]), ("2", [900, 910, 930, 905, 916]))
+            for d, v in enumerate(values, 1)]
+    bars = spark.createDataFrame(rows, "symbol string, date string, close double").selectExpr(
+        "symbol", "to_date(date) AS date", "close AS open", "close AS high", "close AS low", "close", "close * 10 AS volume")
+    names = spark.createDataFrame([("1", "Same"), ("2", "Same")], "symbol string, name string")
+    rep = forecast_report(forecast_linear(feature_frame(bars)), labels=names).orderBy("index").collect()
+    assert [(r["index"], r.symbol) for r in rep] == [(1, "Same"), (2, "Same")]
+    assert rep[0].tomorrow_close < 20 and rep[1].tomorrow_close > 800
+
+
+def test_ridge_has_no_python_on_the_data_path(spark):
+    plan = forecast_ridge(feature_frame(A.bars(spark, SF)))._jdf.queryExecution().executedPlan().toString()
+    assert "InPandas" not in plan and "Arrow" not in plan and "Python" not in plan

@@ -137,3 +137,11 @@ def test_dropna_variants_match_pandas(spark):
     for got, want in cases:
         assert got.count() == len(want)
     assert sorted(r.id for r in drop_nan(df, ["v"]).collect()) == list(pdf.dropna(subset=["v"]).id)
+
+
+def test_history_keeps_the_whole_last_day(spark):
+    from bourse.operators.filters import scan_history
+    df = spark.sql("SELECT explode(array(timestamp'2020-12-31 15:00:00', timestamp'2021-01-01 00:00:00', timestamp'2019-01-01')) AS t")
+    assert [str(r.t) for r in scan_history(df, "t", "2020-01-01", "2020-12-31").collect()] == ["2020-12-31 15:00:00"]
+    days = df.selectExpr("to_date(t) AS t")
+    assert [str(r.t) for r in scan_history(days, "t", "2020-01-01", "2020-12-31").collect()] == ["2020-12-31"]

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -170,3 +171,43 @@ def test_sort_desc_missing_last(spark):
                                "id int, v double")
     ids = [r.id for r in sort_desc(df, "v", "id").collect()]
     assert ids[:2] == [4, 1] and set(ids[2:]) == {2, 3}
+
+
+@pytest.mark.parametrize("seg", ["auto", 2, "range"])
+def test_missing_keys_orders_and_nan_as_in_the_plain_window(spark, seg):
+    import datetime as dt
+    day = lambda m, d: dt.date(2020, m, d)
+    rows = [(None, day(1, 1), 3.0), (None, day(2, 5), None), (None, day(3, 5), 4.0), ("a", None, 7.0),
+            ("a", day(1, 3), None), ("a", day(2, 3), float("nan")), ("a", day(4, 3), 2.0), ("b", day(1, 1), float("nan")),
+            ("b", day(5, 1), 1.0)]
+    df = spark.createDataFrame(rows, "k string, t date, v double")
+    if seg == 2:
+        df = df.withColumn("t", F.datediff("t", F.lit("2020-01-01").cast("date")))
+    for op in (lambda s: ffill(df, "k", "t", ["v"], segment=s), lambda s: pct_change(df, "k", "t", "v", "c", fill=0.0, segment=s),
+               lambda s: next_value(df, "k", "t", "v", "n", segment=s)):
+        a, b = op(seg), op(None)
+        assert a.columns == b.columns
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    filled = {(r.k, str(r.t)): r.v for r in ffill(df, "k", "t", ["v"], segment=seg).collect()}
+    assert len(filled) == 9 and not [v for v in filled.values() if v is not None and v != v]
+    assert None not in [r.v for r in ffill(df, "k", "t", ["v"], segment=seg).filter("k is null").collect()]
+
+
+def test_zscore_takes_nan_as_missing(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", float("nan"))], "k string, v double")
+    assert sorted(str(r.z) for r in zscore(df, "k", "v", "z").collect()) == ["-1.0", "1.0", "None"]
+
+
+def test_ranges_split_a_hot_key(spark):
+    df = spark.range(4000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+                                  F.col("id").alias("t"), F.when(F.col("id") % 7 == 0, F.col("id") * 1.0).alias("v"))
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"     # AQE would merge ranges this small
+    spark.conf.set(merge, "false")
+    try:
+        p = SeriesPass(keys=["k"], order=["t"], ffill=["v"], segment="range", keep_segment=True).apply(df)
+        sizes = [r["count"] for r in p.filter("k = 'hot'").groupBy("_seg").count().collect()]
+    finally:
+        spark.conf.set(merge, "true")
+    assert len(sizes) > 1 and max(sizes) <= 1200
+    assert sorted(map(str, ffill(df, "k", "t", ["v"], segment="range").collect())) == \
+        sorted(map(str, ffill(df, "k", "t", ["v"], segment=None).collect()))

@@ -1,6 +1,10 @@
 """Session helpers: partition sizing and the shared scratch folder."""
 
-from bourse.session import scale_conf, scratch_path
+from types import SimpleNamespace
+
+import pytest
+
+from bourse.session import ensure_checkpoint_dir, scale_conf, scratch_path
 
 
 def test_scale_conf_sizes_partitions():
@@ -17,3 +21,10 @@ def test_scratch_is_under_the_checkpoint_folder(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b
     assert a.startswith(base.rstrip("/")) or base.rstrip("/").split(":")[-1] in a
+
+
+def test_a_cluster_must_name_its_folder():
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="yarn", setCheckpointDir=None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))

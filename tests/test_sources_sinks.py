@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 
 from bourse.operators.keys import KeyViolation
 from bourse.sinks import (append_rows, market_groups, partition_view, publish,
-                          read_table, refresh_table, write_csv,
+                          read_rejects, read_table, refresh_table, write_csv,
                           write_market_partitioned, write_partitioned,
                           write_per_value_files)
 from bourse.sinks.tables import BUCKET
 from bourse.sources import (scan_csv, scan_csv_positional, scan_json_records,
-                            scan_symbol_files, scan_table)
+                            scan_symbol_files, scan_table, split_rejects)
 
 from pyspark.sql import types as T
 
@@ -110,7 +110,7 @@ def test_bucketed_layout_and_partition_view(spark, tmp_base):
     rows = [(f"{c:06d}", d, float(c + d)) for c in (5930, 660, 35420, 12) for d in range(5)]
     df = spark.createDataFrame(rows, "code string, day int, close double")
     write_partitioned(df, tmp_base, "code", order=["day"], buckets=8, refresh_key=["code", "day"])
-    view = partition_view(spark, tmp_base, "code", "005930", buckets=8)
+    view = partition_view(spark, tmp_base, "code", "005930")     # knows the table's 8 buckets
     assert sorted(r.day for r in view.collect()) == list(range(5))
     assert all(r.code == "005930" for r in view.collect())
     plan = view._jdf.queryExecution().executedPlan().toString()
@@ -134,7 +134,11 @@ def test_market_groups_cover_input(spark, tmp_base):
     assert [r.code for r in rejects.collect()] == ["999999"]
     _, rej = write_market_partitioned(df, tmp_base, "market", mapping, key=["code"])
     groups = {r.market_group for r in read_table(spark, tmp_base).collect()}
-    assert groups == {"kospi", "kosdaq", "konex"} and rej.count() == 1
+    assert groups == {"kospi", "kosdaq", "konex"}
+    # stored beside the table, with a reason: together they are the input
+    stored = read_rejects(spark, tmp_base).collect()
+    assert [(r.code, r._reason) for r in stored] == [("999999", "no child for market UNKNOWN")]
+    assert read_table(spark, tmp_base).count() + rej.count() == df.count()
 
 
 def test_table_by_name_follows_refresh(spark, tmp_base):
@@ -163,3 +167,75 @@ def test_scan_table_prunes_columns(spark):
     df = scan_table(spark, "/root/testdata/sf0.001/orders.parquet", ["o_orderkey", "o_totalprice"])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan
+
+
+ODD = ['plain', 'Foo "Bar", Inc', 'two\nlines', '  pad  ', 'back\\slash\\"q"', '"', ',', "a\n\"b\",\\"]
+
+
+def test_csv_keeps_every_value(spark, tmp_base):
+    df = spark.createDataFrame([(str(i), t, "z") for i, t in enumerate(ODD)], "k string, t string, z string")
+    write_csv(df, f"{tmp_base}/h")
+    write_csv(df, f"{tmp_base}/p", header=False)
+    a = scan_csv(spark, f"{tmp_base}/h", df.columns, multiline=True)
+    b = scan_csv_positional(spark, f"{tmp_base}/p", df.columns, multiline=True)
+    for back in (a, b):
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_csv_written_by_pandas_reads_the_same(spark, tmp_path):
+    import pandas as pd
+    rows = pd.DataFrame({"k": [str(i) for i in range(len(ODD))], "t": ODD, "z": "x"})
+    rows.to_csv(tmp_path / "h.csv", index=False)
+    rows.to_csv(tmp_path / "p.csv", index=False, header=False)
+    a = scan_csv(spark, str(tmp_path / "h.csv"), ["k", "t", "z"], multiline=True)
+    b = scan_csv_positional(spark, str(tmp_path / "p.csv"), ["k", "t", "z"], multiline=True)
+    for back in (a, b):
+        assert sorted(map(tuple, back.collect())) == sorted(rows.itertuples(index=False, name=None))
+
+
+def test_pandas_reads_what_we_write(spark, tmp_path):
+    import pandas as pd
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(ODD)], "k string, t string")
+    write_csv(df.coalesce(1), str(tmp_path / "out"))
+    back = pd.read_csv(next((tmp_path / "out").glob("part-*.csv")), dtype=str)
+    assert sorted(back.itertuples(index=False, name=None)) == sorted((str(i), t) for i, t in enumerate(ODD))
+
+
+def test_header_must_hold_the_names_in_order(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("Name,Code,Sector\nA,1,S\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_csv(spark, str(tmp_path / "x.csv"), ["Code", "Name", "Sector"]).collect()
+
+
+def test_ragged_rows_fail_or_go_to_the_rejects(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a,b,c\n1,2,3\n3,c,x,extra\n2,b\n")
+    names = ["a", "b", "c"]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scan_csv(spark, str(tmp_path / "x.csv"), names).select("a").collect()
+    good, bad = split_rejects(scan_csv(spark, str(tmp_path / "x.csv"), names, rejects=True))
+    assert [tuple(r) for r in good.collect()] == [("1", "2", "3")]
+    assert sorted((r._record, r._reason) for r in bad.collect()) == [("2,b", "wrong number of fields"),
+                                                                     ("3,c,x,extra", "wrong number of fields")]
+
+
+def test_view_of_any_number_of_buckets(spark, tmp_base):
+    df = spark.createDataFrame([(f"s{i}", i) for i in range(20)], "code string, v int")
+    write_partitioned(df, tmp_base, "code", buckets=16)
+    got = [partition_view(spark, tmp_base, "code", f"s{i}").collect() for i in range(20)]
+    assert [[r.v for r in x] for x in got] == [[i] for i in range(20)]
+
+
+def test_json_of_a_wrong_type_is_an_error(spark):
+    df = spark.createDataFrame([(1, '{"k": 5}'), (2, '{"k": "abc"}'), (3, '{}')], "id int, reply string")
+    good, bad = scan_json_records(df, "reply", T.StructType([T.StructField("k", T.LongType())]))
+    assert sorted((r.id, r.k) for r in good.collect()) == [(1, 5), (3, None)]
+    assert [(r.id, r.error_message) for r in bad.collect()] == [(2, "unparsable record")]
+
+
+def test_a_reader_sees_a_whole_marker_or_none(spark, tmp_base):
+    from bourse.sinks.tables import _fs
+    refresh_table(spark.range(3), tmp_base)
+    fs, p = _fs(spark, tmp_base)
+    version = fs.listStatus(p)[0].getPath()
+    names = [s.getPath().getName() for s in fs.listStatus(version)]
+    assert "_AUDITED" in names and not [n for n in names if n.endswith(".part")]
