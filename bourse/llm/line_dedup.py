@@ -10,7 +10,7 @@ Chunks.  A rolling hash over the hashes of ``WINDOW`` lines opens a chunk
 wherever it falls into a fixed share of its range: boundaries depend on nearby
 lines alone, so text inserted before a passage shifts none of them.  A chunk
 runs to the first boundary that is at least ``MIN_LINES`` away, or to
-``MAX_LINES``.
+``MAX_LINES``.  A line of ``LONG_LINE`` words or more is a chunk by itself too.
 
 Repeats.  Chunks are counted by hash over all documents.  The copy in the
 document with the smallest id stays.  For all others the first copy's text
@@ -53,43 +53,45 @@ MARGIN = 3
 #: Lines of a first copy that travel together.
 BLOCK_LINES = 16
 #: Share of the rolling hash's range that opens a chunk.
-OPENS = 0.75
+OPENS = 0.9
 MIN_CHUNK_WORDS = 8
+LONG_LINE = 16
 MIN_WORDS = 25
 
-_CUT = re.compile(r"(?<=[.?])[^\S\n]+(?=\S)|\n")
+_CUT = re.compile(r"((?<=[.?])[^\S\n]+(?=\S)|\n)")
 _ROLL = np.uint64(0x9E3779B97F4A7C15)
 _LIMIT = np.uint64(int(OPENS * (1 << 64)))
 
 
 def lines_of(text: str) -> list[str]:
     """The lines of a text, each with what separates it from the next."""
-    out, at = [], 0
-    for m in _CUT.finditer(text):
-        out.append(text[at:m.end()])
-        at = m.end()
-    if at < len(text):
-        out.append(text[at:])
-    return out
+    parts = _CUT.split(text)
+    last = parts.pop()
+    out = [a + b for a, b in zip(parts[::2], parts[1::2])]
+    return [*out, last] if last else out
 
 
 def chunks_of(hashes: np.ndarray, words: np.ndarray) -> list[tuple[int, int, int]]:
     """(first line, lines, hash as a signed long) of each chunk of a text."""
     n = len(hashes)
-    if n < MIN_LINES:
+    if not n:
         return []
     rolled = np.zeros(max(0, n - WINDOW + 1), dtype=np.uint64)
     for k in range(WINDOW):
         rolled = rolled * _ROLL + hashes[k:k + len(rolled)]
     opens = np.zeros(n + MAX_LINES, dtype=bool)
     opens[:len(rolled)] = ((rolled ^ rolled >> np.uint64(32)) * _ROLL) < _LIMIT
-    at = np.flatnonzero(opens[:n - MIN_LINES + 1])
+    at = np.flatnonzero(opens[:max(0, n - MIN_LINES + 1)])
     size = np.full(len(at), MIN_LINES)
     for k in range(MIN_LINES, MAX_LINES):
         size += (size == k) & (at + k < n) & ~opens[at + k]
     total = np.concatenate([[0], np.cumsum(words)])
     enough = total[at + size] - total[at] >= MIN_CHUNK_WORDS
     at, size = at[enough], size[enough]
+    long = np.flatnonzero(words >= LONG_LINE)
+    at, size = np.concatenate([at, long]), np.concatenate([size, np.ones(len(long), dtype=np.int64)])
+    order = np.argsort(at, kind="stable")
+    at, size = at[order], size[order]
     padded = np.concatenate([hashes, np.zeros(MAX_LINES, dtype=np.uint64)])
     h = size.astype(np.uint64)
     for k in range(MAX_LINES):
@@ -97,9 +99,13 @@ def chunks_of(hashes: np.ndarray, words: np.ndarray) -> list[tuple[int, int, int
     return list(zip(at.tolist(), size.tolist(), h.view(np.int64).tolist()))
 
 
-def _parsed(text: str):
-    lines = lines_of(text)
-    keys = [x.strip().encode("utf-8", "surrogatepass") for x in lines]
+def _keys(lines: list[str]) -> list[bytes]:
+    return [x.strip().encode("utf-8", "surrogatepass") for x in lines]
+
+
+def _parsed(text: str, lines: list[str] | None = None, keys: list[bytes] | None = None):
+    lines = lines_of(text) if lines is None else lines
+    keys = _keys(lines) if keys is None else keys
     words = np.array([k.count(b" ") + (k != b"") for k in keys], dtype=np.int64)
     hashes = np.array([xxhash.xxh64_intdigest(k) for k in keys], dtype=np.uint64)
     return lines, keys, words, chunks_of(hashes, words)
@@ -139,7 +145,11 @@ def clean_text(text: str, originals: dict[int, list[tuple[list[str], int]]], min
     """The text without repeats of ``originals`` (by chunk hash: lines around
     the first copy, place of the chunk there) and of itself; removed lines and
     words."""
-    lines, keys, words, chunks = _parsed(text)
+    lines = lines_of(text)
+    keys = _keys(lines)
+    if not originals and len(set(keys)) == len(keys):
+        return text, 0, 0
+    _, _, words, chunks = _parsed(text, lines, keys)
     gone = bytearray(len(lines))
     first = {}
     for at, size, h in chunks:
