@@ -71,44 +71,49 @@ def lines_of(text: str) -> list[str]:
     return [*out, last] if last else out
 
 
-def chunks_of(hashes: np.ndarray, words: np.ndarray) -> list[tuple[int, int, int]]:
-    """(first line, lines, hash as a signed long) of each chunk of a text."""
+def chunks_of(hashes: np.ndarray, words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First line, number of lines and hash (a signed long) of each chunk;
+    lines of one text after another, ``ends`` where each line's text ends."""
     n = len(hashes)
-    if not n:
-        return []
-    rolled = np.zeros(max(0, n - WINDOW + 1), dtype=np.uint64)
+    line = np.arange(n)
+    padded = np.concatenate([hashes, np.zeros(MAX_LINES + WINDOW, dtype=np.uint64)])
+    rolled = np.zeros(n, dtype=np.uint64)
     for k in range(WINDOW):
-        rolled = rolled * _ROLL + hashes[k:k + len(rolled)]
+        rolled = rolled * _ROLL + padded[k:k + n]
     opens = np.zeros(n + MAX_LINES, dtype=bool)
-    opens[:len(rolled)] = ((rolled ^ rolled >> np.uint64(32)) * _ROLL) < _LIMIT
-    at = np.flatnonzero(opens[:max(0, n - MIN_LINES + 1)])
+    opens[:n] = (((rolled ^ rolled >> np.uint64(32)) * _ROLL) < _LIMIT) & (line + WINDOW <= ends)
+    at = np.flatnonzero(opens[:n] & (line + MIN_LINES <= ends))
     size = np.full(len(at), MIN_LINES)
     for k in range(MIN_LINES, MAX_LINES):
-        size += (size == k) & (at + k < n) & ~opens[at + k]
+        size += (size == k) & (at + k < ends[at]) & ~opens[at + k]
     total = np.concatenate([[0], np.cumsum(words)])
     enough = total[at + size] - total[at] >= MIN_CHUNK_WORDS
-    at, size = at[enough], size[enough]
     long = np.flatnonzero(words >= LONG_LINE)
-    at, size = np.concatenate([at, long]), np.concatenate([size, np.ones(len(long), dtype=np.int64)])
+    at, size = np.concatenate([at[enough], long]), np.concatenate([size[enough], np.ones(len(long), dtype=np.int64)])
     order = np.argsort(at, kind="stable")
     at, size = at[order], size[order]
-    padded = np.concatenate([hashes, np.zeros(MAX_LINES, dtype=np.uint64)])
     h = size.astype(np.uint64)
     for k in range(MAX_LINES):
         h = np.where(k < size, (h ^ padded[at + k]) * _ROLL + (h >> np.uint64(29)), h)
-    return list(zip(at.tolist(), size.tolist(), h.view(np.int64).tolist()))
+    return at, size, h.view(np.int64)
 
 
-def _keys(lines: list[str]) -> list[bytes]:
-    return [x.strip().encode("utf-8", "surrogatepass") for x in lines]
+def _keys(lines: list[str]) -> list[str]:
+    return [x.strip() for x in lines]
 
 
-def _parsed(text: str, lines: list[str] | None = None, keys: list[bytes] | None = None):
-    lines = lines_of(text) if lines is None else lines
-    keys = _keys(lines) if keys is None else keys
-    words = np.array([k.count(b" ") + (k != b"") for k in keys], dtype=np.int64)
-    hashes = np.array([xxhash.xxh64_intdigest(k) for k in keys], dtype=np.uint64)
-    return lines, keys, words, chunks_of(hashes, words)
+def _measured(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and number of words of each line."""
+    n = len(keys)
+    return (np.fromiter(map(xxhash.xxh64_intdigest, keys), dtype=np.uint64, count=n),
+            np.fromiter((k.count(" ") + (k != "") for k in keys), dtype=np.int64, count=n))
+
+
+def _chunks(keys: list[str]) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Words of each line, and (first line, lines, hash) of each chunk of a text."""
+    hashes, words = _measured(keys)
+    found = chunks_of(hashes, words, np.full(len(keys), len(keys)))
+    return words, list(zip(*(x.tolist() for x in found)))
 
 
 def chunk_rows(docs: DataFrame) -> DataFrame:
@@ -117,19 +122,28 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
         for b in batches:
             for k in range(0, b.num_rows, 512):
                 part = b.slice(k, 512)
-                h, ids = [], []
-                for i, text in zip(part.column("_id").to_pylist(), part.column("text").to_pylist()):
-                    own = {c[2] for c in _parsed(text)[3]}
-                    h.extend(own)
-                    ids.extend([i] * len(own))
-                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(ids, pa.int64())], names=["h", "id"])
+                keys: list[str] = []
+                ends = []
+                for text in part.column("text").to_pylist():
+                    keys.extend(_keys(lines_of(text)))
+                    ends.append(len(keys))
+                lines = np.diff(ends, prepend=0)
+                hashes, words = _measured(keys)
+                at, _, h = chunks_of(hashes, words, np.repeat(ends, lines))
+                owner = np.repeat(np.arange(len(ends)), lines)[at]
+                order = np.lexsort((h, owner))
+                owner, h = owner[order], h[order]
+                new = np.ones(len(h), dtype=bool)
+                new[1:] = (owner[1:] != owner[:-1]) | (h[1:] != h[:-1])
+                ids = part.column("_id").to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([pa.array(h[new]), pa.array(ids[owner[new]])], names=["h", "id"])
 
     return docs.mapInArrow(run, "h long, id long")
 
 
-def _span(keys: list[bytes], at: int, size: int, other: list[bytes], there: int) -> tuple[int, int] | None:
+def _span(keys: list[str], at: int, size: int, other: list[str], there: int) -> tuple[int, int] | None:
     """The equal run of lines around a chunk at ``at`` here and ``there`` in
-    the other text; None if the chunk's own bytes differ."""
+    the other text; None if the chunk's own text differs."""
     if keys[at:at + size] != other[there:there + size]:
         return None
     a, b = at, there
@@ -149,7 +163,7 @@ def clean_text(text: str, originals: dict[int, list[tuple[list[str], int]]], min
     keys = _keys(lines)
     if not originals and len(set(keys)) == len(keys):
         return text, 0, 0
-    _, _, words, chunks = _parsed(text, lines, keys)
+    words, chunks = _chunks(keys)
     gone = bytearray(len(lines))
     first = {}
     for at, size, h in chunks:
@@ -169,7 +183,7 @@ def clean_text(text: str, originals: dict[int, list[tuple[list[str], int]]], min
         j = i
         while j < len(lines) and gone[j] == gone[i]:
             j += 1
-        n = sum(words[i:j])
+        n = int(words[i:j].sum())
         if gone[i] and n >= min_words:
             out_lines, out_words = out_lines + j - i, out_words + n
         else:
@@ -200,27 +214,27 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                                           part.column("_wanted").to_pylist()):
                     if not wants:
                         continue
-                    _, keys, _, chunks_here = _parsed(text or "")
+                    keys = _keys(lines_of(text or ""))
                     todo, own = set(wants), {}
-                    for at, _, x in chunks_here:
+                    for at, _, x in _chunks(keys)[1]:
                         if x in todo:
                             todo.discard(x)
                             own.setdefault(at // BLOCK_LINES, []).append((x, at))
-                    doc = xxhash.xxh64_intdigest((text or "").encode("utf-8", "surrogatepass")) - (1 << 63)
+                    doc = xxhash.xxh64_intdigest(text or "") - (1 << 63)
                     for block, found_here in own.items():
                         lo = max(0, block * BLOCK_LINES - MARGIN)
                         near = keys[lo:(block + 1) * BLOCK_LINES + MAX_LINES + MARGIN]
-                        for col, x in zip(cols, (i, doc, block, b"\n".join(near),
+                        for col, x in zip(cols, (i, doc, block, "\n".join(near),
                                                  [{"h": h, "at": at - lo} for h, at in found_here])):
                             col.append(x)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.binary(),
+                    [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.string(),
                                                            pa.list_(pa.struct([("h", pa.int64()), ("at", pa.int32())]))))],
                     names=["id", "doc", "block", "near", "own"])
 
     place = ["id", "doc", "block"]
     blocks = stored(rows.join(wanted, "_id", "left").mapInArrow(
-        around, "id long, doc long, block int, near binary, own array<struct<h: long, at: int>>"), "first-copies")
+        around, "id long, doc long, block int, near string, own array<struct<h: long, at: int>>"), "first-copies")
     copies = (chunks.withColumnRenamed("id", "copy").join(repeated, "h").where(F.col("copy") != F.col("first"))
               .select("h", "copy"))
     hits = (copies.join(blocks.select(*place, F.inline("own")), "h")
@@ -240,7 +254,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 for text, hits in zip(fields[text_at].to_pylist(), part.column("_found").to_pylist()):
                     near: dict[int, list] = {}
                     for x in hits or ():
-                        around_it = x["near"].split(b"\n")
+                        around_it = x["near"].split("\n")
                         for c in x["own"]:
                             near.setdefault(c["h"], []).append((around_it, c["at"]))
                     new, *n = clean_text(text, near, min_words) if text else (text, 0, 0)

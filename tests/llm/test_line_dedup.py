@@ -18,10 +18,21 @@ def test_boundaries_do_not_shift(prose):
     hashes = []
     for before in (0, 3, 50):
         text = " ".join(prose(rng, before) + passage)
-        hashes.append({c[2] for c in ld._parsed(text)[3]})
+        hashes.append({c[2] for c in ld._chunks(ld._keys(ld.lines_of(text)))[1]})
     assert len(hashes[0] & hashes[1] & hashes[2]) > 0.8 * len(hashes[0])
 
 
+def test_texts_of_a_batch_do_not_mix(prose):
+    rng = random.Random(8)
+    texts = [ld._keys(prose(rng, n)) for n in (40, 0, 9, 200, 3)]
+    alone = [[c[2] for c in ld._chunks(k)[1]] for k in texts]
+    hashes, words = ld._measured([x for k in texts for x in k])
+    ends = [sum(map(len, texts[:i + 1])) for i in range(len(texts))]
+    at, size, h = ld.chunks_of(hashes, words, ld.np.repeat(ends, [len(k) for k in texts]))
+    assert h.tolist() == [x for own in alone for x in own]
+    assert all(any(a < e and a + s <= e for e in ends) for a, s in zip(at.tolist(), size.tolist()))
+
+
 def test_repeated_passages_go_and_clean_texts_stay(spark, docs, prose):
     rng = random.Random(2)
     texts, passages = {}, [" ".join(prose(rng, 70)) for _ in range(12)]
@@ -57,7 +68,8 @@ def test_bytes_decide(prose):
     rng = random.Random(4)
     lines = prose(rng, 100)
     text = "\n".join(lines)
-    _, keys, _, chunks = ld._parsed(text)
+    keys = ld._keys(ld.lines_of(text))
+    chunks = ld._chunks(keys)[1]
     same = {h: [(keys, at)] for at, _, h in chunks}
     other = {h: [([k[::-1] for k in keys], at)] for at, _, h in chunks}       # as after a collision of hashes
     assert ld.clean_text(text, same, 25)[0] == ""
