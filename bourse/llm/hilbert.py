@@ -58,7 +58,10 @@ def bins(df: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, bits: int = BI
         value = as_number(df, d)
         # a value that fills several bins takes the first of them, the next value the one after
         found = [F.when(value > F.lit(e), 1).otherwise(0) for e in edges[i] or []]
-        out.append(reduce(add, found, F.lit(0)).cast("int"))
+        # without edges (no values) the bin is 0, but never a constant: the steps
+        # of the curve would be folded into one expression that doubles with each
+        zero = F.least(F.coalesce(F.length(F.col(f"`{d}`").cast("string")), F.lit(0)), F.lit(0))
+        out.append(reduce(add, found, zero).cast("int"))
     return out
 
 
