@@ -33,7 +33,7 @@ from bourse.operators.series import (drop_last, ffill, latest, next_value, pct_c
 from bourse.plans import adapters as A
 from bourse.plans.adapters import with_sql
 from bourse.plans import markets as M
-from bourse.plans.jobs import (BARS_TABLE, JOBS, WITH_REJECTS, nas_listing_source,
+from bourse.plans.jobs import (BARS_TABLE, JOBS, WITH_REJECTS,
                                overview_records, rejects_of)
 from bourse.session import scratch_path
 from bourse.sinks.tables import (append_rows, partition_view,
@@ -405,11 +405,7 @@ def mkt_krx_stock(spark, d):
 
 
 def mkt_nas_list(spark, d):
-    base = scratch_path(spark, "mkt_nas_list")
-    # landed in source order: part files follow the sort, so file order = rid order
-    src = nas_listing_source(spark, d).orderBy("rid").drop("rid")
-    write_csv(src, f"{base}/landed")
-    return M.nas_list(spark, f"{base}/landed", f"{base}/table")
+    return JOBS["pip_nas_list"](spark, d)
 
 
 def mkt_nas_stock(spark, d):
@@ -522,12 +518,7 @@ def mkt_krx_forecast(spark, d):
 
 
 def mkt_snp_list(spark, d):
-    base = scratch_path(spark, "mkt_snp_list")
-    src = enrich_listing(A.listing(spark, d), A.info(spark, d)).select(
-        F.col("code").alias("Symbol"), F.col("name").alias("Name"),
-        F.col("sector").alias("Sector"), F.col("market").alias("Industry"))
-    write_csv(src, f"{base}/landed")
-    return M.snp_list(spark, f"{base}/landed", f"{base}/table")
+    return JOBS["pip_snp_list"](spark, d)
 
 
 def mkt_snp_stock_by_symbol(spark, d):

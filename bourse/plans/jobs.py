@@ -21,6 +21,7 @@ from bourse.operators.projection import (drop_col_at, drop_cols, rename_position
                                          with_key)
 from bourse.operators.series import ffill, ffill_pct_change, sort_desc
 from bourse.plans import adapters as A
+from bourse.plans import markets as M
 from bourse.schemas import ddl
 from bourse.session import scratch_path
 from bourse.sinks.tables import (publish, read_rejects, read_table, refresh_table,
@@ -100,14 +101,11 @@ def nas_listing_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nas_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PIP-5: landed list -> keep the first row per Symbol -> table."""
+    """PIP-5: landed list -> keep the first row per Symbol -> table.  Landed
+    in source order: part files follow the sort, so file order is row order."""
     base = scratch_path(spark, "nas_list")
-    cols = ["Symbol", "Name", "Industry", "IndustryCode", "rid"]
-    write_csv(nas_listing_source(spark, sf_dir), f"{base}/landed")
-    raw = scan_csv(spark, f"{base}/landed", cols, keep_text=["Symbol"])
-    first = keep_first(raw.withColumn("rid", F.col("rid").cast("bigint")), ["Symbol"], ["rid"])
-    refresh_table(first.drop("rid"), f"{base}/table", key=["Symbol"])
-    return read_table(spark, f"{base}/table")
+    write_csv(nas_listing_source(spark, sf_dir).orderBy("rid").drop("rid"), f"{base}/landed")
+    return M.nas_list(spark, f"{base}/landed", f"{base}/table")
 
 
 def nas_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,10 +199,7 @@ def snp_list(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("code").alias("Symbol"), F.col("name").alias("Name"),
         F.col("sector").alias("Sector"), F.col("market").alias("Industry"))
     write_csv(src, f"{base}/landed")
-    raw = scan_csv(spark, f"{base}/landed", ["Symbol", "Name", "Sector", "Industry"],
-                   keep_text=["Symbol"])
-    refresh_table(drop_nan(raw), f"{base}/table", key=["Symbol"])
-    return read_table(spark, f"{base}/table")
+    return M.snp_list(spark, f"{base}/landed", f"{base}/table")
 
 
 def snp_stock_frame(spark: SparkSession, sf_dir: str) -> DataFrame:

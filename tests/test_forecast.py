@@ -91,3 +91,10 @@ def test_keys_that_share_a_name_are_fitted_apart(spark):
 def test_ridge_has_no_python_on_the_data_path(spark):
     plan = forecast_ridge(feature_frame(A.bars(spark, SF)))._jdf.queryExecution().executedPlan().toString()
     assert "InPandas" not in plan and "Arrow" not in plan and "Python" not in plan
+
+
+def test_a_function_of_per_key_statistics(spark):
+    from bourse.operators.forecast import per_key_apply
+    stats = spark.createDataFrame([("a", 1.0, 3.0), ("b", 4.0, 4.0)], "k string, lo double, hi double")
+    out = per_key_apply(stats, lambda pdf: pdf.assign(span=pdf.hi - pdf.lo)[["k", "span"]], "k string, span double")
+    assert sorted(map(tuple, out.collect())) == [("a", 2.0), ("b", 0.0)]
