@@ -215,7 +215,8 @@ class SeriesPass:
             ensure_checkpoint_dir(df.sparkSession)
             # written down: bounds come from a sample, and a lost task must not draw another
             return (keyed.repartitionByRange(KEY, *order)
-                    .withColumn(SEGMENT, F.spark_partition_id().cast("long")).checkpoint())
+                    .withColumn(SEGMENT, F.spark_partition_id().cast("long")).checkpoint()
+                    .repartition(KEY, SEGMENT))
         number = segment_of(F.col(order[0]), self.segment, dict(df.dtypes).get(order[0]))
         return (keyed.withColumn(SEGMENT, F.coalesce(number.cast("long"), F.lit(NO_SEGMENT)))
                 .repartition(KEY, SEGMENT))
