@@ -206,11 +206,14 @@ class SeriesPass:
         out["_first"] = first_in_seg & F.coalesce(F.col("_segfirst"), F.lit(True))
         out["_last"] = last_in_seg & F.coalesce(F.col("_seglast"), F.lit(True))
         base = [c for c in df.columns if c not in place] + (place if self.keep_segment else [])
+        out.update({k: F.col(KEY).getField(k) for k in keys if k not in out})
         return self._project(j, base, out)
 
     def _dealt(self, df: DataFrame, keys, order) -> DataFrame:
         """The rows dealt out by (key, segment), with both as never-null columns."""
-        keyed = df.withColumn(KEY, F.struct(*[F.col(k) for k in keys]))
+        # the key lives in the struct alone: the summary then needs the same
+        # columns as the rows, and both use one exchange
+        keyed = df.withColumn(KEY, F.struct(*[F.col(k) for k in keys])).drop(*keys)
         if isinstance(self.segment, str) and self.segment == "range":
             ensure_checkpoint_dir(df.sparkSession)
             # written down: bounds come from a sample, and a lost task must not draw another
