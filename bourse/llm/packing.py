@@ -1,10 +1,21 @@
 """Lexical retrieval packing: training windows filled with a seed document and
 its nearest unused neighbours by BM25.
 
-Documents are dealt into shards by a hash of id and text; the number of shards
-follows the corpus's bytes, so a shard has about ``SHARD_BYTES`` of text at any
-size.  Each shard is one task's work: its texts become token ids, a BM25 inverted
-index over the ids is built, and windows are filled in turn.  A window's seed is
+Texts become token ids once, in a table.  Document frequencies and the mean
+length are counted over all documents, so a score does not depend on the shard.
+
+Documents are dealt into shards of about ``SHARD_BYTES`` of text by shared rare
+terms.  A document's topic is its ``TOPIC`` terms of the greatest BM25 weight that
+another document holds too; documents are ordered by these as paths of a prefix
+tree, and the order is cut into shards.  First in a path is the term that is most
+often a topic where it occurs at all (topics squared over documents).  So documents
+about the same thing meet, in whatever part of the corpus they lie.  What shares a
+first term and is too large for one shard is dealt by the second, then by the
+third, and copies beyond that by a hash of id and text.  Neighbours whose paths
+differ from the first term on may still lie in two shards.
+
+Each shard is one task's work: a BM25 inverted index over the ids is built, and
+windows are filled in turn.  A window's seed is
 the rest of the document that the last window cut, or else the next unused one.
 When a document ends inside a window, the seed's ``QUERY_TERMS`` rarest ids are
 looked up in the index, and the best unused neighbours follow, the last of them
@@ -13,7 +24,7 @@ seed, the next in order follows.  So all windows but a shard's last are full; th
 last is cut into pieces whose lengths are powers of two, which need no padding.
 
 Defined results.  A null text is an empty one: one piece that holds the end mark.
-Equal BM25 scores go by order (id, then text); a null id comes last.  Repeated
+Equal BM25 scores go by order (id, then token ids); a null id comes last.  Repeated
 rows are documents each.  Extra columns play no part.  An empty table gives an
 empty result.
 """
@@ -23,6 +34,8 @@ from __future__ import annotations
 import base64
 import sys
 import types
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
@@ -30,12 +43,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bourse.llm.common import table
+from bourse.llm.common import mix, stored, table
 
 WINDOW = 1024
 END = 0
 SHARD_BYTES = 4 << 20
 QUERY_TERMS = 16
+TOPIC = 8
+#: Terms of a path that shards are cut by.
+LEVELS = 3
 K1, B = 1.2, 0.75
 SPECIAL = "<|endoftext|>"
 
@@ -73,11 +89,37 @@ def encoder(tokenizer: str, ranks: str | None) -> Encoder:
     return kept.__dict__[tokenizer, ranks]
 
 
+class Corpus(NamedTuple):
+    """Counts over all documents: terms in order, how many documents hold
+    each, number of documents and mean number of ids."""
+    terms: np.ndarray
+    frequency: np.ndarray
+    n: int
+    mean: float
+
+    def idf(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weight and document frequency of each term."""
+        frequency = self.frequency[np.searchsorted(self.terms, terms)]
+        return np.log1p((self.n - frequency + 0.5) / (frequency + 0.5)), frequency
+
+
+def corpus_of(docs: list[np.ndarray]) -> Corpus:
+    terms, frequency = np.unique(np.concatenate([np.unique(d[:-1]) for d in docs]), return_counts=True)
+    return Corpus(terms, frequency, len(docs), float(np.mean([len(d) - 1 for d in docs])))
+
+
+def saturated(count: np.ndarray, length: np.ndarray, mean: float) -> np.ndarray:
+    """BM25's part for a term's count in a document of that length."""
+    return count * (K1 + 1) / (count + K1 * (1 - B + B * length / max(1.0, mean)))
+
+
 class Index:
-    """BM25 inverted index over the token ids of a shard's documents."""
+    """BM25 inverted index over the token ids of a shard's documents, weighted
+    by the counts of the whole corpus, by default the shard alone."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], corpus: Corpus | None = None):
         n = len(docs)
+        corpus = corpus or corpus_of(docs)
         terms, counts = zip(*(np.unique(d[:-1], return_counts=True) for d in docs))
         sizes = np.array([len(t) for t in terms])
         owner = np.repeat(np.arange(n), sizes)
@@ -86,10 +128,9 @@ class Index:
         self.terms, first = np.unique(term[order], return_index=True)
         self.bounds = np.append(first, len(term))
         frequency = np.diff(self.bounds)
-        idf = np.log1p((n - frequency + 0.5) / (frequency + 0.5))
+        idf, _ = corpus.idf(self.terms)
         length = np.array([len(d) - 1 for d in docs], dtype=float)
-        length /= max(1.0, length.mean())
-        weight = count * (K1 + 1) / (count + K1 * (1 - B + B * length[owner]))
+        weight = saturated(count, length[owner], corpus.mean)
         self.owner = owner[order]
         self.weight = (weight[order] * np.repeat(idf, frequency))
         # each document's query: its rarest terms that another document holds too
@@ -112,12 +153,12 @@ class Index:
                            np.concatenate([self.weight[s] for s in spans]), minlength=n)
 
 
-def fill(docs: list[np.ndarray], window: int = WINDOW) -> list[list[tuple[int, int, int]]]:
+def fill(docs: list[np.ndarray], window: int = WINDOW, corpus: Corpus | None = None) -> list[list[tuple[int, int, int]]]:
     """Windows of (document, start, length) over the token ids of one shard."""
     n = len(docs)
     if not n:
         return []
-    index = Index(docs)
+    index = Index(docs, corpus)
     free = np.ones(n, dtype=bool)
     upcoming, left = 0, n
     windows: list[list[tuple[int, int, int]]] = []
@@ -172,6 +213,143 @@ def _powers(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int
     return out
 
 
+# --- dealing -------------------------------------------------------------------
+
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
+def _arrays(b: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x, dtype="<u4") for x in b.column("ids").to_pylist()]
+
+
+def _distinct(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owner, term and count of each document's terms, in order."""
+    owner = np.repeat(np.arange(len(docs)), [len(d) - 1 for d in docs])
+    both, count = np.unique(owner << 32 | np.concatenate([d[:-1] for d in docs]).astype(np.int64), return_counts=True)
+    return both >> 32, both & 0xFFFFFFFF, count
+
+
+def corpus_counts(tokens: DataFrame) -> Corpus:
+    """``Corpus`` of all documents (ids): each task sums its own, so what is
+    shuffled and collected is bounded by the vocabulary."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, docs, ids = np.zeros(0, dtype=np.int64), 0, 0
+        for b in _slices(batches):
+            own = _arrays(b)
+            here = np.bincount(_distinct(own)[1], minlength=len(held))
+            here[:len(held)] += held
+            held, docs, ids = here, docs + len(own), ids + sum(len(d) - 1 for d in own)
+        term = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(term, [-1, -2])), pa.array(np.append(held[term], [docs, ids]))],
+                                         names=["term", "n"])
+
+    rows = tokens.select("ids").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    got = {r["term"]: r["n"] for r in rows}
+    n, ids = got.pop(-1, 0), got.pop(-2, 0)
+    terms = np.array(sorted(got), dtype=np.int64)
+    return Corpus(terms, np.array([got[t] for t in terms.tolist()], dtype=np.int64), n, ids / max(1, n))
+
+
+def topics(docs: list[np.ndarray], corpus: Corpus) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and term of each document's ``TOPIC`` weightiest terms that
+    another document holds too."""
+    owner, term, count = _distinct(docs)
+    idf, frequency = corpus.idf(term)
+    weight = idf * saturated(count, np.array([len(d) - 1 for d in docs])[owner], corpus.mean)
+    shared = frequency > 1
+    owner, term, weight = owner[shared], term[shared], weight[shared]
+    order = np.lexsort((term, -weight, owner))
+    owner, term = owner[order], term[order]
+    top = np.arange(len(owner)) - np.searchsorted(owner, owner) < TOPIC
+    return owner[top], term[top]
+
+
+def paths(n: int, owner: np.ndarray, term: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first ``LEVELS`` terms of each of ``n`` documents' paths by ``rank``
+    (of each term), -1 where a document has no more."""
+    out = np.full((n, LEVELS), -1, dtype=np.int64)
+    order = np.lexsort((rank[term], owner))
+    owner, term = owner[order], term[order]
+    place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+    out[owner[place < LEVELS], place[place < LEVELS]] = term[place < LEVELS]
+    return out
+
+
+def _bucket(x: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    return (mix(x.astype(np.uint64) + np.uint64(1)) % parts.astype(np.uint64)).astype(np.int64)
+
+
+class Deal:
+    """Shards of paths.  A cell is (first term, part, part, part): parts are 0
+    unless the cell above is larger than a shard."""
+
+    def __init__(self, rank: np.ndarray):
+        self.rank = rank                             # place of each term in a path
+        self.parts: list[dict[tuple, int]] = []      # of each level: large cell -> number of parts
+        self.shards: dict[tuple, int] = {}
+
+    def cells(self, path: np.ndarray, own: np.ndarray) -> list[tuple]:
+        """The cell of each path, as deep as is known; ``own`` is a hash of each row."""
+        cell = [path[:, 0], *np.zeros((LEVELS, len(path)), dtype=np.int64)]
+        for k, parts in enumerate(self.parts):
+            n = np.array([parts.get(c, 1) for c in zip(*(x.tolist() for x in cell[:k + 1]))], dtype=np.int64)
+            cell[k + 1] = _bucket(path[:, k + 1] if k + 1 < LEVELS else own, n)
+        return list(zip(*(x.tolist() for x in cell)))
+
+
+def deal(tokens: DataFrame, corpus: Corpus, shard_bytes: int) -> Deal:
+    """Cells and their shards; what is collected is bounded by the vocabulary
+    and the number of shards."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _slices(batches):
+            owner, term = topics(_arrays(b), corpus)
+            bounds = np.searchsorted(owner, np.arange(b.num_rows + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(bounds), pa.array(term)), b.column("own"),
+                                              b.column("size")], names=["topic", "own", "size"])
+
+    known = stored(tokens.select("ids", "own", "size").mapInArrow(run, "topic array<long>, own long, size long"), "packing-topics")
+    listed = {r["term"]: r["count"] for r in known.select(F.explode("topic").alias("term")).groupBy("term").count().collect()}
+    often = np.array([listed.get(t, 0) for t in corpus.terms.tolist()], dtype=float) ** 2 / corpus.frequency
+    rank = np.zeros(int(corpus.terms.max(initial=0)) + 1, dtype=np.int64)
+    rank[corpus.terms[np.lexsort((corpus.terms, -often))]] = np.arange(len(often))
+    out = Deal(rank)
+    cell_names = [f"c{k}" for k in range(LEVELS + 1)]
+
+    def sizes() -> dict[tuple, int]:
+        def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                topic = b.column("topic")
+                owner = np.repeat(np.arange(b.num_rows), np.diff(topic.offsets.to_numpy()))
+                path = paths(b.num_rows, owner, topic.flatten().to_numpy(), rank)
+                found = out.cells(path, b.column("own").to_numpy())
+                yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*found)), b.column("size")], names=[*cell_names, "size"])
+
+        rows = (known.mapInArrow(cells, ", ".join(f"{c} long" for c in [*cell_names, "size"]))
+                .groupBy(*cell_names).agg(F.sum("size").alias("size")).collect())
+        return {tuple(r[c] for c in cell_names): r["size"] for r in rows}
+
+    held = sizes()
+    for k in range(LEVELS):
+        large = {c[:k + 1]: -(-2 * n // shard_bytes) for c, n in held.items() if n > shard_bytes}
+        if not large:
+            break
+        out.parts.append(large)
+        held = sizes()
+    # cells in path order, as many to a shard as fit
+    shard, room = -1, 0
+    for c in sorted(held, key=lambda c: (c[0] < 0, rank[c[0]], c)):
+        if held[c] > room:
+            shard, room = shard + 1, shard_bytes
+        room -= held[c]
+        out.shards[c] = shard
+    return out
+
+
 def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, ranks: str | None = None,
          shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Pieces of ``docs`` (doc_id, text): doc_id, start, length, doc_tokens,
@@ -184,18 +362,35 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, ra
         tokenizer, ranks = (public_tokenizers.path(f"byte_bpe_50k.{x}") for x in ("json", "tiktoken"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
 
-    def run(shard: pa.Table) -> pa.Table:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(str(tokenizer), None if ranks is None else str(ranks))
-        order = shard.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        for b in _slices(batches):
+            ids = [enc.ids(t).tobytes() for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("own"), b.column("size"), pa.array(ids, pa.binary())],
+                                             names=["doc_id", "own", "size", "ids"])
+
+    sized = rows.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("own"),
+                        (F.octet_length("text") + 16).cast("long").alias("size"))
+    tokens = stored(sized.mapInArrow(encode, "doc_id long, own long, size long, ids binary"), "packing-tokens")
+    corpus = corpus_counts(tokens)
+    total = tokens.agg(F.sum("size")).first()[0] or 0
+    dealt = deal(tokens, corpus, shard_bytes) if total > shard_bytes else None
+
+    def to_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _slices(batches):
+            path = paths(b.num_rows, *topics(_arrays(b), corpus), dealt.rank)
+            cells = dealt.cells(path, b.column("own").to_numpy())
+            shard = pa.array([dealt.shards[c] for c in cells], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), shard], names=["doc_id", "ids", "shard"])
+
+    def run(shard: pa.Table) -> pa.Table:
+        order = shard.sort_by([("doc_id", "ascending"), ("ids", "ascending")])
         own = order.column("doc_id").to_pylist()
-        ids = [enc.ids(t) for t in order.column("text").to_pylist()]
+        ids = [np.frombuffer(x, dtype="<u4") for x in order.column("ids").to_pylist()]
         number = shard.column("shard")[0].as_py() << 32
         cols: list[list] = [[] for _ in range(7)]
-        for k, pieces in enumerate(fill(ids, window)):
+        for k, pieces in enumerate(fill(ids, window, corpus)):
             offset = 0
             for doc, start, length in pieces:
                 for col, x in zip(cols, (own[doc], start, length, len(ids[doc]), number + k, offset,
@@ -205,7 +400,11 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, ra
         return pa.table([*(pa.array(c, pa.int64()) for c in cols[:-1]), pa.array(cols[-1], pa.binary())],
                         names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
-    return dealt.groupBy("shard").applyInArrow(run, SCHEMA)
+    if dealt is None:
+        placed = tokens.select("doc_id", "ids", F.lit(0).cast("long").alias("shard"))
+    else:
+        placed = tokens.select("doc_id", "ids", "own").mapInArrow(to_shards, "doc_id long, ids binary, shard long")
+    return placed.groupBy("shard").applyInArrow(run, SCHEMA)
 
 
 # --- query ---------------------------------------------------------------------

@@ -103,3 +103,47 @@ def test_odd_tables(spark, docs, shard_bytes):
     assert pk.pack(df.limit(0)).count() == 0
     twice = pk.pack(docs([(1, "same text"), (1, "same text")])).collect()
     assert sum(r["length"] for r in twice) == 2 * len(ids_of("same text"))
+
+
+def siblings(rng, topics=60, each=12):
+    """Texts of topics, each with words of its own, in random order."""
+    def word(k):
+        return "".join("bcdfghjklmnpqrstvwz"[k // 19 ** j % 19] + "aeiou"[k // 7 ** j % 5] for j in range(3))
+    out = []
+    for t in range(topics):
+        own = [word(7919 * (30 * t + j) % 6859) for j in range(30)]
+        for _ in range(each):
+            words = [rng.choice(own) if rng.random() < .5 else rng.choice(("the", "of", "and", "to", "in", "is")) for _ in range(120)]
+            out.append((t, " ".join(words)))
+    rng.shuffle(out)
+    return out
+
+
+def test_siblings_meet_in_a_shard_and_counts_are_the_corpus(spark, docs):
+    made = siblings(random.Random(4))
+    df = docs(dict(enumerate(t for _, t in made))).repartition(5)
+    total = sum(len(t) for _, t in made)
+    rows = pk.pack(df, shard_bytes=total // 20).collect()
+    check(rows, dict(enumerate(t for _, t in made)))
+    shard = {r["doc_id"]: r["sequence_id"] >> 32 for r in rows}
+    assert len(set(shard.values())) >= 15
+    pairs = [(a, b) for a in shard for b in shard if a < b and made[a][0] == made[b][0]]
+    assert np.mean([shard[a] == shard[b] for a, b in pairs]) > 0.4        # 0.05 by hash
+    ids = [ids_of(t) for _, t in made]
+    want = pk.corpus_of(ids)
+    got = pk.corpus_counts(spark.createDataFrame([(bytearray(x.tobytes()),) for x in ids], "ids binary").repartition(4))
+    assert got.n == want.n and np.isclose(got.mean, want.mean)
+    assert got.terms.tolist() == want.terms.tolist() and got.frequency.tolist() == want.frequency.tolist()
+    # a shard's scores carry the corpus's weights
+    few = ids[:5]
+    assert not np.allclose(pk.Index(few, want).weight, pk.Index(few).weight)
+
+
+def test_copies_are_split_over_shards(spark, docs):
+    texts = {i: "one and the same text over and over" for i in range(400)}
+    rows = pk.pack(docs(texts), shard_bytes=2000).collect()
+    check(rows, texts)
+    sizes = {}
+    for r in rows:
+        sizes[r["sequence_id"] >> 32] = sizes.get(r["sequence_id"] >> 32, 0) + r["length"]
+    assert len(sizes) >= 10 and max(sizes.values()) < 8 * np.mean(list(sizes.values()))
