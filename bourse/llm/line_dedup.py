@@ -2,15 +2,17 @@
 content-defined line chunks.
 
 Lines.  A text is cut into its lines, and a line of several sentences further
-after each sentence end, so that a passage pasted into the middle of a line
+after each sentence end (wide forms and closing quotes too), so that a passage pasted into the middle of a line
 still has lines of its own.  Lines keep what separates them: joined again they
 are the text.  They are compared without surrounding white space.
 
 Chunks.  A rolling hash over the hashes of ``WINDOW`` lines opens a chunk
 wherever it falls into a fixed share of its range: boundaries depend on nearby
 lines alone, so text inserted before a passage shifts none of them.  A chunk
-runs to the first boundary that is at least ``MIN_LINES`` away, or to
-``MAX_LINES``.  A line of ``LONG_LINE`` words or more is a chunk by itself too.
+runs until it holds ``MIN_LINES`` lines and ``MIN_CHUNK_WORDS`` words, blank lines
+not counted, and one line further if no boundary is there.  Words are runs of
+other than white space; in scripts without spaces two characters count as one.
+A line of ``LONG_LINE`` words or more is a chunk by itself too.
 
 Repeats.  Chunks are counted by hash over all documents.  The copy in the
 document with the smallest id stays.  For all others the first copy's text
@@ -44,11 +46,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bourse.llm.common import id_key, stored, table
+from bourse.llm.common import id_key, mix, stored, table
 
 WINDOW = 2
 MIN_LINES = 2
-MAX_LINES = 3
 MARGIN = 3
 #: Lines of a first copy that travel together.
 BLOCK_LINES = 16
@@ -58,43 +59,53 @@ MIN_CHUNK_WORDS = 8
 LONG_LINE = 16
 MIN_WORDS = 25
 
-_CUT = re.compile(r"((?<=[.?])[^\S\n]+(?=\S)|\n)")
+_CLOSERS = "\"')\\]”’»"
+_WIDE = "。！？｡．"
+_CUT = re.compile(rf"[\n.?!{_WIDE}](?:(?<=\n)|(?<=[.?!])[{_CLOSERS}]*[^\S\n]+(?=\S)|(?<=[{_WIDE}])[{_WIDE}」』）】》”’]*[^\S\n]*(?=\S))")
+#: Scripts that put no spaces between words: Thai to Lao, Burmese, Khmer, kana, Han.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d"
+                       "\U00020000-\U0003ffff]")
 _ROLL = np.uint64(0x9E3779B97F4A7C15)
+_UNROLL = np.uint64(pow(int(_ROLL), -1, 1 << 64))
 _LIMIT = np.uint64(int(OPENS * (1 << 64)))
 
 
 def lines_of(text: str) -> list[str]:
     """The lines of a text, each with what separates it from the next."""
-    parts = _CUT.split(text)
-    last = parts.pop()
-    out = [a + b for a, b in zip(parts[::2], parts[1::2])]
+    ends = [m.end() for m in _CUT.finditer(text)]
+    out = [text[a:b] for a, b in zip([0, *ends], ends)]
+    last = text[ends[-1]:] if ends else text
     return [*out, last] if last else out
 
 
 def chunks_of(hashes: np.ndarray, words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First line, number of lines and hash (a signed long) of each chunk;
     lines of one text after another, ``ends`` where each line's text ends."""
-    n = len(hashes)
+    whole = np.flatnonzero(words)                 # blank lines neither open nor close a chunk
+    n = len(whole)
     line = np.arange(n)
-    padded = np.concatenate([hashes, np.zeros(MAX_LINES + WINDOW, dtype=np.uint64)])
+    last = np.searchsorted(whole, ends[whole])
+    padded = np.concatenate([hashes[whole], np.zeros(WINDOW, dtype=np.uint64)])
     rolled = np.zeros(n, dtype=np.uint64)
     for k in range(WINDOW):
         rolled = rolled * _ROLL + padded[k:k + n]
-    opens = np.zeros(n + MAX_LINES, dtype=bool)
-    opens[:n] = (((rolled ^ rolled >> np.uint64(32)) * _ROLL) < _LIMIT) & (line + WINDOW <= ends)
-    at = np.flatnonzero(opens[:n] & (line + MIN_LINES <= ends))
-    size = np.full(len(at), MIN_LINES)
-    for k in range(MIN_LINES, MAX_LINES):
-        size += (size == k) & (at + k < ends[at]) & ~opens[at + k]
-    total = np.concatenate([[0], np.cumsum(words)])
-    enough = total[at + size] - total[at] >= MIN_CHUNK_WORDS
+    opens = np.zeros(n + 1, dtype=bool)
+    opens[:n] = (((rolled ^ rolled >> np.uint64(32)) * _ROLL) < _LIMIT) & (line + WINDOW <= last)
+    at = np.flatnonzero(opens[:n])
+    total = np.concatenate([[0], np.cumsum(words[whole])])
+    stop = np.maximum(at + MIN_LINES, np.searchsorted(total, total[at] + MIN_CHUNK_WORDS))
+    fits = stop <= last[at]
+    at, stop = at[fits], stop[fits]
+    stop += (stop < last[at]) & ~opens[stop]
+    at, stop = whole[at], whole[stop - 1] + 1
     long = np.flatnonzero(words >= LONG_LINE)
-    at, size = np.concatenate([at[enough], long]), np.concatenate([size[enough], np.ones(len(long), dtype=np.int64)])
+    at, stop = np.concatenate([at, long]), np.concatenate([stop, long + 1])
     order = np.argsort(at, kind="stable")
-    at, size = at[order], size[order]
-    h = size.astype(np.uint64)
-    for k in range(MAX_LINES):
-        h = np.where(k < size, (h ^ padded[at + k]) * _ROLL + (h >> np.uint64(29)), h)
+    at, size = at[order], (stop - at)[order]
+    # sums of hashes times powers, moved to the chunk's first line
+    power, back = (np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(hashes), x)])) for x in (_ROLL, _UNROLL))
+    summed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * power[:-1], dtype=np.uint64)])
+    h = mix((summed[at + size] - summed[at]) * back[at] + size.astype(np.uint64))
     return at, size, h.view(np.int64)
 
 
@@ -102,11 +113,21 @@ def _keys(lines: list[str]) -> list[str]:
     return [x.strip() for x in lines]
 
 
+def _words(key: str) -> int:
+    """Number of words of a line."""
+    if key.isascii():
+        if key.isprintable() and "  " not in key:
+            return key.count(" ") + (key != "")
+        return len(key.split())
+    rest, unspaced = _UNSPACED.subn(" ", key)
+    return len(rest.split()) + (unspaced + 1) // 2
+
+
 def _measured(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hash and number of words of each line."""
     n = len(keys)
     return (np.fromiter(map(xxhash.xxh64_intdigest, keys), dtype=np.uint64, count=n),
-            np.fromiter((k.count(" ") + (k != "") for k in keys), dtype=np.int64, count=n))
+            np.fromiter(map(_words, keys), dtype=np.int64, count=n))
 
 
 def _chunks(keys: list[str]) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
@@ -216,14 +237,17 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                         continue
                     keys = _keys(lines_of(text or ""))
                     todo, own = set(wants), {}
-                    for at, _, x in _chunks(keys)[1]:
+                    stops: dict[int, int] = {}
+                    for at, size, x in _chunks(keys)[1]:
                         if x in todo:
                             todo.discard(x)
-                            own.setdefault(at // BLOCK_LINES, []).append((x, at))
+                            block = at // BLOCK_LINES
+                            own.setdefault(block, []).append((x, at))
+                            stops[block] = max(at + size, stops.get(block, (block + 1) * BLOCK_LINES + MARGIN))
                     doc = xxhash.xxh64_intdigest(text or "") - (1 << 63)
                     for block, found_here in own.items():
                         lo = max(0, block * BLOCK_LINES - MARGIN)
-                        near = keys[lo:(block + 1) * BLOCK_LINES + MAX_LINES + MARGIN]
+                        near = keys[lo:stops[block] + MARGIN]
                         for col, x in zip(cols, (i, doc, block, "\n".join(near),
                                                  [{"h": h, "at": at - lo} for h, at in found_here])):
                             col.append(x)

@@ -98,3 +98,39 @@ def test_odd_tables(spark, docs, prose):
     out = {r["doc_id"]: r for r in ld.dedup_lines(df).collect()}
     assert out[None]["text"] == long and out[1]["text"] == out[2]["text"] == "" and out[1]["_id"] == "own"
     assert ld.dedup_lines(df.limit(0)).count() == 0
+
+
+def cleaned(spark, docs, prose, passages, apart="\n", seed=11):
+    """How many of ``passages`` (lists of lines) go from their second holder."""
+    rng = random.Random(seed)
+    texts = {}
+    for k, p in enumerate(passages):
+        for i in (2 * k, 2 * k + 1):
+            texts[i] = "\n".join(prose(rng, 60)) + "\n" + apart.join(p) + "\n" + "\n".join(prose(rng, 60))
+    out = {r["doc_id"]: r["text"] for r in ld.dedup_lines(docs(texts)).collect()}
+    assert all(out[2 * k] == texts[2 * k] for k in range(len(passages)))
+    return sum("\n".join(p[3:-3]) not in out[2 * k + 1].replace("\n\n", "\n") for k, p in enumerate(passages)) / len(passages)
+
+
+def test_passages_of_short_lines_go(spark, docs, prose):
+    rng = random.Random(12)
+    def lines(n, words):
+        own = " ".join(prose(rng, n * words)).replace(".", "").lower().split()
+        return [" ".join(own[i * words:(i + 1) * words]) for i in range(n)]
+    for n, words, apart in ((30, 2, "\n"), (55, 1, "\n"), (18, 3, "\n"), (11, 5, "\n\n"), (9, 6, "\n\n"), (8, 7, "\n\n"), (18, 3, "\n\n")):
+        share = cleaned(spark, docs, prose, [lines(n, words) for _ in range(20)], apart)
+        assert share >= 0.9, (n, words, apart, share)
+
+
+def test_passages_without_spaces_go(spark, docs, prose):
+    rng = random.Random(13)
+    han = lambda k: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(k))
+    assert cleaned(spark, docs, prose, [[han(14) + "。" for _ in range(10)] for _ in range(10)]) >= 0.9
+    tabs = lambda: "\t".join(" ".join(prose(rng, 6)).split())
+    assert cleaned(spark, docs, prose, [[tabs() for _ in range(10)] for _ in range(10)]) >= 0.9
+    assert [ld._words(x) for x in ("", "a b", "a\tb  c", "漢字漢字 x", "é è")] == [0, 2, 3, 3, 2]
+
+
+def test_sentence_ends():
+    assert ld.lines_of('He said "no!" Then he left! Why?! "Yes." 漢字。「漢字！」漢字？ end') == [
+        'He said "no!" ', "Then he left! ", "Why?! ", '"Yes." ', "漢字。", "「漢字！」", "漢字？ ", "end"]
