@@ -27,6 +27,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_keyed(docs: DataFrame, name: str) -> DataFrame:
+    """(_key, _order, row) of each row of ``docs``, through a table: ``_key`` is
+    the row's own number, whatever its doc_id; ``_order`` sorts by doc_id, rows
+    without one last, then by a hash of the row, then by ``_key``."""
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    rows = docs.select(F.monotonically_increasing_id().alias("_key"), F.xxhash64(*plain).alias("_hash"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    order = F.struct(F.col("row.doc_id").isNull().alias("nameless"), F.col("row.doc_id").cast("long").alias("id"),
+                     F.col("_hash").alias("hash"), F.col("_key").alias("key"))
+    return stored(rows, name).select("_key", order.alias("_order"), "row")
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or a longer one if ``df`` has a column called that."""
     taken = {c.lower() for c in df.columns}

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bourse.llm.common import id_key, mix, stored, table, word_hashes
+from bourse.llm.common import mix, row_keyed, stored, table, word_hashes
 
 SEED_WORDS = 3
 RARE_SHARE = 0.75
@@ -248,10 +248,11 @@ def _leaks_of_block(spark, rows: DataFrame, block: DataFrame, min_score: float,
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` without the documents (by id) that leak an item."""
-    bad = leaks(docs, benchmark, min_score).select(id_key().alias("_id")).distinct()
-    rows = docs.select(id_key().alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return rows.join(bad, "_id", "left_anti").select("row.*")
+    """``docs`` without the rows that leak an item, whatever their doc_id."""
+    rows = row_keyed(docs, "leak-rows")
+    bad = (leaks(rows.select(F.col("_key").alias("doc_id"), F.col("row.text").alias("text")), benchmark, min_score)
+           .select(F.col("doc_id").alias("_key")).distinct())
+    return rows.join(bad, "_key", "left_anti").select("row.*")
 
 
 # --- query ---------------------------------------------------------------------

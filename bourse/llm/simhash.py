@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bourse.llm.common import id_key, stored, table
+from bourse.llm.common import row_keyed, stored, table
 
 SEED = 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))      # (first bit, bits)
@@ -290,13 +290,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = MAX_BITS,
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of each component: that of its smallest doc_id.
-    An id, or none, stands for one document: of several rows with it one stays."""
-    found = near_duplicates(docs, shingle, max_bits)
-    stay = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(id_key().alias("_id")).distinct())
-    rows = docs.select(id_key().alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return rows.join(stay, "_id", "left_semi").dropDuplicates(["_id"]).select("row.*")
+    """``docs`` with one row of each component: that of its smallest doc_id,
+    rows without one last.  Rows are told apart by a key of their own, so rows
+    that share an id, or have none, are linked by their texts alone."""
+    rows = row_keyed(docs, "near-copies")
+    found = near_duplicates(rows.select(F.col("_key").alias("doc_id"), F.col("row.text").alias("text")), shingle, max_bits)
+    stay = (found.select(F.col("doc_id").alias("_key"), "component_id").join(rows.select("_key", "_order"), "_key")
+            .groupBy("component_id").agg(F.min("_order").alias("best")).select(F.col("best.key").alias("_key")))
+    return rows.join(stay, "_key", "left_semi").select("row.*")
 
 
 # --- query ---------------------------------------------------------------------

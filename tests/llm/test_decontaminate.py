@@ -99,3 +99,10 @@ def test_odd_tables(spark, docs):
     kept = dc.drop_leaks(df, bench).collect()
     assert sorted(str(r["doc_id"]) for r in kept) == ["2", "None"] and kept[0]["_id"] == "own"
     assert dc.leaks(df.limit(0), bench).count() == 0 and dc.leaks(df, bench.limit(0)).count() == 0
+
+
+def test_a_leak_drops_its_own_row_alone(spark, docs):
+    bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta")], "item_id long, text string")
+    df = docs([(None, "so alpha beta gamma delta epsilon zeta eta theta it is"), (None, "clean one"), (None, "clean two"),
+               (4, "x alpha beta gamma delta epsilon zeta eta theta y"), (4, "clean four")])
+    assert sorted(r["text"] for r in dc.drop_leaks(df, bench).collect()) == ["clean four", "clean one", "clean two"]

@@ -125,3 +125,12 @@ def test_one_of_each_group_stays(spark, docs, prose):
     assert [r["component_id"] for r in sh.near_duplicates(nameless).collect()] == [None, None]
     assert sh.drop_near_duplicates(nameless).count() == 1
     assert sh.near_duplicates(df.limit(0)).count() == 0 and sh.drop_near_duplicates(df.limit(0)).count() == 0
+
+
+def test_rows_without_an_id_or_that_repeat_one_are_rows_of_their_own(spark, docs, prose):
+    rng = random.Random(21)
+    texts = [" ".join(prose(rng, 80)) for _ in range(6)]
+    df = docs([(None, t) for t in texts] + [(5, texts[0]), (5, " ".join(prose(rng, 80))), (3, texts[1]), (None, texts[2])])
+    kept = sh.drop_near_duplicates(df.repartition(4)).collect()
+    assert len(kept) == 7 and {r["text"] for r in kept} == {r["text"] for r in df.collect()}
+    assert {(r["doc_id"], r["text"]) for r in kept} >= {(5, texts[0]), (3, texts[1]), (None, texts[2])}
