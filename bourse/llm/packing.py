@@ -17,8 +17,8 @@ differ from the first term on may still lie in two shards.
 Each shard is one task's work: a BM25 inverted index over the ids is built, and
 windows are filled in turn.  A window's seed is
 the rest of the document that the last window cut, or else the next unused one.
-When a document ends inside a window, the seed's ``QUERY_TERMS`` rarest ids are
-looked up in the index, and the best unused neighbours follow, the last of them
+When a document ends inside a window, all of the seed's ids that another document
+of the shard holds are looked up in the index, and the best unused neighbours follow, the last of them
 cut where the window is full.  Where no unused document shares an id with the
 seed, the next in order follows.  So all windows but a shard's last are full; the
 last is cut into pieces whose lengths are powers of two, which need no padding.
@@ -48,7 +48,10 @@ from bourse.llm.common import mix, stored, table
 WINDOW = 1024
 END = 0
 SHARD_BYTES = 4 << 20
-QUERY_TERMS = 16
+#: No cut: every term of a seed takes part.
+QUERY_TERMS = None
+#: Terms that more than one in this many of a shard's documents hold are kept as rows of a matrix.
+DENSE = 4
 TOPIC = 8
 #: Terms of a path that shards are cut by.
 LEVELS = 3
@@ -133,24 +136,29 @@ class Index:
         weight = saturated(count, length[owner], corpus.mean)
         self.owner = owner[order]
         self.weight = (weight[order] * np.repeat(idf, frequency))
-        # each document's query: its rarest terms that another document holds too
+        # frequent terms as rows of weights for each document: DENSE entries a posting at most
+        heavy = np.flatnonzero(frequency * DENSE > n)
+        self.row = np.full(len(self.terms), -1)
+        self.row[heavy] = np.arange(len(heavy))
+        self.dense = np.zeros((len(heavy), n), dtype=np.float32)
+        row = np.repeat(self.row, frequency)
+        self.dense[row[row >= 0], self.owner[row >= 0]] = self.weight[row >= 0]
+        # each document's query: its terms that another document holds too
         rank = np.searchsorted(self.terms, term)
-        rarity = frequency[rank]
+        shared = frequency[rank] > 1
         self.queries = []
         at = 0
         for size in sizes:
-            own = rank[at:at + size][rarity[at:at + size] > 1]
-            if len(own) > QUERY_TERMS:
-                own = own[np.argsort(frequency[own], kind="stable")[:QUERY_TERMS]]
-            self.queries.append(own)
+            self.queries.append(rank[at:at + size][shared[at:at + size]])
             at += size
 
     def scores(self, doc: int, n: int) -> np.ndarray:
-        spans = [slice(self.bounds[t], self.bounds[t + 1]) for t in self.queries[doc]]
-        if not spans:
-            return np.zeros(n)
-        return np.bincount(np.concatenate([self.owner[s] for s in spans]),
-                           np.concatenate([self.weight[s] for s in spans]), minlength=n)
+        query = self.queries[doc]
+        row = self.row[query]
+        light = query[row < 0]
+        size = self.bounds[light + 1] - self.bounds[light]
+        at = np.repeat(self.bounds[light] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        return np.bincount(self.owner[at], self.weight[at], minlength=n) + self.dense[row[row >= 0]].sum(axis=0)
 
 
 def fill(docs: list[np.ndarray], window: int = WINDOW, corpus: Corpus | None = None) -> list[list[tuple[int, int, int]]]:

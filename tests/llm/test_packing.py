@@ -147,3 +147,24 @@ def test_copies_are_split_over_shards(spark, docs):
     for r in rows:
         sizes[r["sequence_id"] >> 32] = sizes.get(r["sequence_id"] >> 32, 0) + r["length"]
     assert len(sizes) >= 10 and max(sizes.values()) < 8 * np.mean(list(sizes.values()))
+
+
+def test_neighbours_by_the_full_query():
+    """A seed with many rare ids that one other document holds each, and a
+    neighbour that shares its whole other vocabulary."""
+    rare, topic = np.arange(1000, 1040), np.arange(1, 201)
+    docs = [np.concatenate([topic, rare, [0]])] + [np.append(np.append(np.arange(3000 + 300 * k, 3200 + 300 * k), r), 0) for k, r in enumerate(rare)]
+    docs += [np.append(topic, 0), np.append(topic[:150], 0)]
+    index, corpus = pk.Index(docs), pk.corpus_of(docs)
+    want = []
+    for d in docs:
+        s = 0.0
+        for t in docs[0][:-1].tolist():
+            if t in d[:-1]:
+                idf, _ = corpus.idf(np.array([t]))
+                s += float(idf[0] * pk.saturated(np.array(1), np.array(len(d) - 1), corpus.mean))
+        want.append(s)
+    got = index.scores(0, len(docs))
+    assert np.allclose(got[1:], want[1:], rtol=1e-4) and int(got[1:].argmax()) + 1 == len(docs) - 2
+    first = pk.fill(docs, 600)[0]
+    assert [d for d, _, _ in first][:3] == [0, len(docs) - 2, len(docs) - 1]
