@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from bourse.llm import decontaminate, hilbert, license_scan, line_dedup, packing, periodic, pii, simhash, toxicity, vptree, zstd_quality
+from bourse.llm import (arc, decontaminate, hilbert, license_scan, line_dedup, packing, periodic, pii, simhash, toxicity, vptree,
+                        zstd_quality)
 
 QUERIES = {
     "op1_pii_boosting": pii.op1_pii_boosting,
@@ -16,6 +17,7 @@ QUERIES = {
     "op8_hilbert_shards": hilbert.op8_hilbert_shards,
     "op9_simhash_golay": simhash.op9_simhash_golay,
     "op10_bm25_packing": packing.op10_bm25_packing,
+    "op11_arc_to_warc": arc.op11_arc_to_warc,
     "op13_basic_factors": periodic.op13_basic_factors,
     "pipeline": corpus_pipeline.pipeline,
 }

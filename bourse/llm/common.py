@@ -79,6 +79,41 @@ def label_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int)
             .withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4)).cast("int")))
 
 
+#: Keys that ``hot_join`` broadcasts are at most so many.
+SHARE = 1000
+
+
+def hot_join(rows: DataFrame, side: DataFrame, on: list[str], n: str, deal: Column) -> DataFrame:
+    """``rows`` LEFT JOIN ``side`` on ``on``, without bringing the rows of a
+    frequent key together.
+
+    ``side`` is a stored table with one row a key, never null, and the number
+    ``n`` of its rows in ``rows``.  Keys that hold over 1/SHARE of the rows
+    counted there are at most SHARE and are broadcast; rows that found theirs,
+    or have no key, are dealt out by ``deal``, a hash of the row; the others
+    meet by key in groups of at most 1/SHARE."""
+    total = side.agg(F.sum(n)).first()[0] or 0
+    values = [c for c in side.columns if c not in on]
+    hot = F.col(n) * SHARE > F.lit(total)
+    early = side.where(hot).select(*on, F.struct(*values).alias("_early"))
+    left = rows.join(F.broadcast(early), on, "left")
+    done = F.col("_early").isNotNull()
+    for c in on:
+        done = done | F.col(c).isNull()
+    left = left.withColumn("_spread", F.when(done, deal)).withColumn("_spread", F.coalesce("_spread", F.lit(0)))
+    left = left.withColumn("_wait", ~done)
+    late = side.where(~hot).select(*on, F.lit(0).cast("long").alias("_spread"), F.lit(True).alias("_wait"),
+                                   F.struct(*values).alias("_late"))
+    # a null key would take part in the shuffle as one more frequent key
+    filled = {c: F.coalesce(F.col(c), F.lit("").cast(rows.schema[c].dataType) if rows.schema[c].dataType.typeName() == "string"
+                            else F.lit(0).cast(rows.schema[c].dataType)) for c in on}
+    left = left.withColumns({f"_on_{c}": x for c, x in filled.items()})
+    late = late.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    both = left.join(late, [*[f"_on_{c}" for c in on], "_spread", "_wait"], "left")
+    got = F.coalesce("_early", "_late")
+    return both.select(*[F.col(f"`{c}`") for c in rows.columns if c not in values], *[got[v].alias(v) for v in values])
+
+
 # --- words of many texts at once ---------------------------------------------
 
 _P = np.uint64(0x9E3779B97F4A7C15)
