@@ -1,6 +1,6 @@
 """Operators that prepare training data: personal data, nearest neighbours,
 quality, toxicity, licences, repeated lines, benchmark leaks, sharding, near
-copies, packing, web archives and periodic runs.  Nothing else in the library imports this subpackage."""
+copies, packing, web archives, conversation prefixes and periodic runs.  Nothing else in the library imports this subpackage."""
 
 import sys
 

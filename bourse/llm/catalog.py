@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from bourse.llm import (arc, decontaminate, hilbert, license_scan, line_dedup, packing, periodic, pii, simhash, toxicity, vptree,
-                        zstd_quality)
+from bourse.llm import (arc, burst_trie, decontaminate, hilbert, license_scan, line_dedup, packing, periodic, pii, simhash, toxicity,
+                        vptree, zstd_quality)
 
 QUERIES = {
     "op1_pii_boosting": pii.op1_pii_boosting,
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_simhash_golay": simhash.op9_simhash_golay,
     "op10_bm25_packing": packing.op10_bm25_packing,
     "op11_arc_to_warc": arc.op11_arc_to_warc,
+    "op12_burst_trie": burst_trie.op12_burst_trie,
     "op13_basic_factors": periodic.op13_basic_factors,
     "pipeline": corpus_pipeline.pipeline,
 }
