@@ -203,14 +203,18 @@ def planted(doc_id: Column, text: Column) -> Column:
     h = crc32(id) is divisible by 10, each word i >= a becomes word a + (i - a) % p,
     where g = h div 10, a = g % n, p = 1 + (n - a) div (3 + g % 8)."""
     h = F.crc32(doc_id.cast("string"))
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    g, n = F.floor(h / 10).cast("bigint"), F.size(words).cast("bigint")
-    a = g % n
-    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8)).cast("bigint")
-    head = F.slice(words, F.lit(1), a.cast("int"))
-    tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(words, (a + (i - a) % p).cast("int")))
-    made = F.array_join(F.concat(head, tail), " ")
-    return F.when((h % 10 == 0) & text.rlike(WORD), made).otherwise(text)
+    g = F.floor(h / 10).cast("bigint")
+
+    def made(words: Column) -> Column:
+        n = F.size(words).cast("bigint")
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8)).cast("bigint")
+        tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(words, (a + (i - a) % p).cast("int")))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), tail), " ")
+
+    # a variable, so that a text is cut once and not once a word
+    bound = F.get(F.transform(F.array(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))), made), F.lit(0))
+    return F.when((h % 10 == 0) & text.rlike(WORD), bound).otherwise(text)
 
 
 def op13_basic_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
