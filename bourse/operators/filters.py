@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bourse.functions.scalar import add_years
+from bourse.session import scratch_path
+
+REASON = "_reason"
 
 
 def drop_nan(df: DataFrame, cols=None) -> DataFrame:
@@ -75,20 +76,36 @@ def lookback(df: DataFrame, col: str, years: int, asof) -> DataFrame:
     return df.filter((c >= add_years(asof_c, -years)) & (c <= asof_c))
 
 
+def tag(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """FLT-7: ``_reason``, the first check that a record fails (``checks`` maps a
+    reason to a predicate that must hold; NULL does not), or NULL."""
+    reason = F.lit(None).cast("string")
+    for why, holds in reversed(list(checks.items())):
+        reason = F.when(~F.coalesce(holds, F.lit(False)), F.lit(why)).otherwise(reason)
+    return df.withColumn(REASON, reason)
+
+
+def split_tagged(tagged: DataFrame, reason: str = REASON) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) of a tagged frame, which is computed and written once, to the
+    shared folder, in two partitions: each frame is a read of its own.  So both
+    are halves of the same rows even if the input changes meanwhile or has
+    expressions that answer otherwise next time.  Who needs one of them, or both
+    in one write (``refresh_split``), takes the tagged frame as it is."""
+    spark = tagged.sparkSession
+    flag = "refused"
+    while flag in tagged.columns:
+        flag += "_"
+    marked = tagged.withColumn(flag, F.col(reason).isNotNull())
+    path = scratch_path(spark, "tagged")
+    marked.write.partitionBy(flag).parquet(path)
+    rows = spark.read.schema(marked.schema).parquet(path)
+    return rows.filter(~F.col(flag)).drop(flag, reason), rows.filter(F.col(flag)).drop(flag)
+
+
 def quarantine(df: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """FLT-7: split records into (good, bad).
+    """FLT-7: split records into (good, bad), the input being read once.
 
-    ``checks`` maps a reason to a predicate that must hold; a record failing
-    any check goes to ``bad`` with the first failing reason in ``_reason``.
-    Nothing is printed and forgotten: the rejects are a DataFrame.
+    A record failing any check goes to ``bad`` with the first failing reason in
+    ``_reason``.  Nothing is printed and forgotten: the rejects are a DataFrame.
     """
-    reason = reduce(
-        lambda acc, kv: acc.when(~F.coalesce(kv[1], F.lit(False)), F.lit(kv[0])),
-        list(checks.items())[1:],
-        F.when(~F.coalesce(list(checks.values())[0], F.lit(False)),
-               F.lit(list(checks.keys())[0])),
-    )
-    tagged = df.withColumn("_reason", reason)
-    good = tagged.filter(F.col("_reason").isNull()).drop("_reason")
-    bad = tagged.filter(F.col("_reason").isNotNull())
-    return good, bad
+    return split_tagged(tag(df, checks))

@@ -359,8 +359,10 @@ def zscore(df: DataFrame, key, col: str, out: str) -> DataFrame:
 def sort_desc(df: DataFrame, col: str, tiebreak=None) -> DataFrame:
     """SRT-1: descending, missing (NULL and NaN) last; a total order when a
     tiebreak column is given.  Spark would sort NaN first on descending."""
+    return df.orderBy(missing_last(df, col), *[F.col(t) for t in _list(tiebreak or [])])
+
+
+def missing_last(df: DataFrame, col: str) -> Column:
+    """The order of ``sort_desc``, for a sort by range."""
     c = F.col(col)
-    key = F.when(~F.isnan(c), c).desc_nulls_last() \
-        if dict(df.dtypes)[col] in ("double", "float") else c.desc_nulls_last()
-    order = [key] + ([F.col(t) for t in _list(tiebreak)] if tiebreak else [])
-    return df.orderBy(*order)
+    return (F.when(~F.isnan(c), c) if dict(df.dtypes)[col] in ("double", "float") else c).desc_nulls_last()

@@ -33,8 +33,7 @@ from bourse.operators.series import (drop_last, ffill, latest, next_value, pct_c
 from bourse.plans import adapters as A
 from bourse.plans.adapters import with_sql
 from bourse.plans import markets as M
-from bourse.plans.jobs import (BARS_TABLE, JOBS, WITH_REJECTS,
-                               overview_records, rejects_of)
+from bourse.plans.jobs import BARS_TABLE, JOBS, REJECTS, overview_records
 from bourse.session import scratch_path
 from bourse.sinks.tables import (append_rows, partition_view,
                                  publish, read_table, refresh_table,
@@ -631,7 +630,7 @@ QUERIES = {
     "mkt_nas_by_symbol": mkt_nas_by_symbol,
     "mkt_forecast_list": mkt_forecast_list,
     **{f"mkt_{m}": material_query(m) for m in MATERIAL_COLUMNS},
-    **{f"{name}_rejects": rejects_of(job) for name, job in WITH_REJECTS.items()},
+    **REJECTS,
     "mkt_krx_stock_by_market": mkt_krx_stock_by_market,
     "mkt_krx_forecast": mkt_krx_forecast,
     "mkt_snp_list": mkt_snp_list,

@@ -7,29 +7,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from bourse.functions.scalar import (cast_columns, conform, json_field, limit_text,
-                                     pct_diff, zfill)
-from bourse.operators.filters import (drop_nan, filter_in, lookback, quarantine,
-                                      scan_history)
+from bourse.functions.scalar import cast_columns, conform, json_field, limit_text, zfill
+from bourse.operators.filters import drop_nan, filter_in, lookback, scan_history
 from bourse.operators.forecast import (feature_frame, forecast_linear,
                                        forecast_report)
 from bourse.operators.joins import enrich_bars, enrich_listing
-from bourse.operators.keys import keep_first, union_all
-from bourse.operators.projection import (drop_col_at, drop_cols, rename_positional,
-                                         with_key)
-from bourse.operators.series import ffill, ffill_pct_change, sort_desc
+from bourse.operators.keys import keep_first
+from bourse.operators.projection import drop_cols, rename_positional, with_key
+from bourse.operators.series import ffill, ffill_pct_change
 from bourse.plans import adapters as A
 from bourse.plans import markets as M
 from bourse.schemas import ddl
 from bourse.session import scratch_path
-from bourse.sinks.tables import (publish, read_rejects, read_table, refresh_table,
-                                 store_rejects, write_csv,
-                                 write_market_partitioned, write_partitioned,
-                                 write_per_value_files)
-from bourse.sources.files import (scan_csv, scan_csv_positional,
-                                  scan_json_records, scan_symbol_files)
+from bourse.sinks.tables import (publish, read_rejects, read_table, refresh_table, write_csv,
+                                 write_market_partitioned, write_partitioned, write_per_value_files)
+from bourse.sources.files import scan_csv, scan_csv_positional, scan_symbol_files
 
 HISTORY_START = "1992-01-01"
 
@@ -124,11 +117,6 @@ def nas_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{base}/table")
 
 
-OVERVIEW_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in
-                                ["Symbol", "AssetType", "Name", "Description",
-                                 "Exchange", "Sector", "MarketCapitalization"]])
-
-
 def overview_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON reply per company; companies in debt get an error reply."""
     c = A.table(spark, sf_dir, "customer")
@@ -149,47 +137,21 @@ def overview_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def co_overview(spark: SparkSession, sf_dir: str, base: str | None = None) -> DataFrame:
-    """PIP-7: JSON replies -> parse (errors apart) -> drop Description (4th
-    column) -> drop rows without Symbol -> header-less CSV -> typed table."""
+    """PIP-7: JSON replies of listed companies -> the overview table; its columns
+    that the replies fill."""
     base = base or scratch_path(spark, "co_overview")
     replies = filter_in(overview_records(spark, sf_dir), "code", A.listing(spark, sf_dir))
-    good, errors = scan_json_records(replies, "reply", OVERVIEW_SCHEMA)
-    store_rejects(errors, f"{base}/table")
-    recs = union_all(good.drop("code"))
-    recs = drop_nan(drop_col_at(recs, 3), [recs.columns[0]])
-    cols = [c for c in OVERVIEW_SCHEMA.fieldNames() if c != "Description"]
-    write_csv(recs.select(*cols), f"{base}/landed", header=False)
-    raw = scan_csv_positional(spark, f"{base}/landed", cols)
-    refresh_table(raw, f"{base}/table", key=["Symbol"],
-                  types={"MarketCapitalization": "double"})
-    return read_table(spark, f"{base}/table")
-
-
-SNAPSHOT_TABLE = ["symbol", "name", "sector", "marcap", "previous_close",
-                  "regular_market_open", "changesratio"]
+    table, _errors = M.company_overview(spark, replies, f"{base}/table")
+    cols = ["Symbol", "AssetType", "Name", "Exchange", "Sector"]
+    return table.select(*cols, F.col("MarketCapitalization").cast("double").alias("MarketCapitalization"))
 
 
 def snapshot(spark: SparkSession, sf_dir: str, base: str | None = None) -> DataFrame:
-    """PIP-8: snapshot -> % change open vs previous close -> records that
-    cannot be computed become key + NULLs -> sort by market cap -> drop rows
-    without a name -> CSV -> renamed to the table's columns -> table."""
+    """PIP-8: snapshot -> % change open vs previous close -> quotes that cannot
+    be computed refused -> rows without a name dropped -> table by market cap."""
     base = base or scratch_path(spark, "snapshot")
-    s = A.snapshot(spark, sf_dir).withColumn(
-        "change", pct_diff("regularMarketOpen", "previousClose", 4))
-    good, bad = quarantine(s, {"previous close is zero": F.col("previousClose") != 0})
-    store_rejects(bad, f"{base}/table")
-    failed = bad.select("symbol")          # key + NULLs, as a failed fetch
-    s = union_all(good, failed)
-    s = drop_nan(sort_desc(s, "marketCap", "symbol"), ["shortName"])
-    file_cols = ["symbol", "shortName", "sector", "marketCap", "previousClose",
-                 "regularMarketOpen", "change"]
-    write_csv(s.select(*file_cols), f"{base}/landed", header=True)
-    raw = scan_csv_positional(spark, f"{base}/landed", file_cols, skip_first_line=True)
-    renamed = rename_positional(raw, SNAPSHOT_TABLE)
-    refresh_table(renamed, f"{base}/table",
-                  types={"marcap": "double", "previous_close": "double",
-                         "regular_market_open": "double", "changesratio": "double"})
-    return read_table(spark, f"{base}/table")
+    table, _rejects = M.market_snapshot(spark, A.snapshot(spark, sf_dir, with_volume=True), f"{base}/table")
+    return table.drop("volume")
 
 
 def snp_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,12 +252,12 @@ def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{base}/table")
 
 
-def rejects_of(job):
+def rejects_of(job, rename=None, drop=()):
     """A query for the rows a job's load refused, with their reasons."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = scratch_path(spark, job.__name__)
         job(spark, sf_dir, base)
-        return read_rejects(spark, f"{base}/table")
+        return read_rejects(spark, f"{base}/table").withColumnsRenamed(rename or {}).drop(*drop)
     return run
 
 
@@ -317,5 +279,10 @@ JOBS = {
     "pip_forecast": forecast,
 }
 
-#: Jobs that keep the rows they refuse beside their table.
-WITH_REJECTS = {k: JOBS[k] for k in ("pip_co_overview", "pip_snapshot", "pip_list_by_market", "pip_bars_by_market")}
+#: What the jobs that refuse rows refused.
+REJECTS = {
+    "pip_co_overview_rejects": rejects_of(co_overview, rename={"request_code": "code"}),
+    "pip_snapshot_rejects": rejects_of(snapshot, drop=["volume"]),
+    "pip_list_by_market_rejects": rejects_of(list_by_market),
+    "pip_bars_by_market_rejects": rejects_of(bars_by_market),
+}

@@ -16,21 +16,20 @@ from pyspark.sql import types as T
 
 from bourse.functions.scalar import conform, limit_text, pct_diff, to_numeric, zfill
 from bourse.operators.filters import (delete_like, delete_where, drop_all_nan,
-                                      drop_nan, filter_in, lookback, quarantine,
-                                      scan_history)
+                                      drop_nan, filter_in, lookback, scan_history, tag)
 from bourse.operators.forecast import feature_frame, forecast_linear, forecast_report
 from bourse.operators.joins import enrich_bars, enrich_listing
-from bourse.operators.keys import distinct_rows, keep_first, union_all
+from bourse.operators.keys import distinct_rows, keep_first
 from bourse.operators.projection import drop_col_at, drop_cols, rename_positional
-from bourse.operators.series import ffill, pct_change, sort_desc
+from bourse.operators.series import ffill, missing_last, pct_change
 from bourse.schemas import (KRX_CO_INFO_TYPES, KRX_LIST_TYPES, KRX_MARKET_GROUPS,
                             KRX_STOCK_TYPES, MATERIAL_COLUMNS, MATERIAL_REQUIRED,
                             NAS_LIST_TYPES, NAS_STOCK_TYPES, OVERVIEW_FIELDS,
                             SNAPSHOT_FILE_FIELDS, SNAPSHOT_TABLE_TYPES, SNP_LIST_TYPES,
                             SNP_STOCK_TYPES, ddl, struct_of)
-from bourse.sinks.tables import (publish, read_table, refresh_table, store_rejects,
-                                 write_market_partitioned, write_partitioned)
-from bourse.sources.files import scan_csv, scan_csv_positional, scan_json_records
+from bourse.sinks.tables import (REJECTED, publish, read_rejects, read_table, refresh_split, refresh_table,
+                                 rejected, write_market_partitioned, write_partitioned)
+from bourse.sources.files import scan_csv, scan_csv_positional, tag_json_records
 
 KRX_CODE_WIDTH = 6
 PRICES = ["Open", "High", "Low", "Close", "Volume"]
@@ -180,29 +179,30 @@ def company_overview(spark: SparkSession, replies: DataFrame, base: str,
     # request columns (e.g. the symbol asked for) are kept apart from the reply's fields
     tagged = replies.select(*[F.col(c).alias(f"request_{c}") for c in replies.columns
                               if c != reply_col], reply_col)
-    good, errors = scan_json_records(tagged, reply_col, OVERVIEW_REPLY)
-    recs = drop_col_at(good.select(*OVERVIEW_REPLY.fieldNames()), 3)
-    recs = drop_nan(recs, [recs.columns[0]])
-    refresh_table(recs, base, key=["Symbol"])
-    return read_table(spark, base), store_rejects(errors, base)
+    request = [c for c in tagged.columns if c != reply_col]
+    rows = rejected(tag_json_records(tagged, reply_col, OVERVIEW_REPLY), [*request, "error_message"], "error_message")
+    recs = drop_col_at(rows.select("_rec.*", REJECTED), 3)
+    recs = recs.filter(F.col(REJECTED).isNotNull() | F.col(recs.columns[0]).isNotNull())
+    refresh_split(recs, base, key=["Symbol"])
+    return read_table(spark, base), read_rejects(spark, base)
 
 
 def market_snapshot(spark: SparkSession, quotes: DataFrame, base: str
                     ) -> tuple[DataFrame, DataFrame]:
     """PIP-8: quotes (symbol, shortName, sector, marketCap, volume,
     previousClose, regularMarketOpen) -> change of the open against the
-    previous close in percent (4 digits) -> a quote that cannot be computed
-    becomes key + NULLs -> by market cap, missing last -> rows without a name
-    dropped -> the table's column names -> table.  Returns (table, rejects)."""
+    previous close in percent (4 digits) -> a quote that cannot be computed is
+    refused (key + NULLs would fall to the next step) -> rows without a name
+    dropped -> the table's column names -> table, by market cap, missing last.
+    Returns (table, rejects); quotes are read once and written once."""
     s = quotes.withColumn("change", pct_diff("regularMarketOpen", "previousClose", 4))
-    good, bad = quarantine(s, {
-        "previous close missing or zero": F.col("previousClose") != 0,
-        "open missing": F.col("regularMarketOpen").isNotNull()})
-    s = union_all(good, bad.select("symbol"))
-    s = drop_nan(sort_desc(s, "marketCap", "symbol"), ["shortName"])
-    table = rename_positional(s.select(*SNAPSHOT_FILE_FIELDS), list(SNAPSHOT_TABLE_TYPES))
-    refresh_table(table, base, types=SNAPSHOT_TABLE_TYPES)
-    return read_table(spark, base), store_rejects(bad, base)
+    s = rejected(tag(s, {"previous close missing": F.col("previousClose").isNotNull(),
+                         "previous close is zero": F.col("previousClose") != 0,
+                         "open missing": F.col("regularMarketOpen").isNotNull()}))
+    s = s.filter(F.col(REJECTED).isNotNull() | F.col("shortName").isNotNull())
+    table = rename_positional(s.select(*SNAPSHOT_FILE_FIELDS, REJECTED), [*SNAPSHOT_TABLE_TYPES, REJECTED])
+    refresh_split(table, base, types=SNAPSHOT_TABLE_TYPES, order=[missing_last(table, "marcap"), "symbol"])
+    return read_table(spark, base), read_rejects(spark, base)
 
 
 # --- S&P 500 -----------------------------------------------------------------

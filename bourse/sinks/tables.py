@@ -8,6 +8,9 @@ carrying the schema.  Readers take the newest marked version, so the old
 table survives a failed run (the reference's rollback) and the switch is one
 rename of a complete file.  ``keep`` versions stay: frames that still read an
 older one fail once it is removed, so keep as many as are read at a time.
+
+A load that refuses rows writes once, too: rows and rejects are partitions of one
+audited version (``refresh_split``), and table and rejects are two reads of it.
 """
 
 from __future__ import annotations
@@ -21,10 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bourse.functions.scalar import cast_columns
+from bourse.operators.filters import REASON
 from bourse.operators.keys import assert_key
 from bourse.operators.projection import with_row_index
 
 MARKER = "_AUDITED"
+# Of a version written by ``refresh_split``: the partition that parts refused rows
+# from those of the table, and the column that holds a refused row.
+REFUSED, REJECTED = "load_refused", "rejected"
 BUCKET = "bucket"
 DEFAULT_BUCKETS = 64
 
@@ -131,14 +138,45 @@ def refresh_table(df: DataFrame, base: str, *, key=None, required=(), types=None
     several tasks and files stay sorted for min/max pruning.
     Returns the version folder.
     """
-    spark = df.sparkSession
     typed = cast_columns(df, types) if types else df
+    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    order = [order] if isinstance(order, str) else list(order or [])
+    return _write_version(typed, base, parts, order, key if audit else None, required if audit else (), keep)
+
+
+def refresh_split(df: DataFrame, base: str, *, key=None, required=(), types=None, partition_by=None,
+                  order=None, keep: int = 2) -> str:
+    """SNK-5 + FLT-7: one write, two destinations.  ``df`` holds the table's
+    columns and ``rejected``, a struct that is NULL for a row of the table and
+    holds the refused row and its reason otherwise.  Both go into one version, as
+    partitions; ``read_table`` reads the one and ``read_rejects`` the other, and
+    both change with one rename.  ``key``, ``required`` and the strict casts of
+    ``types`` concern the table's rows.  Refused rows keep their values in the
+    columns of ``order`` alone (they spread the writers), and take part in the
+    partitions of ``partition_by``."""
+    types = types or {}
+    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    order = [order] if isinstance(order, str) else list(order or [])
+    kept = {*parts, *[o for o in order if isinstance(o, str)]}
+    good = F.col(REJECTED).isNull()
+    cols = []
+    for c in df.columns:
+        x = F.col(f"`{c}`")
+        if c != REJECTED:
+            own = x.cast(types[c]) if c in types else x
+            x = F.when(good, own).otherwise(x.try_cast(types[c]) if c in types else x) if c in kept else F.when(good, own)
+        cols.append(x.alias(c))
+    split = df.select(*cols, F.col(REJECTED).isNotNull().alias(REFUSED))
+    return _write_version(split, base, [REFUSED, *parts], order, key, required, keep)
+
+
+def _write_version(typed: DataFrame, base: str, parts: list, order: list, key, required, keep: int) -> str:
+    """A new version of a table: written, audited, marked; older ones go."""
+    spark = typed.sparkSession
     version = f"v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     path = f"{base.rstrip('/')}/{version}"
     try:
-        if partition_by:
-            parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-            order = [order] if isinstance(order, str) else list(order or [])
+        if parts and (order or parts != [REFUSED]):
             sort_cols = parts + order
             # No fixed writer count: AQE sizes the ranges by bytes, so a small
             # table is not spread over a large cluster's reducer count.  Ranges
@@ -147,10 +185,10 @@ def refresh_table(df: DataFrame, base: str, *, key=None, required=(), types=None
             (typed.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
                   .write.mode("errorifexists").partitionBy(*parts).parquet(path))
         else:
-            typed.write.mode("errorifexists").parquet(path)
+            typed.write.mode("errorifexists").partitionBy(*parts).parquet(path)
         schema = typed.schema
-        if audit and (key or required):
-            assert_key(spark.read.schema(schema).parquet(path), key, required)
+        if key or required:
+            assert_key(_table_rows(spark.read.schema(schema).parquet(path)), key, required)
     except Exception:
         _delete(spark, path)      # never marked, so never read; remove the debris
         raise
@@ -164,7 +202,18 @@ def read_table(spark: SparkSession, base: str) -> DataFrame:
     """Read the newest audited version of a table with its recorded schema
     (partition values such as ``005930`` stay text)."""
     path, schema = _newest(spark, base)
-    return spark.read.schema(schema).parquet(path)
+    return _table_rows(spark.read.schema(schema).parquet(path))
+
+
+def read_rejects(spark: SparkSession, base: str) -> DataFrame:
+    """The rows that the newest load of a table refused, with their reasons."""
+    path, schema = _newest(spark, base)
+    return spark.read.schema(schema).parquet(path).filter(F.col(REFUSED)).select(f"{REJECTED}.*")
+
+
+def _table_rows(version: DataFrame) -> DataFrame:
+    """The table's own rows and columns; the partition of refused rows is not read."""
+    return version.filter(~F.col(REFUSED)).drop(REFUSED, REJECTED) if REFUSED in version.columns else version
 
 
 def _newest(spark: SparkSession, base: str) -> tuple[str, T.StructType]:
@@ -220,7 +269,7 @@ def partition_view(spark: SparkSession, base: str, key: str, value) -> DataFrame
     reads one folder; the key predicate is pushed into the Parquet reader.
     The number of buckets is the one the table was written with."""
     path, schema = _newest(spark, base)
-    df = spark.read.schema(schema).parquet(path)
+    df = _table_rows(spark.read.schema(schema).parquet(path))
     key_type = schema[key].dataType
     lit = F.lit(value).cast(key_type)
     if BUCKET in df.columns:
@@ -229,42 +278,39 @@ def partition_view(spark: SparkSession, base: str, key: str, value) -> DataFrame
     return df.filter(F.col(key) == lit)
 
 
-def market_groups(df: DataFrame, col: str, mapping: dict, out: str = "market_group"):
-    """SNK-7 routing: map values to their child (several values may share
-    one); values without a child are rejected, as a list partition without a
-    default child rejects them.  Returns (routed, rejects with a ``_reason``).
-    The mapping is a handful of literals, compiled into a CASE expression (no
-    join)."""
+def route(df: DataFrame, col: str, mapping: dict, out: str = "market_group") -> DataFrame:
+    """SNK-7 routing: ``out``, the child that each value of ``col`` maps to
+    (several values may share one), and ``_reason`` for a value without a child:
+    a list partition without a default child rejects it.  The mapping is a handful
+    of literals, compiled into a CASE expression (no join)."""
     expr = None
     for k, v in mapping.items():
         expr = (F.when(F.col(col) == F.lit(k), F.lit(v)) if expr is None
                 else expr.when(F.col(col) == F.lit(k), F.lit(v)))
-    tagged = df.withColumn(out, expr)
     reason = F.concat(F.lit(f"no child for {col} "), F.coalesce(F.col(col).cast("string"), F.lit("NULL")))
-    return (tagged.filter(F.col(out).isNotNull()),
-            tagged.filter(F.col(out).isNull()).withColumn("_reason", reason))
+    return df.withColumn(out, expr).withColumn(REASON, F.when(F.col(out).isNull(), reason))
 
 
-def store_rejects(rejects: DataFrame, base: str) -> DataFrame:
-    """Keep the rows a load refused, with their reasons, beside its table
-    (``<base>-rejects``), so that table and rejects together are the input."""
-    publish(rejects, f"{base.rstrip('/')}-rejects")
-    return read_rejects(rejects.sparkSession, base)
+def market_groups(df: DataFrame, col: str, mapping: dict, out: str = "market_group"):
+    """``route`` as two frames: (routed, rejects with a ``_reason``)."""
+    tagged = route(df, col, mapping, out)
+    return tagged.filter(F.col(out).isNotNull()).drop(REASON), tagged.filter(F.col(out).isNull())
 
 
-def read_rejects(spark: SparkSession, base: str) -> DataFrame:
-    """The rejects of the newest load of a table."""
-    return read_table(spark, f"{base.rstrip('/')}-rejects")
+def rejected(df: DataFrame, cols=None, reason: str = REASON) -> DataFrame:
+    """``df``, tagged with ``reason`` (NULL for a good row), in the shape that
+    ``refresh_split`` writes: a bad row's ``cols`` (all of them) as one struct."""
+    row = F.struct(*[F.col(f"`{c}`") for c in cols or df.columns])
+    return df.withColumn(REJECTED, F.when(F.col(reason).isNotNull(), row)).drop(reason)
 
 
 def write_market_partitioned(df: DataFrame, base: str, col: str, mapping: dict, *,
                              key=None, required=(), order=None, out: str = "market_group"):
-    """SNK-7: grouped list partition; returns (version path, rejects as stored
-    by ``store_rejects``)."""
-    routed, rejects = market_groups(df, col, mapping, out)
-    path = refresh_table(routed, base, key=key, required=required, partition_by=[out],
-                         order=order)
-    return path, store_rejects(rejects, base)
+    """SNK-7: grouped list partition; routed rows and rejects in one write.
+    Returns (version path, rejects)."""
+    path = refresh_split(rejected(route(df, col, mapping, out)), base, key=key, required=required,
+                         partition_by=[out], order=order)
+    return path, read_rejects(df.sparkSession, base)
 
 
 def replace_result(df: DataFrame, base: str, order, name: str = "index") -> str:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bourse.operators.filters import split_tagged
 from bourse.operators.filters import scan_history  # noqa: F401  (SRC-7)
 from bourse.operators.nulls import normalize_nan
 from bourse.schemas import strings
@@ -142,7 +143,16 @@ def scan_json_records(df: DataFrame, col: str, schema: T.StructType,
     """SRC-5 + SCL-12: parse one flat JSON object per row; objects carrying
     ``error_key`` (a failed API reply) go to the second frame with the
     message, as do records that do not parse or do not fit the types.
-    Returns (records, errors)."""
+    Returns (records, errors); replies are read and parsed once."""
+    good, bad = split_tagged(tag_json_records(df, col, schema, error_key), "error_message")
+    keep = [F.col(f"`{c}`") for c in df.columns if c != col]
+    return good.select(*keep, "_rec.*"), bad.select(*keep, "error_message")
+
+
+def tag_json_records(df: DataFrame, col: str, schema: T.StructType,
+                     error_key: str = "Error Message") -> DataFrame:
+    """The other columns of ``df``, ``_rec`` (the parsed fields) and
+    ``error_message`` (NULL for a good record)."""
     full = T.StructType(list(schema.fields) + [T.StructField(error_key, T.StringType()),
                                                T.StructField(RECORD, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD}
@@ -150,12 +160,9 @@ def scan_json_records(df: DataFrame, col: str, schema: T.StructType,
                .withColumn("_ok", F.get_json_object(F.col(col), "$").isNotNull()
                            & F.col(f"_rec.{RECORD}").isNull())
     err = F.col(f"_rec.`{error_key}`")
-    keep = [c for c in df.columns if c != col]
-    good = parsed.filter(err.isNull() & F.col("_ok")).select(
-        *keep, *[F.col(f"_rec.`{f.name}`").alias(f.name) for f in schema.fields])
-    bad = parsed.filter(err.isNotNull() | ~F.col("_ok")).select(
-        *keep, F.coalesce(err, F.lit("unparsable record")).alias("error_message"))
-    return good, bad
+    fields = F.struct(*[F.col(f"_rec.`{f.name}`").alias(f.name) for f in schema.fields])
+    return parsed.select(*[F.col(f"`{c}`") for c in df.columns if c != col], fields.alias("_rec"),
+                         F.when(err.isNotNull(), err).when(~F.col("_ok"), F.lit("unparsable record")).alias("error_message"))
 
 
 def scan_json_files(spark: SparkSession, path, schema: T.StructType) -> DataFrame:

@@ -239,3 +239,99 @@ def test_a_reader_sees_a_whole_marker_or_none(spark, tmp_base):
     version = fs.listStatus(p)[0].getPath()
     names = [s.getPath().getName() for s in fs.listStatus(version)]
     assert "_AUDITED" in names and not [n for n in names if n.endswith(".part")]
+
+
+# --- one reading of the input for rows and rejects ------------------------------------
+
+@pytest.fixture()
+def counted(spark):
+    """counted(df): df, and how many of its rows have been computed so far."""
+    from pyspark.sql import functions as F
+    def make(df):
+        seen = spark.sparkContext.accumulator(0)
+
+        def look(x):
+            seen.add(1)
+            return x
+        return df.withColumn("k", F.udf(look, "long")("k")), seen
+    return make
+
+
+def _quotes(spark):
+    return spark.range(1000, numPartitions=4).selectExpr(
+        "id AS k", "CASE WHEN id % 3 = 0 THEN 'KOSPI' WHEN id % 3 = 1 THEN 'KONEX' ELSE 'X' END AS market", "'t' || id AS t")
+
+
+def test_a_load_with_rejects_computes_its_input_once(spark, tmp_base, counted):
+    df, seen = counted(_quotes(spark))
+    mapping = {"KOSPI": "kospi", "KONEX": "konex"}
+    _, bad = write_market_partitioned(df, tmp_base, "market", mapping, key=["k"], required=["t"], order=["k"])
+    table = read_table(spark, tmp_base)
+    assert (table.count(), bad.count()) == (667, 333)
+    assert seen.value <= 2000          # the rows and the range sample
+    assert table.columns == ["k", "market", "t", "market_group"]
+    assert bad.columns == ["k", "market", "t", "market_group", "_reason"]
+    assert sorted(r.k for r in bad.collect()) == [i for i in range(1000) if i % 3 == 2]
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "load_refused" in plan
+
+
+def test_table_and_rejects_change_together(spark, tmp_base):
+    mapping = {"KOSPI": "kospi", "KONEX": "konex"}
+    write_market_partitioned(_quotes(spark), tmp_base, "market", mapping, key=["k"], order=["k"])
+    dup = _quotes(spark).union(_quotes(spark))
+    with pytest.raises(KeyViolation):
+        write_market_partitioned(dup, tmp_base, "market", mapping, key=["k"], order=["k"])
+    assert read_table(spark, tmp_base).count() == 667 and read_rejects(spark, tmp_base).count() == 333
+    # a refused row is not held against the key
+    refused = _quotes(spark).filter("market = 'X'")
+    write_market_partitioned(_quotes(spark).union(refused), tmp_base, "market", mapping, key=["k"], order=["k"])
+    assert read_table(spark, tmp_base).count() == 667 and read_rejects(spark, tmp_base).count() == 666
+
+
+def test_strict_casts_concern_the_table_only(spark, tmp_base):
+    from pyspark.sql import functions as F
+    from bourse.sinks import refresh_split, rejected
+    df = spark.createDataFrame([("1", "2"), ("x", "y")], "a string, b string")
+    tagged = df.withColumn("_reason", F.when(F.col("a") == "x", F.lit("not a number")))
+    refresh_split(rejected(tagged), tmp_base, key=["a"], types={"a": "int", "b": "int"}, order=["b"])
+    assert [tuple(r) for r in read_table(spark, tmp_base).collect()] == [(1, 2)]
+    assert [tuple(r) for r in read_rejects(spark, tmp_base).collect()] == [("x", "y", "not a number")]
+    with pytest.raises(Exception):
+        refresh_split(rejected(df.withColumn("_reason", F.lit(None).cast("string"))), tmp_base, types={"a": "int"})
+    assert read_table(spark, tmp_base).count() == 1
+
+
+def test_split_by_stored_tag_reads_once(spark, counted):
+    from pyspark.sql import functions as F
+    from bourse.operators import quarantine
+    df, seen = counted(_quotes(spark).withColumn("refused", F.lit("own")))
+    good, bad = quarantine(df, {"no child": F.col("market") != "X", "small": F.col("k") > 10})
+    assert (good.count(), bad.count(), good.count()) == (659, 341, 659)
+    assert seen.value == 1000 and good.columns == df.columns and bad.columns == [*df.columns, "_reason"]
+    assert good.unionByName(bad.drop("_reason")).exceptAll(_quotes(spark).withColumn("refused", F.lit("own"))).count() == 0
+
+
+def test_json_replies_are_parsed_once(spark, counted):
+    from pyspark.sql import functions as F
+    df, seen = counted(_quotes(spark))
+    reply = F.when(F.col("market") == "X", F.lit('{"Error Message": "limit"}')).otherwise(F.to_json(F.struct(F.col("k").alias("n"))))
+    good, bad = scan_json_records(df.withColumn("reply", reply), "reply", T.StructType([T.StructField("n", T.LongType())]))
+    assert (good.count(), bad.count()) == (667, 333) and seen.value == 1000
+    assert good.filter("n = k").count() == 667
+
+
+def test_snapshot_and_overview_read_their_input_once(spark, tmp_base, counted):
+    from pyspark.sql import functions as F
+    from bourse.plans import markets as M
+    quotes, seen = counted(spark.range(1000).selectExpr(
+        "id AS k", "'n' || id AS shortName", "'s' AS sector", "CAST(id AS DOUBLE) AS marketCap", "1.0D AS volume",
+        "CAST(id % 4 AS DOUBLE) AS previousClose", "1.5D AS regularMarketOpen"))
+    table, bad = M.market_snapshot(spark, quotes.withColumn("symbol", F.col("k").cast("string")), f"{tmp_base}/s")
+    assert (table.count(), bad.count()) == (750, 250) and seen.value <= 2000
+    rows, seen = counted(spark.range(1000).selectExpr("id AS k"))
+    reply = F.when(F.col("k") % 5 == 0, F.lit("junk")).otherwise(
+        F.to_json(F.struct(F.col("k").cast("string").alias("Symbol"), F.lit("d").alias("Description"))))
+    table, bad = M.company_overview(spark, rows.withColumn("reply", reply), f"{tmp_base}/o")
+    assert (table.count(), bad.count()) == (800, 200) and seen.value == 1000
+    assert bad.columns == ["request_k", "error_message"]
