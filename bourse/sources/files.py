@@ -156,13 +156,13 @@ def tag_json_records(df: DataFrame, col: str, schema: T.StructType,
     full = T.StructType(list(schema.fields) + [T.StructField(error_key, T.StringType()),
                                                T.StructField(RECORD, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD}
-    parsed = df.withColumn("_rec", F.from_json(F.col(col), full, options)) \
-               .withColumn("_ok", F.get_json_object(F.col(col), "$").isNotNull()
-                           & F.col(f"_rec.{RECORD}").isNull())
+    # a row of its own, so that no later filter or field makes Spark parse again
+    parsed = df.select("*", F.explode(F.array(F.from_json(F.col(col), full, options))).alias("_rec"))
     err = F.col(f"_rec.`{error_key}`")
+    broken = F.col("_rec").isNull() | F.col(f"_rec.{RECORD}").isNotNull()
     fields = F.struct(*[F.col(f"_rec.`{f.name}`").alias(f.name) for f in schema.fields])
     return parsed.select(*[F.col(f"`{c}`") for c in df.columns if c != col], fields.alias("_rec"),
-                         F.when(err.isNotNull(), err).when(~F.col("_ok"), F.lit("unparsable record")).alias("error_message"))
+                         F.when(err.isNotNull(), err).when(broken, F.lit("unparsable record")).alias("error_message"))
 
 
 def scan_json_files(spark: SparkSession, path, schema: T.StructType) -> DataFrame:

@@ -57,14 +57,15 @@ def test_symbol_file_set(spark, tmp_base):
 
 def test_json_records_split_errors(spark):
     df = spark.createDataFrame([(1, '{"Symbol": "A", "Price": "1.5"}'),
-                                (2, '{"Error Message": "limit"}'), (3, "not json")],
+                                (2, '{"Error Message": "limit"}'), (3, "not json"),
+                                (4, None), (5, ""), (6, "[]"), (7, "5"), (8, "null")],
                                "id int, reply string")
     schema = T.StructType([T.StructField("Symbol", T.StringType()),
                            T.StructField("Price", T.StringType())])
     good, bad = scan_json_records(df, "reply", schema)
     assert [(r.id, r.Symbol) for r in good.collect()] == [(1, "A")]
     assert sorted((r.id, r.error_message) for r in bad.collect()) == \
-        [(2, "limit"), (3, "unparsable record")]
+        [(2, "limit"), *[(i, "unparsable record") for i in range(3, 9)]]
 
 
 def test_json_lines_files(spark, tmp_base):
