@@ -3,7 +3,7 @@
 from bourse.operators.filters import (delete_like, delete_where, drop_all_nan,
                                       drop_nan, filter_in, lookback, quarantine,
                                       scan_history, split_tagged, tag)
-from bourse.operators.forecast import (feature_frame, forecast_linear,
+from bourse.operators.forecast import (feature_frame, fit_linear, forecast_linear,
                                        forecast_report, forecast_ridge, mse,
                                        per_key_apply)
 from bourse.operators.joins import enrich_bars, enrich_listing
@@ -18,7 +18,7 @@ from bourse.operators.series import (SeriesPass, drop_last, ffill, ffill_pct_cha
 
 __all__ = [
     "delete_like", "delete_where", "drop_all_nan", "drop_nan", "filter_in",
-    "lookback", "quarantine", "scan_history", "split_tagged", "tag", "feature_frame", "forecast_linear",
+    "lookback", "quarantine", "scan_history", "split_tagged", "tag", "feature_frame", "fit_linear", "forecast_linear",
     "forecast_report", "forecast_ridge", "mse", "per_key_apply",
     "enrich_bars", "enrich_listing", "KeyViolation",
     "assert_key", "distinct_keys", "distinct_rows", "keep_first",

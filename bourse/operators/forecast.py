@@ -8,44 +8,150 @@ a symbol's rows never have to sit together in one task.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bourse.functions.scalar import direction, pct_diff
-from bourse.operators.filters import drop_nan
 from bourse.operators.projection import with_row_index
-from bourse.operators.series import DEFAULT_SEGMENT, SeriesPass
+from bourse.operators.series import DEFAULT_SEGMENT, KEY, SEGMENT, SeriesPass, nan_missing, ordering_of
 
 # The model's inputs, in order.
 FEATURES = ["open", "close", "high", "low", "volume_z", "daily_return"]
 
 
+_VALUES = ["open", "close", "high", "low", "volume"]
+
+
+def _present(c: Column) -> Column:
+    return c.isNotNull() & ~F.isnan(c)
+
+
+def _return(close: Column, before: Column) -> Column:
+    return F.try_divide(close - before, before)
+
+
+def _placed(bars: DataFrame, key: str, order: str, segment) -> DataFrame:
+    """The bars dealt out by (key, segment), with what a row knows of itself
+    inside its segment: ``_first`` and ``_final`` of it, the close before, whether
+    it is complete (``_ok``), whether it stays (``_kept``; not known of the first
+    row, whose close before lies in another segment) and the next close that
+    stays after it (``_next``; never the first row's)."""
+    base = bars.select(key, order, *[F.col(c).cast("double").alias(c) for c in _VALUES])
+    rows = SeriesPass(keys=[key], order=[order], segment=F.lit(0) if segment is None else segment).dealt(nan_missing(base, _VALUES))
+    # only now: summary and rows then need the same columns, and both use one exchange
+    filled = [F.col(KEY).getField(key), *[F.col(c) for c in [order, *_VALUES]]]
+    rows = rows.withColumn("_ok", reduce(lambda x, y: x & y, [c.isNotNull() for c in filled]))
+    w = Window.partitionBy(KEY, SEGMENT).orderBy(order)
+    rows = rows.withColumns({"_first": F.lag(F.lit(1)).over(w).isNull(), "_final": F.lead(F.lit(1)).over(w).isNull(),
+                             "_before": F.lag("close").over(w)})
+    rows = rows.withColumn("_kept", ~F.col("_first") & F.col("_ok") & F.coalesce(
+        _present(_return(F.col("close"), F.col("_before"))), F.lit(False)))
+    later = w.rowsBetween(1, Window.unboundedFollowing)
+    return rows.withColumn("_next", F.first(F.when(F.col("_kept"), F.col("close")), ignorenulls=True).over(later))
+
+
+def _carried(rows: DataFrame, order: str, fit: bool = False) -> DataFrame:
+    """One row a segment of ``_placed`` rows: what crosses its borders, composed
+    over both steps (return and drop, then label and standard score) without
+    another look at the rows.
+
+    A summary holds the last close as it is (the next segment's first return goes
+    by it), the first row apart, and of the rows after it, whose fate is known,
+    the first close that stays and the count, mean and M2 of volume.  Along a
+    key's segments the close before decides whether the first row stays; then its
+    close, or the first that stays after it, is the label of whoever came before,
+    and its volume joins the moments.  With ``fit``, also the count, means and
+    centred products of (close, label) where both lie in one segment, and the
+    pairs across a border: those of the first row and of the last row that stays."""
+    kept, close, volume = F.col("_kept"), F.col("close"), F.col("volume")
+    place = F.when(kept, ordering_of(rows, [order], ["close"]))
+    aggs = [F.max(F.when(F.col("_final"), close)).alias("tail"),
+            F.max(F.when(F.col("_first"), close)).alias("f_close"), F.max(F.when(F.col("_first"), volume)).alias("f_volume"),
+            F.bool_or(F.col("_first") & F.col("_ok")).alias("f_ok"),
+            F.min_by(close, place).alias("r_close"), F.count_if(kept).alias("r_n"),
+            F.coalesce(F.avg(F.when(kept, volume)), F.lit(0.0)).alias("r_mean"),
+            F.coalesce(F.var_pop(F.when(kept, volume)), F.lit(0.0)).alias("r_var")]
+    if fit:
+        y, x = F.when(kept, F.col("_next")), close
+        aggs += [F.max_by(close, place).alias("l_close"), F.regr_count(y, x).alias("p_n"),
+                 *[F.coalesce(f(y, x), F.lit(0.0)).alias(n) for f, n in (
+                     (F.regr_avgx, "p_x"), (F.regr_avgy, "p_y"), (F.regr_sxx, "p_xx"), (F.regr_sxy, "p_xy"), (F.regr_syy, "p_yy"))]]
+    summary = rows.groupBy(KEY, SEGMENT).agg(*aggs)
+
+    along = Window.partitionBy(KEY).orderBy(SEGMENT)
+    whole = Window.partitionBy(KEY)
+    c = summary.withColumn("before", F.lag("tail").over(along))
+    c = c.withColumn("f_kept", F.col("f_ok") & F.coalesce(_present(_return(F.col("f_close"), F.col("before"))), F.lit(False)))
+    c = c.withColumn("head", F.when(F.col("f_kept"), F.col("f_close")).otherwise(F.col("r_close")))
+    c = c.withColumn("next_head", F.first("head", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing)))
+    c = c.withColumn("f_n", F.col("f_kept").cast("int"))
+    c = c.withColumn("n", F.sum(F.col("r_n") + F.col("f_n")).over(whole))
+    mean = F.sum(F.col("r_n") * F.col("r_mean") + F.when(F.col("f_kept"), F.col("f_volume")).otherwise(0.0)).over(whole)
+    c = c.withColumn("mean", F.try_divide(mean, F.col("n")))
+    spread = F.col("r_n") * (F.col("r_var") + F.pow(F.col("r_mean") - F.col("mean"), 2)) + F.when(
+        F.col("f_kept"), F.pow(F.col("f_volume") - F.col("mean"), 2)).otherwise(0.0)
+    return c.withColumn("sd", F.sqrt(F.try_divide(F.sum(spread).over(whole), F.col("n"))))
+
+
 def feature_frame(bars: DataFrame, key: str = "symbol", order: str = "date",
                   segment=DEFAULT_SEGMENT) -> DataFrame:
     """FCT-1: daily return, drop incomplete rows, standardise volume (after the
     drop), label = next close.  Output: key, date, open, close, high, low,
     volume_z, daily_return, label (NULL on each key's last row).
 
-    Both passes share one (key, month) partitioning: the bars are exchanged
-    once; the second pass (lead + volume mean/stddev) only moves its small
-    per-segment summary.
+    One pass: the bars are read and exchanged once, by (key, month); besides
+    that, one row a key and month moves to its key and back (``_carried``).
     """
-    base = bars.select(key, order, "open", "close", "high", "low",
-                       F.col("volume").cast("double").alias("volume"))
-    p = SeriesPass(keys=[key], order=[order], lag=["close"], segment=segment,
-                   keep_segment=True).apply(base)
-    prev = F.col("_prev_close")
-    r = p.withColumn("daily_return", F.try_divide(F.col("close") - prev, prev)) \
-         .drop("_prev_close", "_first", "_last")
-    r = drop_nan(r)
-    f = SeriesPass(keys=[key], order=[order], lead=["close"], stats=["volume"],
-                   segment=segment, keep_segment=True).apply(r)
-    mu, sd = F.col("_mean_volume"), F.col("_sd_volume")
-    volume_z = F.when(sd == 0, F.lit(0.0)).otherwise(F.try_divide(F.col("volume") - mu, sd))
-    return f.select(key, order, "open", "close", "high", "low", volume_z.alias("volume_z"),
-                    "daily_return", F.col("_next_close").alias("label"))
+    rows = _placed(bars, key, order, segment)
+    carry = _carried(rows, order).select(KEY, SEGMENT, "before", "next_head", "mean", "sd")
+    j = rows.join(carry, [KEY, SEGMENT])
+    change = _return(F.col("close"), F.when(F.col("_first"), F.col("before")).otherwise(F.col("_before")))
+    j = j.withColumn("daily_return", change).filter(F.col("_ok") & _present(F.col("daily_return")))
+    volume_z = F.when(F.col("sd") == 0, F.lit(0.0)).otherwise(F.try_divide(F.col("volume") - F.col("mean"), F.col("sd")))
+    return j.select(F.col(KEY).getField(key).alias(key), order, "open", "close", "high", "low", volume_z.alias("volume_z"),
+                    "daily_return", F.coalesce("_next", "next_head").alias("label"))
+
+
+def fit_linear(bars: DataFrame, key: str = "symbol", order: str = "date", segment=DEFAULT_SEGMENT) -> DataFrame:
+    """FCT-1 -> FCT-2 (linear) -> AGG-6 from segment summaries alone:
+    ``forecast_linear(feature_frame(bars))`` and its mean squared error, without
+    rows for the features.  Centred products merge as moments do (Chan), so the
+    error, (Syy - 2 b Sxy + b^2 Sxx) / n, loses no digits to large prices."""
+    c = _carried(_placed(bars, key, order, segment), order, fit=True)
+    whole = Window.partitionBy(KEY)
+    # pairs across a border: the first row with what follows it, the last row that stays with the next segment's head
+    ends = F.array(
+        F.struct(F.when(F.col("f_kept"), F.col("f_close")).alias("x"), F.coalesce("r_close", "next_head").alias("y")),
+        F.struct(F.col("l_close").alias("x"), F.col("next_head").alias("y")))
+    c = c.withColumn("ends", F.filter(ends, lambda e: e["x"].isNotNull() & e["y"].isNotNull()))
+
+    def total(inner: Column, at_end) -> Column:
+        return F.sum(inner + F.aggregate("ends", F.lit(0.0), lambda s, e: s + at_end(e))).over(whole)
+
+    n = F.col("p_n")
+    c = c.withColumn("n_train", F.sum(n + F.size("ends")).over(whole))
+    c = c.withColumns({"mx": F.try_divide(total(n * F.col("p_x"), lambda e: e["x"]), F.col("n_train")),
+                       "my": F.try_divide(total(n * F.col("p_y"), lambda e: e["y"]), F.col("n_train"))})
+
+    def product(s: str, a: str, b: str) -> Column:
+        return total(F.col(s) + n * (F.col(f"p_{a}") - F.col(f"m{a}")) * (F.col(f"p_{b}") - F.col(f"m{b}")),
+                     lambda e: (e[a] - F.col(f"m{a}")) * (e[b] - F.col(f"m{b}")))
+
+    c = c.withColumns({"sxx": product("p_xx", "x", "x"), "sxy": product("p_xy", "x", "y"), "syy": product("p_yy", "y", "y")})
+    last = F.coalesce("l_close", F.when(F.col("f_kept"), F.col("f_close")))
+    fit = c.filter("n > 0").groupBy(KEY).agg(
+        *[F.max(x).alias(x) for x in ("n_train", "mx", "my", "sxx", "sxy", "syy")],
+        F.max_by(last, F.when(last.isNotNull(), F.col(SEGMENT))).alias("today_close"))
+    slope = F.when(F.col("sxx") > 0, F.col("sxy") / F.col("sxx"))
+    fit = fit.withColumn("slope", slope).withColumn("intercept", F.col("my") - F.col("slope") * F.col("mx"))
+    error = F.col("syy") - 2 * F.col("slope") * F.col("sxy") + F.pow("slope", F.lit(2)) * F.col("sxx")
+    return fit.select(
+        F.col(KEY).getField(key).alias(key), "slope", "intercept", F.col("n_train").cast("bigint").alias("n_train"), "today_close",
+        (F.col("intercept") + F.col("slope") * F.col("today_close")).alias("tomorrow_close"),
+        F.try_divide(F.when(error < 0, 0.0).otherwise(error), F.col("n_train")).alias("mse"))
 
 
 def mse(df: DataFrame, key, y: str, yhat: str, out: str = "mse") -> DataFrame:

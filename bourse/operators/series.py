@@ -146,7 +146,7 @@ class SeriesPass:
         ocols = [F.col(o) for o in order]
         if self.segment is None:
             return self._unsegmented(df, keys, ocols)
-        d = df if SEGMENT in df.columns else self._dealt(df, keys, order)
+        d = df if SEGMENT in df.columns else self.dealt(df)
         place = [KEY, SEGMENT]
 
         aggs = [F.lit(1).alias("_one")]
@@ -209,8 +209,9 @@ class SeriesPass:
         out.update({k: F.col(KEY).getField(k) for k in keys if k not in out})
         return self._project(j, base, out)
 
-    def _dealt(self, df: DataFrame, keys, order) -> DataFrame:
+    def dealt(self, df: DataFrame) -> DataFrame:
         """The rows dealt out by (key, segment), with both as never-null columns."""
+        keys, order = _list(self.keys), _list(self.order)
         # the key lives in the struct alone: the summary then needs the same
         # columns as the rows, and both use one exchange
         keyed = df.withColumn(KEY, F.struct(*[F.col(k) for k in keys])).drop(*keys)

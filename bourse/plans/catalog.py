@@ -19,16 +19,15 @@ from bourse.functions.scalar import (cast_columns, conform, direction, format_da
 from bourse.operators.filters import (delete_like, drop_all_nan, drop_nan,
                                       filter_in, lookback, quarantine,
                                       scan_history)
-from bourse.operators.forecast import (FEATURES, feature_frame, forecast_linear,
-                                       forecast_report, forecast_ridge, mse,
-                                       ridge_steps)
+from bourse.operators.forecast import (FEATURES, feature_frame, fit_linear, forecast_report,
+                                       forecast_ridge, ridge_steps)
 from bourse.operators.joins import enrich_bars, enrich_listing
 from bourse.operators.keys import (distinct_keys, distinct_rows, keep_first,
                                    key_violations, union_all)
 from bourse.operators.nulls import fill_const
 from bourse.operators.projection import (drop_col_at, drop_cols,
                                          rename_positional, with_row_index)
-from bourse.operators.series import (drop_last, ffill, latest, next_value, pct_change,
+from bourse.operators.series import (ffill, latest, next_value, pct_change,
                                      zscore)
 from bourse.plans import adapters as A
 from bourse.plans.adapters import with_sql
@@ -313,12 +312,8 @@ def agg_zscore(spark, d):
 
 def agg_mse(spark, d):
     """In-sample error of the per-symbol linear fit (its training objective)."""
-    feats = feature_frame(A.bars(spark, d))
-    fit = forecast_linear(feats).select("symbol", "slope", "intercept")
-    pred = drop_last(feats, "label").join(fit, "symbol").withColumn(
-        "fitted", F.col("intercept") + F.col("slope") * F.col("close"))
-    m = mse(pred, "symbol", "label", "fitted")
-    return m.select("symbol", F.round("mse", 6).alias("mse"))
+    fit = fit_linear(A.bars(spark, d)).filter("n_train > 0")
+    return fit.select("symbol", F.round("mse", 6).alias("mse"))
 
 
 def set_union_all(spark, d):
@@ -545,14 +540,14 @@ def fct_features(spark, d):
 
 
 def fct_linear(spark, d):
-    fc = forecast_linear(feature_frame(A.bars(spark, d)))
+    fc = fit_linear(A.bars(spark, d))
     return fc.select("symbol", F.round("slope", 6).alias("slope"),
                      F.round("intercept", 6).alias("intercept"), "n_train", "today_close",
                      F.round("tomorrow_close", 6).alias("tomorrow_close"))
 
 
 def fct_report(spark, d):
-    rep = forecast_report(forecast_linear(feature_frame(A.bars(spark, d))))
+    rep = forecast_report(fit_linear(A.bars(spark, d)))
     return rep.select("index", "symbol", F.round("tomorrow_close", 6).alias("tomorrow_close"),
                       "direction", F.round("diff", 6).alias("diff"))
 

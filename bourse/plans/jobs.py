@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from bourse.functions.scalar import cast_columns, conform, json_field, limit_text, zfill
 from bourse.operators.filters import drop_nan, filter_in, lookback, scan_history
-from bourse.operators.forecast import (feature_frame, forecast_linear,
-                                       forecast_report)
+from bourse.operators.forecast import fit_linear, forecast_report
 from bourse.operators.joins import enrich_bars, enrich_listing
 from bourse.operators.keys import keep_first
 from bourse.operators.projection import drop_cols, rename_positional, with_key
@@ -246,8 +245,7 @@ def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PIP-15: features per symbol -> linear fit per symbol -> report with a
     1-based index -> result table replaced."""
     base = scratch_path(spark, "forecast")
-    feats = feature_frame(A.bars(spark, sf_dir))
-    rep = forecast_report(forecast_linear(feats))
+    rep = forecast_report(fit_linear(A.bars(spark, sf_dir)))
     publish(rep, f"{base}/table")
     return read_table(spark, f"{base}/table")
 

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from bourse.functions.scalar import conform, limit_text, pct_diff, to_numeric, zfill
 from bourse.operators.filters import (delete_like, delete_where, drop_all_nan,
                                       drop_nan, filter_in, lookback, scan_history, tag)
-from bourse.operators.forecast import feature_frame, forecast_linear, forecast_report
+from bourse.operators.forecast import fit_linear, forecast_report
 from bourse.operators.joins import enrich_bars, enrich_listing
 from bourse.operators.keys import distinct_rows, keep_first
 from bourse.operators.projection import drop_col_at, drop_cols, rename_positional
@@ -279,6 +279,6 @@ def next_close_report(spark: SparkSession, stock: DataFrame, key: str, base: str
         bars = filter_in(bars, "symbol", symbols, value_col=key if frame else None)
         if label and frame:
             labels = symbols.select(F.col(key).alias("symbol"), label)
-    rep = forecast_report(forecast_linear(feature_frame(bars)), labels=labels)
+    rep = forecast_report(fit_linear(bars), labels=labels)
     publish(rep, base)
     return read_table(spark, base)
