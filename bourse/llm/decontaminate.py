@@ -15,7 +15,7 @@ Smith-Waterman alignment of words scores the copy, edited or not.
 
 Items that hold fewer words than a seed are sought as they are.
 
-Scale.  The benchmark is taken in blocks of at most ``BLOCK_WORDS`` words, a
+Scale.  The benchmark is taken in blocks of about ``BLOCK_WORDS`` words, a
 bound that is kept by dealing items out by their running number of words, so
 what a task holds of it is bounded; the corpus is read once per block for
 counts and once for alignment, and never shuffled.  What moves are counts of
@@ -171,18 +171,19 @@ def leaks_in(words: np.ndarray, items: list[np.ndarray], item: np.ndarray, diago
 
 
 def _blocks(benchmark: DataFrame) -> DataFrame:
-    """(item_id, text, block): items dealt into blocks of bounded size."""
+    """(item_id, text, block): items dealt by hash into as many blocks as
+    ``BLOCK_WORDS`` asks for, at least; one that comes out twice as large is cut."""
     words = F.size(F.split(F.col("text"), r"\s+"))
     items = (benchmark.where(F.col("text").isNotNull() & (F.length("text") > 0))
              .select(F.col("item_id").cast("long").alias("item_id"), "text"))
-    # items are numbered within hashed lots, so no task sees all of them
-    lots = F.pmod(F.xxhash64("item_id", "text"), F.lit(64))
     w = Window.partitionBy("lot").orderBy(F.xxhash64("text"), "item_id").rowsBetween(Window.unboundedPreceding, 0)
     total = items.agg(F.sum(words)).first()[0] or 0
-    if total <= BLOCK_WORDS:
+    lots = max(1, -(-total // BLOCK_WORDS))
+    if lots == 1:
         return items.withColumn("block", F.lit(0).cast("long"))
-    run = (F.sum(words).over(w) / F.lit(BLOCK_WORDS)).cast("long")
-    return items.withColumn("lot", lots).withColumn("block", run * 64 + F.col("lot")).drop("lot")
+    run = (F.sum(words).over(w) / F.lit(2 * BLOCK_WORDS)).cast("long")
+    dealt = items.withColumn("lot", F.pmod(F.xxhash64("item_id", "text"), F.lit(lots)))
+    return dealt.withColumn("block", run * lots + F.col("lot")).drop("lot")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:

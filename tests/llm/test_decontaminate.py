@@ -106,3 +106,15 @@ def test_a_leak_drops_its_own_row_alone(spark, docs):
     df = docs([(None, "so alpha beta gamma delta epsilon zeta eta theta it is"), (None, "clean one"), (None, "clean two"),
                (4, "x alpha beta gamma delta epsilon zeta eta theta y"), (4, "clean four")])
     assert sorted(r["text"] for r in dc.drop_leaks(df, bench).collect()) == ["clean four", "clean one", "clean two"]
+
+
+def test_as_many_blocks_as_the_benchmark_asks_for(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(40))) for i in range(100)]
+    bench = spark.createDataFrame(rows, "item_id long, text string").repartition(3)
+    for bound, least, most in ((4000, 1, 1), (3999, 2, 3), (1300, 4, 6), (100, 40, 100)):
+        monkeypatch.setattr(dc, "BLOCK_WORDS", bound)
+        got = dc._blocks(bench).collect()
+        sizes = {}
+        for r in got:
+            sizes[r["block"]] = sizes.get(r["block"], 0) + 40
+        assert len(got) == 100 and least <= len(sizes) <= most and max(sizes.values()) <= max(2 * bound, 40), (bound, sizes)
