@@ -1,9 +1,10 @@
 """Shards along a Hilbert curve over document metadata, so that a filter on any
 of the dimensions can skip most files.
 
-Each dimension is cut into at most 2^``BITS`` bins at the corpus's own quantiles;
-texts count as the number their first bytes spell, so bins keep their order and
-a file's smallest and largest values stay close.  A cell's place on the curve
+Each dimension is cut into at most 2^``BITS`` bins at the corpus's own quantiles,
+a text by its whole order: its values are counted, sorted by range and added up,
+so URLs or names that all begin alike are told apart, and a file's smallest and
+largest values stay close.  A cell's place on the curve
 comes from its bins by bit operations on columns.  Rows sorted by that place are
 cut into runs of equal length, at most one row apart: shard 0, 1, ...  Within a
 cell, equal texts lie next to each other, then ids ascend.
@@ -11,7 +12,7 @@ cell, equal texts lie next to each other, then ids ascend.
 Everything is DataFrame operations.  The sort is a range partitioning on place,
 text and id, so a cell that holds a third of all rows is spread like any other;
 only a few numbers of each row are sorted and kept, never its text.  What comes
-to the driver are the bins' edges, one row.
+to the driver are the bins' edges, one row a dimension.
 
 Defined results.  Null metadata are in the first bin; a null text has no bytes
 and the checksum of an empty one, and null ids come first among equal texts.
@@ -25,39 +26,56 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bourse.llm.common import table
+from bourse.llm.common import stored, table
 from bourse.operators.projection import with_row_index
 
 SHARDS = 24
 BITS = 5
 DIMENSIONS = ("lang", "source", "n_chars")
-TEXT_BYTES = 7
 ACCURACY = 10_000
 
 
-def as_number(df: DataFrame, name: str) -> Column:
-    """A dimension as a number that keeps its order: a text's first bytes."""
+def _is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.StringType)
+
+
+def _value(df: DataFrame, name: str) -> Column:
     col = F.col(f"`{name}`")
-    if isinstance(df.schema[name].dataType, T.StringType):
-        first = F.substring(F.encode(col, "UTF-8"), 1, TEXT_BYTES)
-        return F.conv(F.rpad(F.hex(first), 2 * TEXT_BYTES, "0"), 16, 10).cast("long")
-    return col.cast("double")
+    return col if _is_text(df, name) else col.cast("double")
+
+
+def text_edges(df: DataFrame, name: str, shares: list[float]) -> list[str]:
+    """The smallest values of a text dimension up to which ``shares`` of its rows lie."""
+    counted = df.where(F.col(f"`{name}`").isNotNull()).groupBy(F.col(f"`{name}`").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    # stored, as bounds come from a sample and both readings must have the same
+    ranged = stored(counted.repartitionByRange("v").withColumn("part", F.spark_partition_id()), "hilbert-values")
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy("part").agg(F.sum("n").alias("held"))        # a row a range
+    total = parts.agg(F.sum("held")).first()[0] or 0
+    before = parts.select("part", F.coalesce(F.sum("held").over(ahead), F.lit(0)).alias("before"))
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy("part").orderBy("v"))
+    summed = ranged.join(F.broadcast(before), "part").select("v", upto.alias("upto"))
+    edges = summed.agg(*[F.min(F.when(F.col("upto") >= s * total, F.col("v"))).alias(f"e{i}") for i, s in enumerate(shares)]).first()
+    return [e for e in edges if e is not None]
 
 
 def bins(df: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, bits: int = BITS) -> list[Column]:
     """Each dimension's bin, 0 to 2^bits - 1, cut at quantiles of ``df``."""
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    edges = df.agg(*[F.percentile_approx(as_number(df, d), shares, ACCURACY).alias(f"e{i}")
-                     for i, d in enumerate(dimensions)]).first()
+    edges = {d: text_edges(df, d, shares) for d in dimensions if _is_text(df, d)}
+    numbers = [d for d in dimensions if d not in edges]
+    if numbers:
+        got = df.agg(*[F.percentile_approx(_value(df, d), shares, ACCURACY).alias(f"e{i}") for i, d in enumerate(numbers)]).first()
+        edges |= dict(zip(numbers, got))
     out = []
-    for i, d in enumerate(dimensions):
-        value = as_number(df, d)
+    for d in dimensions:
+        value = _value(df, d)
         # a value that fills several bins takes the first of them, the next value the one after
-        found = [F.when(value > F.lit(e), 1).otherwise(0) for e in edges[i] or []]
+        found = [F.when(value > F.lit(e), 1).otherwise(0) for e in edges[d] or []]
         # without edges (no values) the bin is 0, but never a constant: the steps
         # of the curve would be folded into one expression that doubles with each
         zero = F.least(F.coalesce(F.length(F.col(f"`{d}`").cast("string")), F.lit(0)), F.lit(0))

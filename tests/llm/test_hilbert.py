@@ -63,3 +63,27 @@ def test_odd_tables(spark, docs):
     df = df.withColumn("source", F.lit(None).cast("string"))
     got = hb.hilbert_shards(df, shards=3).collect()
     assert sorted((r["shard"], r["slot"]) for r in got) == [(0, 0), (0, 1), (1, 0), (2, 0)]
+
+
+def test_long_names_are_told_apart(spark):
+    names = [f"https://archive.example.org/common/prefix/{i:04d}" for i in range(400)]
+    df = spark.createDataFrame([(i, n, "t") for i, n in enumerate(names)], "doc_id long, source string, text string").repartition(5)
+    bin_, = hb.bins(df, ("source",), bits=5)
+    got = {r["source"]: r["b"] for r in df.select("source", bin_.alias("b")).collect()}
+    ordered = [got[n] for n in names]
+    assert ordered == sorted(ordered) and set(ordered) == set(range(32))
+    sizes = [ordered.count(b) for b in range(32)]
+    assert max(sizes) - min(sizes) <= 1
+    done = hb.hilbert_shards(df, shards=20, dimensions=("source",))
+    spans = sorted((r["a"], r["z"]) for r in done.groupBy("shard").agg(F.min("source").alias("a"), F.max("source").alias("z")).collect())
+    assert all(z < a for (_, z), (a, _) in zip(spans[::2], spans[2::2]))
+
+
+def test_text_edges_are_exact_quantiles(spark):
+    rows = [(w,) for w in ["x"] * 50 + ["b", "a", "é", "\U0001F600", None, "", "common_crawl_2020", "common_wiki"] * 3]
+    df = spark.createDataFrame(rows, "v string").repartition(4)
+    values = sorted((w for w, in rows if w is not None), key=lambda w: w.encode())
+    shares = [i / 8 for i in range(1, 8)]
+    want = [next(v for k, v in enumerate(values, 1) if k >= s * len(values)) for s in shares]
+    assert hb.text_edges(df, "v", shares) == want
+    assert hb.text_edges(df.where("v = 'none'"), "v", shares) == []
