@@ -4,11 +4,14 @@ operations only.
 Base labels come from three fixed phrases.  Beside them, each template of
 ``TEMPLATES`` (a licence's notice or opening) is sought: its words are weighted by
 IDF, from document counts over the whole corpus, and its ``ANCHORS`` weightiest
-words with their positions are its postings.  In a file, the weightiest of a
-template's words that occurs there is looked up; each of its places fixes where
-the template would lie, and the other anchors are intersected by relative
-position, ``TOLERANCE`` words of shift allowed.  The share of the anchors' weight
-found is the coverage; with ``MIN_COVERAGE`` or more, and with every mandatory
+words with their positions are its postings.  A label needs the share
+``MIN_COVERAGE`` of the anchors' weight, so one of the weightiest anchors that
+together hold more than the rest of it must stand in its place (pigeonhole): these
+are looked up in a file, and each of their places, with ``TOLERANCE`` words of
+shift, fixes where the template would lie.  There the other anchors are
+intersected by relative position, with the same tolerance.  So every place is
+found that a scan of all places would find, whatever words the file repeats
+elsewhere.  The share of the anchors' weight found is the coverage; with ``MIN_COVERAGE`` or more, and with every mandatory
 phrase verified in the words of that place, the file gets the template's label.
 
 All of a file's work happens inside its row, so there is nothing to skew; the
@@ -152,6 +155,17 @@ def base(all_words: Column) -> Column:
                   let(F.struct(line.alias("line"), F.size(all_words).alias("n")), found)).otherwise(none)
 
 
+def pivots(anchors: list[tuple]) -> list[tuple]:
+    """The heaviest anchors, one of which every place of sufficient coverage
+    must hold: together they weigh more than such a place may lack."""
+    total, held = sum(w for _, _, w in anchors), 0.0
+    for k, (_, _, weight) in enumerate(anchors, 1):
+        held += weight
+        if held > (1 - MIN_COVERAGE) * total + 1e-9:
+            return anchors[:k]
+    return anchors
+
+
 def _template(all_words: Column, hits: Column, template: tuple) -> Column:
     """Best coverage of a template in a file, 0 if its phrases are not verified
     there: (word, place) of the file's rare licence words are in ``hits``."""
@@ -179,16 +193,21 @@ def _template(all_words: Column, hits: Column, template: tuple) -> Column:
     def score(first: Column) -> Column:
         return let(covered(first), lambda c: F.when((c >= MIN_COVERAGE) & verified(first), c).otherwise(0.0))
 
-    # the file's weightiest word of the template, and the template's place at each of its occurrences
-    pivot = F.lit(None).cast("struct<w:string,p:int>")
-    for word, position, _ in reversed(anchors):
-        pivot = F.when(F.exists(hits, lambda h: h["w"] == word), F.struct(F.lit(word).alias("w"), F.lit(position).alias("p"))).otherwise(pivot)
-
-    def best(p: Column) -> Column:
-        places = F.filter(hits, lambda h: h["w"] == p["w"])
-        return F.coalesce(F.array_max(F.transform(places, lambda h: score(h["i"] - p["p"]))), F.lit(0.0))
-
-    return let(pivot, lambda p: F.when(p.isNotNull(), best(p)).otherwise(0.0))
+    def places(h: Column) -> Column:
+        """Where word 0 would be, by a hit: shifts both ways; none for other words."""
+        first = F.lit(None).cast("int")
+        for word, position, _ in pivots(anchors):
+            first = F.when(h["w"] == word, h["i"] - position).otherwise(first)
+        return let(first, lambda f: F.when(f.isNotNull(), F.sequence(f - TOLERANCE, f + TOLERANCE)).otherwise(F.array().cast("array<int>")))
+
+    def best(h: Column) -> Column:
+        return F.coalesce(F.array_max(F.transform(F.array_distinct(F.flatten(F.transform(h, places))), score)), F.lit(0.0))
+
+    # a file that has not enough of the words anywhere needs no places
+    present = F.lit(0.0)
+    for word, _, weight in anchors:
+        present = present + F.when(F.exists(hits, lambda h: h["w"] == word), weight).otherwise(0.0)
+    return F.when(present / total >= MIN_COVERAGE, best(hits)).otherwise(0.0)
 
 
 def scan(docs: DataFrame, index: list[tuple]) -> DataFrame:

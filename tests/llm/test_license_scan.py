@@ -72,3 +72,63 @@ def test_odd_tables(spark, docs):
     out = ls.scan(df, index).collect()
     assert len(out) == 3 and sorted(r["n_base"] for r in out) == [0, 1, 1]
     assert ls.scan(df.limit(0), ls.postings(ls.idf(df.limit(0)))).count() == 0
+
+
+def brute_labels(t, index):
+    """Labels and score by a scan of all places of all templates."""
+    w = ls.words_of(t)
+    labels, top = set(), 0.0
+    for label, phrases, length, anchors in index:
+        total = sum(x for _, _, x in anchors)
+        best = 0.0
+        for first in range(-length, len(w) + 1):
+            share = sum(x for word, p, x in anchors if word in w[max(0, first + p - ls.TOLERANCE):max(0, first + p + ls.TOLERANCE + 1)]) / total
+            lo = max(0, first - ls.MARGIN)
+            near = " " + " ".join(w[lo:lo + length + 2 * ls.MARGIN]) + " "
+            if share >= ls.MIN_COVERAGE and all(f" {p} " in near for p in phrases):
+                best = max(best, share)
+        if best > 0:
+            labels.add(label)
+        top = max(top, best)
+    return labels, top
+
+
+def test_labels_equal_a_scan_of_all_places(spark):
+    """Notices with words changed, dropped or added, in files that hold the
+    notice's words elsewhere, too."""
+    import random
+    rng = random.Random(8)
+    own = ["file", "which", "holds", "table", "of", "numbers", "and", "names"]
+    texts = []
+    for _, text, _ in ls.TEMPLATES:
+        words = ls.words_of(text)
+        for word in [None, *dict.fromkeys(words)]:
+            copy = list(words)
+            if word is not None:                      # this one is changed in place, and stands elsewhere
+                copy[copy.index(word)] = rng.choice(own)
+            for _ in range(rng.randint(0, 2)):
+                copy.insert(rng.randrange(len(copy) + 1), rng.choice(own))
+            texts.append(" ".join([*([word] if word else []), *rng.choices(own, k=rng.randint(0, 9)), *copy,
+                                   *rng.choices(own + words, k=rng.randint(0, 12))]))
+    texts += [" ".join(rng.choices(ls.words_of(t), k=30)) for _, t, _ in ls.TEMPLATES for _ in range(3)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    index = ls.postings(ls.idf(df))
+    got = {r["doc_id"]: r for r in ls.scan(df, index).collect()}
+    found = 0
+    for i, t in enumerate(texts):
+        labels, score = brute_labels(t, index)
+        assert set(got[i]["all_labels"]) == labels | set(got[i]["base_labels"]), t
+        assert abs(got[i]["score"] - score) < 1e-9, t
+        found += bool(labels)
+    assert found > 100
+
+
+def test_a_changed_word_that_stands_elsewhere(spark):
+    notice = ls.TEMPLATES[13][1]
+    index = ls.postings({w: 5.0 + (w == "forms") for _, t, _ in ls.TEMPLATES for w in ls.words_of(t)})
+    for word in dict.fromkeys(ls.words_of(notice)):
+        if word in ls.TEMPLATES[13][2][0].split():
+            continue                                  # part of the mandatory phrase
+        t = f"a {word} here. " + "other words " * 20 + " ".join("changed" if w == word else w for w in ls.words_of(notice))
+        df = spark.createDataFrame([(1, t)], "doc_id long, text string")
+        assert ls.scan(df, index).first()["all_labels"] == ["bsd"], word
