@@ -4,7 +4,8 @@ content-defined line chunks.
 Lines.  A text is cut into its lines, and a line of several sentences further
 after each sentence end (wide forms and closing quotes too), so that a passage pasted into the middle of a line
 still has lines of its own.  Lines keep what separates them: joined again they
-are the text.  They are compared without surrounding white space.
+are the text.  They are compared byte by byte, each without surrounding white
+space: a passage indented or wrapped in blank lines elsewhere is the same passage.
 
 Chunks.  A rolling hash over the hashes of ``WINDOW`` lines opens a chunk
 wherever it falls into a fixed share of its range: boundaries depend on nearby
@@ -15,13 +16,13 @@ other than white space; in scripts without spaces two characters count as one.
 A line of ``LONG_LINE`` words or more is a chunk by itself too.
 
 Repeats.  Chunks are counted by hash over all documents.  The copy in the
-document with the smallest id stays.  For all others the first copy's text
-is brought along, in blocks of ``BLOCK_LINES`` lines with at least ``MARGIN``
-more on either side; the chunk is removed only if its bytes equal those of the first copy, and the removal
-extends over neighbouring lines as long as they are equal byte by byte too.
-A removed run has at least ``min_words`` words, so that headers, footers and
-chance repeats of short sentences stay.  A chunk that repeats within one
-document is compared with its first place there.
+document with the smallest id stays.  For all others the first copy's lines
+are brought along, in blocks of ``BLOCK_LINES`` lines with at least ``MARGIN``
+more on either side; the chunk is removed only if the bytes of all its lines
+equal those of the first copy, and the removal extends over neighbouring lines as
+long as their bytes are equal too.  Every chunk that repeats goes, whatever its
+length; ``min_words`` keeps shorter runs on demand.  A chunk that repeats within
+one document is compared with its first place there.
 
 Scale.  What is shuffled for all documents is one row of a few numbers for a
 chunk; texts move once, to meet their list of repeats.  Counts are pre-
@@ -30,8 +31,10 @@ small side of a join, whose large side Spark splits.
 
 Defined results.  Null texts stay null, empty ones empty; a document of which
 nothing is left keeps its row with an empty text.  Rows that share an id count
-as one document: what they share with one another stays.  A null id counts as
-the smallest id.  Extra columns pass through.  An empty table gives an empty one.
+as one document: what they share with one another stays.  A row without id is a
+document of its own, before all that have one; rows without id that are equal in
+all columns count as one.  Extra columns pass through.  An empty table gives an
+empty one.
 """
 
 from __future__ import annotations
@@ -42,11 +45,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bourse.llm.common import id_key, mix, stored, table
+from bourse.llm.common import NULL_ID, mix, stored, table
 
 WINDOW = 2
 MIN_LINES = 2
@@ -57,7 +60,8 @@ BLOCK_LINES = 16
 OPENS = 0.9
 MIN_CHUNK_WORDS = 8
 LONG_LINE = 16
-MIN_WORDS = 25
+#: Of a run that is removed; no more than a chunk has in any case.
+MIN_WORDS = MIN_CHUNK_WORDS
 
 _CLOSERS = "\"')\\]”’»"
 _WIDE = "。！？｡．"
@@ -213,13 +217,20 @@ def clean_text(text: str, originals: dict[int, list[tuple[list[str], int]]], min
     return "".join(kept), out_lines, out_words
 
 
+def document_key(docs: DataFrame) -> Column:
+    """doc_id, or for a row without one a number below all ids, by its content."""
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    own = F.lit(NULL_ID) + F.xxhash64(*plain).bitwiseAND(F.lit(2 ** 62 - 1))
+    return F.coalesce(F.col("doc_id").cast("long"), own)
+
+
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` (doc_id, text, ...) with repeats removed from text, and the
     columns n_lines_removed and n_words_removed (in place of any so called)."""
     added = ("n_lines_removed", "n_words_removed")
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added])
-    rows = docs.select(id_key().alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    chunks = stored(chunk_rows(docs.select(id_key().alias("_id"), F.coalesce("text", F.lit("")).alias("text"))), "line-chunks")
+    rows = docs.select(document_key(docs).alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    chunks = stored(chunk_rows(rows.select("_id", F.coalesce("row.text", F.lit("")).alias("text"))), "line-chunks")
     repeated = stored(chunks.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
                       .where(F.col("n") > 1).select("h", "first"), "repeated-chunks")
 
@@ -258,9 +269,10 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     place = ["id", "doc", "block"]
     blocks = stored(rows.join(wanted, "_id", "left").mapInArrow(
-        around, "id long, doc long, block int, near string, own array<struct<h: long, at: int>>"), "first-copies")
+        around, "id long, doc long, block int, near string, own array<struct<h: long, at: int>>").dropDuplicates(place), "first-copies")
+    # repeated rows bring their chunks and blocks once each
     copies = (chunks.withColumnRenamed("id", "copy").join(repeated, "h").where(F.col("copy") != F.col("first"))
-              .select("h", "copy"))
+              .select("h", "copy").distinct())
     hits = (copies.join(blocks.select(*place, F.inline("own")), "h")
             .groupBy("copy", *place).agg(F.collect_list(F.struct("h", "at")).alias("own")))
     found = (hits.join(blocks.select(*place, "near"), place).groupBy(F.col("copy").alias("_id"))

@@ -134,3 +134,79 @@ def test_passages_without_spaces_go(spark, docs, prose):
 def test_sentence_ends():
     assert ld.lines_of('He said "no!" Then he left! Why?! "Yes." 漢字。「漢字！」漢字？ end') == [
         'He said "no!" ', "Then he left! ", "Why?! ", '"Yes." ', "漢字。", "「漢字！」", "漢字？ ", "end"]
+
+
+def brute(texts):
+    """Text left of each document: every chunk that another document with a
+    smaller key holds goes, with the equal lines around it in the first copy."""
+    keys = {i: ld._keys(ld.lines_of(t)) for i, t in texts.items()}
+    chunks = {i: ld._chunks(k)[1] for i, k in keys.items()}
+    content = lambda i, c: tuple(keys[i][c[0]:c[0] + c[1]])
+    holders = {}
+    for i in sorted(texts):
+        for c in chunks[i]:
+            holders.setdefault(content(i, c), []).append((i, c[0]))
+    left = {}
+    for i in texts:
+        lines, gone = ld.lines_of(texts[i]), set()
+        for c in chunks[i]:
+            held = holders[content(i, c)]
+            first, there = held[0]
+            at, size = c[0], c[1]
+            if first == i:
+                if there + size <= at:
+                    gone |= set(range(at, at + size))
+                continue
+            # lines around the first copy travel with it, to the end of its block and a margin
+            lo = max(0, there // ld.BLOCK_LINES * ld.BLOCK_LINES - ld.MARGIN)
+            ends = [d[0] + d[1] for d in chunks[first] if d[0] // ld.BLOCK_LINES == there // ld.BLOCK_LINES
+                    and holders[content(first, d)][0] == (first, d[0]) and len({h[0] for h in holders[content(first, d)]}) > 1]
+            hi = max([(there // ld.BLOCK_LINES + 1) * ld.BLOCK_LINES + ld.MARGIN, *ends]) + ld.MARGIN
+            other = keys[first][:hi]
+            a, b, e, f = at, there, at + size, there + size
+            while a and b > lo and keys[i][a - 1] == other[b - 1]:
+                a, b = a - 1, b - 1
+            while e < len(keys[i]) and f < len(other) and keys[i][e] == other[f]:
+                e, f = e + 1, f + 1
+            gone |= set(range(a, e))
+        left[i] = "".join(x for k, x in enumerate(lines) if k not in gone)
+    return left
+
+
+def test_query_equals_brute_force(spark, docs, prose):
+    rng = random.Random(21)
+    shared = [prose(rng, rng.choice([14, 20, 45, 200])) for _ in range(25)]
+    texts = {}
+    for i in range(90):
+        own = []
+        for _ in range(rng.randint(0, 5)):
+            own += rng.choice([prose(rng, rng.randint(5, 40)), rng.choice(shared), rng.choice(shared)[:3]])
+        texts[i] = rng.choice([" ", "\n", "\n\n    "]).join(own)
+    got = {r["doc_id"]: r["text"] for r in ld.dedup_lines(docs(texts).repartition(5)).collect()}
+    want = brute(texts)
+    assert got == want and sum(want[i] != texts[i] for i in texts) > 30
+
+
+def test_short_chunks_go_too(spark, docs, prose):
+    rng = random.Random(22)
+    pair = prose(rng, 10) + prose(rng, 10)
+    texts = {i: "\n".join(prose(rng, 60) + pair + prose(rng, 60)) for i in range(5)}
+    out = {r["doc_id"]: r["text"] for r in ld.dedup_lines(docs(texts)).collect()}
+    assert out[0] == texts[0] and all(pair[0] not in out[i] and len(out[i]) > 400 for i in range(1, 5))
+    kept = {r["doc_id"]: r["text"] for r in ld.dedup_lines(docs(texts), min_words=25).collect()}
+    assert kept == texts
+
+
+def test_rows_without_id_are_documents_each(spark, docs, prose):
+    rng = random.Random(23)
+    passage = "\n".join(prose(rng, 80))
+    made = ["\n".join(prose(rng, 40)) + "\n" + passage + "\n" + "\n".join(prose(rng, 40)) for _ in range(8)]
+    rows = [(None, t) for t in made[:5]] + [(i, t) for i, t in enumerate(made[5:])]
+    out = ld.dedup_lines(docs(rows).repartition(4)).collect()
+    assert len(out) == 8
+    whole = [r for r in out if passage in r["text"]]
+    assert len(whole) == 1 and whole[0]["doc_id"] is None      # the first copy alone
+    # equal in all columns: one document, brought along once
+    many = ld.dedup_lines(docs([(None, made[0])] * 300 + [(7, made[1]), (7, made[1])])).collect()
+    assert len(many) == 302 and sum(passage in r["text"] for r in many) == 300
+    assert all(passage not in r["text"] for r in many if r["doc_id"] == 7)
