@@ -31,6 +31,7 @@ cross-check the segmented plan).
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,23 +59,54 @@ def _list(x):
     return [x] if isinstance(x, str) else list(x)
 
 
+# Bits that the values of an order column take, and its whole number.
+_BITS = {"boolean": 1, "tinyint": 8, "smallint": 16, "int": 32, "bigint": 64, "date": 32, "timestamp": 64}
+_PACKED_BITS = 126         # of a 38-digit number
+
+
+def _whole(df: DataFrame, col: str) -> Column:
+    c, kind = F.col(f"`{col}`"), dict(df.dtypes)[col]
+    return F.unix_date(c) if kind == "date" else F.unix_micros(c) if kind == "timestamp" else c.cast("bigint")
+
+
+def packed_order(df: DataFrame, order) -> Column | None:
+    """Several fixed-width order columns as one number that sorts as they do, a
+    missing value first; None where they are no whole numbers or take too many
+    bits.  Such a number fits a hash aggregate's buffer, which a struct does not."""
+    types, order = dict(df.dtypes), _list(order)
+    if not all(types.get(o) in _BITS for o in order) or sum(_BITS[types[o]] + 1 for o in order) > _PACKED_BITS:
+        return None
+    def whole(x: int | Column) -> Column:
+        return (F.lit(Decimal(x)) if isinstance(x, int) else x).cast("decimal(38,0)")
+
+    number = whole(0)
+    for o in order:
+        bits = _BITS[types[o]]
+        own = F.coalesce(whole(whole(_whole(df, o)) + whole(2 ** (bits - 1) + 1)), whole(0))
+        number = whole(whole(number * whole(2 ** (bits + 1))) + own)
+    return number
+
+
 def plain_order(df: DataFrame, order, cols) -> bool:
-    """Whether ``min_by`` / ``max_by`` of ``cols`` can be a hash aggregate:
-    one order column, fixed-width values."""
+    """Whether ``min_by`` / ``max_by`` of ``cols`` can be a hash aggregate: one
+    order column or several that pack into a number, fixed-width values."""
     types = dict(df.dtypes)
     order = _list(order)
-    return len(order) == 1 and types.get(order[0]) in _LOWEST and all(types[c] in _FIXED_WIDTH for c in cols)
+    one = len(order) == 1 and types.get(order[0]) in _LOWEST
+    return (one or packed_order(df, order) is not None) and all(types[c] in _FIXED_WIDTH for c in cols)
 
 
 def ordering_of(df: DataFrame, order, cols) -> Column:
     """What ``min_by`` / ``max_by`` of ``cols`` should go by: the order column
-    itself where that gives a hash aggregate (a missing one is the smallest),
-    else a struct."""
+    itself, or the packed columns, where that gives a hash aggregate (a missing
+    one is the smallest), else a struct."""
     order = _list(order)
-    if plain_order(df, order, cols):
+    if not plain_order(df, order, cols):
+        return F.struct(*[F.col(f"`{o}`") for o in order])
+    if len(order) == 1 and dict(df.dtypes)[order[0]] in _LOWEST:
         kind = dict(df.dtypes)[order[0]]
         return F.coalesce(F.col(f"`{order[0]}`"), F.lit(_LOWEST[kind]).cast(kind))
-    return F.struct(*[F.col(f"`{o}`") for o in order])
+    return packed_order(df, order)
 
 
 def nan_missing(df: DataFrame, cols) -> DataFrame:
@@ -323,12 +355,14 @@ def next_value(df: DataFrame, key, order, col: str, out: str,
 
 
 def latest(df: DataFrame, key, order, cols=None) -> DataFrame:
-    """WIN-3: the latest row per key, as a map-side-combined ``max_by``."""
+    """WIN-3: the latest row per key, as a map-side-combined ``max_by``: a hash
+    aggregate where order and columns are of fixed width."""
     keys, order = _list(key), _list(order)
     cols = [c for c in (cols or df.columns) if c not in keys]
-    agg = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(f"`{c}`") for c in cols]),
-                 F.struct(*[F.col(f"`{o}`") for o in order])).alias("_l"))
+    ordering = ordering_of(df, order, cols)
+    if plain_order(df, order, cols):
+        return df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*[F.max_by(F.col(f"`{c}`"), ordering).alias(c) for c in cols])
+    agg = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in cols]), ordering).alias("_l"))
     return agg.select(*keys, *[F.col("_l").getField(c).alias(c) for c in cols])
 
 

@@ -53,7 +53,7 @@ def _no_header_rows(df: DataFrame, col: str) -> DataFrame:
 def krx_list(spark: SparkSession, landed: str, base: str) -> DataFrame:
     """PIP-1: listing snapshot -> rows missing Code or Name dropped -> typed,
     keyed table.  Codes are zero-filled so they join with the bars."""
-    raw = scan_csv(spark, landed, list(KRX_LIST_TYPES), keep_text=["Code"])
+    raw = scan_csv(spark, landed, list(KRX_LIST_TYPES), keep_text=["Code"], multiline=True)
     raw = drop_nan(_no_header_rows(raw, "Code"), ["Code", "Name"])
     raw = raw.withColumn("Code", zfill("Code", KRX_CODE_WIDTH))
     refresh_table(raw, base, key=["Code"], required=["Name"], types=KRX_LIST_TYPES)
@@ -63,7 +63,7 @@ def krx_list(spark: SparkSession, landed: str, base: str) -> DataFrame:
 def krx_co_info(spark: SparkSession, landed: str, base: str) -> DataFrame:
     """PIP-2: company descriptions -> rows missing Code, Name or Sector
     dropped -> Market cut to 40 characters -> typed, keyed table."""
-    raw = scan_csv(spark, landed, list(KRX_CO_INFO_TYPES), keep_text=["Code"])
+    raw = scan_csv(spark, landed, list(KRX_CO_INFO_TYPES), keep_text=["Code"], multiline=True)
     raw = drop_nan(_no_header_rows(raw, "Code"), ["Code", "Name", "Sector"])
     raw = raw.withColumn("Code", zfill("Code", KRX_CODE_WIDTH)) \
              .withColumn("Market", limit_text("Market", 40))
@@ -147,7 +147,7 @@ def nas_list(spark: SparkSession, landed: str, base: str) -> DataFrame:
     first row of each Symbol in file order -> table.  The ticker ``NA`` is a
     symbol, not a missing value."""
     raw = scan_csv(spark, landed, list(NAS_LIST_TYPES), keep_text=["Symbol"],
-                   with_order=True)
+                   with_order=True, multiline=True)
     raw = delete_where(raw, F.col("Symbol") == "Symbol")
     first = keep_first(raw, ["Symbol"], ["_order"]).drop("_order")
     refresh_table(first, base)
@@ -210,7 +210,7 @@ def market_snapshot(spark: SparkSession, quotes: DataFrame, base: str
 def snp_list(spark: SparkSession, landed: str, base: str, how: str = "any") -> DataFrame:
     """PIP-9: listing -> rows with a missing field dropped (``how='all'``:
     only empty rows, the older script) -> table keyed by Symbol."""
-    raw = _no_header_rows(scan_csv(spark, landed, list(SNP_LIST_TYPES), keep_text=["Symbol"]),
+    raw = _no_header_rows(scan_csv(spark, landed, list(SNP_LIST_TYPES), keep_text=["Symbol"], multiline=True),
                           "Symbol")
     raw = drop_nan(raw) if how == "any" else drop_all_nan(raw)
     refresh_table(raw, base, key=["Symbol"])

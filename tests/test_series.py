@@ -211,3 +211,44 @@ def test_ranges_split_a_hot_key(spark):
     assert len(sizes) > 1 and max(sizes) <= 1200
     assert sorted(map(str, ffill(df, "k", "t", ["v"], segment="range").collect())) == \
         sorted(map(str, ffill(df, "k", "t", ["v"], segment=None).collect()))
+
+
+def test_packed_order_sorts_as_its_columns(spark):
+    import itertools
+    from pyspark.sql import functions as F
+    from bourse.operators.series import packed_order
+    days = [None, "0001-01-01", "1969-12-31", "1970-01-01", "2024-02-29", "9999-12-31"]
+    longs = [None, -2 ** 63, -1, 0, 1, 2 ** 63 - 1]
+    small = [None, -128, 127]
+    rows = list(itertools.product(days, longs, small))
+    df = spark.createDataFrame(rows, "d string, n bigint, b tinyint").withColumn("d", F.col("d").cast("date"))
+    got = [tuple(r)[:3] for r in df.withColumn("p", packed_order(df, ["d", "n", "b"])).orderBy("p").collect()]
+    want = [tuple(r) for r in df.orderBy("d", "n", "b").collect()]
+    assert got == want
+    assert df.select(F.countDistinct(packed_order(df, ["d", "n", "b"]))).first()[0] == len(rows)
+    two = df.withColumn("m", F.col("n"))
+    assert packed_order(two, ["n", "m"]) is None and packed_order(df.withColumn("t", F.lit("x")), ["t"]) is None
+
+
+def test_latest_and_fill_by_hash_aggregates(spark):
+    from bourse.operators import keep_first, latest
+    from bourse.plans import adapters as A
+    prices = A.prices(spark, "/root/testdata/sf0.001")
+    bars = A.bars(spark, "/root/testdata/sf0.001")
+    for df in (latest(bars, "symbol", "date", ["date", "close", "volume"]), latest(prices, "code", ["date", "rid"]),
+               keep_first(prices, ["code"], ["date", "rid"]),
+               ffill(prices, "code", ["date", "rid"], ["close"])):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "SortAggregate" not in plan and "HashAggregate" in plan
+    got = {r["code"]: (r["date"], r["rid"]) for r in latest(prices, "code", ["date", "rid"]).collect()}
+    pdf = prices.toPandas().sort_values(["date", "rid"]).groupby("code").tail(1)
+    assert got == {c: (d, r) for c, d, r in zip(pdf["code"], pdf["date"], pdf["rid"])}
+
+
+def test_latest_of_text_and_missing_order(spark):
+    from bourse.operators import latest
+    df = spark.createDataFrame([("a", None, "x"), ("a", 2, "y"), ("b", None, "z")], "k string, t int, v string")
+    assert sorted(map(tuple, latest(df, "k", "t").collect())) == [("a", 2, "y"), ("b", None, "z")]
+    num = df.selectExpr("k", "t", "length(v) AS v")
+    assert sorted((r["k"], r["t"], r["v"]) for r in latest(num, "k", "t").collect()) == [("a", 2, 1), ("b", None, 1)]
