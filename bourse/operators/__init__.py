@@ -3,6 +3,7 @@
 from bourse.operators.filters import (delete_like, delete_where, drop_all_nan,
                                       drop_nan, filter_in, lookback, quarantine,
                                       scan_history, split_tagged, tag)
+from bourse.operators.folds import Fold, longest_rise, per_key_fold
 from bourse.operators.forecast import (feature_frame, fit_linear, forecast_linear,
                                        forecast_report, forecast_ridge, mse,
                                        per_key_apply)
@@ -19,7 +20,7 @@ from bourse.operators.series import (SeriesPass, drop_last, ffill, ffill_pct_cha
 __all__ = [
     "delete_like", "delete_where", "drop_all_nan", "drop_nan", "filter_in",
     "lookback", "quarantine", "scan_history", "split_tagged", "tag", "feature_frame", "fit_linear", "forecast_linear",
-    "forecast_report", "forecast_ridge", "mse", "per_key_apply",
+    "forecast_report", "forecast_ridge", "mse", "per_key_apply", "Fold", "longest_rise", "per_key_fold",
     "enrich_bars", "enrich_listing", "KeyViolation",
     "assert_key", "distinct_keys", "distinct_rows", "keep_first",
     "key_violations", "union_all", "fill_const", "normalize_nan", "drop_col_at",

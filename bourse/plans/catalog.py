@@ -21,6 +21,7 @@ from bourse.operators.filters import (delete_like, drop_all_nan, drop_nan,
                                       scan_history)
 from bourse.operators.forecast import (FEATURES, feature_frame, fit_linear, forecast_report,
                                        forecast_ridge, ridge_steps)
+from bourse.operators.folds import longest_rise, per_key_fold
 from bourse.operators.joins import enrich_bars, enrich_listing
 from bourse.operators.keys import (distinct_keys, distinct_rows, keep_first,
                                    key_violations, union_all)
@@ -32,7 +33,8 @@ from bourse.operators.series import (ffill, latest, next_value, pct_change,
 from bourse.plans import adapters as A
 from bourse.plans.adapters import with_sql
 from bourse.plans import markets as M
-from bourse.plans.jobs import BARS_TABLE, JOBS, REJECTS, overview_records
+from bourse.plans.daily import run_krx_day, run_nas_day, run_snp_day
+from bourse.plans.jobs import BARS_TABLE, JOBS, REJECTS, nas_listing_source, overview_records, snp_listing_source
 from bourse.session import scratch_path
 from bourse.sinks.tables import (append_rows, partition_view,
                                  publish, read_table, refresh_table,
@@ -320,6 +322,10 @@ def set_union_all(spark, d):
     return union_all(A.bars(spark, d), A.commodity(spark, d))
 
 
+def udf_key_fold(spark, d):
+    return per_key_fold(A.bars(spark, d), "symbol", "date", longest_rise("close"))
+
+
 # --- series ------------------------------------------------------------------
 
 def win_pct_change(spark, d):
@@ -402,8 +408,7 @@ def mkt_nas_list(spark, d):
     return JOBS["pip_nas_list"](spark, d)
 
 
-def mkt_nas_stock(spark, d):
-    base = scratch_path(spark, "mkt_nas_stock")
+def _land_nas_bars(spark, d, base):
     e = A.table(spark, d, "events").orderBy("event_id")
     v = F.col("value")
     landed = e.select(F.col("ts").cast("date").cast("string").alias("Date"),
@@ -411,7 +416,12 @@ def mkt_nas_stock(spark, d):
                       v.alias("Adj_Close"), json_field("props", "k").alias("Volume"),
                       F.col("user_id").cast("string").alias("Symbol"))
     write_csv(landed, f"{base}/landed")
-    return M.nas_stock(spark, f"{base}/landed", f"{base}/table")
+    return f"{base}/landed"
+
+
+def mkt_nas_stock(spark, d):
+    base = scratch_path(spark, "mkt_nas_stock")
+    return M.nas_stock(spark, _land_nas_bars(spark, d, base), f"{base}/table")
 
 
 def mkt_snapshot(spark, d):
@@ -530,6 +540,47 @@ def mkt_co_overview(spark, d):
                             F.col("MarketCapitalization").cast("double"))
 
 
+# --- the daily runs (plans.daily): every table of a run, its rows and a sum over them ---
+
+def _tables_of(run: dict, sums: dict) -> DataFrame:
+    """(table, n_rows, total) of the tables that a daily run returned."""
+    return union_all(*[run[t].agg(F.lit(t).alias("table"), F.count(F.lit(1)).alias("n_rows"),
+                                  F.round(F.sum(F.expr(x).cast("double")), 3).alias("total")) for t, x in sums.items()])
+
+
+def _tables_sql(parts: dict) -> str:
+    """``parts``: table -> (rows, expression)."""
+    return " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS n_rows, round(sum(CAST({x} AS DOUBLE)), 3) AS total FROM ({q})"
+                              for t, (q, x) in parts.items())
+
+
+def mkt_krx_day(spark, d):
+    base = scratch_path(spark, "mkt_krx_day")
+    write_csv(A.krx_listing_file(spark, d), f"{base}/list")
+    write_csv(A.krx_info_file(spark, d), f"{base}/info")
+    change = F.try_divide(F.col("close") - F.col("open"), F.col("open")).alias("Change")
+    landed = {"krx_list": f"{base}/list", "krx_co_info": f"{base}/info",
+              "krx_stock": _land_bars(spark, d, base, "Code", extra=[change])}
+    run = run_krx_day(spark, landed, f"{base}/day")
+    return _tables_of(run, {"krx_list": "Marcap", "krx_co_info": "length(Sector)", "krx_stock": "Close", "list_by_market": "marcap",
+                            "list_rejects": "marcap", "stock_by_market": "close", "stock_rejects": "close",
+                            "stock_by_code": "high - low", "forecast": "tomorrow_close"})
+
+
+def mkt_nas_day(spark, d):
+    base = scratch_path(spark, "mkt_nas_day")
+    write_csv(nas_listing_source(spark, d).orderBy("rid").drop("rid"), f"{base}/list")
+    run = run_nas_day(spark, {"nas_list": f"{base}/list", "nas_stock": _land_nas_bars(spark, d, base)}, f"{base}/day")
+    return _tables_of(run, {"nas_list": "length(Name)", "nas_stock": "Close", "stock_by_symbol": "volume", "forecast": "tomorrow_close"})
+
+
+def mkt_snp_day(spark, d):
+    base = scratch_path(spark, "mkt_snp_day")
+    write_csv(snp_listing_source(spark, d), f"{base}/list")
+    run = run_snp_day(spark, {"snp_list": f"{base}/list", "snp_stock": _land_bars(spark, d, base, "Symbol")}, f"{base}/day")
+    return _tables_of(run, {"snp_stock_list": "length(Name)", "snp_stock": "Close", "stock_by_symbol": "change", "forecast": "tomorrow_close"})
+
+
 # --- forecast ----------------------------------------------------------------
 
 def fct_features(spark, d):
@@ -602,6 +653,7 @@ QUERIES = {
     "agg_zscore": agg_zscore,
     "agg_mse": agg_mse,
     "set_union_all": set_union_all,
+    "udf_key_fold": udf_key_fold,
     "win_pct_change": win_pct_change,
     "win_next_value": win_next_value,
     "win_latest": win_latest,
@@ -628,6 +680,9 @@ QUERIES = {
     **REJECTS,
     "mkt_krx_stock_by_market": mkt_krx_stock_by_market,
     "mkt_krx_forecast": mkt_krx_forecast,
+    "mkt_krx_day": mkt_krx_day,
+    "mkt_nas_day": mkt_nas_day,
+    "mkt_snp_day": mkt_snp_day,
     "mkt_snp_list": mkt_snp_list,
     "mkt_snp_stock_by_symbol": mkt_snp_stock_by_symbol,
     "fct_features": fct_features,
@@ -877,6 +932,12 @@ ORACLE = {
         GROUP BY f.symbol""", "bars", more=FEATURES_SQL + ",\n" + LINEAR_SQL),
     "set_union_all": with_sql("SELECT * FROM bars UNION ALL BY NAME SELECT * FROM commodity",
                               "bars", "commodity"),
+    "udf_key_fold": with_sql("""SELECT symbol, CAST(sum(n) AS BIGINT) AS n_rows, max(n) AS longest_rise FROM (
+            SELECT symbol, run, count(*) AS n FROM (
+                SELECT symbol, sum(falls) OVER (PARTITION BY symbol ORDER BY date ROWS UNBOUNDED PRECEDING) AS run FROM (
+                    SELECT symbol, date, CASE WHEN close > lag(close) OVER (PARTITION BY symbol ORDER BY date)
+                        THEN 0 ELSE 1 END AS falls FROM bars))
+            GROUP BY symbol, run) GROUP BY symbol""", "bars"),
     "win_pct_change": with_sql("""SELECT symbol, date, close,
             CASE WHEN row_number() OVER w = 1 THEN 0.0
                  ELSE round((close - lag(close) OVER w) / nullif(lag(close) OVER w, 0), 6)
@@ -1026,3 +1087,29 @@ ORACLE = {
                              more="v AS (SELECT p_partkey AS symbol, p_size * 100.0 AS volume "
                                   "FROM part)"),
 }
+
+_NAS_STOCK = ORACLE["mkt_nas_stock"]
+
+
+def _report_sql(bars: str) -> str:
+    return f"WITH bars AS ({bars}),\n{FEATURES_SQL},\n{LINEAR_SQL}\n{REPORT_SQL}".replace("round(tomorrow_close, 6) AS", "tomorrow_close AS")
+
+
+ORACLE["mkt_krx_day"] = _tables_sql({
+    "krx_list": (KRX_LIST_SQL, '"Marcap"'), "krx_co_info": (KRX_INFO_SQL, 'length("Sector")'),
+    "krx_stock": (ORACLE["mkt_krx_stock"], '"Close"'), "list_by_market": (KRX_LIST_BY_MARKET_SQL, "marcap"),
+    "list_rejects": (KRX_LIST_BY_MARKET_SQL.replace("market_group IS NOT NULL", "market_group IS NULL"), "marcap"),
+    "stock_by_market": (ORACLE["mkt_krx_stock_by_market"], "close"),
+    "stock_rejects": (ORACLE["mkt_krx_stock_by_market"].replace("market_group IS NOT NULL", "market_group IS NULL"), "close"),
+    "stock_by_code": (ORACLE["mkt_krx_by_code"], "high - low"),
+    "forecast": (with_sql(REPORT_SQL.replace("round(tomorrow_close, 6) AS", "tomorrow_close AS"),
+                          more=KRX_NAMED_BARS_SQL + ",\n" + FEATURES_SQL + ",\n" + LINEAR_SQL), "tomorrow_close")})
+ORACLE["mkt_nas_day"] = _tables_sql({
+    "nas_list": (NAS_LIST_SQL, 'length("Name")'), "nas_stock": (_NAS_STOCK, '"Close"'),
+    "stock_by_symbol": (ORACLE["mkt_nas_by_symbol"], "volume"),
+    "forecast": (_report_sql('SELECT "Symbol" AS symbol, "Date" AS date, "Open" AS open, "High" AS high, "Low" AS low, '
+                             f'"Close" AS close, "Volume" AS volume FROM ({_NAS_STOCK})'), "tomorrow_close")})
+ORACLE["mkt_snp_day"] = _tables_sql({
+    "snp_stock_list": (SNP_LIST_SQL, 'length("Name")'), "snp_stock": (ORACLE["mkt_snp_stock"], '"Close"'),
+    "stock_by_symbol": (ORACLE["mkt_snp_stock_by_symbol"], "change"),
+    "forecast": (_report_sql(A.SQL["bars"]), "tomorrow_close")})

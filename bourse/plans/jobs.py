@@ -153,13 +153,17 @@ def snapshot(spark: SparkSession, sf_dir: str, base: str | None = None) -> DataF
     return table.drop("volume")
 
 
+def snp_listing_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S&P-style listing; companies without info have no sector."""
+    return enrich_listing(A.listing(spark, sf_dir), A.info(spark, sf_dir)).select(
+        F.col("code").alias("Symbol"), F.col("name").alias("Name"),
+        F.col("sector").alias("Sector"), F.col("market").alias("Industry"))
+
+
 def snp_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PIP-9: landed S&P list -> drop rows with any missing field -> table."""
     base = scratch_path(spark, "snp_list")
-    src = enrich_listing(A.listing(spark, sf_dir), A.info(spark, sf_dir)).select(
-        F.col("code").alias("Symbol"), F.col("name").alias("Name"),
-        F.col("sector").alias("Sector"), F.col("market").alias("Industry"))
-    write_csv(src, f"{base}/landed")
+    write_csv(snp_listing_source(spark, sf_dir), f"{base}/landed")
     return M.snp_list(spark, f"{base}/landed", f"{base}/table")
 
 

@@ -191,3 +191,21 @@ def test_daily_nas_chain(spark, tmp_base):
     assert out["nas_stock"].count() == 19 and out["stock_by_symbol"].count() == 19
     rep = out["forecast"].collect()
     assert len(rep) == 1 and rep[0].symbol == "AAPL" and rep[0].direction == "up"
+
+
+def test_text_loads_read_quoted_line_breaks(spark, tmp_path, tmp_base):
+    """Names and descriptions as landed text holds them."""
+    name = '"Two\nlines, ""quoted"""'
+    def land_text(file, header, row):
+        (tmp_path / file).write_text(",".join(header) + "\n" + ",".join(row) + "\n")
+        return str(tmp_path / file)
+    want = 'Two\nlines, "quoted"'
+    row = [str(x) for x in _krx_row("5930", name, "KOSPI")]
+    assert [r.Name for r in M.krx_list(spark, land_text("l.csv", KRX_LIST_HEADER, row), f"{tmp_base}/l").collect()] == [want]
+    info = ["5930", name, "KOSPI", "Tech", name, "1975-06-11", "12", "Lee", "x", "Seoul"]
+    got = M.krx_co_info(spark, land_text("i.csv", list(M.KRX_CO_INFO_TYPES), info), f"{tmp_base}/i").collect()
+    assert [(r.Name, r.Industry) for r in got] == [(want, want)]
+    got = M.nas_list(spark, land_text("n.csv", list(M.NAS_LIST_TYPES), ["AAPL", name, "Tech", "1"]), f"{tmp_base}/n").collect()
+    assert [r.Name for r in got] == [want]
+    got = M.snp_list(spark, land_text("s.csv", list(M.SNP_LIST_TYPES), ["MMM", name, "I", "C"]), f"{tmp_base}/s").collect()
+    assert [r.Name for r in got] == [want]
