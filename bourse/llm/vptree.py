@@ -10,7 +10,10 @@ A node splits its rows at the median distance from a vantage point.  The triangl
 inequality bounds the distance from a query to either half; a half is skipped if
 the bound times ``factor`` exceeds the query's k-th distance so far.  Factor 1
 skips only what cannot matter and finds exactly the k nearest; larger factors
-skip more.  Every query starts with its k-th distance within a bounded sample of
+skip more.  How much a factor loses depends on the vectors: little where they are
+spread over all dimensions, much where they lie in a few.  So the factor is the
+largest of ``FACTORS`` that finds ``RECALL`` of the true neighbours when sample
+vectors are sought among the sample, in a tree of their own.  Every query starts with its k-th distance within a bounded sample of
 ``SAMPLE_ROWS`` vectors, a true upper limit, so that pruning works from the root.
 
 Defined results.  Vectors that are null, empty, zero or hold null or non-finite
@@ -30,7 +33,9 @@ from pyspark.sql import functions as F
 from bourse.llm.common import stored, table
 
 K = 10
-FACTOR = 5.0
+FACTORS = (8.0, 6.0, 5.0, 4.0, 3.0, 2.5, 2.0, 1.5, 1.0)
+RECALL = 0.98
+TRIALS = 200
 SHARD_ROWS = 16_384
 BLOCK_ROWS = 16_384
 SAMPLE_ROWS = 4_096
@@ -144,10 +149,30 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return values.reshape(len(flat), -1) if len(flat) else np.empty((0, 0))
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = K, factor: float = FACTOR,
+def measured_factor(sample: np.ndarray, k: int, recall: float = RECALL) -> float:
+    """The largest factor with which ``TRIALS`` rows of ``sample`` find that share
+    of their k nearest, each with a first limit from a quarter of the rows, as in
+    the search itself."""
+    names = np.arange(len(sample))
+    q = sample[::max(1, len(sample) // TRIALS)]
+    if len(sample) <= 4 * (k + 1):
+        return 1.0
+    tree = Tree(sample)
+    _, tau = start(sample[::4], q, k)
+    true = start(sample, q, k)[0]
+    for factor in FACTORS:
+        found = Search(tree, q, tau, k + 1, factor, names).found
+        hits = sum(len({name for _, name, _ in own} & set(t.tolist())) for own, t in zip(found, true))
+        if hits >= recall * true.size:
+            return factor
+    return 1.0
+
+
+def nearest(vectors: DataFrame, is_query: Column, k: int = K, factor: float | None = None,
             shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest other rows of ``vectors``
-    (vec_id, embedding) of each row for which ``is_query`` (of vec_id) holds."""
+    (vec_id, embedding) of each row for which ``is_query`` (of vec_id) holds.
+    ``factor``: see above; None measures it, 1 is exact."""
     spark = vectors.sparkSession
     vec = F.col("embedding").cast("array<double>")
     rows = (vectors.where(F.col("vec_id").isNotNull())
@@ -168,7 +193,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, factor: float = FA
         own = by_size.setdefault(len(r["vec"]), ([], []))
         own[0].append(r["vec"])
         own[1].append(r["ids"])
-    sample = spark.sparkContext.broadcast({n: (np.array(x), ids) for n, (x, ids) in by_size.items()})
+    known = {n: (np.array(x), ids) for n, (x, ids) in by_size.items()}
+    factors = {n: measured_factor(x, k) if factor is None else factor for n, (x, _) in known.items()}
+    sample = spark.sparkContext.broadcast(known)
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple[int, int, float]] = []
@@ -179,7 +206,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, factor: float = FA
             query_ids = right.column("query_id").to_pylist()
             own, first = sample.value.get(x.shape[1], (np.empty((0, x.shape[1])), []))
             rows, tau = start(own, q, k)
-            found = Search(Tree(x), q, tau, k + 1, factor, names)
+            found = Search(Tree(x), q, tau, k + 1, factors.get(x.shape[1], factor or 1.0), names)
             order = found.tree.order
             for i, (query, hits) in enumerate(zip(query_ids, found.found)):
                 near = {(d, n) for d, _, row in hits for n in ids[order[row]] if n != query}

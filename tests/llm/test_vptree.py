@@ -78,3 +78,27 @@ def test_odd_vectors(spark):
     assert got == {(0, 1): 1, (0, 2): 100, (100, 1): 0, (100, 2): 1}     # id 100 keeps its smaller vector
     assert vptree.nearest(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
     assert vptree.nearest(df.where("vec_id = 0"), F.col("vec_id") == 0).count() == 0
+
+
+@pytest.mark.parametrize("inner", [4, 8, 16, 64])
+def test_recall_in_subspaces(spark, inner):
+    """Vectors of 64 dimensions that lie in a subspace, or are spread over all."""
+    rng = np.random.default_rng(inner)
+    x = (rng.normal(size=(12_000, inner)) @ rng.normal(size=(inner, 64))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    rows = vptree.nearest(df, F.col("vec_id") % 100 == 0, shard_rows=3000).collect()
+    want = brute(x.astype(float), np.arange(len(x)), range(0, len(x), 100), 10)
+    got = {}
+    for r in rows:
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    found = sum(len(set(got[q]) & set(want[q])) for q in want) / sum(map(len, want.values()))
+    assert found >= 0.9, (inner, found)
+
+
+def test_the_factor_goes_by_the_vectors():
+    rng = np.random.default_rng(1)
+    flat = rng.normal(size=(4000, 4)) @ rng.normal(size=(4, 64))
+    spread = rng.normal(size=(4000, 64))
+    assert vptree.measured_factor(flat, 10) < vptree.measured_factor(spread, 10)
+    assert vptree.measured_factor(flat[:20], 10) == 1.0
+    assert vptree.measured_factor(np.repeat(flat[:1], 500, axis=0), 10) >= 1.0
