@@ -59,8 +59,7 @@ def krx_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = ffill(p, "code", "date", ["close"])
     p = p.select("date", zfill("code", A.CODE_WIDTH).alias("code"), "close")
     # sorted by code and date, so that later reads can skip files
-    refresh_table(p.repartitionByRange("code", "date").sortWithinPartitions("code", "date"),
-                  f"{base}/table", key=["date", "code"])
+    refresh_table(p, f"{base}/table", key=["date", "code"], order=["code", "date"])
     return read_table(spark, f"{base}/table")
 
 

@@ -85,7 +85,7 @@ def krx_stock(spark: SparkSession, landed: str, base: str, listing: DataFrame |
         bars = filter_in(bars, "Code", listing)
     bars = ffill(scan_history(bars, "Date", start), "Code", "Date", PRICES)
     refresh_table(bars.select(*KRX_STOCK_TYPES), base, key=["Date", "Code"],
-                  types=KRX_STOCK_TYPES)
+                  types=KRX_STOCK_TYPES, order=["Code", "Date"])
     return read_table(spark, base)
 
 
@@ -230,7 +230,7 @@ def snp_stock(spark: SparkSession, landed: str, base: str,
     bars = distinct_rows(drop_nan(scan_history(bars, "Date", start), PRICES))
     bars = pct_change(bars, "Symbol", "Date", "Close", "Change", fill=0.0)
     refresh_table(bars.select(*SNP_STOCK_TYPES), base, key=["Date", "Symbol"],
-                  types=SNP_STOCK_TYPES)
+                  types=SNP_STOCK_TYPES, order=["Symbol", "Date"])
     return read_table(spark, base)
 
 

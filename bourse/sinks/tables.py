@@ -18,14 +18,15 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bourse.functions.scalar import cast_columns
 from bourse.operators.filters import REASON
-from bourse.operators.keys import assert_key
+from bourse.operators.keys import KeyViolation, assert_key
 from bourse.operators.projection import with_row_index
 
 MARKER = "_AUDITED"
@@ -128,11 +129,14 @@ def _versions(spark: SparkSession, base: str) -> list[str]:
 
 def refresh_table(df: DataFrame, base: str, *, key=None, required=(), types=None,
                   partition_by=None, order=None, audit: bool = True,
-                  keep: int = 2) -> str:
+                  keep: int = 2, derived: bool = False) -> str:
     """SNK-5: full refresh, all or nothing.
 
     ``types`` is a strict cast map (SCL-3: a bad value fails the job);
-    ``key``/``required`` are audited on the written files (AGG-4);
+    ``key``/``required`` are audited on the written files (AGG-4), or, where the
+    rows are written sorted by columns of the key, on the way (``_checked``);
+    ``order`` without ``partition_by`` writes files sorted by it;
+    ``derived`` says that the key determines the columns of ``partition_by``;
     ``partition_by`` writes Hive-style folders, range-partitioned on the
     partition columns plus ``order`` so a hot partition value is spread over
     several tasks and files stay sorted for min/max pruning.
@@ -141,11 +145,12 @@ def refresh_table(df: DataFrame, base: str, *, key=None, required=(), types=None
     typed = cast_columns(df, types) if types else df
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     order = [order] if isinstance(order, str) else list(order or [])
-    return _write_version(typed, base, parts, order, key if audit else None, required if audit else (), keep)
+    return _write_version(typed, base, parts, order, key if audit else None, required if audit else (), keep,
+                          derived or not parts)
 
 
 def refresh_split(df: DataFrame, base: str, *, key=None, required=(), types=None, partition_by=None,
-                  order=None, keep: int = 2) -> str:
+                  order=None, keep: int = 2, derived: bool = False) -> str:
     """SNK-5 + FLT-7: one write, two destinations.  ``df`` holds the table's
     columns and ``rejected``, a struct that is NULL for a row of the table and
     holds the refused row and its reason otherwise.  Both go into one version, as
@@ -167,30 +172,59 @@ def refresh_split(df: DataFrame, base: str, *, key=None, required=(), types=None
             x = F.when(good, own).otherwise(x.try_cast(types[c]) if c in types else x) if c in kept else F.when(good, own)
         cols.append(x.alias(c))
     split = df.select(*cols, F.col(REJECTED).isNotNull().alias(REFUSED))
-    return _write_version(split, base, [REFUSED, *parts], order, key, required, keep)
+    return _write_version(split, base, [REFUSED, *parts], order, key, required, keep, derived or not parts)
 
 
-def _write_version(typed: DataFrame, base: str, parts: list, order: list, key, required, keep: int) -> str:
+VIOLATION = "[KEY_VIOLATION]"
+
+
+def _checked(ranged: DataFrame, place: list, key: list, required) -> DataFrame:
+    """AGG-4 on the way to the files: ``ranged`` rows lie in ranges of ``place``,
+    columns that the key determines, so rows with one key lie in one range and
+    are neighbours once sorted.  Their count needs no exchange and no second look
+    at the table; a repeated or missing key, or a missing required value, stops
+    the write."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*[F.col(f"`{c}`") for c in dict.fromkeys([*place, *key])]))
+    missing = [F.col(f"`{c}`").isNull() for c in dict.fromkeys([*key, *required])]
+    bad = reduce(lambda a, b: a | b, missing, n > 1)
+    if REFUSED in ranged.columns:
+        bad = bad & ~F.col(REFUSED)
+    what = F.concat(F.lit(f"{VIOLATION} key {key}, required {list(required)}: "),
+                    F.to_json(F.struct(n.alias("n_rows"), *[F.col(f"`{c}`") for c in key])))
+    first = next(c for c in ranged.columns if c not in place) if set(ranged.columns) - set(place) else ranged.columns[0]
+    return ranged.withColumn(first, F.when(bad, F.raise_error(what)).otherwise(F.col(f"`{first}`")))
+
+
+def _write_version(typed: DataFrame, base: str, parts: list, order: list, key, required, keep: int,
+                   derived: bool) -> str:
     """A new version of a table: written, audited, marked; older ones go."""
     spark = typed.sparkSession
+    key = [key] if isinstance(key, str) else list(key or [])
+    required = [required] if isinstance(required, str) else list(required or [])
+    on_the_way = bool(key and derived and order) and all(isinstance(o, str) and o in key for o in order)
     version = f"v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     path = f"{base.rstrip('/')}/{version}"
     try:
-        if parts and (order or parts != [REFUSED]):
+        if order or (parts and parts != [REFUSED]):
             sort_cols = parts + order
             # No fixed writer count: AQE sizes the ranges by bytes, so a small
             # table is not spread over a large cluster's reducer count.  Ranges
             # keep each partition value contiguous: files number at most
             # writers + partition values.
-            (typed.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
-                  .write.mode("errorifexists").partitionBy(*parts).parquet(path))
+            ranged = typed.repartitionByRange(*sort_cols)
+            if on_the_way:
+                ranged = _checked(ranged, sort_cols, key, required)
+            ranged.sortWithinPartitions(*sort_cols).write.mode("errorifexists").partitionBy(*parts).parquet(path)
         else:
             typed.write.mode("errorifexists").partitionBy(*parts).parquet(path)
         schema = typed.schema
-        if key or required:
+        if (key or required) and not on_the_way:
             assert_key(_table_rows(spark.read.schema(schema).parquet(path)), key, required)
-    except Exception:
+    except Exception as failed:
         _delete(spark, path)      # never marked, so never read; remove the debris
+        if VIOLATION in str(failed):
+            found = str(failed).split(VIOLATION, 1)[1].splitlines()[0].strip()
+            raise KeyViolation(f"violated or NULL: {found[:500]}") from failed
         raise
     _write_text(spark, f"{path}/{MARKER}", schema.json())
     for old in _versions(spark, base)[:-keep]:
@@ -256,11 +290,11 @@ def write_partitioned(df: DataFrame, base: str, key: str, *, order=None,
     is recorded with the table's schema, for ``partition_view``."""
     order = [order] if isinstance(order, str) else list(order or [])
     if per_value:
-        return refresh_table(df, base, key=refresh_key, partition_by=[key], order=order)
+        return refresh_table(df, base, key=refresh_key, partition_by=[key], order=order, derived=key in (refresh_key or ()))
     withb = (df.withColumn(BUCKET, bucket_of(F.col(key), buckets).cast("int"))
              .withMetadata(BUCKET, {"buckets": buckets}))
     return refresh_table(withb, base, key=refresh_key, partition_by=[BUCKET],
-                         order=[key] + order)
+                         order=[key] + order, derived=key in (refresh_key or ()))
 
 
 def partition_view(spark: SparkSession, base: str, key: str, value) -> DataFrame:
@@ -309,7 +343,7 @@ def write_market_partitioned(df: DataFrame, base: str, col: str, mapping: dict,
     """SNK-7: grouped list partition; routed rows and rejects in one write.
     Returns (version path, rejects)."""
     path = refresh_split(rejected(route(df, col, mapping, out)), base, key=key, required=required,
-                         partition_by=[out], order=order)
+                         partition_by=[out], order=order, derived=col in (key or ()))
     return path, read_rejects(df.sparkSession, base)
 
 

@@ -336,3 +336,59 @@ def test_snapshot_and_overview_read_their_input_once(spark, tmp_base, counted):
     table, bad = M.company_overview(spark, rows.withColumn("reply", reply), f"{tmp_base}/o")
     assert (table.count(), bad.count()) == (800, 200) and seen.value == 1000
     assert bad.columns == ["request_k", "error_message"]
+
+
+# --- keys checked on the way to sorted files ---------------------------------------------
+
+def _days(spark, n=400):
+    return spark.range(n, numPartitions=5).selectExpr("concat('s', lpad(id % 20, 2, '0')) AS code", "date_add(DATE '2024-01-01', CAST(id DIV 20 AS INT)) AS date",
+                                                      "CAST(id AS DOUBLE) AS close", "IF(id % 2 = 0, 'KOSPI', 'KONEX') AS market")
+
+
+def test_sorted_table_is_checked_without_another_read(spark, tmp_base, monkeypatch):
+    from bourse.sinks import tables
+
+    def no_audit(*a, **k):
+        raise AssertionError("the written files were read again")
+    monkeypatch.setattr(tables, "assert_key", no_audit)
+    refresh_table(_days(spark), f"{tmp_base}/sorted", key=["date", "code"], required=["close"], order=["code", "date"])
+    assert read_table(spark, f"{tmp_base}/sorted").count() == 400
+    write_partitioned(_days(spark), f"{tmp_base}/buckets", "code", order=["date"], refresh_key=["date", "code"], buckets=4)
+    write_partitioned(_days(spark), f"{tmp_base}/values", "code", order=["date"], refresh_key=["date", "code"], per_value=True)
+    write_market_partitioned(_days(spark), f"{tmp_base}/markets", "market", {"KOSPI": "a", "KONEX": "b"},
+                             key=["date", "code", "market"], required=["close"], order=["code", "date"])
+    for t in ("buckets", "values", "markets"):
+        assert read_table(spark, f"{tmp_base}/{t}").count() == 400
+    with pytest.raises(AssertionError):       # not sorted by its key: audited on the files
+        refresh_table(_days(spark), f"{tmp_base}/plain", key=["date", "code"])
+
+
+def test_the_check_needs_no_exchange(spark):
+    from bourse.sinks.tables import _checked
+    ranged = _days(spark).repartitionByRange("code", "date")
+    plan = _checked(ranged, ["code", "date"], ["date", "code"], []).sortWithinPartitions("code", "date") \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" in plan
+
+
+@pytest.mark.parametrize("planted", ["('s07', DATE '2024-01-09', 1.0D, 'KONEX')", "('s00', DATE '2024-01-01', 1.0D, 'KOSPI')",
+                                     "('s19', DATE '2024-01-20', 1.0D, 'KONEX')", "('s03', CAST(NULL AS DATE), 1.0D, 'KONEX')",
+                                     "('s99', DATE '2024-01-20', CAST(NULL AS DOUBLE), 'KOSPI')"])
+def test_a_planted_violation_fails_wherever_ranges_end(spark, tmp_base, planted):
+    bad = _days(spark).unionByName(spark.sql(f"SELECT * FROM VALUES {planted} AS t(code, date, close, market)"))
+    for name, write in {
+            "sorted": lambda df, b: refresh_table(df, b, key=["date", "code"], required=["close"], order=["code", "date"]),
+            "markets": lambda df, b: write_market_partitioned(df, b, "market", {"KOSPI": "a", "KONEX": "b"}, required=["close"],
+                                                              key=["date", "code", "market"], order=["code", "date"])}.items():
+        write(_days(spark), f"{tmp_base}/{name}")
+        for parts in (1, 7):
+            with pytest.raises(KeyViolation):
+                write(bad.repartition(parts), f"{tmp_base}/{name}")
+        assert read_table(spark, f"{tmp_base}/{name}").count() == 400
+
+
+def test_a_key_that_does_not_decide_the_partition_is_audited_on_the_files(spark, tmp_base):
+    from pyspark.sql import functions as F
+    twice = _days(spark).unionByName(_days(spark).withColumn("market", F.lit("OTHER")))
+    with pytest.raises(KeyViolation):
+        refresh_table(twice, tmp_base, key=["date", "code"], partition_by=["market"], order=["code", "date"])
