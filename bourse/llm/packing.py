@@ -9,12 +9,18 @@ terms.  A document's topic is its ``TOPIC`` terms of the greatest BM25 weight th
 another document holds too; documents are ordered by these as paths of a prefix
 tree, and the order is cut into shards.  First in a path is the term that is most
 often a topic where it occurs at all (topics squared over documents).  So documents
-about the same thing meet, in whatever part of the corpus they lie.  What shares a
-first term and is too large for one shard is dealt by the second, then by the
-third, and copies beyond that by a hash of id and text.  Neighbours whose paths
-differ from the first term on may still lie in two shards.
-
-Each shard is one task's work: a BM25 inverted index over the ids is built, and
+about the same thing meet, in whatever part of the corpus they lie.  The order is
+Spark's sort by ranges of (path, hash of id and text, row), so a path that a third
+of all documents share is cut like any other; a range holds about
+``SHARDS_A_RANGE`` shards, which one task takes in turn.  Neighbours whose paths
+differ from the first term on may still lie in two shards: a window's neighbours
+are the best of its shard, not of the corpus.  ``shard_bytes`` as large as the
+corpus makes one index of it, which is the exact way and one task's memory.
+
+What comes to the driver is bounded by the vocabulary: each term's counts.  Ids
+travel as 16-bit numbers where the vocabulary fits.
+
+Each shard is one index: a BM25 inverted index over the ids is built, and
 windows are filled in turn.  A window's seed is
 the rest of the document that the last window cut, or else the next unused one.
 When a document ends inside a window, all of the seed's ids that another document
@@ -40,14 +46,18 @@ from typing import NamedTuple
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bourse.llm.common import mix, stored, table
+from bourse.llm.common import stored, table
 
 WINDOW = 1024
 END = 0
 SHARD_BYTES = 4 << 20
+SHARDS_A_RANGE = 8
+#: Ranges of any corpus; beyond this many times the above they grow.
+MAX_RANGES = 20_000
 #: No cut: every term of a seed takes part.
 QUERY_TERMS = None
 #: Terms that more than one in this many of a shard's documents hold are kept as rows of a matrix.
@@ -80,8 +90,10 @@ class Encoder:
         if self._fast is None or SPECIAL in text:
             ids = self._own.encode(text, add_special_tokens=False).ids
         else:
-            ids = self._fast.encode_ordinary(text)
-        return np.array([*ids, END], dtype="<u4")
+            ids = self._fast.encode_to_numpy(text, disallowed_special=())
+        out = np.empty(len(ids) + 1, dtype="<u4")
+        out[:-1], out[-1] = ids, END
+        return out
 
 
 def encoder(tokenizer: str, ranks: str | None) -> Encoder:
@@ -105,6 +117,12 @@ class Corpus(NamedTuple):
         frequency = self.frequency[np.searchsorted(self.terms, terms)]
         return np.log1p((self.n - frequency + 0.5) / (frequency + 0.5)), frequency
 
+    def weights(self) -> np.ndarray:
+        """Weight by term number; 0 for terms that fewer than two documents hold."""
+        out = np.zeros(int(self.terms.max(initial=0)) + 1)
+        out[self.terms] = np.where(self.frequency > 1, self.idf(self.terms)[0], 0.0)
+        return out
+
 
 def corpus_of(docs: list[np.ndarray]) -> Corpus:
     terms, frequency = np.unique(np.concatenate([np.unique(d[:-1]) for d in docs]), return_counts=True)
@@ -158,7 +176,9 @@ class Index:
         light = query[row < 0]
         size = self.bounds[light + 1] - self.bounds[light]
         at = np.repeat(self.bounds[light] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        return np.bincount(self.owner[at], self.weight[at], minlength=n) + self.dense[row[row >= 0]].sum(axis=0)
+        heavy = np.zeros(len(self.dense), dtype=np.float32)
+        heavy[row[row >= 0]] = 1
+        return np.bincount(self.owner[at], self.weight[at], minlength=n) + heavy @ self.dense
 
 
 def fill(docs: list[np.ndarray], window: int = WINDOW, corpus: Corpus | None = None) -> list[list[tuple[int, int, int]]]:
@@ -229,133 +249,137 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.R
             yield b.slice(k, rows)
 
 
-def _arrays(b: pa.RecordBatch) -> list[np.ndarray]:
-    return [np.frombuffer(x, dtype="<u4") for x in b.column("ids").to_pylist()]
+def _arrays(b: pa.RecordBatch, kind: str) -> list[np.ndarray]:
+    return [np.frombuffer(x, dtype=kind) for x in b.column("ids").to_pylist()]
+
+
+def distinct(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owner, term and count of the terms of each document (end marks apart),
+    by one sort of (owner, term) numbers."""
+    sizes = [len(d) - 1 for d in docs]
+    term = np.concatenate([d[:-1] for d in docs]) if docs else np.empty(0, np.uint32)
+    wide = np.uint64 if term.dtype.itemsize > 2 or len(docs) > 1 << 16 else np.uint32
+    bits = wide(8 * term.dtype.itemsize)
+    both = np.sort(np.repeat(np.arange(len(docs), dtype=wide) << bits, sizes) | term)
+    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.empty(0, np.int64)
+    own = both[first]
+    return (own >> bits).astype(np.int64), (own & ((wide(1) << bits) - wide(1))).astype(np.int64), np.diff(np.append(first, len(both)))
+
+
+class Counts:
+    """How many of a task's documents hold each term; -1 stands for the number
+    of documents and -2 for that of all ids."""
+
+    def __init__(self):
+        self.held, self.docs, self.ids = np.zeros(0, dtype=np.int64), 0, 0
 
+    def add(self, docs: list[np.ndarray]) -> None:
+        if docs:
+            here = np.bincount(distinct(docs)[1], minlength=len(self.held))
+            here[:len(self.held)] += self.held
+            self.held, self.docs, self.ids = here, self.docs + len(docs), self.ids + sum(len(d) - 1 for d in docs)
 
-def _distinct(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Owner, term and count of each document's terms, in order."""
-    owner = np.repeat(np.arange(len(docs)), [len(d) - 1 for d in docs])
-    both, count = np.unique(owner << 32 | np.concatenate([d[:-1] for d in docs]).astype(np.int64), return_counts=True)
-    return both >> 32, both & 0xFFFFFFFF, count
+    def columns(self) -> tuple[np.ndarray, np.ndarray]:
+        term = np.flatnonzero(self.held)
+        return np.append(term, [-1, -2]), np.append(self.held[term], [self.docs, self.ids])
 
 
-def corpus_counts(tokens: DataFrame) -> Corpus:
-    """``Corpus`` of all documents (ids): each task sums its own, so what is
-    shuffled and collected is bounded by the vocabulary."""
+def corpus_counts(tokens: DataFrame, kind: str = "<u4") -> Corpus:
+    """``Corpus`` of all documents (ids, numbers of ``kind``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, docs, ids = np.zeros(0, dtype=np.int64), 0, 0
+        counts = Counts()
         for b in _slices(batches):
-            own = _arrays(b)
-            here = np.bincount(_distinct(own)[1], minlength=len(held))
-            here[:len(held)] += held
-            held, docs, ids = here, docs + len(own), ids + sum(len(d) - 1 for d in own)
-        term = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(term, [-1, -2])), pa.array(np.append(held[term], [docs, ids]))],
-                                         names=["term", "n"])
-
-    rows = tokens.select("ids").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    got = {r["term"]: r["n"] for r in rows}
+            counts.add(_arrays(b, kind))
+        yield pa.RecordBatch.from_arrays([*map(pa.array, counts.columns())], names=["term", "n"])
+
+    return summed(tokens.select("ids").mapInArrow(run, "term long, n long"))
+
+
+def summed(counts: DataFrame) -> Corpus:
+    """``Corpus`` of each task's (term, n): what is shuffled and collected is
+    bounded by the vocabulary."""
+    got = {r["term"]: r["n"] for r in counts.groupBy("term").agg(F.sum("n").alias("n")).collect()}
     n, ids = got.pop(-1, 0), got.pop(-2, 0)
     terms = np.array(sorted(got), dtype=np.int64)
     return Corpus(terms, np.array([got[t] for t in terms.tolist()], dtype=np.int64), n, ids / max(1, n))
 
 
-def topics(docs: list[np.ndarray], corpus: Corpus) -> tuple[np.ndarray, np.ndarray]:
-    """Owner and term of each document's ``TOPIC`` weightiest terms that
-    another document holds too."""
-    owner, term, count = _distinct(docs)
-    idf, frequency = corpus.idf(term)
-    weight = idf * saturated(count, np.array([len(d) - 1 for d in docs])[owner], corpus.mean)
-    shared = frequency > 1
+def topics(docs: list[np.ndarray], weights: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and term of each document's ``TOPIC`` weightiest terms that another
+    document holds too."""
+    owner, term, count = distinct(docs)
+    weight = weights[term] * saturated(count, np.array([len(d) - 1 for d in docs], dtype=float)[owner], mean)
+    shared = weight > 0
     owner, term, weight = owner[shared], term[shared], weight[shared]
-    order = np.lexsort((term, -weight, owner))
+    # a positive float's bits sort as the float does: heaviest first within each owner
+    order = np.argsort(owner.astype(np.uint64) << np.uint64(32) | ~weight.astype(np.float32).view(np.uint32), kind="stable")
     owner, term = owner[order], term[order]
-    top = np.arange(len(owner)) - np.searchsorted(owner, owner) < TOPIC
+    top = np.arange(len(owner)) - np.searchsorted(owner, np.arange(len(docs)))[owner] < TOPIC
     return owner[top], term[top]
 
 
-def paths(n: int, owner: np.ndarray, term: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The first ``LEVELS`` terms of each of ``n`` documents' paths by ``rank``
-    (of each term), -1 where a document has no more."""
-    out = np.full((n, LEVELS), -1, dtype=np.int64)
-    order = np.lexsort((rank[term], owner))
-    owner, term = owner[order], term[order]
-    place = np.arange(len(owner)) - np.searchsorted(owner, owner)
-    out[owner[place < LEVELS], place[place < LEVELS]] = term[place < LEVELS]
-    return out
-
-
-def _bucket(x: np.ndarray, parts: np.ndarray) -> np.ndarray:
-    return (mix(x.astype(np.uint64) + np.uint64(1)) % parts.astype(np.uint64)).astype(np.int64)
+def with_topics(tokens: DataFrame, corpus: Corpus, kind: str) -> DataFrame:
+    """``tokens`` with each document's topic."""
+    schema = tokens.schema
+    weights = corpus.weights()
 
-
-class Deal:
-    """Shards of paths.  A cell is (first term, part, part, part): parts are 0
-    unless the cell above is larger than a shard."""
-
-    def __init__(self, rank: np.ndarray):
-        self.rank = rank                             # place of each term in a path
-        self.parts: list[dict[tuple, int]] = []      # of each level: large cell -> number of parts
-        self.shards: dict[tuple, int] = {}
-
-    def cells(self, path: np.ndarray, own: np.ndarray) -> list[tuple]:
-        """The cell of each path, as deep as is known; ``own`` is a hash of each row."""
-        cell = [path[:, 0], *np.zeros((LEVELS, len(path)), dtype=np.int64)]
-        for k, parts in enumerate(self.parts):
-            n = np.array([parts.get(c, 1) for c in zip(*(x.tolist() for x in cell[:k + 1]))], dtype=np.int64)
-            cell[k + 1] = _bucket(path[:, k + 1] if k + 1 < LEVELS else own, n)
-        return list(zip(*(x.tolist() for x in cell)))
-
-
-def deal(tokens: DataFrame, corpus: Corpus, shard_bytes: int) -> Deal:
-    """Cells and their shards; what is collected is bounded by the vocabulary
-    and the number of shards."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
-            owner, term = topics(_arrays(b), corpus)
+            owner, terms = topics(_arrays(b, kind), weights, corpus.mean)
             bounds = np.searchsorted(owner, np.arange(b.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(bounds), pa.array(term)), b.column("own"),
-                                              b.column("size")], names=["topic", "own", "size"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(bounds), pa.array(terms))],
+                                             names=[*schema.names, "topic"])
+
+    return tokens.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + ", topic array<long>")
+
 
-    known = stored(tokens.select("ids", "own", "size").mapInArrow(run, "topic array<long>, own long, size long"), "packing-topics")
+def path_ranks(known: DataFrame, corpus: Corpus) -> np.ndarray:
+    """Place of each term in a path: first the term that is most often a topic
+    where it occurs at all."""
     listed = {r["term"]: r["count"] for r in known.select(F.explode("topic").alias("term")).groupBy("term").count().collect()}
     often = np.array([listed.get(t, 0) for t in corpus.terms.tolist()], dtype=float) ** 2 / corpus.frequency
     rank = np.zeros(int(corpus.terms.max(initial=0)) + 1, dtype=np.int64)
     rank[corpus.terms[np.lexsort((corpus.terms, -often))]] = np.arange(len(often))
-    out = Deal(rank)
-    cell_names = [f"c{k}" for k in range(LEVELS + 1)]
-
-    def sizes() -> dict[tuple, int]:
-        def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                topic = b.column("topic")
-                owner = np.repeat(np.arange(b.num_rows), np.diff(topic.offsets.to_numpy()))
-                path = paths(b.num_rows, owner, topic.flatten().to_numpy(), rank)
-                found = out.cells(path, b.column("own").to_numpy())
-                yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*found)), b.column("size")], names=[*cell_names, "size"])
-
-        rows = (known.mapInArrow(cells, ", ".join(f"{c} long" for c in [*cell_names, "size"]))
-                .groupBy(*cell_names).agg(F.sum("size").alias("size")).collect())
-        return {tuple(r[c] for c in cell_names): r["size"] for r in rows}
-
-    held = sizes()
-    for k in range(LEVELS):
-        large = {c[:k + 1]: -(-2 * n // shard_bytes) for c, n in held.items() if n > shard_bytes}
-        if not large:
-            break
-        out.parts.append(large)
-        held = sizes()
-    # cells in path order, as many to a shard as fit
-    shard, room = -1, 0
-    for c in sorted(held, key=lambda c: (c[0] < 0, rank[c[0]], c)):
-        if held[c] > room:
-            shard, room = shard + 1, shard_bytes
-        room -= held[c]
-        out.shards[c] = shard
-    return out
+    return rank
+
+
+def in_path_order(known: DataFrame, rank: np.ndarray, ranges: int) -> DataFrame:
+    """``known`` in ranges of path order: by the ranks of the first ``LEVELS``
+    terms of a path (documents without a topic last), ``own`` and ``row``."""
+    last = len(rank)
+
+    @F.arrow_udf("array<long>")
+    def path(topics: pa.Array) -> pa.Array:
+        bounds, terms = topics.offsets.to_numpy(), rank[topics.flatten().to_numpy()]
+        out = np.full((len(topics), LEVELS), last, dtype=np.int64)
+        owner = np.repeat(np.arange(len(topics)), np.diff(bounds))
+        order = np.lexsort((terms, owner))
+        place = np.arange(len(owner)) - (bounds[owner] - bounds[0])
+        first = place < LEVELS
+        out[owner[first], place[first]] = terms[order][first]
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(topics) + 1, dtype=np.int32) * LEVELS), pa.array(out.reshape(-1)))
+
+    order = [*[F.col("path")[k] for k in range(LEVELS)], F.col("own"), F.col("row")]
+    return known.withColumn("path", path("topic")).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+
+
+def cut_shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[list[tuple]]:
+    """Rows (doc_id, ids, size) in order, as shards of ``shard_bytes`` or more;
+    a rest of less than half a shard goes to the last one."""
+    whole: list[tuple] = []
+    held: list[tuple] = []
+    size = 0
+    for b in batches:
+        for r in zip(*(b.column(c).to_pylist() for c in ("doc_id", "ids", "size"))):
+            held.append(r)
+            size += r[2]
+            if whole and 2 * size >= shard_bytes:
+                yield whole
+                whole = []
+            if size >= shard_bytes:
+                whole, held, size = held, [], 0
+    if whole or held:
+        yield whole + held
 
 
 def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, ranks: str | None = None,
@@ -371,48 +395,54 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, ra
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
+    from tokenizers import Tokenizer
+    kind = "<u2" if Tokenizer.from_file(str(tokenizer)).get_vocab_size() <= 1 << 16 else "<u4"
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(str(tokenizer), None if ranks is None else str(ranks))
+        enc, counts = encoder(str(tokenizer), None if ranks is None else str(ranks)), Counts()
         for b in _slices(batches):
-            ids = [enc.ids(t).tobytes() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("own"), b.column("size"), pa.array(ids, pa.binary())],
-                                             names=["doc_id", "own", "size", "ids"])
-
-    sized = rows.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("own"),
-                        (F.octet_length("text") + 16).cast("long").alias("size"))
-    tokens = stored(sized.mapInArrow(encode, "doc_id long, own long, size long, ids binary"), "packing-tokens")
-    corpus = corpus_counts(tokens)
-    total = tokens.agg(F.sum("size")).first()[0] or 0
-    dealt = deal(tokens, corpus, shard_bytes) if total > shard_bytes else None
-
-    def to_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _slices(batches):
-            path = paths(b.num_rows, *topics(_arrays(b), corpus), dealt.rank)
-            cells = dealt.cells(path, b.column("own").to_numpy())
-            shard = pa.array([dealt.shards[c] for c in cells], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), shard], names=["doc_id", "ids", "shard"])
-
-    def run(shard: pa.Table) -> pa.Table:
-        order = shard.sort_by([("doc_id", "ascending"), ("ids", "ascending")])
-        own = order.column("doc_id").to_pylist()
-        ids = [np.frombuffer(x, dtype="<u4") for x in order.column("ids").to_pylist()]
-        number = shard.column("shard")[0].as_py() << 32
-        cols: list[list] = [[] for _ in range(7)]
-        for k, pieces in enumerate(fill(ids, window, corpus)):
-            offset = 0
-            for doc, start, length in pieces:
-                for col, x in zip(cols, (own[doc], start, length, len(ids[doc]), number + k, offset,
-                                         ids[doc][start:start + length].tobytes())):
-                    col.append(x)
-                offset += length
-        return pa.table([*(pa.array(c, pa.int64()) for c in cols[:-1]), pa.array(cols[-1], pa.binary())],
-                        names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
-
-    if dealt is None:
-        placed = tokens.select("doc_id", "ids", F.lit(0).cast("long").alias("shard"))
-    else:
-        placed = tokens.select("doc_id", "ids", "own").mapInArrow(to_shards, "doc_id long, ids binary, shard long")
-    return placed.groupBy("shard").applyInArrow(run, SCHEMA)
+            ids = [enc.ids(t).astype(kind) for t in b.column("text").to_pylist()]
+            counts.add(ids)
+            none = pa.nulls(b.num_rows, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array([x.tobytes() for x in ids], pa.binary()), none, none],
+                                             names=[*names, "ids", "term", "n"])
+        # one more row: what the task counted
+        yield pa.RecordBatch.from_arrays(
+            [*(pa.nulls(1, pa.int64()) for _ in names), pa.nulls(1, pa.binary()),
+             *(pa.array([x], pa.list_(pa.int64())) for x in counts.columns())], names=[*names, "ids", "term", "n"])
+
+    names = ["doc_id", "own", "row", "size"]
+    sized = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("own"), F.monotonically_increasing_id().alias("row"),
+                        (F.octet_length("text") + 16).cast("long").alias("size"), "text")
+    table_of = "doc_id long, own long, row long, size long, ids binary, term array<long>, n array<long>"
+    tokens = stored(sized.mapInArrow(encode, table_of), "packing-tokens", 1)
+    corpus = summed(tokens.where(F.col("term").isNotNull()).select(F.inline(F.arrays_zip("term", "n"))))
+    tokens = tokens.where(F.col("ids").isNotNull()).select(*names, "ids")
+    known = stored(with_topics(tokens, corpus, kind), "packing-topics", 1)
+    total = known.agg(F.sum("size")).first()[0] or 0
+    ranges = min(MAX_RANGES, max(1, -(-total // (SHARDS_A_RANGE * shard_bytes))))
+    placed = in_path_order(known, path_ranks(known, corpus), ranges).select("doc_id", "ids", "size")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        for nth, shard in enumerate(cut_shards(batches, shard_bytes)):
+            if nth >= 1 << 11:
+                raise ValueError("over 2,048 shards in a range: raise shard_bytes")
+            shard.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+            number = (part << 11 | nth) << 32
+            ids = [np.frombuffer(r[1], dtype=kind) for r in shard]
+            cols: list[list] = [[] for _ in range(7)]
+            for k, pieces in enumerate(fill(ids, window, corpus)):
+                offset = 0
+                for doc, start, length in pieces:
+                    for col, x in zip(cols, (shard[doc][0], start, length, len(ids[doc]), number + k, offset,
+                                             ids[doc][start:start + length].astype("<u4").tobytes())):
+                        col.append(x)
+                    offset += length
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:-1]), pa.array(cols[-1], pa.binary())],
+                                             names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
+
+    return placed.mapInArrow(run, SCHEMA)
 
 
 # --- query ---------------------------------------------------------------------
