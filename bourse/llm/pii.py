@@ -34,12 +34,13 @@ from functools import reduce
 from operator import add
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bourse.llm.common import free_name, stored, table
 
-SAMPLE_ROWS = 20_000
+#: Candidates that a kind weighs as much as at most, when trees are grown.
+KIND_WEIGHT = 4_000
 TREES = 24
 DEPTH = 3
 RATE = 0.3
@@ -47,6 +48,10 @@ PRECISION = 0.95
 CONTEXT = 24
 #: Values that are added up together.
 BLOCK = 256
+#: Scores are counted by this many steps of 1; the ends of each step are kept.
+STEPS = 512
+#: Gradients are added up as whole multiples of 1 / FIXED, so their order changes nothing.
+FIXED = float(1 << 40)
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 
@@ -257,77 +262,144 @@ class Model:
         return reduce(lambda a, b: a + b, map(walk, self.trees), F.lit(float(self.start)))
 
 
-def _grow(x: np.ndarray, g: np.ndarray, h: np.ndarray, depth: int):
-    """A tree on gradients: best split by gain over the features' values."""
-    best = (1e-6, None, None)
-    total = g.sum() ** 2 / (h.sum() + 1)
-    if depth:
-        for f in range(x.shape[1]):
-            values, place = np.unique(x[:, f], return_inverse=True)
-            if len(values) < 2:
-                continue
-            gs, hs = np.cumsum(np.bincount(place, g))[:-1], np.cumsum(np.bincount(place, h))[:-1]
-            gain = gs ** 2 / (hs + 1) + (g.sum() - gs) ** 2 / (h.sum() - hs + 1) - total
-            k = int(gain.argmax())
-            if gain[k] > best[0]:
-                best = (gain[k], f, int(values[k]))
-    _, f, limit = best
-    if f is None:
-        return float(-RATE * g.sum() / (h.sum() + 1))
-    low = x[:, f] <= limit
-    return (f, limit, _grow(x[low], g[low], h[low], depth - 1), _grow(x[~low], g[~low], h[~low], depth - 1))
-
-
-def boost(x: np.ndarray, y: np.ndarray, held: np.ndarray) -> Model:
-    """Trees from the rows that are not held, thresholds from those that are."""
+def _open_node(tree) -> Column:
+    """The open node (an int in place of a leaf's value) of a row, else -1."""
+    if isinstance(tree, tuple):
+        f, limit, low, high = tree
+        return F.when(F.col(FEATURES[f]) <= limit, _open_node(low)).otherwise(_open_node(high))
+    return F.lit(tree if isinstance(tree, int) else -1)
+
+
+def histograms(cells: DataFrame, model: Model, tree, weight: list[float]) -> dict:
+    """Sums of gradients by (open node of ``tree``, feature): arrays of values in
+    order, g and h."""
+    w = F.lit(0.0)
+    for k, x in enumerate(weight):
+        w = F.when(F.col("kind") == k, F.lit(x * FIXED)).otherwise(w)
+    p = 1 / (1 + F.exp(-model.column(F.struct(*FEATURES))))
+    rows = cells.where("not held").select(*FEATURES, "n", "y", w.alias("w"), p.alias("p"), _open_node(tree).alias("node"))
+    values = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(c).alias("value")) for f, c in enumerate(FEATURES)]))
+    got = (rows.where("node >= 0")
+           .select("node", (F.round(F.col("w") * (F.col("p") - F.col("y"))).cast("long") * F.col("n")).alias("g"),
+                   (F.round(F.col("w") * F.col("p") * (1 - F.col("p"))).cast("long") * F.col("n")).alias("h"), values.alias("x"))
+           .groupBy("node", "x.f", "x.value").agg(F.sum("g"), F.sum("h")).collect())
+    out: dict = {}
+    for node, f, value, g, h in sorted(map(tuple, got)):
+        out.setdefault((node, f), []).append((value, g / FIXED, h / FIXED))
+    return {k: np.array(v).T for k, v in out.items()}
+
+
+def _split(sums: dict, node: int):
+    """Best split of a node by gain, as (feature, limit, (g, h) at most, (g, h)
+    above), or its own (g, h)."""
+    best, split, whole = 1e-6, None, (0.0, 0.0)
+    for f in range(len(FEATURES)):
+        if (node, f) not in sums:
+            continue
+        values, g, h = sums[node, f]
+        gs, hs = np.cumsum(g), np.cumsum(h)
+        whole = gs[-1], hs[-1]
+        gs, hs = gs[:-1], hs[:-1]
+        if not len(gs):
+            continue
+        gain = gs ** 2 / (hs + 1) + (whole[0] - gs) ** 2 / (whole[1] - hs + 1) - whole[0] ** 2 / (whole[1] + 1)
+        k = int(gain.argmax())
+        if gain[k] > best:
+            best, split = gain[k], (f, int(values[k]), (gs[k], hs[k]), (whole[0] - gs[k], whole[1] - hs[k]))
+    return split or whole
+
+
+def _leaf(sums: tuple) -> float:
+    return float(-RATE * sums[0] / (sums[1] + 1))
+
+
+def grow(cells: DataFrame, model: Model, weight: list[float]):
+    """One more tree for ``model``, a pass over ``cells`` for each level."""
+    tree, nodes = 0, 1
+    for level in range(DEPTH):
+        sums, made = histograms(cells, model, tree, weight), 0
+
+        def cut(part):
+            nonlocal made
+            if isinstance(part, tuple):
+                f, limit, low, high = part
+                return (f, limit, cut(low), cut(high))
+            if not isinstance(part, int):
+                return part
+            found = _split(sums, part)
+            if len(found) == 2:
+                return _leaf(found)
+            f, limit, low, high = found
+            if level == DEPTH - 1:
+                return (f, limit, _leaf(low), _leaf(high))
+            made += 2
+            return (f, limit, made - 2, made - 1)
+
+        tree, nodes = cut(tree), made
+        if not nodes:
+            break
+    return tree
+
+
+def score_steps(cells: DataFrame, model: Model) -> list:
+    """(kind, held, step of the score, candidates, hits, lowest, highest score)."""
+    return (cells.select("kind", "held", "n", (F.col("n") * F.col("y")).alias("hits"), model.column(F.struct(*FEATURES)).alias("score"))
+            .groupBy("kind", "held", F.floor(F.col("score") * STEPS).alias("step"))
+            .agg(F.sum("n"), F.sum("hits"), F.min("score"), F.max("score")).collect())
+
+
+def cut_at(steps: list) -> float:
+    """The lowest cut of the wanted precision, halfway to the next score, from
+    (candidates, hits, lowest, highest score) of groups; infinity if none is."""
+    if not steps:
+        return float("inf")
+    n, hits, low, high = np.array(sorted(steps, key=lambda r: -r[3]), dtype=float).T
+    good = np.flatnonzero(np.cumsum(hits) >= PRECISION * np.cumsum(n))
+    if not len(good):
+        return float("inf")
+    k = good[-1]
+    return float((low[k] + (high[k + 1] if k + 1 < len(n) else min(low[k], 0.0))) / 2)
+
+
+def boost(cells: DataFrame, kind_weight: float) -> Model:
+    """Trees from the candidates that are not held, thresholds from those that
+    are (all of a kind without any).  ``cells`` are features, y, held and n, the
+    number of candidates alike in them."""
     model = Model()
-    fx, fy = x[~held], y[~held]
-    if not len(fx):
+    count = F.sum(F.when(~F.col("held"), F.col("n")))
+    kinds = cells.groupBy("kind").agg(count.alias("n"), F.sum(F.when(~F.col("held"), F.col("n") * F.col("y"))).alias("hits")).collect()
+    fitted = [r for r in kinds if r["n"]]
+    if not fitted:
         return model
-    share = (fy.sum() + 1) / (len(fy) + 2)
+    weight = [0.0] * len(KINDS)
+    for r in fitted:
+        weight[r["kind"]] = min(1.0, kind_weight / r["n"])
+    share = ((sum(weight[r["kind"]] * r["hits"] for r in fitted) + 1)
+             / (sum(weight[r["kind"]] * r["n"] for r in fitted) + 2))
     model.start = float(np.log(share / (1 - share)))
-    raw = np.full(len(fx), model.start)
     for _ in range(TREES):
-        p = 1 / (1 + np.exp(-raw))
-        tree = _grow(fx, p - fy, p * (1 - p), DEPTH)
-        raw += Model([tree]).raw(fx)
-        model.trees.append(tree)
-    score = model.raw(x)
+        model.trees.append(grow(cells, model, weight))
+    steps = score_steps(cells, model)
     thresholds = []
     for k in range(len(KINDS)):
-        own = held & (x[:, 0] == k)
-        if not own.sum():
-            own = x[:, 0] == k
-        order = np.argsort(-score[own], kind="stable")
-        s, hit = score[own][order], y[own][order]
-        last = np.append(s[1:] < s[:-1], True) if len(s) else np.empty(0, bool)
-        good = np.flatnonzero(last & (np.cumsum(hit) >= PRECISION * np.arange(1, len(s) + 1)))
-        # the lowest cut of the wanted precision, halfway to the next score
-        thresholds.append(float((s[good[-1]] + (s[good[-1] + 1] if good[-1] + 1 < len(s) else min(s[good[-1]], 0.0))) / 2)
-                          if len(good) else float("inf"))
+        own = [r for r in steps if r["kind"] == k]
+        own = [r for r in own if r["held"]] or own
+        thresholds.append(cut_at([tuple(r)[3:] for r in own]))
     model.thresholds = tuple(thresholds)
     return model
 
 
-def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Trees and thresholds from at most about ``sample_rows`` candidates of
-    ``docs``, as many of each kind; copies count once."""
+def fit(docs: DataFrame, sample_rows: int = KIND_WEIGHT * len(KINDS)) -> Model:
+    """Trees and thresholds from all candidates of ``docs``; copies count once.
+    The kinds weigh together as much as ``sample_rows`` candidates at most, each
+    the same share; none is left out."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     found = docs.select(F.explode(candidates(text)).alias("c"))
-    found = stored(found.select(F.xxhash64("c.m", "c.left").alias("o"), strict(F.col("c")).alias("y"), *[f"c.{f}" for f in FEATURES])
-                   .distinct(), "pii-candidates")
-    share = -(-sample_rows // len(KINDS))
-    # twice the share by the hash alone, then the smallest of them: no task sees all of a kind
-    wanted = F.lit(False)
-    for r in found.groupBy("kind").count().collect():
-        limit = min(2 ** 63 - 1, (2 * share + 32) * 2 ** 63 // r["count"])
-        wanted = wanted | ((F.col("kind") == r["kind"]) & (F.col("o").bitwiseAND(F.lit(2 ** 63 - 1)) <= F.lit(limit)))
-    nth = F.row_number().over(Window.partitionBy("kind").orderBy(F.col("o").bitwiseAND(F.lit(2 ** 63 - 1)), "o", *FEATURES, "y"))
-    sample = (found.where(wanted).withColumn("nth", nth).where(F.col("nth") <= share)
-              .orderBy("kind", "nth").collect())
-    x = np.array([[r[f] for f in FEATURES] for r in sample], dtype=np.int64).reshape(len(sample), len(FEATURES))
-    y = np.array([r["y"] for r in sample], dtype=float)
-    return boost(x, y, np.array([r["o"] % 4 == 0 for r in sample], dtype=bool))
+    found = (found.select(F.xxhash64("c.m", "c.left").alias("o"), strict(F.col("c")).cast("long").alias("y"),
+                          *[F.col(f"c.{f}").cast("long").alias(f) for f in FEATURES]).distinct())
+    held = (F.pmod("o", F.lit(4)) == 0).alias("held")
+    cells = stored(found.groupBy(*FEATURES, "y", held).agg(F.count(F.lit(1)).alias("n")), "pii-candidates")
+    return boost(cells, -(-sample_rows // len(KINDS)))
 
 
 # --- selection -------------------------------------------------------------------

@@ -207,3 +207,69 @@ def test_rare_kinds_have_thresholds(spark):
     rows += [(2000 + i, "host 10.1.1.1 seen") for i in range(300)]
     model = pii.fit(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), sample_rows=40)
     assert all(model.thresholds[pii.KINDS.index(k)] < float("inf") for k in ("ip", "card", "phone"))
+
+
+def test_every_candidate_counts(spark):
+    """Trees and thresholds of many candidates of one kind are those of all: the
+    counts behind the thresholds hold each of them."""
+    seen = []
+    own = pii.score_steps
+
+    def counted(cells, model):
+        steps = own(cells, model)
+        seen.append(sum(tuple(r)[3] for r in steps))
+        return steps
+
+    rows = [(i, f"host 10.{i % 250}.{i // 250}.{i % 7} seen") for i in range(6000)]
+    pii.score_steps = counted
+    try:
+        pii.fit(spark.createDataFrame(rows, "doc_id long, text string"), sample_rows=40)
+    finally:
+        pii.score_steps = own
+    assert seen == [6000]
+
+
+def test_cut_of_groups_is_that_of_their_scores():
+    rng = np.random.default_rng(5)
+    for _ in range(50):
+        score = np.round(rng.normal(size=60), 1)
+        hit = (score + rng.normal(size=60) > 0).astype(float)
+        each = [(1, h, s, s) for s, h in zip(score, hit)]
+        alike = [((score == s).sum(), hit[score == s].sum(), s, s) for s in np.unique(score)]
+        order = np.argsort(-score)
+        good = [k for k in range(60) if (k == 59 or score[order][k + 1] < score[order][k])
+                and hit[order][:k + 1].sum() >= pii.PRECISION * (k + 1)]
+        got = pii.cut_at(alike)
+        assert (got < float("inf")) == bool(good)
+        if good:
+            assert (score >= got).sum() == good[-1] + 1
+        assert pii.cut_at(each[:1]) == pii.cut_at([(1, hit[0], score[0], score[0])])
+
+
+def test_boosting_in_passes_is_boosting_of_the_rows(spark):
+    """A tree from Spark's sums is the tree of the best gains over all rows."""
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 5, (300, len(pii.FEATURES)))
+    y = (x[:, 3] + x[:, 7] > 4).astype(int)
+    columns = ", ".join(f"{f} long" for f in pii.FEATURES)
+    cells = spark.createDataFrame([(*map(int, r), int(c), False, 1) for r, c in zip(x, y)], f"{columns}, y long, held boolean, n long")
+
+    def brute_tree(rows, depth):
+        g, h = (0.5 - y[rows]), np.full(len(rows), 0.25)
+        best = (1e-6, None)
+        for f in range(x.shape[1]) if depth else ():
+            for v in np.unique(x[rows, f])[:-1]:
+                low = x[rows, f] <= v
+                gain = sum(g[m].sum() ** 2 / (h[m].sum() + 1) for m in (low, ~low)) - g.sum() ** 2 / (h.sum() + 1)
+                if gain > best[0] + 1e-9:
+                    best = (gain, (f, int(v), rows[low], rows[~low]))
+        if best[1] is None:
+            return -pii.RATE * g.sum() / (h.sum() + 1)
+        f, v, low, high = best[1]
+        return (f, v, brute_tree(low, depth - 1), brute_tree(high, depth - 1))
+
+    def flat(tree):
+        return [*tree[:2], *flat(tree[2]), *flat(tree[3])] if isinstance(tree, tuple) else [tree]
+
+    got = pii.grow(cells, pii.Model(), [1.0] * len(pii.KINDS))
+    assert np.allclose(flat(got), flat(brute_tree(np.arange(300), pii.DEPTH)), atol=1e-6)
