@@ -65,3 +65,74 @@ def test_odd_tables(spark, docs):
     one = spark.createDataFrame([(1, 1), (3, 0), (7, 1), (None, 0)], "doc_id long, toxic int")
     assert x.score_toxicity(df, x.fit(df, one)).count() == 4
     assert x.score_toxicity(df.limit(0), x.fit(df, one)).count() == 0
+
+
+def test_every_labelled_text_trains_or_calibrates(spark, docs, prose, monkeypatch):
+    """More labelled documents of a class than any sample held, in several pieces."""
+    rng = random.Random(4)
+    texts = [" ".join(prose(rng, 12)) + (" scummy" if i % 2 else "") for i in range(600)]
+    df = docs(list(enumerate(texts)) + [(5000, "word " * 30_000)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)] + [(5000, 0)], "doc_id long, toxic int")
+    own = {r["doc_id"]: r for r in x.labelled_texts(df, labels, "toxic").collect()}
+    assert len(own) > 450
+    monkeypatch.setattr(x, "PIECE_TEXTS", 100)
+    seen = {}
+    trained, calibrated = x.train_all, x.output_steps
+    monkeypatch.setattr(x, "train_all", lambda t, n, size: seen.update(train=t.count(), n=int(n.sum())) or trained(t, n, size))
+    monkeypatch.setattr(x, "output_steps", lambda t, m: seen.update(steps=calibrated(t, m)) or seen["steps"])
+    model = x.fit(df, labels)
+    held = sum(r["part"] == 3 for r in own.values())
+    assert seen["train"] == seen["n"] == len(own) - held and seen["steps"][:, 3].sum() == held
+    score = {r["doc_id"]: r["predicted"] for r in x.score_toxicity(df, model).collect()}
+    assert np.mean([score[i] == i % 2 for i in range(600)]) > 0.95
+
+
+def test_an_epoch_is_the_average_of_its_pieces(spark, prose):
+    rng = random.Random(5)
+    texts = [" ".join(prose(rng, 20)) + (" scummy" if i % 2 else "") for i in range(80)]
+    df = spark.createDataFrame([(i, t, i % 2) for i, t in enumerate(texts)], "doc_id long, text string, y int")
+    rows = x.in_pieces(df, 2)
+    held_by, n = x.held_counts(rows)
+    assert n.tolist() == [40, 40] and held_by[1].max() == 40
+    state, weights = x.initial(held_by, n), x.class_weights(n)
+    got = x.mixed_pass(rows, state, weights, 0, 8)
+    made = []
+    for piece in (0, 1):
+        own = sorted(r["doc_id"] for r in rows.where(f"piece = {piece}").collect())
+        y = np.array([float(i % 2) for i in own])
+        each = state.copy()
+        x.one_pass(each, [x.word_rows(texts[i]) for i in own], y, weights[y.astype(int)], x.RATE, np.random.default_rng([x.SEED, 0, piece]))
+        made.append((each, np.unique(np.concatenate([x.word_rows(texts[i]) for i in own]))))
+    assert np.allclose(got.flat, (made[0][0].flat + made[1][0].flat) / 2, atol=1e-6)
+    only = np.setdiff1d(made[0][1], made[1][1])
+    assert np.allclose(got.lookup[only], made[0][0].lookup[only], atol=1e-6)
+    both = np.intersect1d(made[0][1], made[1][1])
+    assert np.allclose(got.lookup[both], (made[0][0].lookup[both] + made[1][0].lookup[both]) / 2, atol=1e-6)
+
+
+def test_cut_of_groups():
+    rng = np.random.default_rng(6)
+    out = rng.normal(size=200)
+    y = (out + rng.normal(size=200) > 0).astype(float)
+    t = x.best_threshold(out, y)
+    f1 = [2 * y[out > c].sum() / ((out > c).sum() + y.sum()) for c in out]
+    assert 2 * y[out > t].sum() / ((out > t).sum() + y.sum()) >= max(f1) - 1e-9
+    steps = np.column_stack([rng.integers(0, 4, 200), out, out, np.ones(200), y])
+    m = x.merged(steps)
+    assert m[:, 2].sum() == 200 and abs(x.best_cut(*m.T) - t) < 0.05
+
+
+def test_models_travel_whole(prose):
+    import pickle
+    rng = random.Random(7)
+    texts = [" ".join(prose(rng, 20)) + (" scummy" if i % 2 else "") for i in range(40)]
+    y = np.array([float(i % 2) for i in range(40)])
+    model = x.train(texts, y)
+    back = pickle.loads(pickle.dumps(model))
+    assert (back.table == model.table).all() and (back.score(texts) == model.score(texts)).all()
+    held_by = np.zeros((2, x.ROWS))
+    held_by[1, 5:50] = 9
+    state = x.initial(held_by, np.array([20, 20]))
+    state.seen[7] = 3
+    back = pickle.loads(pickle.dumps(state))
+    assert all((getattr(back, f) == getattr(state, f)).all() for f in ("lookup", "live", "seen", "flat", "m", "v"))
