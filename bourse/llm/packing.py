@@ -50,7 +50,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bourse.llm.common import stored, table
+from bourse.llm.common import remove, stored, stored_at, table
 
 WINDOW = 1024
 END = 0
@@ -141,10 +141,8 @@ class Index:
     def __init__(self, docs: list[np.ndarray], corpus: Corpus | None = None):
         n = len(docs)
         corpus = corpus or corpus_of(docs)
-        terms, counts = zip(*(np.unique(d[:-1], return_counts=True) for d in docs))
-        sizes = np.array([len(t) for t in terms])
-        owner = np.repeat(np.arange(n), sizes)
-        term, count = np.concatenate(terms), np.concatenate(counts)
+        owner, term, count = distinct(docs)
+        sizes = np.bincount(owner, minlength=n)
         order = np.argsort(term, kind="stable")
         self.terms, first = np.unique(term[order], return_index=True)
         self.bounds = np.append(first, len(term))
@@ -258,6 +256,8 @@ def distinct(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     by one sort of (owner, term) numbers."""
     sizes = [len(d) - 1 for d in docs]
     term = np.concatenate([d[:-1] for d in docs]) if docs else np.empty(0, np.uint32)
+    if term.dtype not in (np.uint16, np.uint32):
+        term = term.astype(np.uint32)
     wide = np.uint64 if term.dtype.itemsize > 2 or len(docs) > 1 << 16 else np.uint32
     bits = wide(8 * term.dtype.itemsize)
     both = np.sort(np.repeat(np.arange(len(docs), dtype=wide) << bits, sizes) | term)
@@ -415,10 +415,11 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, ra
     sized = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("own"), F.monotonically_increasing_id().alias("row"),
                         (F.octet_length("text") + 16).cast("long").alias("size"), "text")
     table_of = "doc_id long, own long, row long, size long, ids binary, term array<long>, n array<long>"
-    tokens = stored(sized.mapInArrow(encode, table_of), "packing-tokens", 1)
+    tokens, encoded = stored_at(sized.mapInArrow(encode, table_of), "packing-tokens", 1)
     corpus = summed(tokens.where(F.col("term").isNotNull()).select(F.inline(F.arrays_zip("term", "n"))))
     tokens = tokens.where(F.col("ids").isNotNull()).select(*names, "ids")
     known = stored(with_topics(tokens, corpus, kind), "packing-topics", 1)
+    remove(docs.sparkSession, encoded)      # ``known`` holds all of it; the disk is for the exchange
     total = known.agg(F.sum("size")).first()[0] or 0
     ranges = min(MAX_RANGES, max(1, -(-total // (SHARDS_A_RANGE * shard_bytes))))
     placed = in_path_order(known, path_ranks(known, corpus), ranges).select("doc_id", "ids", "size")

@@ -1,3 +1,4 @@
+import pathlib
 import random
 import zlib
 
@@ -168,3 +169,30 @@ def test_neighbours_by_the_full_query():
     assert np.allclose(got[1:], want[1:], rtol=1e-4) and int(got[1:].argmax()) + 1 == len(docs) - 2
     first = pk.fill(docs, 600)[0]
     assert [d for d, _, _ in first][:3] == [0, len(docs) - 2, len(docs) - 1]
+
+
+def test_index_sorts_a_shard_at_once(monkeypatch):
+    rng = np.random.default_rng(3)
+    docs = [np.append(rng.integers(1, 300, rng.integers(0, 40)), 0).astype(kind) for kind in ("<u2", "<u4") for _ in range(100)]
+    for part in (docs[:100], docs[100:]):
+        for d, *got in zip(part, *own_terms(pk.distinct(part), len(part))):
+            assert [x.tolist() for x in got] == [x.tolist() for x in np.unique(d[:-1], return_counts=True)]
+    corpus, calls, unique = pk.corpus_of(docs[:100]), [], np.unique
+    monkeypatch.setattr(pk.np, "unique", lambda *a, **k: calls.append(1) or unique(*a, **k))
+    pk.Index(docs[:100], corpus)
+    assert len(calls) <= 2        # none for each document
+
+
+def own_terms(found, n):
+    owner, term, count = found
+    return [term[owner == k] for k in range(n)], [count[owner == k] for k in range(n)]
+
+
+def test_token_table_goes_once_the_topics_are_known(spark, docs, tmp_base):
+    folder = pathlib.Path(tmp_base.removeprefix("file:")).parent
+    folder.mkdir(parents=True, exist_ok=True)
+    before = set(folder.iterdir())
+    texts = {i: f"some words {i % 7}" for i in range(50)}
+    check(pk.pack(docs(texts)).collect(), texts)
+    made = {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before}
+    assert made == {"packing-topics"}
