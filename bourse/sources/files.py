@@ -14,6 +14,7 @@ from bourse.operators.filters import split_tagged
 from bourse.operators.filters import scan_history  # noqa: F401  (SRC-7)
 from bourse.operators.nulls import normalize_nan
 from bourse.schemas import strings
+from bourse.session import listing
 
 # The text tokens pandas' CSV reader treats as missing by
 # default.  Spark treats only the empty field as NULL.
@@ -127,8 +128,9 @@ def scan_symbol_files(spark: SparkSession, path, names, pattern: str,
     symbol, the symbol encoded in the path; ``pattern`` has one group
     capturing it.  Folder names escape characters such as ``/`` and ``=`` as
     ``%XX``; ``unescape`` turns them back (a literal ``+`` stays ``+``)."""
-    df = (_reader(spark, strings(names), header, None)
-          .option("recursiveFileLookup", True).csv(path))
+    with listing(spark):
+        df = (_reader(spark, strings(names), header, None)
+              .option("recursiveFileLookup", True).csv(path))
     raw = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
     if unescape:
         # the metadata path is a URI (first decode gives the folder name), and

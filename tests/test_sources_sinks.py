@@ -392,3 +392,33 @@ def test_a_key_that_does_not_decide_the_partition_is_audited_on_the_files(spark,
     twice = _days(spark).unionByName(_days(spark).withColumn("market", F.lit("OTHER")))
     with pytest.raises(KeyViolation):
         refresh_table(twice, tmp_base, key=["date", "code"], partition_by=["market"], order=["code", "date"])
+
+
+def tasks_of(spark, name, read):
+    """Tasks of the Spark jobs that ``read`` starts, job by job."""
+    sc = spark.sparkContext
+    sc.setJobGroup(name, name)
+    try:
+        read()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+    tracker = sc.statusTracker()
+    return [sum(tracker.getStageInfo(s).numTasks for s in tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup(name)]
+
+
+@pytest.mark.parametrize("layout", ["files", "table"])
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_base, layout):
+    df = spark.range(100).select(F.col("id").alias("symbol"), F.lit("2024-01-02").alias("date"), F.lit(1.5).alias("close"))
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, found = spark.conf.get(setting), []
+    if layout == "files":
+        write_per_value_files(df, tmp_base, "symbol", ["date"])
+        tasks = tasks_of(spark, tmp_base, lambda: found.append(
+            scan_symbol_files(spark, tmp_base, ["date", "close"], r"symbol=([^/]+)/")))
+    else:
+        write_partitioned(df, tmp_base, "symbol", order=["date"], per_value=True)
+        tasks = tasks_of(spark, tmp_base, lambda: found.append(read_table(spark, tmp_base)))
+    assert tasks and max(tasks) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(setting) == before
+    assert sorted(int(r["symbol"]) for r in found[0].collect()) == list(range(100))
