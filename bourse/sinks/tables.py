@@ -28,6 +28,7 @@ from bourse.functions.scalar import cast_columns
 from bourse.operators.filters import REASON
 from bourse.operators.keys import KeyViolation, assert_key
 from bourse.operators.projection import with_row_index
+from bourse.session import listing
 
 MARKER = "_AUDITED"
 # Of a version written by ``refresh_split``: the partition that parts refused rows
@@ -219,7 +220,7 @@ def _write_version(typed: DataFrame, base: str, parts: list, order: list, key, r
             typed.write.mode("errorifexists").partitionBy(*parts).parquet(path)
         schema = typed.schema
         if (key or required) and not on_the_way:
-            assert_key(_table_rows(spark.read.schema(schema).parquet(path)), key, required)
+            assert_key(_table_rows(_rows(spark, path, schema)), key, required)
     except Exception as failed:
         _delete(spark, path)      # never marked, so never read; remove the debris
         if VIOLATION in str(failed):
@@ -236,7 +237,7 @@ def read_table(spark: SparkSession, base: str) -> DataFrame:
     """Read the newest audited version of a table with its recorded schema
     (partition values such as ``005930`` stay text)."""
     path, schema = _newest(spark, base)
-    return _table_rows(spark.read.schema(schema).parquet(path))
+    return _table_rows(_rows(spark, path, schema))
 
 
 def read_rejects(spark: SparkSession, base: str) -> DataFrame:
@@ -245,6 +246,12 @@ def read_rejects(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path).filter(F.col(REFUSED)).select(f"{REJECTED}.*")
 
 
+def _rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows of a version, whose folders may be as many as a key's values."""
+    with listing(spark):
+        return spark.read.schema(schema).parquet(path)
+
+
 def _table_rows(version: DataFrame) -> DataFrame:
     """The table's own rows and columns; the partition of refused rows is not read."""
     return version.filter(~F.col(REFUSED)).drop(REFUSED, REJECTED) if REFUSED in version.columns else version
@@ -303,7 +310,7 @@ def partition_view(spark: SparkSession, base: str, key: str, value) -> DataFrame
     reads one folder; the key predicate is pushed into the Parquet reader.
     The number of buckets is the one the table was written with."""
     path, schema = _newest(spark, base)
-    df = _table_rows(spark.read.schema(schema).parquet(path))
+    df = _table_rows(_rows(spark, path, schema))
     key_type = schema[key].dataType
     lit = F.lit(value).cast(key_type)
     if BUCKET in df.columns:
