@@ -76,19 +76,26 @@ class Encoder:
     as ranks, gives the same ids in a quarter of the time."""
 
     def __init__(self, tokenizer: str, ranks: str | None):
-        from tokenizers import Tokenizer
-        self._own = Tokenizer.from_file(tokenizer)
-        self._fast = None
+        self._tokenizer, self._own, self._fast = tokenizer, None, None
         if ranks:
             import tiktoken
             with open(ranks, "rb") as f:
                 known = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+            # never allowed, so never an id; without any special token tiktoken stops at each character to look for one
+            special = {SPECIAL: max(known.values(), default=-1) + 1}
             self._fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known,
-                                           special_tokens={})
+                                           special_tokens=special)
+
+    def _plain(self, text: str) -> list[int]:
+        """By the tokenizer file, which is read for the first text that needs it."""
+        if self._own is None:
+            from tokenizers import Tokenizer
+            self._own = Tokenizer.from_file(self._tokenizer)
+        return self._own.encode(text, add_special_tokens=False).ids
 
     def ids(self, text: str) -> np.ndarray:
         if self._fast is None or SPECIAL in text:
-            ids = self._own.encode(text, add_special_tokens=False).ids
+            ids = self._plain(text)
         else:
             ids = self._fast.encode_to_numpy(text, disallowed_special=())
         out = np.empty(len(ids) + 1, dtype="<u4")

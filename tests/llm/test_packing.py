@@ -56,6 +56,16 @@ def test_fast_encoder_gives_the_same_ids():
     assert slow.ids("some words").tolist() == ids_of("some words").tolist()
 
 
+def test_fast_encoder_looks_for_one_special_token_and_reads_the_tokenizer_file_late():
+    """Without a special token tiktoken's search for one stops at each character."""
+    enc = pk.Encoder(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    assert enc._fast.special_tokens_set == {pk.SPECIAL}
+    text = "some words é漢 <|endoftext"
+    assert enc.ids(text).tolist() == ids_of(text).tolist() and enc._own is None
+    marked = f"a {pk.SPECIAL} b"
+    assert enc.ids(marked).tolist() == ids_of(marked).tolist() and enc._own is not None
+
+
 def test_index_against_plain_bm25():
     rng = np.random.default_rng(1)
     docs = [np.append(rng.integers(1, 30, rng.integers(1, 40)), 0) for _ in range(25)]
