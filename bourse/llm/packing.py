@@ -50,7 +50,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bourse.llm.common import remove, stored, stored_at, table
+from bourse.llm.common import remove, slices, stored, stored_at, table
 
 WINDOW = 1024
 END = 0
@@ -248,12 +248,6 @@ def _powers(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int
 
 # --- dealing -------------------------------------------------------------------
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for k in range(0, b.num_rows, rows):
-            yield b.slice(k, rows)
-
-
 def _arrays(b: pa.RecordBatch, kind: str) -> list[np.ndarray]:
     return [np.frombuffer(x, dtype=kind) for x in b.column("ids").to_pylist()]
 
@@ -295,7 +289,7 @@ def corpus_counts(tokens: DataFrame, kind: str = "<u4") -> Corpus:
     """``Corpus`` of all documents (ids, numbers of ``kind``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counts()
-        for b in _slices(batches):
+        for b in slices(batches):
             counts.add(_arrays(b, kind))
         yield pa.RecordBatch.from_arrays([*map(pa.array, counts.columns())], names=["term", "n"])
 
@@ -331,7 +325,7 @@ def with_topics(tokens: DataFrame, corpus: Corpus, kind: str) -> DataFrame:
     weights = corpus.weights()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _slices(batches):
+        for b in slices(batches):
             owner, terms = topics(_arrays(b, kind), weights, corpus.mean)
             bounds = np.searchsorted(owner, np.arange(b.num_rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(bounds), pa.array(terms))],
@@ -407,7 +401,7 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, ra
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, counts = encoder(str(tokenizer), None if ranks is None else str(ranks)), Counts()
-        for b in _slices(batches):
+        for b in slices(batches):
             ids = [enc.ids(t).astype(kind) for t in b.column("text").to_pylist()]
             counts.add(ids)
             none = pa.nulls(b.num_rows, pa.list_(pa.int64()))

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bourse.llm.common import row_keyed, stored, table
+from bourse.llm.common import row_keyed, slices, stored, stored_small, table
 
 SEED = 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))      # (first bit, bits)
@@ -75,7 +75,7 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """(id: long or null, fp: long) of each row of ``docs`` (doc_id, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             fp = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(fp.view(np.int64))], names=["id", "fp"])
@@ -248,14 +248,14 @@ def connected_components(links: DataFrame) -> DataFrame:
     Each round takes the smallest label among a node's neighbours and then the
     label of that label.  Rounds go through tables in the shared folder; they
     end when no label becomes smaller, seen by their sum (one row)."""
-    both = stored(links.select(F.col("a").alias("u"), F.col("b").alias("v"))
-                  .unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct(), "links")
+    both = stored_small(links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+                        .unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct(), "links")
 
     def total(df):
         return df.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
 
-    labels = stored(both.groupBy("u").agg(F.min("v").alias("low"))
-                    .select(F.col("u").alias("node"), F.least("u", "low").alias("label")), "labels")
+    labels = stored_small(both.groupBy("u").agg(F.min("v").alias("low"))
+                          .select(F.col("u").alias("node"), F.least("u", "low").alias("label")), "labels")
     was = total(labels)
     while was is not None:
         around = (both.join(labels, F.col("v") == F.col("node"))
@@ -263,7 +263,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         hooked = (labels.join(around, F.col("node") == F.col("u"))
                   .select("node", F.least("label", "low").alias("label")))
         up = hooked.select(F.col("node").alias("label"), F.col("label").alias("top"))
-        labels = stored(hooked.join(up, "label").select("node", F.col("top").alias("label")), "labels")
+        labels = stored_small(hooked.join(up, "label").select("node", F.col("top").alias("label")), "labels")
         now = total(labels)
         if now == was:
             break
@@ -277,11 +277,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = MAX_BITS,
     fingerprint and smallest doc_id reachable over links of ``max_bits``."""
     fps = stored(fingerprints(docs, shingle), "fingerprints")
     last = F.coalesce("id", F.lit(_LAST_ID))
-    classes = stored(fps.groupBy("fp").agg(F.min(last).alias("first")), "classes")
+    classes = stored_small(fps.groupBy("fp").agg(F.min(last).alias("first")), "classes")
     labels = connected_components(near_links(classes, max_bits, block_rows))
     named = (classes.join(labels, classes.fp == labels.node, "left")
              .withColumn("label", F.coalesce("label", "fp")).select("fp", "label", "first"))
-    named = stored(named, "named")
+    named = stored_small(named, "named")
     names = named.groupBy("label").agg(F.min("first").alias("component"))
     of_class = named.join(names, "label").select("fp", "component")
     return (fps.join(of_class, "fp")

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bourse.llm.common import fold, labelled_texts, mix, stored, table, word_hashes
+from bourse.llm.common import fold, labelled_texts, mix, slices, stored, table, word_hashes
 
 #: Texts, and bytes of text, that a piece holds about.
 PIECE_TEXTS, PIECE_BYTES = 4096, 32 << 20
@@ -357,7 +357,7 @@ def _docs(b: pa.RecordBatch) -> list[np.ndarray]:
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
     """(piece, word rows, labels) from rows sorted by piece."""
     held, docs, y = None, [], []
-    for b in batches:
+    for b in slices(batches):
         for piece, d, c in zip(b.column("piece").to_pylist(), _docs(b), b.column("y").to_pylist()):
             if docs and piece != held:
                 yield held, docs, np.array(y, dtype=float)
@@ -377,7 +377,7 @@ def in_pieces(texts: DataFrame, pieces: int) -> DataFrame:
     """``texts`` (doc_id, text, y) as a table of word rows sorted by piece;
     ``lead`` is true for one of each distinct text, that of the greatest id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             words = pa.array([word_rows(t).tobytes() for t in b.column("text").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), words], names=[*names, "words"])
 
@@ -395,7 +395,7 @@ def held_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """How many distinct texts of each class hold each table row, and how many there are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_by, n = np.zeros((2, ROWS), dtype=np.int64), np.zeros(2, dtype=np.int64)
-        for b in batches:
+        for b in slices(batches):
             for d, c in zip(_docs(b), b.column("y").to_pylist()):
                 held_by[c, np.unique(d)] += 1
                 n[c] += 1

@@ -134,3 +134,22 @@ def test_rows_without_an_id_or_that_repeat_one_are_rows_of_their_own(spark, docs
     kept = sh.drop_near_duplicates(df.repartition(4)).collect()
     assert len(kept) == 7 and {r["text"] for r in kept} == {r["text"] for r in df.collect()}
     assert {(r["doc_id"], r["text"]) for r in kept} >= {(5, texts[0]), (3, texts[1]), (None, texts[2])}
+
+
+def test_small_tables_are_written_by_a_few_tasks_a_core(spark, docs, monkeypatch):
+    files, written = [], sh.stored_small
+
+    def counted(df, name):
+        out = written(df, name)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(sh, "stored_small", counted)
+    texts = [f"{i} one two three four five {i * 7} six" for i in range(400)] + ["copies of one text all the way down"] * 40
+    # a count of partitions that is asked for is not merged by AQE
+    monkeypatch.setattr(sh, "fingerprints", lambda d, n, f=sh.fingerprints: f(d, n).repartition(97, "fp"))
+    got = sh.near_duplicates(docs(texts)).collect()
+    assert len(got) == 440 and {r["component_id"] for r in got if r["doc_id"] >= 400} == {400}
+    assert len(files) >= 4 and max(files) <= 4 * spark.sparkContext.defaultParallelism
+    wide = written(spark.range(1000).repartition(97), "wide")
+    assert wide.count() == 1000 and len(wide.inputFiles()) <= 4 * spark.sparkContext.defaultParallelism

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from bourse.llm import toxicity as x
 from bourse.llm.common import word_hashes
@@ -136,3 +137,16 @@ def test_models_travel_whole(prose):
     state.seen[7] = 3
     back = pickle.loads(pickle.dumps(state))
     assert all((getattr(back, f) == getattr(state, f)).all() for f in ("lookup", "live", "seen", "flat", "m", "v"))
+
+
+def test_a_piece_is_gathered_from_few_rows_at_a_time(monkeypatch):
+    sizes, docs = [], x._docs
+    monkeypatch.setattr(x, "_docs", lambda b: sizes.append(b.num_rows) or docs(b))
+    words = [np.full((1 + i % 3, 3), i, dtype=np.int32) for i in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"piece": [i // 1500 for i in range(2000)], "y": [i % 2 for i in range(2000)],
+                                        "words": [w.tobytes() for w in words]})
+    got = list(x._pieces(iter([batch])))
+    assert [(p, len(d)) for p, d, _ in got] == [(0, 1500), (1, 500)]
+    assert all((a == b).all() for a, b in zip([d for _, own, _ in got for d in own], words))
+    assert [c for _, _, y in got for c in y.tolist()] == [i % 2 for i in range(2000)]
+    assert max(sizes) <= 512
