@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from contextlib import nullcontext
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,7 +29,7 @@ from bourse.functions.scalar import cast_columns
 from bourse.operators.filters import REASON
 from bourse.operators.keys import KeyViolation, assert_key
 from bourse.operators.projection import with_row_index
-from bourse.session import listing
+from bourse.session import listing, writing
 
 MARKER = "_AUDITED"
 # Of a version written by ``refresh_split``: the partition that parts refused rows
@@ -36,6 +37,9 @@ MARKER = "_AUDITED"
 REFUSED, REJECTED = "load_refused", "rejected"
 BUCKET = "bucket"
 DEFAULT_BUCKETS = 64
+# Parquet keeps a checksum of each page, whatever store holds the file; reads check it.
+WRITE_PAGE_SUMS = {"parquet.page.write.checksum.enabled": "true"}
+CHECK_PAGE_SUMS = {"parquet.page.verify-checksum.enabled": "true"}
 
 
 # --- files ---------------------------------------------------------------
@@ -130,7 +134,7 @@ def _versions(spark: SparkSession, base: str) -> list[str]:
 
 def refresh_table(df: DataFrame, base: str, *, key=None, required=(), types=None,
                   partition_by=None, order=None, audit: bool = True,
-                  keep: int = 2, derived: bool = False) -> str:
+                  keep: int = 2, derived: bool = False, per_value: bool = False) -> str:
     """SNK-5: full refresh, all or nothing.
 
     ``types`` is a strict cast map (SCL-3: a bad value fails the job);
@@ -138,6 +142,7 @@ def refresh_table(df: DataFrame, base: str, *, key=None, required=(), types=None
     rows are written sorted by columns of the key, on the way (``_checked``);
     ``order`` without ``partition_by`` writes files sorted by it;
     ``derived`` says that the key determines the columns of ``partition_by``;
+    ``per_value`` that its folders may be as many as a key's values;
     ``partition_by`` writes Hive-style folders, range-partitioned on the
     partition columns plus ``order`` so a hot partition value is spread over
     several tasks and files stay sorted for min/max pruning.
@@ -147,7 +152,7 @@ def refresh_table(df: DataFrame, base: str, *, key=None, required=(), types=None
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     order = [order] if isinstance(order, str) else list(order or [])
     return _write_version(typed, base, parts, order, key if audit else None, required if audit else (), keep,
-                          derived or not parts)
+                          derived or not parts, per_value)
 
 
 def refresh_split(df: DataFrame, base: str, *, key=None, required=(), types=None, partition_by=None,
@@ -196,8 +201,18 @@ def _checked(ranged: DataFrame, place: list, key: list, required) -> DataFrame:
     return ranged.withColumn(first, F.when(bad, F.raise_error(what)).otherwise(F.col(f"`{first}`")))
 
 
+def _small_files(spark: SparkSession) -> dict:
+    """Options of a write of very many small files.  Hadoop's local file system puts
+    a file of checksums beside each one, and without its native library starts a
+    process (``chmod``) for either; the pages' own checksums are kept instead.  Other
+    stores, and a local one that the cluster has set itself, stay as they are."""
+    if spark._jsc.hadoopConfiguration().get("fs.file.impl"):
+        return WRITE_PAGE_SUMS
+    return WRITE_PAGE_SUMS | {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
 def _write_version(typed: DataFrame, base: str, parts: list, order: list, key, required, keep: int,
-                   derived: bool) -> str:
+                   derived: bool, per_value: bool = False) -> str:
     """A new version of a table: written, audited, marked; older ones go."""
     spark = typed.sparkSession
     key = [key] if isinstance(key, str) else list(key or [])
@@ -215,7 +230,10 @@ def _write_version(typed: DataFrame, base: str, parts: list, order: list, key, r
             ranged = typed.repartitionByRange(*sort_cols)
             if on_the_way:
                 ranged = _checked(ranged, sort_cols, key, required)
-            ranged.sortWithinPartitions(*sort_cols).write.mode("errorifexists").partitionBy(*parts).parquet(path)
+            options = _small_files(spark) if per_value else {}
+            with writing(spark) if per_value else nullcontext():
+                (ranged.sortWithinPartitions(*sort_cols).write.mode("errorifexists").options(**options)
+                       .partitionBy(*parts).parquet(path))
         else:
             typed.write.mode("errorifexists").partitionBy(*parts).parquet(path)
         schema = typed.schema
@@ -249,7 +267,7 @@ def read_rejects(spark: SparkSession, base: str) -> DataFrame:
 def _rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All rows of a version, whose folders may be as many as a key's values."""
     with listing(spark):
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).options(**CHECK_PAGE_SUMS).parquet(path)
 
 
 def _table_rows(version: DataFrame) -> DataFrame:
@@ -297,7 +315,8 @@ def write_partitioned(df: DataFrame, base: str, key: str, *, order=None,
     is recorded with the table's schema, for ``partition_view``."""
     order = [order] if isinstance(order, str) else list(order or [])
     if per_value:
-        return refresh_table(df, base, key=refresh_key, partition_by=[key], order=order, derived=key in (refresh_key or ()))
+        return refresh_table(df, base, key=refresh_key, partition_by=[key], order=order, derived=key in (refresh_key or ()),
+                             per_value=True)
     withb = (df.withColumn(BUCKET, bucket_of(F.col(key), buckets).cast("int"))
              .withMetadata(BUCKET, {"buckets": buckets}))
     return refresh_table(withb, base, key=refresh_key, partition_by=[BUCKET],

@@ -1,5 +1,7 @@
 """Round trips for the landed-file scans and the table writes."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -422,3 +424,40 @@ def test_many_folders_are_listed_by_few_tasks(spark, tmp_base, layout):
     assert tasks and max(tasks) <= 4 * spark.sparkContext.defaultParallelism
     assert spark.conf.get(setting) == before
     assert sorted(int(r["symbol"]) for r in found[0].collect()) == list(range(100))
+
+
+# --- a folder for each value: many writers, small files ----------------------------------
+
+def data_files(base):
+    return [os.path.join(at, f) for at, _, files in os.walk(base) for f in files if "symbol=" in at]
+
+
+def test_a_folder_for_each_value_is_written_by_a_few_tasks_a_core(spark, tmp_base):
+    df = spark.range(60_000, numPartitions=4).selectExpr("id % 40 AS symbol", "id DIV 40 AS date", "rand(7) AS close", "rand(8) AS low")
+    shuffled, cores = "spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism
+    names = ["spark.sql.adaptive.coalescePartitions.minPartitionNum", "spark.sql.adaptive.coalescePartitions.minPartitionSize"]
+    was, before = spark.conf.get(shuffled), [spark.conf.get(n, None) for n in names]
+    spark.conf.set(shuffled, str(16 * cores))
+    try:
+        write_partitioned(df, tmp_base, "symbol", order=["date"], per_value=True, refresh_key=["date", "symbol"])
+    finally:
+        spark.conf.set(shuffled, was)
+    assert len({os.path.basename(f).split("-")[1] for f in data_files(tmp_base) if f.endswith(".parquet")}) >= 3 * cores
+    assert [spark.conf.get(n, None) for n in names] == before
+    assert read_table(spark, tmp_base).groupBy("symbol").count().filter("count = 1500").count() == 40
+
+
+def test_one_file_for_each_value_and_damage_is_still_found(spark, tmp_base):
+    df = spark.range(8000).selectExpr("id % 4 AS symbol", "id DIV 4 AS date", "rand(7) AS close")
+    write_partitioned(df.coalesce(1), tmp_base, "symbol", order=["date"], per_value=True)
+    assert sorted(r.n for r in read_table(spark, tmp_base).groupBy("symbol").agg(F.count("close").alias("n")).collect()) == [2000] * 4
+    files = data_files(tmp_base)
+    assert {f.split("symbol=")[1].split("/")[0] for f in files} == {"0", "1", "2", "3"}
+    assert all(f.endswith(".parquet") and not os.path.basename(f).startswith(".") for f in files)
+    with open(files[0], "r+b") as f:      # one bit within a page of ``close``
+        f.seek(os.path.getsize(files[0]) // 2)
+        byte = f.read(1)[0]
+        f.seek(-1, os.SEEK_CUR)
+        f.write(bytes([byte ^ 1]))
+    with pytest.raises(Exception, match="(?i)checksum|crc"):
+        read_table(spark, tmp_base).agg(F.sum("close")).collect()
